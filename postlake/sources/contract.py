@@ -152,11 +152,3 @@ def apply_contract(df: DataFrame, contract: Contract | None = None, keep_extra:
     cols += [F.col(f"`{c}`").cast("string").alias(c) for c in passthrough]
     return df.select(*cols)
 
-
-def contract_violations(contract: Contract | None = None) -> Column:
-    """True for a record the contract cannot accept (used to quarantine bad records).
-
-    A record is bad when its decoded struct is null (undecodable value) or
-    it has no ``job_id``, ``title`` and ``url`` at all.
-    """
-    return (F.col("job_id").isNull() & F.col("title").isNull() & F.col("url").isNull())
