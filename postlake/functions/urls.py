@@ -24,10 +24,11 @@ def clean_url(col) -> Column:
     return F.rtrim(cut, F.lit("/"))
 
 
-def absolute_url(col, base_url: str) -> Column:
-    """Prefix a root-relative link (``/...``) with ``base_url``; other values pass."""
+def absolute_url(col, base_url) -> Column:
+    """Prefix a root-relative link (``/...``) with ``base_url`` (text or column); other values pass."""
     c = as_col(col)
-    return F.when(c.startswith("/"), F.concat(F.lit(base_url), c)).otherwise(c)
+    base = base_url if isinstance(base_url, Column) else F.lit(base_url)
+    return F.when(c.startswith("/"), F.concat(base, c)).otherwise(c)
 
 
 def company_from_url(company, url) -> Column:

@@ -68,9 +68,14 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[tuple[str, Dat
 
 
 def _like_to_regex(pattern: str) -> str:
+    """SQL LIKE pattern → anchored regex (``%`` any run, ``_`` one char, ``\\`` escapes)."""
     out = []
-    for ch in pattern:
-        if ch == "%":
+    chars = iter(pattern)
+    for ch in chars:
+        if ch == "\\":
+            nxt = next(chars, "")
+            out.append(re.escape(nxt))
+        elif ch == "%":
             out.append(".*")
         elif ch == "_":
             out.append(".")

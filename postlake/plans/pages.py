@@ -121,10 +121,11 @@ def build_postings(items: DataFrame, source, crawled_at, usd_rate: float = 25000
                    fallback_id: Column | None = None) -> DataFrame:
     """Assemble contract records from extracted fields.
 
-    Order of the steps: contract defaults → company from the URL slug when
-    empty → stable id (sha256 of the cleaned URL, else the cleaned id or its
-    numeric tail, else ``fallback_id``) → salary and experience parsing.
-    ``source`` and ``crawled_at`` are literals or columns.
+    Order of the steps: company from the URL slug when empty → stable id
+    (sha256 of the cleaned URL, else the cleaned id or its numeric tail, else
+    ``fallback_id``) → salary and experience parsing → projection onto the
+    contract (defaults filled, required strings non-null). ``source`` and
+    ``crawled_at`` are literals or columns.
     """
     src = source if isinstance(source, Column) else F.lit(source)
     ts = crawled_at if isinstance(crawled_at, Column) else F.lit(crawled_at)
