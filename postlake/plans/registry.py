@@ -569,3 +569,315 @@ def q_date_spine(spark, d):
     per_day = o.groupBy(F.to_date("o_orderdate").alias("date_day")).agg(F.count(F.lit(1)).alias("n"))
     return (spine.join(per_day, "date_day", "left")
                  .select("date_day", F.coalesce(F.col("n"), F.lit(0)).alias("n_orders")))
+
+
+# ------------------------------------------------------------------ posting-shaped stand-ins
+# Rows in the posting record's shape, built from ``orders`` / ``part``. They
+# carry values only; every rule (parsing, dedup, keys) runs in the operators.
+
+POSTINGS_SQL = """
+select 'J' || o_custkey as job_id, o_orderpriority as title,
+  case when o_orderstatus = 'P' then null else 'Company ' || (o_custkey % 50) end as company,
+  case when o_orderkey % 2 = 0 then 'topcv' else 'topdev' end as source,
+  'https://jobs.example.vn/viec-lam/job-' || o_custkey as url,
+  cast(floor(o_totalprice / 10000) as bigint) || ' - ' || (cast(floor(o_totalprice / 10000) as bigint) + 5) || ' triệu' as salary,
+  (o_orderkey % 6) || ' năm' as experience,
+  cast(o_orderdate as varchar) as posted_at, 'Hạn nộp ' || (o_orderkey % 28 + 1) || '/12' as deadline,
+  cast(epoch(o_orderdate) as bigint) + o_orderkey as crawled_at,
+  o_orderkey
+from orders
+"""
+
+
+def _as_postings(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    fl = F.floor(F.col("o_totalprice") / 10000).cast("bigint")
+    return o.select(
+        F.concat(F.lit("J"), F.col("o_custkey").cast("string")).alias("job_id"),
+        F.col("o_orderpriority").alias("title"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("Company "), (F.col("o_custkey") % 50).cast("string"))).alias("company"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("topcv")).otherwise(F.lit("topdev")).alias("source"),
+        F.concat(F.lit("https://jobs.example.vn/viec-lam/job-"), F.col("o_custkey").cast("string")).alias("url"),
+        F.concat(fl.cast("string"), F.lit(" - "), (fl + 5).cast("string"), F.lit(" triệu")).alias("salary"),
+        F.concat((F.col("o_orderkey") % 6).cast("string"), F.lit(" năm")).alias("experience"),
+        F.col("o_orderdate").cast("string").alias("posted_at"),
+        F.concat(F.lit("Hạn nộp "), (F.col("o_orderkey") % 28 + 1).cast("string"), F.lit("/12")).alias("deadline"),
+        (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")).alias("crawled_at"),
+    )
+
+
+def _staging(spark, d) -> DataFrame:
+    """Contract-typed staging rows with the parsed salary/experience fields."""
+    from postlake.sources.contract import apply_contract
+    raw = _as_postings(spark, d)
+    sal, exp = parse_salary("salary"), parse_experience("experience")
+    parsed = raw.select("*", sal.alias("_s"), exp.alias("_e")).select(
+        "*", "_s.salary_min", "_s.salary_max", "_s.deal_salary",
+        "_e.experience_min", "_e.experience_max", "_e.experience_not_mentioned").drop("_s", "_e")
+    return apply_contract(parsed)
+
+
+POSTING_LAYER_SQL = f"""
+select job_id, title, coalesce(company, '') as company, source, url, null::varchar as company_url, null::varchar as logo_url, salary,
+  null::varchar as location, experience, []::varchar[] as tags, []::varchar[] as working_times,
+  false as is_urgent, false as is_highlight, false as is_flash, false as company_verified,
+  null::varchar as job_description, null::varchar as job_requirement, null::varchar as job_benefit,
+  null::timestamp as updated_at, try_cast(posted_at as timestamp) as posted_at,
+  try_cast(deadline as timestamp) as deadline, crawled_at
+from (select *, row_number() over (partition by job_id order by crawled_at desc) as rn
+      from ({POSTINGS_SQL})) where rn = 1
+"""
+
+
+@query("f2_dim_job", POSTING_LAYER_SQL)
+def q_dim_job(spark, d):
+    """Latest posting per job id (E2) typed to the 23-column layer, as ``dim_job``."""
+    from postlake.operators.reshape import latest_postings
+    return M.dim_job(latest_postings(_staging(spark, d)))
+
+
+@query("f1_dim_company", f"""
+select distinct md5('company_' || coalesce(company, 'unknown')) as company_id,
+  coalesce(company, 'Unknown') as company_name
+from ({POSTING_LAYER_SQL})
+""")
+def q_dim_company(spark, d):
+    from postlake.operators.reshape import latest_postings
+    return M.dim_company(latest_postings(_staging(spark, d)))
+
+
+@query("f3_fact_job_posting", f"""
+select job_id, coalesce(company, '') as company,
+  cast(floor(o_totalprice / 10000) as bigint) * 1000000.0 as salary_min,
+  (cast(floor(o_totalprice / 10000) as bigint) + 5) * 1000000.0 as salary_max,
+  false as deal_salary, cast(o_orderkey % 6 as integer) as experience_min,
+  cast(o_orderkey % 6 as integer) as experience_max, false as experience_not_mentioned, crawled_at
+from ({POSTINGS_SQL.replace("o_orderkey\nfrom orders", "o_orderkey, o_totalprice\nfrom orders")})
+where job_id is not null
+""")
+def q_fact(spark, d):
+    return M.fact_job_posting(_staging(spark, d))
+
+
+@query("f4_overview_counts", """
+select 'orders' as table_name, count(*) as row_count, count(*) > 0 as healthy from orders
+union all select 'lineitem', count(*), count(*) > 0 from lineitem
+union all select 'customer', count(*), count(*) > 0 from customer
+union all select 'events', count(*), count(*) > 0 from events
+union all select 'orders_archive', 0, false
+""")
+def q_overview(spark, d):
+    names = ["orders", "lineitem", "customer", "events", "orders_archive"]
+    return M.table_counts(spark, {n: (lambda n=n: table(spark, d, n).select(F.lit(1).alias("_x")))
+                                  for n in names})
+
+
+@query("f5_job_totals", """
+select count(*) as total_postings, count(distinct 'J' || o_custkey) as distinct_ids from orders
+""")
+def q_job_totals(spark, d):
+    return M.job_totals(_staging(spark, d))
+
+
+PART_COMPANY_SQL = """
+select case when p_size = 50 then 'unknown' when p_size > 45 then '' else nullif(p_brand, 'Brand#13') end as company
+from part
+"""
+
+
+def _part_companies(spark, d):
+    p = table(spark, d, "part")
+    return p.select(F.when(F.col("p_size") == 50, F.lit("unknown"))
+                     .when(F.col("p_size") > 45, F.lit(""))
+                     .otherwise(F.nullif(F.col("p_brand"), F.lit("Brand#13"))).alias("company"))
+
+
+@query("f6_company_totals", f"""
+select count(*) as companies, count_if(company_name = '') as empty_names from (
+  select distinct md5('company_' || coalesce(company, 'unknown')) as company_id,
+    coalesce(company, 'Unknown') as company_name from ({PART_COMPANY_SQL}))
+""")
+def q_company_totals(spark, d):
+    return M.company_totals(M.dim_company(_part_companies(spark, d)))
+
+
+@query("f7_histogram_totalprice", """
+with b as (select min(o_totalprice) as lo, max(o_totalprice) as hi from orders),
+k as (select least(cast(floor((o_totalprice - lo) / (hi - lo) * 20) as bigint) + 1, 20) as bucket, lo, hi
+      from orders, b)
+select cast(bucket as integer) as bucket, round(lo + (bucket - 1) * (hi - lo) / 20, 4) as lo,
+  round(lo + bucket * (hi - lo) / 20, 4) as hi, count(*) as n
+from k group by bucket, lo, hi
+""")
+def q_histogram(spark, d):
+    h = M.histogram(table(spark, d, "orders"), "o_totalprice", 20)
+    return h.select("bucket", F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"), "n")
+
+
+@query("f8_box_stats_by_priority", """
+with q as (select o_orderpriority, quantile_cont(o_totalprice, 0.25) as q1, quantile_cont(o_totalprice, 0.5) as median,
+             quantile_cont(o_totalprice, 0.75) as q3 from orders group by o_orderpriority)
+select o.o_orderpriority, count(*) as n, round(min(o_totalprice), 4) as min, round(any_value(q1), 4) as q1,
+  round(any_value(median), 4) as median, round(any_value(q3), 4) as q3, round(max(o_totalprice), 4) as max,
+  round(min(case when o_totalprice >= q1 - 1.5 * (q3 - q1) then o_totalprice end), 4) as lower_whisker,
+  round(max(case when o_totalprice <= q3 + 1.5 * (q3 - q1) then o_totalprice end), 4) as upper_whisker,
+  count_if(o_totalprice < q1 - 1.5 * (q3 - q1) or o_totalprice > q3 + 1.5 * (q3 - q1)) as outliers
+from orders o join q using (o_orderpriority) group by o.o_orderpriority
+""")
+def q_box(spark, d):
+    b = M.box_stats(table(spark, d, "orders"), ["o_orderpriority"], "o_totalprice")
+    return b.select("o_orderpriority", "n", *[F.round(c, 4).alias(c) for c in
+                    ["min", "q1", "median", "q3", "max", "lower_whisker", "upper_whisker"]], "outliers")
+
+
+@query("f8_box_stats_global", """
+with q as (select quantile_cont(l_extendedprice, 0.25) as q1, quantile_cont(l_extendedprice, 0.5) as median,
+             quantile_cont(l_extendedprice, 0.75) as q3 from lineitem)
+select count(*) as n, round(any_value(q1), 4) as q1, round(any_value(median), 4) as median,
+  round(any_value(q3), 4) as q3
+from lineitem, q
+""")
+def q_box_global(spark, d):
+    b = M.box_stats(table(spark, d, "lineitem"), [], "l_extendedprice")
+    return b.select("n", *[F.round(c, 4).alias(c) for c in ["q1", "median", "q3"]])
+
+
+@query("f9_flag_counts", f"""
+select count_if(deal_salary) as deal_salary_count from ({ORACLES['c1_parse_salary']})
+""")
+def q_flag_counts(spark, d):
+    return M.flag_counts(q_parse_salary(spark, d), ["deal_salary"])
+
+
+@query("f10_experience_counts", f"""
+select experience_min, count(*) as n from ({EXPERIENCE_PARSE_SQL})
+where experience_min is not null group by experience_min
+""")
+def q_experience_counts(spark, d):
+    return M.experience_counts(_parsed_experience(spark, d))
+
+
+@query("f12_latest_first", """
+select * from events order by ts desc nulls last, event_id asc limit 20
+""")
+def q_latest_first(spark, d):
+    return M.latest_first(table(spark, d, "events"), 20, ts="ts", tie="event_id")
+
+
+@query("f13_column_values", """
+select p_type as value from part group by p_type
+""")
+def q_column_values(spark, d):
+    return M.column_values(table(spark, d, "part"), "p_type")
+
+
+@query("f13_column_values_top3_where", """
+select p_brand as value from part where p_size > 10 group by p_brand order by count(*) desc, p_brand asc limit 3
+""")
+def q_column_values_top(spark, d):
+    return M.column_values(table(spark, d, "part"), "p_brand", max_records=3, where="p_size > 10")
+
+
+@query("f14_single_value", """
+select max(o_totalprice) as value from orders
+""")
+def q_single_value(spark, d):
+    return M.single_value(table(spark, d, "orders").agg(F.max("o_totalprice").alias("m")), default=-1.0)
+
+
+@query("f14_single_value_default", """
+select -1.0::double as value
+""")
+def q_single_value_default(spark, d):
+    empty = table(spark, d, "orders").where(F.col("o_totalprice") < 0).select("o_totalprice")
+    return M.single_value(empty, default=-1.0)
+
+
+# ------------------------------------------------------------------ 2A sources and sinks
+
+@query("a6_run_sql_capped", """
+select count(*) as total, p_brand as company from part group by p_brand order by total desc, company asc limit 10
+""")
+def q_run_sql(spark, d):
+    from postlake.sources.catalog import run_sql
+    table(spark, d, "part").createOrReplaceTempView("part_view")
+    return run_sql(spark, "SELECT COUNT(*) AS total, p_brand AS company FROM part_view "
+                          "GROUP BY p_brand ORDER BY total DESC, company ASC", max_rows=10)
+
+
+@query("a4_materialize_table", ORACLES["f1_dim_company"])
+def q_materialize(spark, d):
+    from postlake.operators.reshape import latest_postings
+    from postlake.sources.catalog import materialize
+    dc = M.dim_company(latest_postings(_staging(spark, d)))
+    return materialize(dc, "dim_company_materialized", "table", _shared_dir(spark, "dim_company"))
+
+
+@query("a5_export_csv", """
+select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
+""")
+def q_export_csv(spark, d):
+    from postlake.sources.catalog import export_csv
+    c = table(spark, d, "customer")
+    path = _shared_dir(spark, "export")
+    export_csv(c, path)
+    return spark.read.option("header", True).schema(c.schema).csv(path)
+
+
+@query("a3_apply_contract", """
+select case when o_orderkey % 4 = 0 then '' else 'J' || o_orderkey end as job_id,
+  coalesce(case when o_orderkey % 3 = 0 then null else o_orderpriority end, '') as title,
+  '' as company, 'unknown' as source, []::varchar[] as tags, false as is_urgent,
+  cast(o_orderkey % 40 as integer) as experience_min, 0::bigint as crawled_at
+from orders
+""")
+def q_apply_contract(spark, d):
+    from postlake.sources.contract import apply_contract
+    o = table(spark, d, "orders")
+    partial = o.select(
+        F.when(F.col("o_orderkey") % 4 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("J"), F.col("o_orderkey").cast("string"))).alias("job_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("title"),
+        (F.col("o_orderkey") % 40).cast("string").alias("experience_min"))
+    return apply_contract(partial).select("job_id", "title", "company", "source", "tags", "is_urgent",
+                                          "experience_min", "crawled_at")
+
+
+@query("a1_scan_bronze_mixed_files", """
+select 'J' || o_orderkey as job_id, o_orderpriority as title, cast(o_totalprice as double) as salary_min,
+  case when o_orderstatus = 'O' then null else cast(o_custkey as double) end as salary_max,
+  [] :: varchar[] as tags
+from orders
+""")
+def q_scan_bronze(spark, d):
+    """Three batches of one table written with different physical types, read back by contract."""
+    from postlake.sources.bronze import scan_bronze, write_bronze
+    from postlake.sources.contract import posting_contract
+    o = table(spark, d, "orders")
+    root = _shared_dir(spark, "bronze")
+    base = [F.concat(F.lit("J"), F.col("o_orderkey").cast("string")).alias("job_id"),
+            F.col("o_orderpriority").alias("title")]
+    # batch F: integer-valued prices as bigint; batch O: no salary_max column; batch P: doubles
+    write_bronze(o.where("o_orderstatus = 'F'").select(
+        *base, F.col("o_totalprice").alias("salary_min"), F.col("o_custkey").alias("salary_max"),
+        F.array().cast("array<int>").alias("tags")), root, "run_f")
+    write_bronze(o.where("o_orderstatus = 'O'").select(
+        *base, F.col("o_totalprice").cast("string").alias("salary_min")), root, "run_o")
+    write_bronze(o.where("o_orderstatus = 'P'").select(
+        *base, F.col("o_totalprice").alias("salary_min"), F.col("o_custkey").cast("double").alias("salary_max")),
+        root, "run_p")
+    stg = scan_bronze(spark, root, posting_contract())
+    return stg.select("job_id", "title", "salary_min", "salary_max", "tags")
+
+
+@query("a9_keyed_records", """
+select 'J' || o_orderkey as key, o_orderpriority as title_in_value from orders
+""")
+def q_keyed(spark, d):
+    from postlake.sources.stream_io import keyed_records
+    o = table(spark, d, "orders").select(
+        F.concat(F.lit("J"), F.col("o_orderkey").cast("string")).alias("job_id"),
+        F.col("o_orderpriority").alias("title"), "o_totalprice")
+    kv = keyed_records(o, "job_id")
+    return kv.select("key", F.get_json_object("value", "$.title").alias("title_in_value"))
