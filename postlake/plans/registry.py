@@ -881,3 +881,310 @@ def q_keyed(spark, d):
         F.col("o_orderpriority").alias("title"), "o_totalprice")
     kv = keyed_records(o, "job_id")
     return kv.select("key", F.get_json_object("value", "$.title").alias("title_in_value"))
+
+
+# ------------------------------------------------------------------ 2G checks
+
+@query("g1_accepted_range", """
+select * from orders where not (o_totalprice >= 1000.0) or not (o_totalprice <= 400000.0)
+""")
+def q_accepted_range(spark, d):
+    return C.accepted_range(table(spark, d, "orders"), "o_totalprice", 1000.0, 400000.0).rows
+
+
+@query("g1_accepted_range_exclusive_column_bound", """
+select * from lineitem where not (l_discount > 0.0) or not (l_discount < l_tax)
+""")
+def q_accepted_range_col(spark, d):
+    return C.accepted_range(table(spark, d, "lineitem"), "l_discount", 0.0, F.col("l_tax"),
+                            inclusive=False).rows
+
+
+@query("g2_at_least_one", """
+select user_id, count(case when value > 480 then value end) as filler_column
+from events group by user_id having count(case when value > 480 then value end) = 0
+""")
+def q_at_least_one(spark, d):
+    ev = table(spark, d, "events").withColumn("big_value", F.when(F.col("value") > 480, F.col("value")))
+    return C.at_least_one(ev, "big_value", ["user_id"]).rows
+
+
+@query("g3_cardinality_equality", """
+with a as (select o_custkey, count(*) as num_rows from orders group by o_custkey),
+b as (select c_custkey as o_custkey, count(*) as num_rows from customer group by c_custkey)
+(select * from a except select * from b) union all (select * from b except select * from a)
+""")
+def q_cardinality(spark, d):
+    return C.cardinality_equality(table(spark, d, "orders"), "o_custkey",
+                                  table(spark, d, "customer"), "c_custkey").rows
+
+
+@query("g4_equal_rowcount", """
+with a as (select o_orderstatus as status, count(*) as count_a from orders group by 1),
+b as (select l_linestatus as status, count(*) as count_b from lineitem group by 1)
+select a.status as status_a, b.status as status_b, count_a, count_b,
+  abs(coalesce(count_a, 0) - coalesce(count_b, 0)) as diff_count
+from a full join b on a.status is not distinct from b.status
+""")
+def q_equal_rowcount(spark, d):
+    a = table(spark, d, "orders").select(F.col("o_orderstatus").alias("status"))
+    b = table(spark, d, "lineitem").select(F.col("l_linestatus").alias("status"))
+    return C.equal_rowcount(a, b, ["status"]).rows
+
+
+@query("g5_equality", """
+(select n_nationkey, n_name, n_regionkey, 'a_minus_b' as which_diff from
+   (select n_nationkey, n_name, n_regionkey from nation except select n_nationkey, n_name, n_regionkey from nation where n_regionkey <> 2))
+union all
+(select n_nationkey, n_name, n_regionkey, 'b_minus_a' from
+   (select n_nationkey, n_name, n_regionkey from nation where n_regionkey <> 2 except select n_nationkey, n_name, n_regionkey from nation))
+""")
+def q_equality(spark, d):
+    n = table(spark, d, "nation")
+    return C.equality(n, n.where("n_regionkey <> 2")).rows
+
+
+@query("g5_equality_orders_vs_latest", """
+select o_orderkey, o_custkey, 'a_minus_b' as which_diff from (
+  select o_orderkey, o_custkey from orders except
+  select o_orderkey, o_custkey from (select *, row_number() over (partition by o_custkey
+     order by o_orderdate desc, o_orderkey desc) rn from orders) where rn = 1)
+""")
+def q_equality_latest(spark, d):
+    o = table(spark, d, "orders")
+    latest = q_latest_order(spark, d)
+    return C.equality(o, latest, ["o_orderkey", "o_custkey"]).rows
+
+
+@query("g6_expression_is_true", """
+select * from lineitem where not (l_extendedprice > 0 and l_discount <= 0.08)
+""")
+def q_expression(spark, d):
+    return C.expression_is_true(table(spark, d, "lineitem"), "l_extendedprice > 0 and l_discount <= 0.08").rows
+
+
+@query("g7_fewer_rows_than", """
+with a as (select s_nationkey as nationkey, count(*) as count_our_model from supplier group by 1),
+b as (select c_nationkey as nationkey, count(*) as count_comparison_model from customer group by 1),
+j as (select a.nationkey as nationkey_a, b.nationkey as nationkey_b,
+        count_our_model, count_comparison_model from a full join b on a.nationkey is not distinct from b.nationkey)
+select *, case when coalesce(count_our_model, 0) > coalesce(count_comparison_model, 0)
+               then coalesce(count_our_model, 0) - coalesce(count_comparison_model, 0)
+               when coalesce(count_our_model, 0) = coalesce(count_comparison_model, 0) then 1 else 0 end
+          as row_count_delta
+from j
+""")
+def q_fewer_rows(spark, d):
+    a = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nationkey"))
+    b = table(spark, d, "customer").select(F.col("c_nationkey").alias("nationkey"))
+    return C.fewer_rows_than(a, b, ["nationkey"]).rows
+
+
+RANGES_SQL = """
+with r as (select user_id, ts as lower_bound, ts + to_minutes(cast(floor(value / 8) as bigint)) as upper_bound
+           from events),
+w as (select user_id as partition_by_col, lower_bound, upper_bound,
+        lead(lower_bound) over (partition by user_id order by lower_bound nulls last, upper_bound nulls last)
+          as next_lower_bound,
+        row_number() over (partition by user_id order by lower_bound desc nulls first, upper_bound desc nulls first) = 1
+          as is_last_record
+      from r),
+c as (select *, coalesce(lower_bound < upper_bound, false) as lower_bound_less_than_upper_bound,
+        coalesce(upper_bound <= next_lower_bound, is_last_record, false)
+          as upper_bound_less_than_or_equal_to_next_lower_bound from w)
+select * from c where not (lower_bound_less_than_upper_bound and upper_bound_less_than_or_equal_to_next_lower_bound)
+"""
+
+
+@query("g8_mutually_exclusive_ranges", RANGES_SQL)
+def q_ranges(spark, d):
+    ev = table(spark, d, "events")
+    r = ev.select("user_id", F.col("ts").alias("lower_bound"),
+                  F.timestamp_add("MINUTE", F.floor(F.col("value") / 8).cast("bigint"), F.col("ts")).alias("upper_bound"))
+    return C.mutually_exclusive_ranges(r, "lower_bound", "upper_bound", ["user_id"]).rows
+
+
+@query("g8_mutually_exclusive_ranges_global", """
+with r as (select l_orderkey * 100 + l_linenumber * 10 as lo,
+                  l_orderkey * 100 + l_linenumber * 10 + cast(floor(l_quantity / 4) as bigint) as hi from lineitem),
+w as (select lo as lower_bound, hi as upper_bound,
+        lead(lo) over (order by lo nulls last, hi nulls last) as next_lower_bound,
+        row_number() over (order by lo desc nulls first, hi desc nulls first) = 1 as is_last_record from r),
+c as (select *, coalesce(lower_bound < upper_bound, false) as lower_bound_less_than_upper_bound,
+        coalesce(upper_bound = next_lower_bound, is_last_record, false)
+          as upper_bound_equal_to_next_lower_bound from w)
+select * from c where not (lower_bound_less_than_upper_bound and upper_bound_equal_to_next_lower_bound)
+""")
+def q_ranges_global(spark, d):
+    li = table(spark, d, "lineitem")
+    lo = F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10
+    r = li.select(lo.alias("lo"), (lo + F.floor(F.col("l_quantity") / 4).cast("bigint")).alias("hi"))
+    return C.mutually_exclusive_ranges(r, "lo", "hi", gaps="not_allowed").rows
+
+
+@query("g9_not_accepted_values", """
+select distinct o_orderpriority as value_field from orders where o_orderpriority in ('1-URGENT', '5-LOW', '9-NONE')
+""")
+def q_not_accepted(spark, d):
+    return C.not_accepted_values(table(spark, d, "orders"), "o_orderpriority", ["1-URGENT", "5-LOW", "9-NONE"]).rows
+
+
+@query("g10_not_constant", """
+select l_orderkey, count(distinct l_returnflag) as filler_column from lineitem group by l_orderkey
+having count(distinct l_returnflag) = 1
+""")
+def q_not_constant(spark, d):
+    return C.not_constant(table(spark, d, "lineitem"), "l_returnflag", ["l_orderkey"]).rows
+
+
+@query("g11_not_empty_string", """
+select trim(case when c_custkey % 9 = 0 then '  ' else c_mktsegment end) as segment
+from customer where trim(case when c_custkey % 9 = 0 then '  ' else c_mktsegment end) = ''
+""")
+def q_not_empty(spark, d):
+    c = table(spark, d, "customer").select(
+        F.when(F.col("c_custkey") % 9 == 0, F.lit("  ")).otherwise(F.col("c_mktsegment")).alias("segment"))
+    return C.not_empty_string(c, "segment").rows
+
+
+@query("g12_not_null_proportion", """
+select event_type, cast(sum(case when value > 50 then 1 else 0 end) / cast(count(*) as double) as double)
+  as not_null_proportion
+from events group by event_type
+having sum(case when value > 50 then 1 else 0 end) / cast(count(*) as double) < 0.95
+""")
+def q_not_null_prop(spark, d):
+    ev = table(spark, d, "events").withColumn("v", F.when(F.col("value") > 50, F.col("value")))
+    return C.not_null_proportion(ev, "v", at_least=0.95, group_by=["event_type"]).rows
+
+
+@query("g13_relationships_where", """
+select l.id, null::bigint as right_id from
+  (select o_custkey as id from orders where o_custkey is not null and o_orderstatus <> 'P') l
+  left join (select c_custkey as id from customer where c_custkey is not null and c_nationkey < 20) r
+  on l.id = r.id where r.id is null
+""")
+def q_relationships(spark, d):
+    return C.relationships_where(table(spark, d, "orders"), "o_custkey", table(spark, d, "customer"),
+                                 "c_custkey", from_condition="o_orderstatus <> 'P'",
+                                 to_condition="c_nationkey < 20").rows
+
+
+@query("g14_recency", """
+select o_orderpriority, max(o_orderdate) as most_recent,
+  timestamp '2001-09-01 00:00:00' - interval 30 day as threshold
+from orders where o_orderstatus <> 'F' group by o_orderpriority
+having max(o_orderdate) < timestamp '2001-09-01 00:00:00' - interval 30 day
+""")
+def q_recency(spark, d):
+    o = table(spark, d, "orders").where("o_orderstatus <> 'F'")
+    return C.recency(o, "o_orderdate", "day", 30, group_by=["o_orderpriority"],
+                     now=dt.datetime(2001, 9, 1)).rows
+
+
+@query("g14_recency_date_only", """
+select cast(max(l_shipdate) as date) as most_recent, cast(date '2003-01-01' - interval 1 year as date) as threshold
+from lineitem having cast(max(l_shipdate) as date) < cast(date '2003-01-01' - interval 1 year as date)
+""")
+def q_recency_date(spark, d):
+    return C.recency(table(spark, d, "lineitem"), "l_shipdate", "year", 1, ignore_time_component=True,
+                     now=dt.datetime(2003, 1, 1)).rows
+
+
+@query("g15_sequential_values", """
+select user_id, event_id, previous_event_id from (
+  select user_id, event_id, lag(event_id) over (partition by user_id order by event_id nulls last) as previous_event_id
+  from events) where not (event_id = previous_event_id + 1)
+""")
+def q_sequential(spark, d):
+    return C.sequential_values(table(spark, d, "events"), "event_id", 1, group_by=["user_id"]).rows
+
+
+@query("g15_sequential_dates_global", """
+select o_orderdate, previous_o_orderdate from (
+  select o_orderdate, lag(o_orderdate) over (order by o_orderdate nulls last) as previous_o_orderdate
+  from (select distinct o_orderdate from orders))
+where not (cast(o_orderdate as timestamp) = cast(previous_o_orderdate + interval 1 day as timestamp))
+""")
+def q_sequential_dates(spark, d):
+    days = table(spark, d, "orders").select("o_orderdate").distinct()
+    return C.sequential_values(days, "o_orderdate", 1, datepart="day").rows
+
+
+@query("g16_unique_combination", """
+select l_orderkey, l_returnflag from lineitem group by l_orderkey, l_returnflag having count(*) > 1
+""")
+def q_unique_combo(spark, d):
+    return C.unique_combination(table(spark, d, "lineitem"), ["l_orderkey", "l_returnflag"]).rows
+
+
+@query("g17_unique", """
+select o_custkey as unique_field, count(*) as n_records from orders where o_custkey is not null
+group by o_custkey having count(*) > 1
+""")
+def q_unique(spark, d):
+    return C.unique(table(spark, d, "orders"), "o_custkey").rows
+
+
+@query("g18_not_null", """
+select nullif(event_type, 'view') as event_type from events where nullif(event_type, 'view') is null
+""")
+def q_not_null(spark, d):
+    ev = table(spark, d, "events").select(F.nullif(F.col("event_type"), F.lit("view")).alias("event_type"))
+    return C.not_null(ev, "event_type").rows
+
+
+@query("g19_accepted_values", """
+select event_type as value_field, count(*) as n_records from events group by event_type
+having event_type not in ('click', 'view')
+""")
+def q_accepted(spark, d):
+    return C.accepted_values(table(spark, d, "events"), "event_type", ["click", "view"]).rows
+
+
+@query("g20_assert_equal", """
+select * from lineitem where l_quantity != cast(l_linenumber as double)
+""")
+def q_assert_equal(spark, d):
+    li = table(spark, d, "lineitem")
+    return C.assert_equal(li, "l_quantity", "l_linenumber").rows
+
+
+@query("g21_columns_match", """
+with have as (select lower(column_name) as actual_column from (describe customer)),
+want as (select unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_phone']) as expected_column)
+select * from have full join want on actual_column = expected_column
+where actual_column is null or expected_column is null
+""")
+def q_columns_match(spark, d):
+    return C.columns_match(table(spark, d, "customer"), ["C_CUSTKEY", "c_name", "c_nationkey", "c_phone"]).rows
+
+
+@query("g22_check_suite", """
+select 'unique_o_custkey' as check_name, count(*) as failures, count(*) <> 0 as should_warn, count(*) <> 0 as should_error
+  from (select o_custkey from orders group by o_custkey having count(*) > 1)
+union all
+select 'not_null_o_orderkey', count(*), count(*) <> 0, count(*) <> 0 from orders where o_orderkey is null
+union all
+select 'accepted_values_o_orderstatus', count(*), count(*) <> 0, count(*) <> 0
+  from (select o_orderstatus from orders group by 1 having o_orderstatus not in ('F', 'O'))
+union all
+select 'equal_rowcount', sum(abs(coalesce(a, 0) - coalesce(b, 0))),
+  sum(abs(coalesce(a, 0) - coalesce(b, 0))) <> 0, sum(abs(coalesce(a, 0) - coalesce(b, 0))) > 100000
+  from (select count(*) as a, (select count(*) from lineitem) as b from orders)
+union all
+select 'equality', count(*) + coalesce(abs(sum(case when w = 'a' then 1 else 0 end) - sum(case when w = 'b' then 1 else 0 end)), 0),
+  true, false
+  from (select 'a' as w from (select * from region except select * from region where r_regionkey > 0)
+        union all select 'b' from (select * from region where r_regionkey > 0 except select * from region))
+""")
+def q_check_suite(spark, d):
+    o, li, r = table(spark, d, "orders"), table(spark, d, "lineitem"), table(spark, d, "region")
+    uq = C.unique(o, "o_custkey")
+    uq.name = "unique_o_custkey"
+    nn = C.not_null(o, "o_orderkey")
+    nn.name = "not_null_o_orderkey"
+    av = C.accepted_values(o, "o_orderstatus", ["F", "O"])
+    av.name = "accepted_values_o_orderstatus"
+    return C.run_checks([uq, nn, av, (C.equal_rowcount(o, li), "!=0", ">100000"),
+                         (C.equality(r, r.where("r_regionkey > 0")), ">=0", "<0")])
