@@ -1188,3 +1188,178 @@ def q_check_suite(spark, d):
     av.name = "accepted_values_o_orderstatus"
     return C.run_checks([uq, nn, av, (C.equal_rowcount(o, li), "!=0", ">100000"),
                          (C.equality(r, r.where("r_regionkey > 0")), ">=0", "<0")])
+
+
+# ------------------------------------------------------------------ 2I pages
+
+NAV_RULES = {"title": {"selector": "a", "attribute": "text"},
+             "url": {"selector": "a", "attribute": "href"}}
+
+NAV_ITEMS_SQL = r"""
+with p as (select page_id, url as page_url, regexp_extract(url, '^(https?://[^/?#]+)', 1) as base,
+             regexp_extract_all(html, '(?s)<li\b[^>]*>.*?</li>') as items from pages),
+i as (select page_id, page_url, base, generate_subscripts(items, 1) - 1 as item_pos, unnest(items) as item from p),
+a as (select *, nullif(regexp_extract(item, '(?s)<a\b[^>]*>.*?</a>', 0), '') as a_el from i),
+t as (select *,
+  nullif(trim(replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace(a_el, '(?is)<script\b[^>]*>.*?</script>', '', 'g'),
+                                  '(?is)<style\b[^>]*>.*?</style>', '', 'g'), '\s*<[^>]*>\s*', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')), '') as title,
+  case when regexp_matches(a_el, '^<[^>]*?\bhref="') then regexp_extract(a_el, '^<[^>]*?\bhref="([^"]*)"', 1) end
+    as href
+  from a)
+select page_id, page_url, item_pos, title,
+  case when starts_with(href, '/') then base || href else href end as url
+from t
+"""
+
+
+def _nav_items(spark, d):
+    pages = table(spark, d, "pages").withColumnRenamed("url", "page_url")
+    base = F.regexp_extract("page_url", r"^(https?://[^/?#]+)", 1)
+    return extract_items(pages, "li", NAV_RULES, keep=("page_id", "page_url"), base_url=base)
+
+
+@query("i1_extract_nav_items", NAV_ITEMS_SQL)
+def q_extract_items(spark, d):
+    return _nav_items(spark, d)
+
+
+@query("i2_build_postings_from_pages", f"""
+with it as ({NAV_ITEMS_SQL}),
+s as (select *, split_part(split_part(replace(replace(replace(page_url, 'android-app://', ''), 'http://', ''),
+        'https://', ''), '/', 1), '?', 1) as source, 1700000000 + page_id * 60 as crawled_at from it)
+select case when url is not null and url <> '' then sha256(rtrim(split_part(split_part(url, '?', 1), '#', 1), '/'))
+            else sha256(concat_ws('|', source, coalesce(title, ''), cast(crawled_at as varchar))) end as job_id,
+  coalesce(title, '') as title, url, '' as company, source, crawled_at, true as deal_salary,
+  true as experience_not_mentioned, false as is_urgent, []::varchar[] as tags
+from s
+""")
+def q_build_postings(spark, d):
+    items = _nav_items(spark, d)
+    recs = build_postings(items, source=url_host("page_url"),
+                          crawled_at=F.lit(1700000000) + F.col("page_id") * 60)
+    return recs.select("job_id", "title", "url", "company", "source", "crawled_at", "deal_salary",
+                       "experience_not_mentioned", "is_urgent", "tags")
+
+
+@query("i3_crawl_audit", """
+with src as (select conv_id as source, turn as page, role as item_id from conversations),
+fs as (select source, page, count(*) as new_ids from
+         (select source, item_id, min(page) as page from src group by 1, 2) group by 1, 2),
+pp as (select source, page, count(*) as n_items, array_to_string(list_sort(list(item_id)), '|') as fingerprint
+       from src group by 1, 2),
+pg as (select pp.*, coalesce(fs.new_ids, 0) as new_ids from pp left join fs using (source, page)),
+s1 as (select *, 1.0 - new_ids / n_items as redundancy,
+         max(n_items) over (partition by source order by page rows between unbounded preceding and current row)
+           as max_items,
+         lag(fingerprint) over (partition by source order by page) as prev_fp,
+         row_number() over (partition by source order by page) as idx from pg),
+s2 as (select *, (max_items >= 15 and n_items <= max_items * 0.6) as small,
+         coalesce(fingerprint = prev_fp, false) as identical from s1),
+s3 as (select *,
+         idx - coalesce(max(case when not small then idx end) over (partition by source order by page
+           rows between unbounded preceding and current row), 0) as small_run,
+         idx - coalesce(max(case when not identical then idx end) over (partition by source order by page
+           rows between unbounded preceding and current row), 0) as identical_run from s2),
+s4 as (select *, case when n_items = 0 then 'empty' when redundancy > 0.5 then 'redundant'
+                      when small_run >= 2 then 'small_pages' when new_ids = 0 then 'no_new'
+                      when identical_run >= 2 then 'identical_pages' end as stop_reason from s3),
+st as (select source, min(page) as sp from s4 where stop_reason is not null group by 1)
+select source, page, n_items, new_ids, redundancy, max_items, small_run, identical_run, stop_reason,
+  coalesce(page = sp, false) as first_stop
+from s4 left join st using (source)
+""")
+def q_crawl_audit(spark, d):
+    return crawl_audit(table(spark, d, "conversations"), "conv_id", "turn", "role")
+
+
+@query("i4_medallion_checks", f"""
+with stg as ({POSTINGS_SQL}),
+dj as ({POSTING_LAYER_SQL}),
+dc as (select distinct md5('company_' || coalesce(company, 'unknown')) as company_id,
+         coalesce(company, 'Unknown') as company_name from dj)
+select 'not_null_job_id' as check_name, count(*) as failures, count(*) <> 0 as should_warn,
+  count(*) <> 0 as should_error from stg where job_id is null
+union all select 'not_null_source', count(*), count(*) <> 0, count(*) <> 0 from stg where source is null
+union all select 'accepted_values_source', count(*), count(*) <> 0, count(*) <> 0
+  from (select source from stg group by source having source not in ('topcv', 'topdev'))
+union all select 'not_null_crawled_at', count(*), count(*) <> 0, count(*) <> 0 from stg where crawled_at is null
+union all select 'unique_job_id', count(*), count(*) <> 0, count(*) <> 0
+  from (select job_id from dj where job_id is not null group by job_id having count(*) > 1)
+union all select 'not_null_job_id', count(*), count(*) <> 0, count(*) <> 0 from dj where job_id is null
+union all select 'unique_company_id', count(*), count(*) <> 0, count(*) <> 0
+  from (select company_id from dc where company_id is not null group by company_id having count(*) > 1)
+union all select 'not_null_company_id', count(*), count(*) <> 0, count(*) <> 0 from dc where company_id is null
+""")
+def q_medallion(spark, d):
+    """Bronze written from posting-shaped rows, then staging → dedup → marts → check suite."""
+    from postlake.plans.medallion import run_medallion
+    from postlake.sources.bronze import write_bronze
+    root = _shared_dir(spark, "medallion-bronze")
+    raw = _as_postings(spark, d)
+    write_bronze(raw.where("o_orderkey % 2 = 0").drop("o_orderkey"), root, "run_even")
+    write_bronze(raw.where("o_orderkey % 2 = 1").drop("o_orderkey"), root, "run_odd")
+    out = run_medallion(spark, root, out_root=_shared_dir(spark, "medallion-out"))
+    return out["checks"]
+
+
+# ------------------------------------------------------------------ 2H streaming
+
+def _write_messages(spark, d) -> str:
+    """JSON message lines from posting-shaped rows, plus one undecodable line per pending order."""
+    src = _shared_dir(spark, "messages")
+    raw = _as_postings(spark, d)
+    raw.drop("o_orderkey").write.json(src + "/good")
+    o = table(spark, d, "orders").where("o_orderstatus = 'P'")
+    o.select(F.concat(F.lit("broken-"), F.col("o_orderkey").cast("string")).alias("value")) \
+        .write.text(src + "/bad")
+    return src
+
+
+def _ingest(spark, d):
+    from postlake.sources.stream_io import read_stream
+    from postlake.streaming.ingest import ingest_stream
+    src = _write_messages(spark, d)
+    root, bad, ckpt = (_shared_dir(spark, n) for n in ("ingest-bronze", "ingest-quarantine", "ingest-ckpt"))
+    stream = read_stream(spark, "json", {"recursiveFileLookup": "true", "maxFilesPerTrigger": "4"}, path=src)
+    q = ingest_stream(stream, root, ckpt, quarantine=bad, run_prefix="h1", available_now=True)
+    q.awaitTermination()
+    return root, bad
+
+
+@query("h1_ingest_stream", f"""
+select job_id, title, coalesce(company, '') as company, source, crawled_at from ({POSTINGS_SQL})
+""")
+def q_ingest(spark, d):
+    """Messages → file stream → decode → contract → bronze per micro-batch → scan back."""
+    from postlake.sources.bronze import scan_bronze
+    from postlake.sources.contract import posting_contract
+    root, _ = _ingest(spark, d)
+    return scan_bronze(spark, root, posting_contract()).select("job_id", "title", "company", "source", "crawled_at")
+
+
+@query("h3_quarantine_bad_records", """
+select 'broken-' || o_orderkey as _raw from orders where o_orderstatus = 'P'
+""")
+def q_quarantine(spark, d):
+    from postlake.sources.bronze import scan_bronze
+    _, bad = _ingest(spark, d)
+    return scan_bronze(spark, bad).select("_raw")
+
+
+@query("h5_dedup_stream", """
+select distinct user_id from events
+""")
+def q_dedup_stream(spark, d):
+    """First sighting per user id in an event stream (watermark-bounded state), one batch."""
+    from postlake.streaming.dedup import dedup_stream
+    ev_schema = table(spark, d, "events").schema
+    stream = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
+              .parquet(d))
+    firsts = dedup_stream(stream, "user_id", "ts", "1 hour").select("user_id", "ts")
+    out, ckpt = _shared_dir(spark, "dedup-out"), _shared_dir(spark, "dedup-ckpt")
+    q = (firsts.writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.schema("user_id bigint, ts timestamp").parquet(out).select("user_id")
