@@ -1,7 +1,9 @@
 """Salary and experience text → typed columns (C1, C2), as native expressions.
 
-Everything here is a ``Column`` expression: the parse runs inside whole-stage
-codegen on the executors, with no Python in the hot path.
+Everything here is a ``Column`` expression: the parse runs as Catalyst
+expressions on the executors, with no Python in the hot path. The lower-cased
+text and the number matches are bound once per row (see ``let``) instead of
+being recomputed in every branch.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postlake.functions._util import as_col, contains_any
+from postlake.functions._util import as_col, contains_any, let
 
 # The word lists and patterns of the record contract's parsers
 # (all word tests are substring tests on the lower-cased text).
@@ -38,31 +40,31 @@ def parse_salary(col, usd_rate: float = DEFAULT_USD_RATE) -> Column:
     only after a "from" word, max only after an "up to" word, else both.
     """
     raw = as_col(col)
-    low = F.lower(raw)
-    s = F.replace(low, F.lit(","), F.lit("."))
-    nums = F.regexp_extract_all(s, F.lit(SALARY_NUMBER), 1)
-    n = F.size(nums)
-    mult = (F.when(s.contains(SALARY_MILLION_WORD), F.lit(1_000_000.0))
-             .when(contains_any(s, SALARY_USD_MARKS), F.lit(float(usd_rate)))
-             .otherwise(F.lit(1.0)))
-    first = F.try_element_at(nums, F.lit(1)).cast("double") * mult
-    second = F.try_element_at(nums, F.lit(2)).cast("double") * mult
-    deal = (raw.isNull() | (raw == "") | contains_any(low, SALARY_DEAL_WORDS) | (n == 0))
-    has_min_word = contains_any(s, SALARY_MIN_WORDS)
-    has_max_word = contains_any(s, SALARY_MAX_WORDS)
-    smin = (F.when(deal, None)
-             .when(n >= 2, first)
-             .when(has_min_word, first)
-             .when(has_max_word, None)
-             .otherwise(first))
-    smax = (F.when(deal, None)
-             .when(n >= 2, second)
-             .when(has_min_word, None)
-             .when(has_max_word, first)
-             .otherwise(first))
-    return F.struct(smin.cast("double").alias("salary_min"),
-                    smax.cast("double").alias("salary_max"),
-                    F.coalesce(deal, F.lit(True)).alias("deal_salary"))
+
+    def with_low(low):
+        s = F.replace(low, F.lit(","), F.lit("."))
+
+        def with_nums(nums):
+            n = F.size(nums)
+            mult = (F.when(s.contains(SALARY_MILLION_WORD), F.lit(1_000_000.0))
+                     .when(contains_any(s, SALARY_USD_MARKS), F.lit(float(usd_rate)))
+                     .otherwise(F.lit(1.0)))
+            first = F.try_element_at(nums, F.lit(1)).cast("double") * mult
+            second = F.try_element_at(nums, F.lit(2)).cast("double") * mult
+            deal = (raw.isNull() | (raw == "") | contains_any(low, SALARY_DEAL_WORDS) | (n == 0))
+            has_min_word = contains_any(s, SALARY_MIN_WORDS)
+            has_max_word = contains_any(s, SALARY_MAX_WORDS)
+            smin = (F.when(deal, None).when(n >= 2, first).when(has_min_word, first)
+                     .when(has_max_word, None).otherwise(first))
+            smax = (F.when(deal, None).when(n >= 2, second).when(has_min_word, None)
+                     .when(has_max_word, first).otherwise(first))
+            return F.struct(smin.cast("double").alias("salary_min"),
+                            smax.cast("double").alias("salary_max"),
+                            F.coalesce(deal, F.lit(True)).alias("deal_salary"))
+
+        return let(F.regexp_extract_all(s, F.lit(SALARY_NUMBER), 1), with_nums)
+
+    return let(F.lower(raw), with_low)
 
 
 def parse_experience(col) -> Column:
@@ -73,18 +75,23 @@ def parse_experience(col) -> Column:
     null); the one/two-number rule is the same as for salaries.
     """
     raw = as_col(col)
-    s = F.lower(raw)
-    nums = F.regexp_extract_all(s, F.lit(EXPERIENCE_NUMBER), 1)
-    n = F.size(nums)
-    first = F.try_element_at(nums, F.lit(1)).try_cast("int")
-    second = F.try_element_at(nums, F.lit(2)).try_cast("int")
-    none = raw.isNull() | (raw == "") | contains_any(s, EXPERIENCE_NONE_WORDS) | (n == 0)
-    has_min_word = contains_any(s, EXPERIENCE_MIN_WORDS)
-    has_max_word = contains_any(s, EXPERIENCE_MAX_WORDS)
-    emin = (F.when(none, None).when(n >= 2, first).when(has_min_word, first)
-             .when(has_max_word, None).otherwise(first))
-    emax = (F.when(none, None).when(n >= 2, second).when(has_min_word, None)
-             .when(has_max_word, first).otherwise(first))
-    return F.struct(emin.cast("int").alias("experience_min"),
-                    emax.cast("int").alias("experience_max"),
-                    F.coalesce(none, F.lit(True)).alias("experience_not_mentioned"))
+
+    def with_low(s):
+        def with_nums(nums):
+            n = F.size(nums)
+            first = F.try_element_at(nums, F.lit(1)).try_cast("int")
+            second = F.try_element_at(nums, F.lit(2)).try_cast("int")
+            none = raw.isNull() | (raw == "") | contains_any(s, EXPERIENCE_NONE_WORDS) | (n == 0)
+            has_min_word = contains_any(s, EXPERIENCE_MIN_WORDS)
+            has_max_word = contains_any(s, EXPERIENCE_MAX_WORDS)
+            emin = (F.when(none, None).when(n >= 2, first).when(has_min_word, first)
+                     .when(has_max_word, None).otherwise(first))
+            emax = (F.when(none, None).when(n >= 2, second).when(has_min_word, None)
+                     .when(has_max_word, first).otherwise(first))
+            return F.struct(emin.cast("int").alias("experience_min"),
+                            emax.cast("int").alias("experience_max"),
+                            F.coalesce(none, F.lit(True)).alias("experience_not_mentioned"))
+
+        return let(F.regexp_extract_all(s, F.lit(EXPERIENCE_NUMBER), 1), with_nums)
+
+    return let(F.lower(raw), with_low)

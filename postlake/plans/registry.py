@@ -30,7 +30,7 @@ from postlake.operators.columns import cast_columns, group_by_first_n, nullcheck
 from postlake.operators.relational import union_by_pattern, union_relations
 from postlake.operators.reshape import (date_spine, deduplicate, generate_series, pivot, unpivot)
 from postlake.plans.pages import build_postings, crawl_audit, extract_items
-from postlake.session import ensure_checkpoint_dir
+from postlake.session import ensure_checkpoint_dir, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,8 +45,10 @@ def query(key: str, oracle: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = False) -> DataFrame:
+    """Read a driver table; ``cpu_heavy`` ensures enough partitions for row-wise CPU work."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if cpu_heavy else df
 
 
 def _shared_dir(spark: SparkSession, name: str) -> str:
@@ -161,7 +163,7 @@ select l_orderkey, l_linenumber, salary_text,
 from f
 """)
 def q_parse_salary(spark, d):
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", cpu_heavy=True)
     s = li.select("l_orderkey", "l_linenumber", _salary_text(li).alias("salary_text"))
     return s.select("l_orderkey", "l_linenumber", "salary_text",
                     parse_salary("salary_text").alias("p")).select(
@@ -1215,7 +1217,7 @@ from t
 
 
 def _nav_items(spark, d):
-    pages = table(spark, d, "pages").withColumnRenamed("url", "page_url")
+    pages = table(spark, d, "pages", cpu_heavy=True).withColumnRenamed("url", "page_url")
     base = F.regexp_extract("page_url", r"^(https?://[^/?#]+)", 1)
     return extract_items(pages, "li", NAV_RULES, keep=("page_id", "page_url"), base_url=base)
 
