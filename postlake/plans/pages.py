@@ -95,6 +95,9 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     whose element is absent is null (``exists``: false). ``item_pos`` is the
     item's position on its page.
     """
+    clash = set(keep) & set(fields)
+    if clash:
+        raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
     html = F.col(html_col)
     arrays = [F.regexp_extract_all(html, F.lit("(?s)" + _simple_regex(alt)), 0)
               for alt in container.split(",")]
