@@ -8,7 +8,7 @@ being recomputed in every branch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions._util import as_col, contains_any, let
@@ -29,6 +29,39 @@ EXPERIENCE_MAX_WORDS = ["dưới", "tới", "đến", "max", "<"]
 EXPERIENCE_NUMBER = r"(\d+)"
 
 
+def _salary_rule(raw: Column, low: Column, s: Column, nums: Column, usd_rate: float) -> list[Column]:
+    n = F.size(nums)
+    mult = (F.when(s.contains(SALARY_MILLION_WORD), F.lit(1_000_000.0))
+             .when(contains_any(s, SALARY_USD_MARKS), F.lit(float(usd_rate)))
+             .otherwise(F.lit(1.0)))
+    first = F.try_element_at(nums, F.lit(1)).cast("double") * mult
+    second = F.try_element_at(nums, F.lit(2)).cast("double") * mult
+    deal = (raw.isNull() | (raw == "") | contains_any(low, SALARY_DEAL_WORDS) | (n == 0))
+    has_min_word = contains_any(s, SALARY_MIN_WORDS)
+    has_max_word = contains_any(s, SALARY_MAX_WORDS)
+    smin = (F.when(deal, None).when(n >= 2, first).when(has_min_word, first)
+             .when(has_max_word, None).otherwise(first))
+    smax = (F.when(deal, None).when(n >= 2, second).when(has_min_word, None)
+             .when(has_max_word, first).otherwise(first))
+    return [smin.cast("double").alias("salary_min"), smax.cast("double").alias("salary_max"),
+            F.coalesce(deal, F.lit(True)).alias("deal_salary")]
+
+
+def _experience_rule(raw: Column, s: Column, nums: Column) -> list[Column]:
+    n = F.size(nums)
+    first = F.try_element_at(nums, F.lit(1)).try_cast("int")
+    second = F.try_element_at(nums, F.lit(2)).try_cast("int")
+    none = raw.isNull() | (raw == "") | contains_any(s, EXPERIENCE_NONE_WORDS) | (n == 0)
+    has_min_word = contains_any(s, EXPERIENCE_MIN_WORDS)
+    has_max_word = contains_any(s, EXPERIENCE_MAX_WORDS)
+    emin = (F.when(none, None).when(n >= 2, first).when(has_min_word, first)
+             .when(has_max_word, None).otherwise(first))
+    emax = (F.when(none, None).when(n >= 2, second).when(has_min_word, None)
+             .when(has_max_word, first).otherwise(first))
+    return [emin.cast("int").alias("experience_min"), emax.cast("int").alias("experience_max"),
+            F.coalesce(none, F.lit(True)).alias("experience_not_mentioned")]
+
+
 def parse_salary(col, usd_rate: float = DEFAULT_USD_RATE) -> Column:
     """Salary text → ``struct<salary_min double, salary_max double, deal_salary boolean>``.
 
@@ -38,31 +71,14 @@ def parse_salary(col, usd_rate: float = DEFAULT_USD_RATE) -> Column:
     Numbers are scaled by a million for ``triệu``, else by ``usd_rate`` for
     ``$``/``usd``. Two or more numbers give min and max; one number gives min
     only after a "from" word, max only after an "up to" word, else both.
+    For whole tables :func:`with_salary` is faster (staged columns).
     """
     raw = as_col(col)
 
     def with_low(low):
         s = F.replace(low, F.lit(","), F.lit("."))
-
-        def with_nums(nums):
-            n = F.size(nums)
-            mult = (F.when(s.contains(SALARY_MILLION_WORD), F.lit(1_000_000.0))
-                     .when(contains_any(s, SALARY_USD_MARKS), F.lit(float(usd_rate)))
-                     .otherwise(F.lit(1.0)))
-            first = F.try_element_at(nums, F.lit(1)).cast("double") * mult
-            second = F.try_element_at(nums, F.lit(2)).cast("double") * mult
-            deal = (raw.isNull() | (raw == "") | contains_any(low, SALARY_DEAL_WORDS) | (n == 0))
-            has_min_word = contains_any(s, SALARY_MIN_WORDS)
-            has_max_word = contains_any(s, SALARY_MAX_WORDS)
-            smin = (F.when(deal, None).when(n >= 2, first).when(has_min_word, first)
-                     .when(has_max_word, None).otherwise(first))
-            smax = (F.when(deal, None).when(n >= 2, second).when(has_min_word, None)
-                     .when(has_max_word, first).otherwise(first))
-            return F.struct(smin.cast("double").alias("salary_min"),
-                            smax.cast("double").alias("salary_max"),
-                            F.coalesce(deal, F.lit(True)).alias("deal_salary"))
-
-        return let(F.regexp_extract_all(s, F.lit(SALARY_NUMBER), 1), with_nums)
+        return let(F.regexp_extract_all(s, F.lit(SALARY_NUMBER), 1),
+                   lambda nums: F.struct(*_salary_rule(raw, low, s, nums, usd_rate)))
 
     return let(F.lower(raw), with_low)
 
@@ -73,25 +89,33 @@ def parse_experience(col) -> Column:
     Null/empty text, a "not required" word, or text without digits is "not
     mentioned". Integers are ``\\d+`` runs (a run too long for an int is
     null); the one/two-number rule is the same as for salaries.
+    For whole tables :func:`with_experience` is faster (staged columns).
     """
     raw = as_col(col)
+    return let(F.lower(raw), lambda s: let(F.regexp_extract_all(s, F.lit(EXPERIENCE_NUMBER), 1),
+                                           lambda nums: F.struct(*_experience_rule(raw, s, nums))))
 
-    def with_low(s):
-        def with_nums(nums):
-            n = F.size(nums)
-            first = F.try_element_at(nums, F.lit(1)).try_cast("int")
-            second = F.try_element_at(nums, F.lit(2)).try_cast("int")
-            none = raw.isNull() | (raw == "") | contains_any(s, EXPERIENCE_NONE_WORDS) | (n == 0)
-            has_min_word = contains_any(s, EXPERIENCE_MIN_WORDS)
-            has_max_word = contains_any(s, EXPERIENCE_MAX_WORDS)
-            emin = (F.when(none, None).when(n >= 2, first).when(has_min_word, first)
-                     .when(has_max_word, None).otherwise(first))
-            emax = (F.when(none, None).when(n >= 2, second).when(has_min_word, None)
-                     .when(has_max_word, first).otherwise(first))
-            return F.struct(emin.cast("int").alias("experience_min"),
-                            emax.cast("int").alias("experience_max"),
-                            F.coalesce(none, F.lit(True)).alias("experience_not_mentioned"))
-
-        return let(F.regexp_extract_all(s, F.lit(EXPERIENCE_NUMBER), 1), with_nums)
 
-    return let(F.lower(raw), with_low)
+def with_salary(df: DataFrame, col: str, usd_rate: float = DEFAULT_USD_RATE) -> DataFrame:
+    """Add ``salary_min, salary_max, deal_salary`` parsed from ``col`` (rules of :func:`parse_salary`).
+
+    The lower-cased text and the number matches are real intermediate
+    columns: Catalyst keeps such non-cheap producers in their own projection,
+    so each is computed once per row and the rule stays in generated code.
+    """
+    staged = (df.withColumn("_sal_low", F.lower(F.col(col)))
+                .withColumn("_sal_s", F.replace(F.col("_sal_low"), F.lit(","), F.lit(".")))
+                .withColumn("_sal_nums", F.regexp_extract_all(F.col("_sal_s"), F.lit(SALARY_NUMBER), 1)))
+    rule = _salary_rule(F.col(col), F.col("_sal_low"), F.col("_sal_s"), F.col("_sal_nums"), usd_rate)
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in ("salary_min", "salary_max", "deal_salary")]
+    return staged.select(*keep, *rule)
+
+
+def with_experience(df: DataFrame, col: str) -> DataFrame:
+    """Add ``experience_min, experience_max, experience_not_mentioned`` parsed from ``col``."""
+    staged = (df.withColumn("_exp_s", F.lower(F.col(col)))
+                .withColumn("_exp_nums", F.regexp_extract_all(F.col("_exp_s"), F.lit(EXPERIENCE_NUMBER), 1)))
+    rule = _experience_rule(F.col(col), F.col("_exp_s"), F.col("_exp_nums"))
+    drop = ("experience_min", "experience_max", "experience_not_mentioned")
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in drop]
+    return staged.select(*keep, *rule)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.keys import posting_id
-from postlake.functions.parsing import parse_experience, parse_salary
+from postlake.functions.parsing import with_experience, with_salary
 from postlake.functions.urls import absolute_url, company_from_url
 from postlake.operators.sequence import ordered_scan
 from postlake.sources.contract import apply_contract
@@ -142,16 +142,8 @@ def build_postings(items: DataFrame, source, crawled_at, usd_rate: float = 25000
         F.concat_ws("|", F.col("source"), F.coalesce(F.col("title").cast("string"), F.lit(""))
                     if "title" in base.columns else F.lit(""), F.col("crawled_at").cast("string")), 256)
     base = base.withColumn("job_id", posting_id("job_id", "url", fb))
-    sal = parse_salary("salary", usd_rate)
-    exp = parse_experience("experience")
-    base = (base.withColumn("_sal", sal).withColumn("_exp", exp)
-                .withColumn("salary_min", F.col("_sal.salary_min"))
-                .withColumn("salary_max", F.col("_sal.salary_max"))
-                .withColumn("deal_salary", F.col("_sal.deal_salary"))
-                .withColumn("experience_min", F.col("_exp.experience_min"))
-                .withColumn("experience_max", F.col("_exp.experience_max"))
-                .withColumn("experience_not_mentioned", F.col("_exp.experience_not_mentioned")))
-    return apply_contract(base.drop("_sal", "_exp"))
+    base = with_experience(with_salary(base, "salary", usd_rate), "experience")
+    return apply_contract(base)
 
 
 # Stop rules of the crawl loop.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.keys import company_key, posting_id, surrogate_key
 from postlake.functions.numeric import haversine, safe_add, safe_divide, safe_subtract, width_bucket
-from postlake.functions.parsing import parse_experience, parse_salary
+from postlake.functions.parsing import with_experience, with_salary
 from postlake.functions.text import slugify
 from postlake.functions.urls import (absolute_url, clean_url, company_from_url, url_host,
                                      url_parameter, url_path)
@@ -165,9 +165,7 @@ from f
 def q_parse_salary(spark, d):
     li = table(spark, d, "lineitem", cpu_heavy=True)
     s = li.select("l_orderkey", "l_linenumber", _salary_text(li).alias("salary_text"))
-    return s.select("l_orderkey", "l_linenumber", "salary_text",
-                    parse_salary("salary_text").alias("p")).select(
-        "l_orderkey", "l_linenumber", "salary_text", "p.salary_min", "p.salary_max", "p.deal_salary")
+    return with_salary(s, "salary_text")
 
 
 EXPERIENCE_TEXT_SQL = """
@@ -216,8 +214,7 @@ from f
 
 def _parsed_experience(spark, d):
     p = table(spark, d, "part").select("p_partkey", _experience_text().alias("experience_text"))
-    return p.select("p_partkey", "experience_text", parse_experience("experience_text").alias("e")).select(
-        "p_partkey", "experience_text", "e.experience_min", "e.experience_max", "e.experience_not_mentioned")
+    return with_experience(p, "experience_text")
 
 
 @query("c2_parse_experience", EXPERIENCE_PARSE_SQL)
@@ -612,11 +609,7 @@ def _as_postings(spark, d) -> DataFrame:
 def _staging(spark, d) -> DataFrame:
     """Contract-typed staging rows with the parsed salary/experience fields."""
     from postlake.sources.contract import apply_contract
-    raw = _as_postings(spark, d)
-    sal, exp = parse_salary("salary"), parse_experience("experience")
-    parsed = raw.select("*", sal.alias("_s"), exp.alias("_e")).select(
-        "*", "_s.salary_min", "_s.salary_max", "_s.deal_salary",
-        "_e.experience_min", "_e.experience_max", "_e.experience_not_mentioned").drop("_s", "_e")
+    parsed = with_experience(with_salary(_as_postings(spark, d), "salary"), "experience")
     return apply_contract(parsed)
 
 

@@ -104,3 +104,13 @@ def test_slugify(spark):
     vals = ["Hello World", "1st-place!!", "a -- b"]
     assert _one(spark, [(v,) for v in vals], "s string", slugify("s")) == ["hello_world", "_1st_place", "a_b"]
     assert [slugify_name(v) for v in vals] == ["hello_world", "_1st_place", "a_b"]
+
+
+def test_staged_parsers_match_column_form(spark):
+    from postlake.functions.parsing import with_experience, with_salary
+    texts = [t for t, _ in SALARY_CASES] + [t for t, _ in EXP_CASES]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    a = with_experience(with_salary(df, "s"), "s").collect()
+    b = df.select("s", parse_salary("s").alias("p"), parse_experience("s").alias("e")).select(
+        "s", "p.*", "e.*").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
