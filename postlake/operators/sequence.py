@@ -20,6 +20,14 @@ The scan here avoids that:
 Rows with equal ``keys + order`` values always land in one range, so ties
 never straddle a boundary. The caller projects ``df`` to the columns it needs
 before the scan: every input column travels through the Python pass.
+
+Why one Python pass and a checkpoint rather than windows over
+``(range id, key)``: such windows need a second full shuffle, and the range
+bounds come from a sample seeded by the RDD id, so two executions of the
+same ``repartitionByRange`` (column pruning gives each consumer its own
+exchange) may cut the ranges differently. Every consumer here reads the one
+checkpointed result of the single range shuffle, so all of them see the same
+ranges, also after an executor is lost.
 """
 
 from __future__ import annotations

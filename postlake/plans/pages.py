@@ -161,27 +161,40 @@ def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str) -
     ids first seen, in page order, on this page; ``redundancy = 1 - new/n``;
     ``max_items`` is the running maximum of ``n_items``; a page is small when
     ``max_items >= 15`` and ``n_items <= 0.6 * max_items``; ``small_run`` and
-    ``identical_run`` count consecutive small pages and pages whose sorted id
-    list equals the previous page's. ``stop_reason`` is the first rule that
-    fires (redundant, small_pages, no_new, identical_pages), else null, and
-    ``first_stop`` marks the first page of the source where one fires.
+    ``identical_run`` count consecutive small pages and pages whose id
+    multiset equals the previous page's. ``stop_reason`` is the first rule
+    that fires (empty, redundant, small_pages, no_new, identical_pages), else
+    null, and ``first_stop`` marks the first page of the source where one
+    fires.
+
+    Page identity is decided exactly without gathering any page's ids: the
+    per-(page, id) counts of each page are joined to those of the previous
+    page, and two pages are identical when both totals equal the size of the
+    multiset intersection. Running values come from the range-partitioned
+    ordered scan, so a source with most of the pages is still split.
     """
     src = items.select(F.col(source_col).alias("source"), F.col(page_col).alias("page"),
                        F.col(id_col).cast("string").alias("item_id"))
-    first_seen = (src.groupBy("source", "item_id").agg(F.min("page").alias("page"))
-                     .groupBy("source", "page").agg(F.count(F.lit(1)).alias("new_ids")))
-    per_page = (src.groupBy("source", "page")
-                   .agg(F.count(F.lit(1)).alias("n_items"),
-                        F.array_join(F.array_sort(F.collect_list("item_id")), "|").alias("fingerprint")))
+    per_id = src.groupBy("source", "page", "item_id").agg(F.count(F.lit(1)).alias("_c"))
+    first_seen = (per_id.groupBy("source", "item_id").agg(F.min("page").alias("page"))
+                        .groupBy("source", "page").agg(F.count(F.lit(1)).alias("new_ids")))
+    per_page = per_id.groupBy("source", "page").agg(F.sum("_c").alias("n_items"))
     pages = per_page.join(first_seen, ["source", "page"], "left").fillna(0, ["new_ids"])
-    s1 = ordered_scan(pages, ["source"], ["page"], prev=["fingerprint"], running_max=["n_items"])
-    flagged = s1.select(
+    s1 = ordered_scan(pages, ["source"], ["page"], prev=["page", "n_items"], running_max=["n_items"])
+    # multiset intersection of each page with the page before it
+    link = s1.select("source", "page", F.col("prev_page").alias("_prev")).where(F.col("_prev").isNotNull())
+    cur = per_id.join(link, ["source", "page"])
+    prev = per_id.select("source", F.col("page").alias("_prev"), "item_id", F.col("_c").alias("_pc"))
+    common = (cur.join(prev, ["source", "_prev", "item_id"])
+                 .groupBy("source", "page").agg(F.sum(F.least("_c", "_pc")).alias("_common")))
+    flagged = s1.join(common, ["source", "page"], "left").select(
         "source", "page", "n_items", "new_ids",
         (1.0 - F.col("new_ids") / F.col("n_items")).alias("redundancy"),
         F.col("max_n_items").cast("long").alias("max_items"),
         ((F.col("max_n_items") >= SMALL_PAGE_BASELINE)
          & (F.col("n_items") <= F.col("max_n_items") * SMALL_PAGE_SHARE)).alias("small"),
-        F.coalesce(F.col("fingerprint") == F.col("prev_fingerprint"), F.lit(False)).alias("identical"))
+        F.coalesce((F.col("prev_n_items") == F.col("n_items")) & (F.col("_common") == F.col("n_items")),
+                   F.lit(False)).alias("identical"))
     s2 = ordered_scan(flagged, ["source"], ["page"], runs=["small", "identical"])
     reason = (F.when(F.col("n_items") == 0, F.lit("empty"))
                .when(F.col("redundancy") > REDUNDANCY_LIMIT, F.lit("redundant"))

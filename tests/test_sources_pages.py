@@ -141,3 +141,15 @@ def test_crawl_audit_rules(spark):
     assert out[("s", 4)]["first_stop"] and out[("s", 5)]["small_run"] == 0
     assert out[("t", 2)]["stop_reason"] == "redundant" and out[("t", 2)]["identical_run"] == 1
     assert out[("t", 2)]["first_stop"] and not out[("t", 3)]["first_stop"]
+
+
+def test_crawl_audit_identical_pages(spark):
+    rows = []
+    for page in (1, 2, 3, 4):
+        ids = ["a", "b", "b"] if page > 1 else ["a", "b"]
+        rows += [("s", page, i) for i in ids]
+    rows += [("u", 1, "x"), ("u", 2, "x"), ("u", 2, "y")]
+    df = spark.createDataFrame(rows, "src string, page int, id string")
+    out = {(r["source"], r["page"]): r for r in crawl_audit(df, "src", "page", "id").collect()}
+    assert [out[("s", p)]["identical_run"] for p in (1, 2, 3, 4)] == [0, 0, 1, 2]
+    assert out[("u", 2)]["identical_run"] == 0
