@@ -66,18 +66,3 @@ def checkpoint(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def spread(df, min_partitions: int | None = None):
-    """Give a scan at least as many partitions as the cluster has cores.
-
-    A table stored as one large row group is read by one task; CPU-heavy
-    row-wise work on it (text parsing, HTML extraction) would then use a
-    single core. Only in that case the rows are dealt round-robin over
-    ``min_partitions`` (default: the default parallelism). A large table
-    already has more partitions than cores and is returned unchanged, so no
-    shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
