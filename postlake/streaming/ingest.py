@@ -45,13 +45,21 @@ def split_bad(df: DataFrame, contract: Contract | None = None) -> tuple[DataFram
 def ingest_batch(batch: DataFrame, batch_id: int, root: str, quarantine: str | None,
                  run_prefix: str, contract: Contract | None,
                  partition_cols: Sequence[str]) -> None:
-    """Write one micro-batch (the ``foreachBatch`` body)."""
-    good, bad = split_bad(batch, contract)
-    run_id = f"{run_prefix}_{batch_id:08d}"
-    ts = dt.datetime.now(dt.timezone.utc)
-    write_bronze(good, root, run_id, ts, partition_cols)
-    if quarantine:
-        write_bronze(bad, quarantine, run_id, ts, partition_cols)
+    """Write one micro-batch (the ``foreachBatch`` body).
+
+    The batch is decoded once and kept for its two writes (good and bad);
+    a lost cached block is recomputed from the same micro-batch offsets.
+    """
+    batch = batch.persist()
+    try:
+        good, bad = split_bad(batch, contract)
+        run_id = f"{run_prefix}_{batch_id:08d}"
+        ts = dt.datetime.now(dt.timezone.utc)
+        write_bronze(good, root, run_id, ts, partition_cols)
+        if quarantine:
+            write_bronze(bad, quarantine, run_id, ts, partition_cols)
+    finally:
+        batch.unpersist()
 
 
 def ingest_stream(stream: DataFrame, root: str, checkpoint_location: str,
