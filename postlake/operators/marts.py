@@ -75,31 +75,28 @@ def company_totals(dim: DataFrame, name_col: str = "company_name") -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram of non-null ``col`` over [min, max]: ``bucket, lo, hi, n``.
 
-    The bounds are one global aggregate (a single row, joined by broadcast);
-    the maximum falls into the last bucket. Only non-empty buckets appear.
+    The bounds are one global aggregate used as a scalar subquery; the
+    maximum falls into the last bucket. Only non-empty buckets appear.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    bounds = vals.agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    # the bounds are one row: broadcast on a constant key (bounded by construction)
-    j = vals.withColumn("_k", F.lit(1)).join(F.broadcast(bounds.withColumn("_k", F.lit(1))), "_k")
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    bucket = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
-        F.least(F.width_bucket(F.col("v"), F.col("_lo"), F.col("_hi"), F.lit(bins)), F.lit(bins)))
-    return (j.withColumn("bucket", bucket.cast("int"))
-             .groupBy("bucket")
-             .agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"),
-                  F.first("_hi").alias("_hi"))
-             .select("bucket",
-                     (F.col("_lo") + (F.col("bucket") - 1) * (F.col("_hi") - F.col("_lo")) / bins).alias("lo"),
-                     (F.col("_lo") + F.col("bucket") * (F.col("_hi") - F.col("_lo")) / bins).alias("hi"),
-                     "n"))
+    # one-row bounds, used as a scalar subquery (computed once, no join)
+    b = vals.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    lo, hi = b["lo"], b["hi"]
+    bucket = F.when(hi == lo, F.lit(1)).otherwise(
+        F.least(F.width_bucket(F.col("v"), lo, hi, F.lit(bins)), F.lit(bins)))
+    counts = vals.groupBy(bucket.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("bucket",
+                         (lo + (F.col("bucket") - 1) * (hi - lo) / bins).alias("lo"),
+                         (lo + F.col("bucket") * (hi - lo) / bins).alias("hi"),
+                         "n")
 
 
 def _join_groups(rows: DataFrame, per_group: DataFrame, group: list[str]) -> DataFrame:
-    """Attach per-group values to rows; with no group the single row is broadcast."""
+    """Attach per-group values to rows; with no group the single row becomes a scalar subquery."""
     if group:
         return rows.join(per_group, group, "inner")
-    return rows.withColumn("_k", F.lit(1)).join(F.broadcast(per_group.withColumn("_k", F.lit(1))), "_k")
+    one = per_group.select(F.struct(*per_group.columns).alias("_s")).scalar()
+    return rows.select("*", *[one[c].alias(c) for c in per_group.columns])
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
