@@ -212,13 +212,10 @@ def column_values(df: DataFrame | None, column: str, order_by: Sequence[Column]
 def single_value(df: DataFrame, default=None, default_type: str | None = None) -> DataFrame:
     """First column of the first row as a one-row frame ``value``; ``default`` when empty.
 
-    The first row comes from ``limit(1)``; with no row, the one-row default
-    frame supplies the value (a left join of a one-row frame: bounded).
+    The first row (``limit(1)``) is read as a scalar subquery; a null first
+    value stays null, only an empty input gives ``default``.
     """
-    first = df.select(F.col(df.columns[0]).alias("_v"), F.lit(1).alias("_k")).limit(1)
     typ = default_type or df.schema.fields[0].dataType.simpleString()
-    one = df.sparkSession.range(1).select(F.lit(default).cast(typ).alias("_default"),
-                                          F.lit(1).alias("_k"))
-    j = one.join(first, "_k", "left")
-    return j.select(F.when(F.col("_k").isNotNull() & first["_k"].isNull(), F.col("_default"))
-                    .otherwise(F.col("_v")).alias("value"))
+    first = df.select(F.struct(F.col(df.columns[0]).alias("v")).alias("_s")).limit(1).scalar()
+    return df.sparkSession.range(1).select(
+        F.when(first.isNull(), F.lit(default).cast(typ)).otherwise(first["v"]).alias("value"))

@@ -233,7 +233,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
         F.struct(*[F.col(c) for c in next_] or [F.lit(1).alias("_d")]).alias("_firstv"),
     )
     bnd = ends.unionByName(begins)
-    # one window per key over at most two rows per range: bounded work
+    # one window per key over at most two rows per range: bounded work (with no
+    # key this is one task over at most 2 x num_partitions rows)
     w = Window.partitionBy(*keys).orderBy(F.col(_RP), F.col("_kind")) if keys \
         else Window.partitionBy(F.lit(0)).orderBy(F.col(_RP), F.col("_kind"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
