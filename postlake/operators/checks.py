@@ -177,13 +177,18 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int,
     An empty or all-null group has a null maximum and passes. ``now``
     defaults to the current timestamp; pass a fixed value for repeatable runs.
     """
-    now_c = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    typ = dict(df.dtypes).get(field, "timestamp")
+    zone_less = typ in ("timestamp_ntz", "date")
+    if now is None:
+        now_c = F.localtimestamp() if zone_less else F.current_timestamp()
+    else:
+        now_c = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz" if zone_less else "timestamp")
     threshold = _add_interval(now_c, datepart, -interval)
     mx = F.max(F.col(field))
     if ignore_time_component:
         threshold, mx = F.to_date(threshold), F.to_date(mx)
-    else:
-        mx = mx.cast("timestamp")
+    elif typ == "date":
+        mx = mx.cast("timestamp_ntz")
     g = _src(df, where).groupBy(*group_by).agg(mx.alias("most_recent"))
     g = g.select(*group_by, "most_recent", threshold.alias("threshold"))
     return Check(f"recency_{field}", g.where(F.col("most_recent") < F.col("threshold")))
@@ -295,7 +300,8 @@ def sequential_values(df: DataFrame, col: str, interval=1, datepart: str | None
                            num_partitions=num_partitions)
     prev = F.col("prev_" + col)
     if datepart:
-        ok = F.col(col).cast("timestamp") == _add_interval(prev.cast("timestamp"), datepart, interval)
+        ts = "timestamp" if dict(src.dtypes)[col] == "timestamp" else "timestamp_ntz"
+        ok = F.col(col).cast(ts) == _add_interval(prev.cast(ts), datepart, interval)
     else:
         ok = F.col(col) == prev + _lit(interval)
     rows = scanned.where(~ok).select(*group_by, col, prev.alias(prev_name))

@@ -36,8 +36,8 @@ POSTING_LAYER_TYPES = {
     "location": "string", "experience": "string", "tags": None, "working_times": None,
     "is_urgent": "boolean", "is_highlight": "boolean", "is_flash": "boolean",
     "company_verified": "boolean", "job_description": "string", "job_requirement": "string",
-    "job_benefit": "string", "updated_at": "timestamp", "posted_at": "timestamp",
-    "deadline": "timestamp", "crawled_at": "bigint",
+    "job_benefit": "string", "updated_at": "timestamp_ntz", "posted_at": "timestamp_ntz",
+    "deadline": "timestamp_ntz", "crawled_at": "bigint",
 }
 
 
@@ -45,8 +45,9 @@ def latest_postings(stg: DataFrame, extra_columns: Sequence[str] = ()) -> DataFr
     """Newest sighting per ``job_id`` (E2), typed to the 23-column posting layer.
 
     Order: ``crawled_at`` descending with nulls last, then a hash of the whole
-    row so that ties resolve the same way on every run. Free-text times
-    (deadline words) become null through ``try_cast``. ``extra_columns`` keeps
+    row so that ties resolve the same way on every run. Times are zone-less
+    (``timestamp_ntz``); free-text times (deadline words) become null through
+    ``try_cast``. ``extra_columns`` keeps
     more columns (the parsed salary fields, for instance).
     """
     cols = []
@@ -177,16 +178,16 @@ def date_spine(spark: SparkSession, datepart: str, start_date, end_date) -> Data
     an empty frame.
     """
     n = intervals_between(start_date, end_date, datepart)
-    start = _as_datetime(start_date)
+    start, end = _as_datetime(start_date), _as_datetime(end_date)
     name = f"date_{datepart}"
     ids = spark.range(0, max(n, 0))
-    base = F.lit(start).cast("timestamp")
+    # zone-free arithmetic: timestamp_ntz literals, results independent of the session time zone
+    base = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
     if datepart in _MONTH_STEP:
-        months = F.col("id").cast("int") * _MONTH_STEP[datepart]
-        out = F.timestamp_add("MONTH", months, base)
+        out = F.timestamp_add("MONTH", F.col("id").cast("int") * _MONTH_STEP[datepart], base)
     else:
         out = F.timestamp_add("SECOND", F.col("id") * _FIXED_STEP[datepart], base)
-    res = ids.select(out.alias(name)).where(F.col(name) <= F.lit(_as_datetime(end_date)).cast("timestamp"))
+    res = ids.select(out.alias(name)).where(F.col(name) <= F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz"))
     if datepart in ("day", "week", "month", "quarter", "year") and \
             start == dt.datetime(start.year, start.month, start.day):
         res = res.select(F.to_date(name).alias(name))

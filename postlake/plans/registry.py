@@ -55,6 +55,12 @@ def _shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _epoch_seconds(ntz: Column) -> Column:
+    """Seconds since 1970 of a ``timestamp_ntz`` value, independent of the session time zone."""
+    return (F.unix_date(F.to_date(ntz)).cast("bigint") * 86400 + F.hour(ntz) * 3600
+            + F.minute(ntz) * 60 + F.second(ntz))
+
+
 def _istr(c: Column) -> Column:
     return F.floor(c).cast("bigint").cast("string")
 
@@ -600,7 +606,7 @@ def _as_postings(spark, d) -> DataFrame:
         F.concat((F.col("o_orderkey") % 6).cast("string"), F.lit(" năm")).alias("experience"),
         F.col("o_orderdate").cast("string").alias("posted_at"),
         F.concat(F.lit("Hạn nộp "), (F.col("o_orderkey") % 28 + 1).cast("string"), F.lit("/12")).alias("deadline"),
-        (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")).alias("crawled_at"),
+        (_epoch_seconds(F.col("o_orderdate")) + F.col("o_orderkey")).alias("crawled_at"),
     )
 
 
