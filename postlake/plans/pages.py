@@ -3,12 +3,19 @@
 Extraction rules are written the way the crawler configs write them: a
 container selector and, per field, a selector plus an attribute (``text``,
 ``exists`` or an attribute name). Selectors are compiled to regular
-expressions that run inside Spark (``regexp_extract_all`` + ``posexplode``),
-so a page never leaves the JVM. Supported selector forms: ``tag``,
-``.class``, ``tag.class``, ``#id``, descendant chains of those
-(``h3.title a``) and comma-separated alternatives (tried in order). An
-element ends at the first closing tag of its name, so an element nested in a
-same-named element is cut short; void tags (``img``, ``input``...) have no
+expressions that run inside Spark; only the cutting of a page into its
+container elements is a small Arrow-batched pandas UDF, because a card that
+nests elements of its own tag needs balanced-tag counting, which a regular
+expression cannot do. Supported selector forms: ``tag``, ``*``,
+``.class`` (CSS escapes allowed), ``#id``, attribute tests ``[a]``, ``[a=v]``,
+``[a*=v]``, ``[a^=v]``, ``[a$=v]``, ``[a~=v]``, ``:nth-of-type(n)``, compounds
+of these, descendant/child chains (``h3.title a``; ``>`` is treated as a
+descendant step), adjacent siblings (``a + span``) and comma-separated
+alternatives (tried in order). Inside a card, a field's element ends at the
+first closing tag of its name, so a field element nested in a same-named
+element is cut short;
+``nth-of-type`` counts matches in document order within the enclosing
+element rather than per parent; void tags (``img``, ``input``...) have no
 body and are matched by their opening tag.
 """
 
@@ -17,6 +24,8 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,38 +41,164 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nb
             ("&amp;", "&")]
 
 
-def _simple_regex(sel: str) -> str:
-    """Regex for one simple selector; group ``body`` is the inner HTML (whole match = element)."""
-    m = re.fullmatch(r"([a-zA-Z][a-zA-Z0-9]*)?((?:[.#][A-Za-z0-9_-]+)*)", sel.strip())
+_ATTR_OPS = {"=": "{v}", "*=": "[^\"]*{v}[^\"]*", "^=": "{v}[^\"]*", "$=": "[^\"]*{v}",
+             "~=": "(?:[^\"]*\\s)?{v}(?:\\s[^\"]*)?"}
+_COMPOUND = re.compile(
+    r"""(?P<tag>[a-zA-Z][a-zA-Z0-9]*|\*)?(?P<quals>(?:\.(?:\\.|[A-Za-z0-9_-])+|\#(?:\\.|[A-Za-z0-9_-])+|\[[^\]]*\])*)(?::nth-of-type\((?P<nth>\d+)\))?$""")
+
+
+def _unescape(name: str) -> str:
+    return re.sub(r"\\(.)", r"\1", name)
+
+
+def _split_top(text: str, sep: str) -> list[str]:
+    """Split on ``sep`` outside brackets, parentheses and quotes."""
+    out, cur, depth, quote = [], "", 0, None
+    for ch in text:
+        if quote:
+            quote = None if ch == quote else quote
+        elif ch in "'\"":
+            quote = ch
+        elif ch in "[(":
+            depth += 1
+        elif ch in "])":
+            depth -= 1
+        elif ch == sep and depth == 0:
+            out.append(cur)
+            cur = ""
+            continue
+        cur += ch
+    out.append(cur)
+    return [x.strip() for x in out if x.strip()]
+
+
+def _steps(selector: str) -> list[tuple[str, str]]:
+    """``a b > c + d`` → [(' ', 'a'), (' ', 'b'), ('>', 'c'), ('+', 'd')]."""
+    spaced = re.sub(r"\s*([>+])\s*", r" \1 ", selector.strip())
+    parts = _split_top(spaced, " ")
+    steps, comb = [], " "
+    for p in parts:
+        if p in (">", "+"):
+            comb = p
+            continue
+        steps.append((comb, p))
+        comb = " "
+    return steps
+
+
+def _compound(sel: str) -> tuple[str, str | None, int]:
+    """Opening-tag regex of one compound selector, its fixed tag name (None: any) and ``nth-of-type``.
+
+    With no fixed tag the regex captures the tag name in group 1.
+    """
+    m = _COMPOUND.match(sel.strip())
     if not m:
         raise ValueError(f"unsupported selector {sel!r}")
-    tag, quals = m.group(1), m.group(2) or ""
+    tag = None if m.group("tag") in (None, "*") else m.group("tag")
     attrs = ""
-    for kind, name in re.findall(r"([.#])([A-Za-z0-9_-]+)", quals):
-        if kind == ".":
-            attrs += rf'(?=[^>]*\bclass="[^"]*(?<![\w-]){re.escape(name)}(?![\w-])[^"]*")'
+    for q in re.findall(r"\.(?:\\.|[A-Za-z0-9_-])+|\#(?:\\.|[A-Za-z0-9_-])+|\[[^\]]*\]", m.group("quals") or ""):
+        if q[0] == ".":
+            name = re.escape(_unescape(q[1:]))
+            attrs += rf'(?=[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?")'
+        elif q[0] == "#":
+            attrs += rf'(?=[^>]*\bid="{re.escape(_unescape(q[1:]))}")'
         else:
-            attrs += rf'(?=[^>]*\bid="{re.escape(name)}")'
+            a = re.fullmatch(r"\[\s*([A-Za-z_:][-A-Za-z0-9_:.]*)\s*(?:([*^$~]?=)\s*(['\"]?)(.*?)\3)?\s*\]", q)
+            if not a:
+                raise ValueError(f"unsupported attribute selector {q!r}")
+            name, op, val = a.group(1), a.group(2), a.group(4)
+            if op is None:
+                attrs += rf'(?=[^>]*\b{re.escape(name)}=)'
+            else:
+                body = _ATTR_OPS[op].replace("{v}", re.escape(val))
+                attrs += rf'(?=[^>]*\b{re.escape(name)}="{body}")'
+    nth = int(m.group("nth") or 1)
+    if tag:
+        return rf"<{tag}\b{attrs}[^>]*>", tag, nth
+    return rf"<([a-zA-Z][a-zA-Z0-9]*)\b{attrs}[^>]*>", None, nth
+
+
+def _simple_regex(sel: str) -> tuple[str, int]:
+    """Regex of one compound selector (whole match = element, to the first closing tag) and its nth."""
+    open_rx, tag, nth = _compound(sel)
     if tag and tag.lower() in _VOID:
-        return rf"<{tag}\b{attrs}[^>]*>"
+        return open_rx, nth
     if tag:
-        return rf"<{tag}\b{attrs}[^>]*>(?<body>.*?)</{tag}>"
-    return rf"<(?<tag>[a-zA-Z][a-zA-Z0-9]*)\b{attrs}[^>]*>(?<body>.*?)</\k<tag>>"
+        return open_rx + rf".*?</{tag}>", nth
+    return open_rx + r".*?</\1>", nth
+
+
+def _balanced_items(container: str):
+    """Pandas UDF: every element matching ``container`` in a page, cut at its balanced closing tag.
+
+    A card that contains elements of its own tag (``div`` in ``div``) ends at
+    its own closing tag, not at the first inner one. Runs on Arrow batches of
+    pages; the per-page work is a scan of that page's tags.
+    """
+    opens = []
+    for alt in _split_top(container, ","):
+        open_rx, tag, _ = _compound(alt)
+        opens.append((re.compile(open_rx, re.S), tag))
+
+    def cut(html):
+        if html is None:
+            return None
+        found = []
+        for rx, fixed in opens:
+            for m in rx.finditer(html):
+                tag = fixed or m.group(1)
+                if tag.lower() in _VOID or m.group(0).endswith("/>"):
+                    found.append((m.start(), m.group(0)))
+                    continue
+                depth, end = 0, len(html)
+                for t in re.finditer(rf"<(/?){re.escape(tag)}\b[^>]*>", html[m.start():]):
+                    if t.group(1):
+                        depth -= 1
+                    elif not t.group(0).endswith("/>"):
+                        depth += 1
+                    if depth == 0:
+                        end = m.start() + t.end()
+                        break
+                found.append((m.start(), html[m.start():end]))
+        return [e for _, e in found]
+
+    @F.pandas_udf("array<string>")
+    def items(html: pd.Series) -> pd.Series:
+        return html.map(cut)
+
+    return items
+
+
+def _pick(scope: Column, rx: str, nth: int) -> Column:
+    if nth == 1:
+        found = F.regexp_extract(scope, "(?s)" + rx, 0)
+    else:
+        found = F.try_element_at(F.regexp_extract_all(scope, F.lit("(?s)" + rx), F.lit(0)), F.lit(nth))
+    return F.when(scope.isNull() | (found == ""), F.lit(None)).otherwise(found)
 
 
 def _find_first(html: Column, selector: str) -> Column:
-    """Whole text of the first element matching ``selector`` inside ``html`` (null if none)."""
+    """Whole text of the first element matching ``selector`` inside ``html`` (null if none).
+
+    Descendant and child steps search the body of the element found so far;
+    an adjacent-sibling step (``+``) matches right after it.
+    """
     out = None
-    for alt in selector.split(","):
-        cur = html
-        steps = alt.split()
-        for i, step in enumerate(steps):
-            found = F.regexp_extract(cur, "(?s)" + _simple_regex(step), 0)
-            cur = F.when(cur.isNull() | (found == ""), F.lit(None)).otherwise(found)
-            if i < len(steps) - 1:
-                # descend into the body of the element just found
-                cur = F.regexp_replace(cur, r"(?s)^<[^>]*>", "")
-        out = cur if out is None else F.coalesce(out, cur)
+    for alt in _split_top(selector, ","):
+        scope, found, prev_rx = html, None, None
+        for comb, comp in _steps(alt):
+            rx, nth = _simple_regex(comp)
+            if found is None:
+                cur = _pick(scope, rx, nth)
+            elif comb == "+":
+                rest = F.regexp_replace(scope, "(?s)^.*?" + prev_rx, "")
+                sib = F.regexp_extract(rest, r"(?s)^\s*" + rx, 0)
+                cur = F.when(found.isNull() | (sib == ""), F.lit(None)).otherwise(sib)
+            else:
+                scope = F.regexp_replace(found, r"(?s)^<[^>]*>", "")
+                cur = _pick(scope, rx, nth)
+            found, prev_rx = cur, rx
+        out = found if out is None else F.coalesce(out, found)
     return out
 
 
@@ -83,6 +218,25 @@ def element_attribute(elem: Column, attr: str) -> Column:
     return F.when(has, v)
 
 
+def load_crawler_config(path: str) -> dict:
+    """Read a crawler YAML config: ``name``, ``base_url``, ``container_selector`` and ``fields``."""
+    import yaml
+
+    with open(path, encoding="utf-8") as fh:
+        cfg = yaml.safe_load(fh)
+    missing = {"container_selector", "fields"} - set(cfg)
+    if missing:
+        raise ValueError(f"crawler config lacks {sorted(missing)}")
+    return cfg
+
+
+def extract_with_config(pages: DataFrame, cfg: dict, html_col: str = "html",
+                        keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+    """I1 with a crawler config: items and fields by its rules, links made absolute."""
+    return extract_items(pages, cfg["container_selector"], cfg["fields"], html_col=html_col,
+                         keep=keep, base_url=cfg.get("base_url"))
+
+
 def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping],
                   html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"),
                   base_url: str | Column | None = None) -> DataFrame:
@@ -98,10 +252,7 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     clash = set(keep) & set(fields)
     if clash:
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
-    html = F.col(html_col)
-    arrays = [F.regexp_extract_all(html, F.lit("(?s)" + _simple_regex(alt)), 0)
-              for alt in container.split(",")]
-    items = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    items = _balanced_items(container)(F.col(html_col))
     exploded = pages.select(*[F.col(k) for k in keep], F.posexplode(items).alias("item_pos", "_item"))
     cols = []
     for name, rule in fields.items():
