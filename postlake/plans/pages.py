@@ -143,24 +143,31 @@ def _balanced_items(container: str):
     def cut(html):
         if html is None:
             return None
-        found = []
+        starts = {}  # element start -> (tag, opening tag text); one entry per element
         for rx, fixed in opens:
             for m in rx.finditer(html):
-                tag = fixed or m.group(1)
-                if tag.lower() in _VOID or m.group(0).endswith("/>"):
-                    found.append((m.start(), m.group(0)))
-                    continue
-                depth, end = 0, len(html)
-                for t in re.finditer(rf"<(/?){re.escape(tag)}\b[^>]*>", html[m.start():]):
-                    if t.group(1):
-                        depth -= 1
-                    elif not t.group(0).endswith("/>"):
-                        depth += 1
-                    if depth == 0:
-                        end = m.start() + t.end()
-                        break
-                found.append((m.start(), html[m.start():end]))
-        return [e for _, e in found]
+                starts.setdefault(m.start(), (fixed or m.group(1), m.group(0)))
+        ends, wanted = {}, {}
+        for st, (tag, text) in starts.items():
+            if tag.lower() in _VOID or text.endswith("/>"):
+                ends[st] = st + len(text)
+            else:
+                wanted.setdefault(tag, set()).add(st)
+        # one pass over the page per tag name: a stack pairs each opening tag with its close
+        for tag, sts in wanted.items():
+            stack = []
+            for t in re.finditer(rf"<(/?){re.escape(tag)}\b[^>]*>", html):
+                if t.group(1):
+                    if stack:
+                        st = stack.pop()
+                        if st in sts:
+                            ends[st] = t.end()
+                elif not t.group(0).endswith("/>"):
+                    stack.append(t.start())
+            for st in stack:  # never closed: runs to the end of the page
+                if st in sts:
+                    ends.setdefault(st, len(html))
+        return [html[st:ends[st]] for st in sorted(starts)]
 
     @F.pandas_udf("array<string>")
     def items(html: pd.Series) -> pd.Series:
