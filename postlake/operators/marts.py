@@ -12,6 +12,9 @@ from pyspark.errors import AnalysisException
 from postlake.functions.keys import company_key, company_name
 from postlake.operators.sequence import ordered_scan
 
+# Largest pick table (group count x ranks) broadcast by exact_quantiles.
+PICK_BROADCAST_ROWS = 1_000_000
+
 # Fixed value: the nine fact columns, read from the staging layer.
 FACT_COLUMNS = ["job_id", "company", "salary_min", "salary_max", "deal_salary",
                 "experience_min", "experience_max", "experience_not_mentioned", "crawled_at"]
@@ -91,12 +94,22 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                          "n")
 
 
-def _join_groups(rows: DataFrame, per_group: DataFrame, group: list[str]) -> DataFrame:
-    """Attach per-group values to rows; with no group the single row becomes a scalar subquery."""
-    if group:
-        return rows.join(per_group, group, "inner")
-    one = per_group.select(F.struct(*per_group.columns).alias("_s")).scalar()
-    return rows.select("*", *[one[c].alias(c) for c in per_group.columns])
+def _join_groups(rows: DataFrame, per_group: DataFrame, group: list[str],
+                 extra: list[str] = (), broadcast_side: bool = False) -> DataFrame:
+    """Attach per-group values to rows (null-safe on the group keys, plus ``extra`` equi-keys).
+
+    With no group, the single per-group row becomes a scalar subquery.
+    """
+    if not group and not extra:
+        one = per_group.select(F.struct(*per_group.columns).alias("_s")).scalar()
+        return rows.select("*", *[one[c].alias(c) for c in per_group.columns])
+    r, p = rows.alias("_r"), (F.broadcast(per_group) if broadcast_side else per_group).alias("_p")
+    cond = [F.col(f"_r.{g}").eqNullSafe(F.col(f"_p.{g}")) for g in group]
+    cond += [F.col(f"_r.{k}") == F.col(f"_p.{k}") for k in extra]
+    keys = set(group) | set(extra)
+    return r.join(p, cond, "inner").select(
+        *[F.col(f"_r.{c}") for c in rows.columns],
+        *[F.col(f"_p.{c}") for c in per_group.columns if c not in keys])
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
@@ -105,28 +118,34 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
 
     Each row's rank inside its group comes from the range-partitioned ordered
     scan, so a huge group is spread over many tasks instead of being gathered
-    into one aggregation buffer. Only the rows at the needed ranks (two per
-    quantile per group) reach the final aggregate.
+    into one aggregation buffer. The ranks each group needs (two per
+    quantile) are derived from the group sizes and joined on (group, rank),
+    a key with no hot value, so only the picked rows reach the final
+    aggregate.
     """
     group = list(group)
     names = list(names or [f"q{int(p * 100)}" for p in probs])
     vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = vals.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    pos = {name: (F.col("_n") - 1) * F.lit(float(p)) for p, name in zip(probs, names)}
+    need = counts.select(*group, "_n", F.explode(F.array_distinct(F.array(
+        *[F.floor(x).cast("long") for x in pos.values()],
+        *[F.ceil(x).cast("long") for x in pos.values()]))).alias("_idx"))
     ranked = ordered_scan(vals, group, ["_v"])
-    j = _join_groups(ranked, counts, group)
-    keep = F.lit(False)
+    # the pick table has at most 2 rows per quantile per group: broadcast it when
+    # the group count, checked here, keeps it small; otherwise shuffle-join on
+    # (group, rank), a key without hot values
+    small = not group or counts.count() * 2 * len(probs) <= PICK_BROADCAST_ROWS
+    picked = _join_groups(ranked, need, group, extra=["_idx"], broadcast_side=small)
     aggs = []
-    for p, name in zip(probs, names):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        keep = keep | (F.col("_idx") == lo) | (F.col("_idx") == hi)
-        aggs.append((F.max(F.when(F.col("_idx") == lo, F.col("_v"))).alias(f"_lo_{name}"),
-                     F.max(F.when(F.col("_idx") == hi, F.col("_v"))).alias(f"_hi_{name}"),
-                     F.first(pos - lo).alias(f"_fr_{name}")))
-    picked = j.where(keep).groupBy(*group).agg(*[a for t in aggs for a in t])
+    for name, x in pos.items():
+        aggs += [F.max(F.when(F.col("_idx") == F.floor(x), F.col("_v"))).alias(f"_lo_{name}"),
+                 F.max(F.when(F.col("_idx") == F.ceil(x), F.col("_v"))).alias(f"_hi_{name}"),
+                 F.first(x - F.floor(x)).alias(f"_fr_{name}")]
+    got = picked.groupBy(*group).agg(*aggs)
     outs = [(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_fr_{n}")).alias(n)
             for n in names]
-    return picked.select(*group, *outs)
+    return got.select(*group, *outs)
 
 
 def box_stats(df: DataFrame, group: Sequence[str], col: str, approx: bool = False,

@@ -165,3 +165,19 @@ def test_single_value_null_is_kept(spark):
     df = spark.createDataFrame([(None,)], "v int")
     assert M.single_value(df, default=7).first()["value"] is None
     assert M.single_value(df.where("false"), default=7).first()["value"] == 7
+
+
+def test_exact_quantiles_null_group_and_hot_group(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [("hot" if rnd.random() < 0.6 else (None if rnd.random() < 0.2 else "g%d" % rnd.randint(1, 5)),
+             float(rnd.randint(0, 1000))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["q1"], r["median"], r["q3"]) for r in
+           M.exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], ["q1", "median", "q3"]).collect()}
+    exp = {r["g"]: (r["q1"], r["m"], r["q3"]) for r in df.groupBy("g").agg(
+        F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.5).alias("m"),
+        F.percentile("v", 0.75).alias("q3")).collect()}
+    assert set(got) == set(exp) and None in got
+    for k in exp:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], exp[k]))
