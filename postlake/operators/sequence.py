@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.session import checkpoint
+from postlake.session import checkpoint, ensure_library
 
 _RP = "_scan_rp"
 
@@ -187,6 +187,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
     """
     keys, prev, next_, running_max, runs = (list(x) for x in (keys, prev, next, running_max, runs))
     spark = df.sparkSession
+    ensure_library(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(k).asc_nulls_first() for k in keys] + _sort_cols(order)
 

@@ -33,6 +33,7 @@ from postlake.functions.keys import posting_id
 from postlake.functions.parsing import with_experience, with_salary
 from postlake.functions.urls import absolute_url, company_from_url
 from postlake.operators.sequence import ordered_scan
+from postlake.session import ensure_library
 from postlake.sources.contract import apply_contract
 
 _VOID = {"img", "input", "br", "hr", "meta", "link", "source", "area", "base", "col", "embed", "wbr"}
@@ -256,6 +257,7 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     whose element is absent is null (``exists``: false). ``item_pos`` is the
     item's position on its page.
     """
+    ensure_library(pages.sparkSession)
     clash = set(keep) & set(fields)
     if clash:
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,7 @@ def build_session(master: str = "local[*]", app: str = "postlake",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ensure_library(spark)
     return spark
 
 
@@ -61,6 +63,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ensure_library(spark: SparkSession) -> None:
+    """Make ``postlake`` importable in the Python workers (once per SparkContext).
+
+    The operators that run Python in tasks (ordered scan, footer reader, page
+    cutter) refer to functions of this package; the package is zipped and
+    added with ``addPyFile``, which ships it to every executor.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_postlake_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="postlake-pyfiles-"), "postlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._postlake_shipped = True
+
+
 def checkpoint(df):
     """Materialise ``df`` in the session's checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.session import ensure_library
 from postlake.sources.contract import Contract, apply_contract
 
 BATCH_PARTITIONS = ["batch_date", "batch_hour", "batch_minute", "batch_second"]
@@ -40,6 +41,7 @@ def _footer_signatures(batches):
 
 def list_signatures(spark: SparkSession, root: str) -> DataFrame:
     """``(path, signature)`` for every Parquet file under ``root`` (listing and footers on executors)."""
+    ensure_library(spark)
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet")
