@@ -113,7 +113,8 @@ def _join_groups(rows: DataFrame, per_group: DataFrame, group: list[str],
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
-                    probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str] | None = None,
+                    n_groups: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles of ``col`` per group (nulls out).
 
     Each row's rank inside its group comes from the range-partitioned ordered
@@ -135,7 +136,9 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
     # the pick table has at most 2 rows per quantile per group: broadcast it when
     # the group count, checked here, keeps it small; otherwise shuffle-join on
     # (group, rank), a key without hot values
-    small = not group or counts.count() * 2 * len(probs) <= PICK_BROADCAST_ROWS
+    if group and n_groups is None:
+        n_groups = counts.count()
+    small = not group or n_groups * 2 * len(probs) <= PICK_BROADCAST_ROWS
     picked = _join_groups(ranked, need, group, extra=["_idx"], broadcast_side=small)
     aggs = []
     for name, x in pos.items():
@@ -157,16 +160,18 @@ def box_stats(df: DataFrame, group: Sequence[str], col: str, approx: bool = Fals
     """
     group = list(group)
     vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    # per-group results are one row per group: broadcast them when the checked group count is small
+    n_groups = vals.select(*group).distinct().count() if group else 1
     if approx:
         q = vals.groupBy(*group).agg(
             F.percentile_approx("_v", [0.25, 0.5, 0.75], accuracy).alias("_q"))
         q = q.select(*group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                      F.col("_q")[2].alias("q3"))
     else:
-        q = exact_quantiles(vals, group, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+        q = exact_quantiles(vals, group, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"], n_groups=n_groups)
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    j = _join_groups(vals, q, group)
+    j = _join_groups(vals, q, group, broadcast_side=n_groups <= PICK_BROADCAST_ROWS)
     return j.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.first("q1").alias("q1"),
         F.first("median").alias("median"), F.first("q3").alias("q3"), F.max("_v").alias("max"),
