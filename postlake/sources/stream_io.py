@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from postlake.sources.contract import Contract, posting_contract
 
-# Fixed value: length of the schema-registry header in front of each message
-# (one magic byte and a four-byte schema id).
+# Length of the schema-registry header in front of each message
+# (one magic byte and a four-byte schema id), and the consumer's defaults: read
+# the topic from the earliest offset, at most 500 records per micro-batch.
 REGISTRY_HEADER_BYTES = 5
+KAFKA_SOURCE_DEFAULTS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "500"}
 
 
 def decode_value(value: Column, contract: Contract, avro_schema: str | None = None) -> Column:
@@ -41,15 +43,16 @@ def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None
                 avro_schema: str | None = None) -> DataFrame:
     """Streaming frame of decoded records plus ``_raw`` (the undecoded text) and ``_decoded``.
 
-    ``kafka``: subscribe with the given options (earliest offsets unless told
-    otherwise) and decode ``value``. ``json`` text files: each line is a
+    ``kafka``: subscribe with the given options (earliest offsets and 500
+    records per micro-batch unless told otherwise) and decode ``value``. ``json`` text files: each line is a
     message, decoded like a Kafka value. ``parquet``: files already typed by
     the contract schema.
     """
     contract = contract or posting_contract()
     opts = dict(options or {})
     if fmt == "kafka":
-        opts.setdefault("startingOffsets", "earliest")
+        for k, v in KAFKA_SOURCE_DEFAULTS.items():
+            opts.setdefault(k, v)
         raw = spark.readStream.format("kafka").options(**opts).load()
         value = F.col("value")
     elif fmt == "json":
