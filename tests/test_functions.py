@@ -114,3 +114,9 @@ def test_staged_parsers_match_column_form(spark):
     b = df.select("s", parse_salary("s").alias("p"), parse_experience("s").alias("e")).select(
         "s", "p.*", "e.*").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_slugify_reference_examples(spark):
+    vals = ["!Hell0 world-hi", "0Hell0 world-hi"]
+    assert [slugify_name(v) for v in vals] == ["hell0_world_hi", "_0hell0_world_hi"]
+    assert _one(spark, [(v,) for v in vals], "s string", slugify("s")) == ["hell0_world_hi", "_0hell0_world_hi"]

@@ -181,3 +181,26 @@ def test_exact_quantiles_null_group_and_hot_group(spark):
     assert set(got) == set(exp) and None in got
     for k in exp:
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], exp[k]))
+
+
+def test_not_empty_string_reference_rows(spark):
+    rows = [(1, "not an empty string"), (2, "also not an empty string"),
+            (3, "string with trailing whitespace  "), (4, "   "), (5, ""), (6, None)]
+    df = spark.createDataFrame(rows, "id int, s string")
+    assert C.not_empty_string(df, "s").rows.count() == 2            # ids 4 and 5
+    assert C.not_empty_string(df, "s", trim_whitespace=False).rows.count() == 1
+
+
+def test_single_value_reference_cases(spark):
+    df = spark.createDataFrame([(1, 4), (2, 5), (3, 6)], "id int, di int")
+    assert M.single_value(df.agg(F.min("id"))).first()["value"] == 1
+    assert M.single_value(df.agg(F.max("di"))).first()["value"] == 6
+    empty = df.where("false").select("id")
+    assert M.single_value(empty, default=123456).first()["value"] == 123456
+    assert M.single_value(empty.select(F.col("id").cast("string")), default="fallback").first()["value"] == "fallback"
+    got = M.single_value(empty.select(F.lit(None).cast("timestamp")), default="2022-01-01").first()["value"]
+    assert got == dt.datetime(2022, 1, 1)
+
+
+def test_generate_series_reference(spark):
+    assert [r[0] for r in generate_series(spark, 10).collect()] == list(range(1, 11))
