@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from postlake.functions.keys import company_key, company_name

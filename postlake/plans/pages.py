@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.keys import posting_id
 from postlake.functions.parsing import with_experience, with_salary
-from postlake.functions.urls import absolute_url, company_from_url
+from postlake.functions.urls import company_from_url
 from postlake.operators.sequence import ordered_scan
 from postlake.session import ensure_library
 from postlake.sources.contract import apply_contract

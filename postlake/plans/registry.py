@@ -11,7 +11,6 @@ states the operator's rule in plain SQL.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import uuid
 from collections.abc import Callable
 
@@ -28,7 +27,7 @@ from postlake.operators import checks as C
 from postlake.operators import marts as M
 from postlake.operators.columns import cast_columns, group_by_first_n, nullcheck, search, select_star
 from postlake.operators.relational import union_by_pattern, union_relations
-from postlake.operators.reshape import (date_spine, deduplicate, generate_series, pivot, unpivot)
+from postlake.operators.reshape import date_spine, deduplicate, generate_series, unpivot
 from postlake.plans.pages import build_postings, crawl_audit, extract_items
 from postlake.session import ensure_checkpoint_dir
 

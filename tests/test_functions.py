@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from postlake.functions.keys import company_key, posting_id, surrogate_key
 from postlake.functions.numeric import haversine, safe_add, safe_divide, safe_subtract, width_bucket

@@ -2,10 +2,8 @@ import datetime as dt
 import os
 
 import pandas as pd
-import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 from postlake.plans.pages import build_postings, crawl_audit, extract_items
 from postlake.sources.bronze import scan_bronze, write_bronze
