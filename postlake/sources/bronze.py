@@ -53,24 +53,37 @@ def scan_bronze(spark: SparkSession, root: str, contract: Contract | None = None
                 with_batch_columns: bool = False) -> DataFrame:
     """Read every Parquet file under ``root``, matching columns by name.
 
-    Files are grouped by footer signature; each group is read with its own
-    schema (Parquet pushdown and pruning stay intact), cast to the contract
-    when one is given, and the groups are unioned by name (missing columns →
-    null, numeric types widened by Spark when no contract is given).
+    Files are grouped by footer signature; with one signature the folder is
+    read as is, otherwise each group is read with its own schema (Parquet
+    pushdown and pruning stay intact), cast to the contract when one is
+    given, and the groups are unioned by name (missing columns → null,
+    numeric types widened by Spark when no contract is given). Only in the
+    mixed case do file lists pass through the driver (as Spark's own file
+    index would hold them).
     ``with_batch_columns`` keeps the ``batch_*`` / ``run_id`` path columns as
     strings.
     """
-    groups = (list_signatures(spark, root).groupBy("signature")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-    if not groups:
+    sigs = list_signatures(spark, root).groupBy("signature").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not sigs:
         raise FileNotFoundError(f"no Parquet files under {root}")
+    if len(sigs) == 1:
+        # one physical schema: read the folder itself, no file list on the driver
+        reader = spark.read.option("pathGlobFilter", "*.parquet")
+        if not with_batch_columns:
+            reader = reader.option("recursiveFileLookup", "true")
+        path_groups = [[root]]
+    else:
+        groups = (list_signatures(spark, root).groupBy("signature")
+                  .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
+        path_groups = [g["paths"] for g in sorted(groups, key=lambda r: r["signature"])]
+        reader = spark.read.option("basePath", root) if with_batch_columns else spark.read
     parts = []
-    for g in sorted(groups, key=lambda r: r["signature"]):
-        reader = spark.read
-        if with_batch_columns:
-            reader = reader.option("basePath", root)
-        df = reader.parquet(*g["paths"])
+    for paths in path_groups:
+        df = reader.parquet(*paths)
         part_cols = [c for c in df.columns if c in BATCH_PARTITIONS or c == "run_id"]
+        if not with_batch_columns:
+            df = df.drop(*part_cols)
+            part_cols = []
         if contract is not None:
             df = apply_contract(df, contract, passthrough=part_cols)
         parts.append(df)
