@@ -314,7 +314,8 @@ SMALL_PAGE_RUN = 2
 IDENTICAL_PAGE_RUN = 2
 
 
-def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str) -> DataFrame:
+def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str,
+                pages: DataFrame | None = None) -> DataFrame:
     """Per source and page: the crawl loop's counters and the stop reason of that page.
 
     ``n_items`` counts items (repeats included); ``new_ids`` counts distinct
@@ -325,7 +326,9 @@ def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str) -
     multiset equals the previous page's. ``stop_reason`` is the first rule
     that fires (empty, redundant, small_pages, no_new, identical_pages), else
     null, and ``first_stop`` marks the first page of the source where one
-    fires.
+    fires. An empty page has no item rows, so it appears only when ``pages``
+    (every crawled ``source_col``/``page_col`` pair) is given; its redundancy
+    is 1.
 
     Page identity is decided exactly without gathering any page's ids: the
     per-(page, id) counts of each page are joined to those of the previous
@@ -339,6 +342,9 @@ def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str) -
     first_seen = (per_id.groupBy("source", "item_id").agg(F.min("page").alias("page"))
                         .groupBy("source", "page").agg(F.count(F.lit(1)).alias("new_ids")))
     per_page = per_id.groupBy("source", "page").agg(F.sum("_c").alias("n_items"))
+    if pages is not None:
+        crawled = pages.select(F.col(source_col).alias("source"), F.col(page_col).alias("page")).distinct()
+        per_page = crawled.join(per_page, ["source", "page"], "full_outer").fillna(0, ["n_items"])
     pages = per_page.join(first_seen, ["source", "page"], "left").fillna(0, ["new_ids"])
     s1 = ordered_scan(pages, ["source"], ["page"], prev=["page", "n_items"], running_max=["n_items"])
     # multiset intersection of each page with the page before it
@@ -349,7 +355,8 @@ def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str) -
                  .groupBy("source", "page").agg(F.sum(F.least("_c", "_pc")).alias("_common")))
     flagged = s1.join(common, ["source", "page"], "left").select(
         "source", "page", "n_items", "new_ids",
-        (1.0 - F.col("new_ids") / F.col("n_items")).alias("redundancy"),
+        F.when(F.col("n_items") > 0, 1.0 - F.col("new_ids") / F.col("n_items"))
+         .otherwise(F.lit(1.0)).alias("redundancy"),
         F.col("max_n_items").cast("long").alias("max_items"),
         ((F.col("max_n_items") >= SMALL_PAGE_BASELINE)
          & (F.col("n_items") <= F.col("max_n_items") * SMALL_PAGE_SHARE)).alias("small"),

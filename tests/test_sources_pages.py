@@ -196,3 +196,11 @@ def test_crawler_config_rules(spark, tmp_dir):
     import hashlib
     assert recs["Backend Dev"]["job_id"] == hashlib.sha256(b"https://topdev.vn/detail-jobs/acme-soft-2102239").hexdigest()
     assert recs["Ops"]["company"] == "X"
+
+
+def test_crawl_audit_empty_page(spark):
+    items = spark.createDataFrame([("s", 1, "a"), ("s", 1, "b"), ("s", 3, "c")], "src string, page int, id string")
+    crawled = spark.createDataFrame([("s", 1), ("s", 2), ("s", 3)], "src string, page int")
+    out = {r["page"]: r for r in crawl_audit(items, "src", "page", "id", pages=crawled).collect()}
+    assert out[2]["n_items"] == 0 and out[2]["stop_reason"] == "empty" and out[2]["redundancy"] == 1.0
+    assert out[2]["first_stop"] and out[3]["stop_reason"] is None
