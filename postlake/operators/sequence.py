@@ -43,6 +43,20 @@ from pyspark.sql import types as T
 from postlake.session import checkpoint, ensure_library
 
 _RP = "_scan_rp"
+# Target size of one range and the most ranges a scan uses. The carry table has
+# one row per range, so the cap is also the bound on what gets broadcast.
+TARGET_RANGE_BYTES = 256 * 1024 * 1024
+MAX_RANGES = 50_000
+
+
+def range_count(df: DataFrame) -> int:
+    """Number of ranges for ``df``: its estimated size / 256 MiB, at least the shuffle partitions."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: keep the configured count
+        size = 0
+    return max(floor, min(MAX_RANGES, -(-size // TARGET_RANGE_BYTES)))
 
 
 def _sort_cols(order: Sequence) -> list[Column]:
@@ -188,7 +202,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
     keys, prev, next_, running_max, runs = (list(x) for x in (keys, prev, next, running_max, runs))
     spark = df.sparkSession
     ensure_library(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_count(df)
     sort = [F.col(k).asc_nulls_first() for k in keys] + _sort_cols(order)
 
     ranged = (df.repartitionByRange(n, *sort)
