@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,8 +13,29 @@ from pyspark.sql import types as T
 from postlake.functions.text import slugify_name
 
 
+_SORT_TEXT = re.compile(r"^\s*(`[^`]+`|[\w.]+)(?:\s+(asc|desc))?(?:\s+nulls\s+(first|last))?\s*$", re.I)
+
+
 def _order(cols: Sequence) -> list[Column]:
-    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
+    """Columns, or order text like ``"version desc"`` / ``"ts desc nulls last"``.
+
+    Text without a null order sorts nulls last, as SQL engines usually do.
+    """
+    out = []
+    for c in cols:
+        if not isinstance(c, str):
+            out.append(c)
+            continue
+        m = _SORT_TEXT.match(c)
+        if not m:
+            raise ValueError(f"cannot read the sort order {c!r}")
+        col = F.col(m.group(1))
+        desc = (m.group(2) or "asc").lower() == "desc"
+        nulls = (m.group(3) or "last").lower()
+        out.append({(False, "first"): col.asc_nulls_first(), (False, "last"): col.asc_nulls_last(),
+                    (True, "first"): col.desc_nulls_first(), (True, "last"): col.desc_nulls_last()}
+                   [(desc, nulls)])
+    return out
 
 
 def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence) -> DataFrame:

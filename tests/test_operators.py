@@ -204,3 +204,11 @@ def test_single_value_reference_cases(spark):
 
 def test_generate_series_reference(spark):
     assert [r[0] for r in generate_series(spark, 10).collect()] == list(range(1, 11))
+
+
+def test_deduplicate_order_text(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, None, "c"), (2, 5, "d")], "k int, version int, v string")
+    assert rows(deduplicate(df, ["k"], ["version desc"]), "k", "v") == [(1, "b"), (2, "d")]
+    assert rows(deduplicate(df, ["k"], ["version desc nulls first"]), "k", "v") == [(1, "b"), (2, "c")]
+    with pytest.raises(ValueError):
+        deduplicate(df, ["k"], ["version sideways"])
