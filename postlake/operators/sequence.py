@@ -50,10 +50,17 @@ MAX_RANGES = 50_000
 
 
 def range_count(df: DataFrame) -> int:
-    """Number of ranges for ``df``: its estimated size / 256 MiB, at least the shuffle partitions."""
+    """Number of ranges for ``df``: size of the data it reads / 256 MiB, at least the shuffle partitions.
+
+    The size is the sum of the leaf relations' sizes (files, checkpoints,
+    local rows), not the estimate at the top of the plan: without cost-based
+    statistics a join's estimate is the product of its inputs and would
+    explode the range count for small page-level tables.
+    """
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except Exception:  # noqa: BLE001 - no estimate: keep the configured count
         size = 0
     return max(floor, min(MAX_RANGES, -(-size // TARGET_RANGE_BYTES)))

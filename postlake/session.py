@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # remove checkpoint files once their RDDs are no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # let the JIT compile large generated methods (wide parse + aggregate stages)
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

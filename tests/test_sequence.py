@@ -61,3 +61,12 @@ def test_scan_small_arrow_batches(spark):
         _check(spark, [], 3)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_range_count_follows_data_read_not_join_estimates(spark):
+    from postlake.operators.sequence import MAX_RANGES, range_count
+    a = spark.range(1000).withColumnRenamed("id", "k")
+    b = spark.range(1000).withColumnRenamed("id", "k")
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_count(a.join(b, "k").join(a, "k")) == floor
+    assert range_count(spark.range(10 ** 15)) == MAX_RANGES
