@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake.sources.contract import Contract, posting_contract
 
@@ -21,12 +22,17 @@ REGISTRY_HEADER_BYTES = 5
 KAFKA_SOURCE_DEFAULTS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "500"}
 
 
+CORRUPT = "_corrupt_record"
+
+
 def decode_value(value: Column, contract: Contract, avro_schema: str | None = None) -> Column:
-    """Message bytes → contract struct; an undecodable value gives a null struct.
+    """Message bytes → contract struct, with a ``_corrupt_record`` field for JSON.
 
     With an Avro schema and the Avro functions available, the registry header
-    is skipped and the rest decoded as Avro; otherwise the value is read as
-    JSON text. Both run in PERMISSIVE mode.
+    is skipped and the rest decoded as Avro (an undecodable value gives a null
+    struct); otherwise the value is read as JSON text, and a value that is
+    not valid JSON keeps its text in ``_corrupt_record``. Both run in
+    PERMISSIVE mode, so a bad message never fails the batch.
     """
     if avro_schema is not None:
         try:
@@ -35,13 +41,16 @@ def decode_value(value: Column, contract: Contract, avro_schema: str | None = No
             raise RuntimeError("Avro decoding needs the spark-avro package") from e
         body = F.expr(f"substring(value, {REGISTRY_HEADER_BYTES + 1})")
         return from_avro(body, avro_schema, {"mode": "PERMISSIVE"})
-    return F.from_json(value.cast("string"), contract.schema, {"mode": "PERMISSIVE"})
+    schema = T.StructType(list(contract.schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(value.cast("string"), schema,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
 def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None,
                 contract: Contract | None = None, path: str | None = None,
                 avro_schema: str | None = None) -> DataFrame:
-    """Streaming frame of decoded records plus ``_raw`` (the undecoded text) and ``_decoded``.
+    """Streaming frame of decoded records plus ``_raw`` (the undecoded text) and ``_decoded``
+    (false for a message that could not be decoded).
 
     ``kafka``: subscribe with the given options (earliest offsets and 500
     records per micro-batch unless told otherwise) and decode ``value``. ``json`` text files: each line is a
@@ -65,7 +74,10 @@ def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None
         raise ValueError(f"unsupported stream format {fmt!r}")
     dec = raw.select(value.cast("string").alias("_raw"),
                      decode_value(value, contract, avro_schema).alias("_rec"))
-    return dec.select("_rec.*", "_raw", F.col("_rec").isNotNull().alias("_decoded"))
+    ok = F.col("_rec").isNotNull()
+    if avro_schema is None:
+        ok = ok & F.col(f"_rec.{CORRUPT}").isNull()
+    return dec.select(*[F.col(f"_rec.{n}") for n in contract.names], "_raw", ok.alias("_decoded"))
 
 
 def keyed_records(df: DataFrame, key_col: str = "job_id") -> DataFrame:

@@ -27,7 +27,7 @@ def dedup_stream(df: DataFrame, key: str, ts: str, delay: str = "1 hour") -> Dat
               .dropDuplicatesWithinWatermark([key]))
 
 
-def new_per_batch(df: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
+def new_ids_per_minute(df: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
     """Count of new keys per event-time minute (append mode, closed by the watermark)."""
     firsts = dedup_stream(df, key, ts, delay)
     return (firsts.groupBy(F.window("_event_time", "1 minute").alias("w"))

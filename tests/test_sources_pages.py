@@ -4,6 +4,7 @@ import os
 import pandas as pd
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from postlake.plans.pages import build_postings, crawl_audit, extract_items
 from postlake.sources.bronze import scan_bronze, write_bronze
@@ -207,7 +208,7 @@ def test_crawl_audit_empty_page(spark):
 
 
 def test_dedup_stream_and_new_counts(spark, tmp_dir):
-    from postlake.streaming.dedup import dedup_stream, new_per_batch
+    from postlake.streaming.dedup import dedup_stream, new_ids_per_minute
     src = os.path.join(tmp_dir, "ev")
     rows = [(1, "u1", dt.datetime(2024, 1, 1, 0, 0, 10)), (2, "u1", dt.datetime(2024, 1, 1, 0, 0, 40)),
             (3, "u2", dt.datetime(2024, 1, 1, 0, 1, 5)), (4, "u3", dt.datetime(2024, 1, 1, 0, 1, 30)),
@@ -222,7 +223,7 @@ def test_dedup_stream_and_new_counts(spark, tmp_dir):
     assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == ["u1", "u2", "u3", "u9"]
     stream = spark.readStream.schema(schema).parquet(src)
     out2, ck2 = os.path.join(tmp_dir, "out2"), os.path.join(tmp_dir, "ck2")
-    q = (new_per_batch(stream, "k", "ts", "10 minutes").writeStream.format("parquet").outputMode("append")
+    q = (new_ids_per_minute(stream, "k", "ts", "10 minutes").writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ck2).trigger(availableNow=True).start(out2))
     q.awaitTermination()
     got = {r["minute"]: r["new_ids"] for r in spark.read.parquet(out2).collect()}
@@ -239,3 +240,10 @@ def test_read_stream_parquet_contract(spark, tmp_dir):
         .awaitTermination()
     r = spark.read.parquet(out).first()
     assert (r["job_id"], r["title"], r["_decoded"], r["source"]) == ("7", "t", True, "unknown")
+
+
+def test_decode_marks_malformed_json(spark):
+    from postlake.sources.stream_io import CORRUPT, decode_value
+    df = spark.createDataFrame([('{"job_id": "1", "title": "a"',), ('{"job_id": "2"}',)], "value string")
+    got = df.select(decode_value(F.col("value"), posting_contract()).alias("d")).collect()
+    assert got[0]["d"][CORRUPT] is not None and got[1]["d"][CORRUPT] is None and got[1]["d"]["job_id"] == "2"
