@@ -2,9 +2,9 @@
 
 Layers are ordinary DataFrame functions; ``select`` chooses which layers run,
 and each layer is registered under the name the next layer and the
-dashboards read. Staging and ``dim_company`` are written tables (in
-``out_root`` when given: a shared folder, which also cuts the lineage); the
-other relations are views.
+dashboards read. With ``out_root`` (a shared folder), staging and
+``dim_company`` are written there as tables, which also cuts the lineage;
+otherwise, and for the other relations, they are views.
 """
 
 from __future__ import annotations
