@@ -513,11 +513,11 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 @query("e3_pivot_event_types", """
 select user_id,
-  sum(case when event_type = 'click' then 1 else 0 end) as click,
-  sum(case when event_type = 'error' then 1 else 0 end) as error,
-  sum(case when event_type = 'purchase' then 1 else 0 end) as purchase,
-  sum(case when event_type = 'signup' then 1 else 0 end) as signup,
-  sum(case when event_type = 'view' then 1 else 0 end) as view,
+  cast(sum(case when event_type = 'click' then 1 else 0 end) as bigint) as click,
+  cast(sum(case when event_type = 'error' then 1 else 0 end) as bigint) as error,
+  cast(sum(case when event_type = 'purchase' then 1 else 0 end) as bigint) as purchase,
+  cast(sum(case when event_type = 'signup' then 1 else 0 end) as bigint) as signup,
+  cast(sum(case when event_type = 'view' then 1 else 0 end) as bigint) as view,
   count(distinct case when event_type = 'purchase' then cast(ts as date) else null end) as n_purchase_days
 from events group by user_id
 """)
@@ -647,8 +647,8 @@ def q_dim_company(spark, d):
 
 @query("f3_fact_job_posting", f"""
 select job_id, coalesce(company, '') as company,
-  cast(floor(o_totalprice / 10000) as bigint) * 1000000.0 as salary_min,
-  (cast(floor(o_totalprice / 10000) as bigint) + 5) * 1000000.0 as salary_max,
+  cast(cast(floor(o_totalprice / 10000) as bigint) * 1000000.0 as double) as salary_min,
+  cast((cast(floor(o_totalprice / 10000) as bigint) + 5) * 1000000.0 as double) as salary_max,
   false as deal_salary, cast(o_orderkey % 6 as integer) as experience_min,
   cast(o_orderkey % 6 as integer) as experience_max, false as experience_not_mentioned, crawled_at
 from ({POSTINGS_SQL.replace("o_orderkey\nfrom orders", "o_orderkey, o_totalprice\nfrom orders")})
@@ -692,7 +692,7 @@ def _part_companies(spark, d):
 
 
 @query("f6_company_totals", f"""
-select count(*) as companies, count_if(company_name = '') as empty_names from (
+select count(*) as companies, cast(count_if(company_name = '') as bigint) as empty_names from (
   select distinct md5('company_' || coalesce(company, 'unknown')) as company_id,
     coalesce(company, 'Unknown') as company_name from ({PART_COMPANY_SQL}))
 """)
@@ -720,7 +720,7 @@ select o.o_orderpriority, count(*) as n, round(min(o_totalprice), 4) as min, rou
   round(any_value(median), 4) as median, round(any_value(q3), 4) as q3, round(max(o_totalprice), 4) as max,
   round(min(case when o_totalprice >= q1 - 1.5 * (q3 - q1) then o_totalprice end), 4) as lower_whisker,
   round(max(case when o_totalprice <= q3 + 1.5 * (q3 - q1) then o_totalprice end), 4) as upper_whisker,
-  count_if(o_totalprice < q1 - 1.5 * (q3 - q1) or o_totalprice > q3 + 1.5 * (q3 - q1)) as outliers
+  cast(count_if(o_totalprice < q1 - 1.5 * (q3 - q1) or o_totalprice > q3 + 1.5 * (q3 - q1)) as bigint) as outliers
 from orders o join q using (o_orderpriority) group by o.o_orderpriority
 """)
 def q_box(spark, d):
@@ -742,7 +742,7 @@ def q_box_global(spark, d):
 
 
 @query("f9_flag_counts", f"""
-select count_if(deal_salary) as deal_salary_count from ({ORACLES['c1_parse_salary']})
+select cast(count_if(deal_salary) as bigint) as deal_salary_count from ({ORACLES['c1_parse_salary']})
 """)
 def q_flag_counts(spark, d):
     return M.flag_counts(q_parse_salary(spark, d), ["deal_salary"])
@@ -1159,7 +1159,7 @@ def q_columns_match(spark, d):
 
 
 @query("g22_check_suite", """
-select 'unique_o_custkey' as check_name, count(*) as failures, count(*) <> 0 as should_warn, count(*) <> 0 as should_error
+select 'unique_o_custkey' as check_name, cast(count(*) as bigint) as failures, count(*) <> 0 as should_warn, count(*) <> 0 as should_error
   from (select o_custkey from orders group by o_custkey having count(*) > 1)
 union all
 select 'not_null_o_orderkey', count(*), count(*) <> 0, count(*) <> 0 from orders where o_orderkey is null
@@ -1167,11 +1167,11 @@ union all
 select 'accepted_values_o_orderstatus', count(*), count(*) <> 0, count(*) <> 0
   from (select o_orderstatus from orders group by 1 having o_orderstatus not in ('F', 'O'))
 union all
-select 'equal_rowcount', sum(abs(coalesce(a, 0) - coalesce(b, 0))),
+select 'equal_rowcount', cast(sum(abs(coalesce(a, 0) - coalesce(b, 0))) as bigint),
   sum(abs(coalesce(a, 0) - coalesce(b, 0))) <> 0, sum(abs(coalesce(a, 0) - coalesce(b, 0))) > 100000
   from (select count(*) as a, (select count(*) from lineitem) as b from orders)
 union all
-select 'equality', count(*) + coalesce(abs(sum(case when w = 'a' then 1 else 0 end) - sum(case when w = 'b' then 1 else 0 end)), 0),
+select 'equality', cast(count(*) + coalesce(abs(sum(case when w = 'a' then 1 else 0 end) - sum(case when w = 'b' then 1 else 0 end)), 0) as bigint),
   true, false
   from (select 'a' as w from (select * from region except select * from region where r_regionkey > 0)
         union all select 'b' from (select * from region where r_regionkey > 0 except select * from region))
@@ -1196,7 +1196,7 @@ NAV_RULES = {"title": {"selector": "a", "attribute": "text"},
 NAV_ITEMS_SQL = r"""
 with p as (select page_id, url as page_url, regexp_extract(url, '^(https?://[^/?#]+)', 1) as base,
              regexp_extract_all(html, '(?s)<li\b[^>]*>.*?</li>') as items from pages),
-i as (select page_id, page_url, base, generate_subscripts(items, 1) - 1 as item_pos, unnest(items) as item from p),
+i as (select page_id, page_url, base, cast(generate_subscripts(items, 1) - 1 as integer) as item_pos, unnest(items) as item from p),
 a as (select *, nullif(regexp_extract(item, '(?s)<a\b[^>]*>.*?</a>', 0), '') as a_el from i),
 t as (select *,
   nullif(trim(replace(replace(replace(replace(replace(replace(

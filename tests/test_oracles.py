@@ -31,6 +31,17 @@ def _canon(rows, cols):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "array<string>": "VARCHAR[]"}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper()
+    return SPARK_TO_DUCK.get(spark_type, spark_type)
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -75,8 +86,9 @@ def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF001)
     assert _plan_problems(name, sdf._jdf.queryExecution().executedPlan().toString()) == []
     srows, scols = [tuple(r) for r in sdf.collect()], sdf.columns
-    cur = duck.execute(E.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = duck.sql(E.oracle_sql()[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+    drows = rel.fetchall()
     assert sorted(scols) == sorted(dcols)
+    assert {c: _duck_type(t) for c, t in sdf.dtypes} == dict(zip(dcols, dtypes))
     assert _canon(srows, scols) == _canon(drows, dcols)
