@@ -1,0 +1 @@
+"""Page jobs, the medallion job and the registered queries."""
