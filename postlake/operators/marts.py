@@ -211,11 +211,30 @@ def latest_first(df: DataFrame, k: int, ts: str = "crawled_at", tie: str = "job_
     return df.orderBy(F.col(ts).desc_nulls_last(), F.col(tie).asc_nulls_last()).limit(k)
 
 
-def column_values(df: DataFrame | None, column: str, order_by: Sequence[Column] | None = None,
+def _order_terms(text: str, column: str) -> list[Column]:
+    """``"count(*) desc, value"`` → sort Columns over the grouped ``value`` / ``_n`` frame."""
+    out = []
+    for term in text.split(","):
+        parts = term.strip().rsplit(None, 1)
+        expr, direction = (parts[0], parts[1].lower()) if len(parts) == 2 and parts[1].lower() in ("asc", "desc") \
+            else (term.strip(), "asc")
+        key = expr.replace(" ", "").lower()
+        c = F.col("_n") if key == "count(*)" else F.col("value") if key in ("value", column.lower()) else None
+        if c is None:
+            raise ValueError(f"cannot order column values by {expr!r}")
+        out.append(c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last())
+    return out
+
+
+def column_values(df: DataFrame | None, column: str, order_by: Sequence[Column] | str | None = None,
                   max_records: int | None = None, where: str | None = None,
                   default: Sequence | None = None, spark: SparkSession | None = None) -> DataFrame:
     """Distinct values of ``column`` as ``value`` (default order: frequency desc, then value).
 
+    ``order_by`` is a list of Columns over the grouped frame, or SQL-like text
+    whose terms are ``count(*)``, the column or ``value``, each optionally
+    followed by ``asc``/``desc`` (``"count(*) desc"``, ``"value"``).
+
     A missing input (``df is None``) returns ``default`` as a one-column frame,
     or raises when no default is given.
     """
@@ -225,7 +244,10 @@ def column_values(df: DataFrame | None, column: str, order_by: Sequence[Column]
         return spark.createDataFrame([(v,) for v in default], "value string")
     src = df.where(where) if where else df
     g = src.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("_n"))
-    order = list(order_by) if order_by else [F.col("_n").desc(), F.col("value").asc_nulls_last()]
+    if isinstance(order_by, str):
+        order = _order_terms(order_by, column)
+    else:
+        order = list(order_by) if order_by else [F.col("_n").desc(), F.col("value").asc_nulls_last()]
     out = g.orderBy(*order)
     if max_records is not None:
         out = out.limit(max_records)

@@ -212,3 +212,14 @@ def test_deduplicate_order_text(spark):
     assert rows(deduplicate(df, ["k"], ["version desc nulls first"]), "k", "v") == [(1, "b"), (2, "c")]
     with pytest.raises(ValueError):
         deduplicate(df, ["k"], ["version sideways"])
+
+
+def test_column_values_reference_shape(spark):
+    vals = ["a", "b", "c", "d", "e", "f"] + ["g"] * 5
+    df = spark.createDataFrame([(v,) for v in vals], "field string")
+    assert [r[0] for r in M.column_values(df, "field", max_records=1).collect()] == ["g"]
+    assert [r[0] for r in M.column_values(df, "field", order_by="field desc", max_records=2).collect()] == ["g", "f"]
+    assert [r[0] for r in M.column_values(df, "field", order_by="count(*) asc, value").collect()][:2] == ["a", "b"]
+    assert [r[0] for r in M.column_values(None, "field", default=["x"], spark=spark).collect()] == ["x"]
+    with pytest.raises(ValueError):
+        M.column_values(None, "field", spark=spark)
