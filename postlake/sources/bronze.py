@@ -73,9 +73,11 @@ def scan_bronze(spark: SparkSession, root: str, contract: Contract | None = None
             reader = reader.option("recursiveFileLookup", "true")
         path_groups = [[root]]
     else:
-        groups = (list_signatures(spark, root).groupBy("signature")
-                  .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-        path_groups = [g["paths"] for g in sorted(groups, key=lambda r: r["signature"])]
+        # file paths are metadata; they go to the driver as rows (no per-signature buffer in a task)
+        by_sig: dict[str, list[str]] = {}
+        for r in list_signatures(spark, root).collect():
+            by_sig.setdefault(r["signature"], []).append(r["path"])
+        path_groups = [sorted(by_sig[k]) for k in sorted(by_sig)]
         reader = spark.read.option("basePath", root) if with_batch_columns else spark.read
     parts = []
     for paths in path_groups:
