@@ -223,3 +223,21 @@ def test_column_values_reference_shape(spark):
     assert [r[0] for r in M.column_values(None, "field", default=["x"], spark=spark).collect()] == ["x"]
     with pytest.raises(ValueError):
         M.column_values(None, "field", spark=spark)
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    df = spark.range(1, 1001).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    ex = {r["g"]: r for r in M.box_stats(df, ["g"], "v").collect()}
+    ap = {r["g"]: r for r in M.box_stats(df, ["g"], "v", approx=True).collect()}
+    for g in ex:
+        assert ex[g]["n"] == ap[g]["n"]
+        assert abs(ex[g]["median"] - ap[g]["median"]) <= 3
+
+
+def test_union_by_prefix(spark):
+    from postlake.operators.relational import union_by_prefix
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("events_20180101")
+    spark.createDataFrame([(2,)], "a int").createOrReplaceTempView("events_20180102")
+    spark.createDataFrame([(3,)], "a int").createOrReplaceTempView("events_skip")
+    out = union_by_prefix(spark, "events_2018", source_column_name="src")
+    assert rows(out) == [("events_20180101", 1), ("events_20180102", 2)]

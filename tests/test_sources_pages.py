@@ -247,3 +247,14 @@ def test_decode_marks_malformed_json(spark):
     df = spark.createDataFrame([('{"job_id": "1", "title": "a"',), ('{"job_id": "2"}',)], "value string")
     got = df.select(decode_value(F.col("value"), posting_contract()).alias("d")).collect()
     assert got[0]["d"][CORRUPT] is not None and got[1]["d"][CORRUPT] is None and got[1]["d"]["job_id"] == "2"
+
+
+def test_write_keyed_json(spark, tmp_dir):
+    from postlake.sources.stream_io import write_keyed
+    df = spark.createDataFrame([("1", "a"), ("", "b")], "job_id string, title string")
+    path = os.path.join(tmp_dir, "keyed")
+    write_keyed(df, "job_id", "json", path=path)
+    got = {r["key"]: r["value"] for r in spark.read.json(path).collect()}
+    assert got["1"] == '{"job_id":"1","title":"a"}'
+    other = [k for k in got if k != "1"]
+    assert len(other) == 1 and len(other[0]) == 64  # sha256 of the record for an empty id
