@@ -25,17 +25,22 @@ LAYERS = ("staging", "intermediate", "marts", "checks")
 ACCEPTED_SOURCES = ["topcv", "topdev"]
 
 
+def _named(check: C.Check, test: str, relation: str, column: str) -> C.Check:
+    check.name = f"{test}_{relation}_{column}"
+    return check
+
+
 def pipeline_checks(stg: DataFrame, dim_job_df: DataFrame, dim_company_df: DataFrame) -> DataFrame:
-    """The declared checks of the pipeline, one summary row each."""
+    """The declared checks of the pipeline, one summary row each (G22), named test_relation_column."""
     return C.run_checks([
-        C.not_null(stg, "job_id"),
-        C.not_null(stg, "source"),
-        C.accepted_values(stg, "source", ACCEPTED_SOURCES),
-        C.not_null(stg, "crawled_at"),
-        C.unique(dim_job_df, "job_id"),
-        C.not_null(dim_job_df, "job_id"),
-        C.unique(dim_company_df, "company_id"),
-        C.not_null(dim_company_df, "company_id"),
+        _named(C.not_null(stg, "job_id"), "not_null", "stg_jobs", "job_id"),
+        _named(C.not_null(stg, "source"), "not_null", "stg_jobs", "source"),
+        _named(C.accepted_values(stg, "source", ACCEPTED_SOURCES), "accepted_values", "stg_jobs", "source"),
+        _named(C.not_null(stg, "crawled_at"), "not_null", "stg_jobs", "crawled_at"),
+        _named(C.unique(dim_job_df, "job_id"), "unique", "dim_job", "job_id"),
+        _named(C.not_null(dim_job_df, "job_id"), "not_null", "dim_job", "job_id"),
+        _named(C.unique(dim_company_df, "company_id"), "unique", "dim_company", "company_id"),
+        _named(C.not_null(dim_company_df, "company_id"), "not_null", "dim_company", "company_id"),
     ])
 
 

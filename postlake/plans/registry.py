@@ -1277,18 +1277,18 @@ with stg as ({POSTINGS_SQL}),
 dj as ({POSTING_LAYER_SQL}),
 dc as (select distinct md5('company_' || coalesce(company, 'unknown')) as company_id,
          coalesce(company, 'Unknown') as company_name from dj)
-select 'not_null_job_id' as check_name, count(*) as failures, count(*) <> 0 as should_warn,
+select 'not_null_stg_jobs_job_id' as check_name, count(*) as failures, count(*) <> 0 as should_warn,
   count(*) <> 0 as should_error from stg where job_id is null
-union all select 'not_null_source', count(*), count(*) <> 0, count(*) <> 0 from stg where source is null
-union all select 'accepted_values_source', count(*), count(*) <> 0, count(*) <> 0
+union all select 'not_null_stg_jobs_source', count(*), count(*) <> 0, count(*) <> 0 from stg where source is null
+union all select 'accepted_values_stg_jobs_source', count(*), count(*) <> 0, count(*) <> 0
   from (select source from stg group by source having source not in ('topcv', 'topdev'))
-union all select 'not_null_crawled_at', count(*), count(*) <> 0, count(*) <> 0 from stg where crawled_at is null
-union all select 'unique_job_id', count(*), count(*) <> 0, count(*) <> 0
+union all select 'not_null_stg_jobs_crawled_at', count(*), count(*) <> 0, count(*) <> 0 from stg where crawled_at is null
+union all select 'unique_dim_job_job_id', count(*), count(*) <> 0, count(*) <> 0
   from (select job_id from dj where job_id is not null group by job_id having count(*) > 1)
-union all select 'not_null_job_id', count(*), count(*) <> 0, count(*) <> 0 from dj where job_id is null
-union all select 'unique_company_id', count(*), count(*) <> 0, count(*) <> 0
+union all select 'not_null_dim_job_job_id', count(*), count(*) <> 0, count(*) <> 0 from dj where job_id is null
+union all select 'unique_dim_company_company_id', count(*), count(*) <> 0, count(*) <> 0
   from (select company_id from dc where company_id is not null group by company_id having count(*) > 1)
-union all select 'not_null_company_id', count(*), count(*) <> 0, count(*) <> 0 from dc where company_id is null
+union all select 'not_null_dim_company_company_id', count(*), count(*) <> 0, count(*) <> 0 from dc where company_id is null
 """)
 def q_medallion(spark, d):
     """Bronze written from posting-shaped rows, then staging → dedup → marts → check suite."""

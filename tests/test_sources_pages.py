@@ -258,3 +258,21 @@ def test_write_keyed_json(spark, tmp_dir):
     assert got["1"] == '{"job_id":"1","title":"a"}'
     other = [k for k in got if k != "1"]
     assert len(other) == 1 and len(other[0]) == 64  # sha256 of the record for an empty id
+
+
+def test_medallion_layers(spark, tmp_dir):
+    from postlake.plans.medallion import run_medallion
+    root = os.path.join(tmp_dir, "bronze")
+    rows = [("1", "a", "topcv", 10), ("1", "a2", "topcv", 20), ("2", "b", "other", 5)]
+    df = spark.createDataFrame(rows, "job_id string, title string, source string, crawled_at long")
+    write_bronze(df, root, "r1")
+    out = run_medallion(spark, root, select=("staging", "intermediate"))
+    assert set(out) == {"stg_jobs", "int_jobs_dedup"}
+    assert sorted((r["job_id"], r["title"]) for r in out["int_jobs_dedup"].collect()) == [("1", "a2"), ("2", "b")]
+    out = run_medallion(spark, root, out_root=os.path.join(tmp_dir, "marts"))
+    checks = {r["check_name"]: r["failures"] for r in out["checks"].collect()}
+    assert len(checks) == 8 and checks["accepted_values_stg_jobs_source"] == 1
+    assert checks["unique_dim_job_job_id"] == 0 and checks["not_null_dim_company_company_id"] == 0
+    assert out["fact_job_posting"].count() == 3 and out["dim_company"].count() == 1
+    with pytest.raises(ValueError):
+        run_medallion(spark, root, select=("bronze",))
