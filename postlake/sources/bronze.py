@@ -23,16 +23,39 @@ from postlake.sources.contract import Contract, apply_contract
 BATCH_PARTITIONS = ["batch_date", "batch_hour", "batch_minute", "batch_second"]
 
 
+_BUCKET_SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs"}
+
+
 def _footer_signatures(batches):
-    """``mapInPandas`` body: path → footer schema signature (one footer per file)."""
+    """``mapInPandas`` body: path → footer schema signature (one footer per file).
+
+    One filesystem client is kept per scheme and host and reused for every
+    file of the task.
+    """
+    from urllib.parse import unquote, urlsplit
+
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
+    clients = {}
+
+    def open_footer(path: str):
+        u = urlsplit(path)
+        scheme = _BUCKET_SCHEMES.get(u.scheme, u.scheme)
+        if scheme in ("", "file", "hdfs", "viewfs", "s3", "gs"):
+            key = (scheme, u.netloc)
+            if key not in clients:
+                uri = f"{scheme}://{u.netloc}/" if scheme not in ("", "file") else "file:///"
+                clients[key] = pafs.FileSystem.from_uri(uri)[0]
+            inner = unquote(u.netloc + u.path) if scheme in ("s3", "gs") else unquote(u.path)
+            return clients[key].open_input_file(inner)
+        fs, inner = pafs.FileSystem.from_uri(path)  # other stores: resolve per file
+        return fs.open_input_file(inner)
+
     for pdf in batches:
         sigs = []
         for p in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(p)
-            with fs.open_input_file(inner) as fh:
+            with open_footer(p) as fh:
                 schema = pq.read_schema(fh)
             sigs.append("|".join(f"{f.name}:{f.type}" for f in schema
                                  if not f.name.startswith("__index_level")))
