@@ -241,3 +241,12 @@ def test_union_by_prefix(spark):
     spark.createDataFrame([(3,)], "a int").createOrReplaceTempView("events_skip")
     out = union_by_prefix(spark, "events_2018", source_column_name="src")
     assert rows(out) == [("events_20180101", 1), ("events_20180102", 2)]
+
+
+def test_table_counts_and_describe(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    df.createOrReplaceTempView("tc_present")
+    got = {r["table_name"]: (r["row_count"], r["healthy"])
+           for r in M.table_counts(spark, ["tc_present", "tc_missing"]).collect()}
+    assert got == {"tc_present": (2, True), "tc_missing": (0, False)}
+    assert M.describe(df) == [("id", "int", True), ("name", "string", True)]
