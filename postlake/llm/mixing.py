@@ -171,7 +171,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mixed documents: all columns of ``docs``, a row for each draw, with ``mix_shard`` and ``mix_epoch``.
 
     A document that the mix takes in part has its first words only. Rows of a shard are together in a task, in random
-    (seeded) order. Null texts and texts without words are never drawn. ``how``: as for ``plan_mix``.
+    (seeded) order. Null texts and texts without words are never drawn. Columns of ``docs`` named like the two new ones
+    are replaced. ``how``: as for ``plan_mix``.
     """
     plan = plan_mix(document_sizes(docs, id_col, text_col, source_col), id_col, seed=seed, **how)
     plan = plan.where(F.size("draws") > 0).select(F.col(id_col).alias("_id"), F.col("skey").alias("_skey"), F.col("size").alias("_size"), F.col("draws").alias("_draws"))
@@ -181,6 +182,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     cut = F.col("_draw.words") < F.col("_size")
     part = _first_words(F.when(cut, F.col(text_col)), F.col("_draw.words"))
     out = drawn.withColumn("_part", part).select(
-        *[(F.coalesce("_part", c).alias(c) if c == text_col else F.col(c)) for c in docs.columns],
+        *[(F.coalesce("_part", c).alias(c) if c == text_col else F.col(c)) for c in docs.columns if c not in ("mix_shard", "mix_epoch")],
         F.col("_draw.shard").alias("mix_shard"), F.col("_draw.epoch").alias("mix_epoch"))
     return out.repartition("mix_shard").sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed), F.col(id_col), "mix_epoch"))

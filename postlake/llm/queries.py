@@ -93,8 +93,9 @@ WARC_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
 SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
-  list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    ((('0x' || substr(hex, (i // 8 * 10 + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (i % 8))::BIGINT) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (i // 8 * 10 + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (i % 8))::BIGINT) & 31) + 1, 1)
+    FOR i IN range(0, 32)], 'string_agg', '') AS payload_digest,
   CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
 FROM f
@@ -102,9 +103,9 @@ FROM f
 
 SEARCH_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
