@@ -180,10 +180,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prepare(docs.sparkSession)
     named = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id is not null and label is not null")
     named = named.groupBy("id").agg(F.min("label").alias("label"))
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    if held_out is not None:
-        known = known.where(~held_out)
-    known = known.join(named, "id")
+    allowed = docs if held_out is None else docs.where(~held_out)
+    # the sample is chosen among ids; only its texts are read on
+    ids = allowed.select(F.col(id_col).alias("id")).join(named, "id").distinct()
+    chosen = ids.orderBy(F.xxhash64("id"), "id").limit(sample)
+    known = allowed.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
 
     def numbers(batches):
         for b in batches:
@@ -203,9 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                          pa.array([x[own][keep].astype("<f4").tobytes()], pa.binary()), pa.array([lengths[own][keep].astype("<i8").tobytes()], pa.binary())],
                         names=["id", "good", "x", "lengths"])
 
-    chosen = known.select("id", "label").orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = known.join(F.broadcast(chosen.select("id").distinct()), "id").mapInArrow(numbers, "id long, good int, x binary, lengths binary") \
-        .orderBy(F.xxhash64("id"), "id", "x").limit(sample).collect()
+    rows = known.mapInArrow(numbers, "id long, good int, x binary, lengths binary") \
+        .orderBy(F.xxhash64("id"), "id", F.xxhash64("x")).limit(sample).collect()
     if not rows:
         return {"weights": np.zeros(1 + 3 * OWN), "links": np.zeros((2, 2)), "curve": (0.0, 1e-3)}
     x = [np.frombuffer(r.x, "<f4").reshape(-1, 1 + 3 * OWN) for r in rows]
