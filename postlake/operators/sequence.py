@@ -5,11 +5,13 @@ task, and a window with no key sends the whole table there. A key holding a
 third of the table therefore becomes one task holding a third of the table.
 The scan here avoids that:
 
-1. ``repartitionByRange`` on ``keys + order`` cuts the sorted table into
-   ranges of similar size; a hot key is spread over many ranges.
-2. One Arrow-batched ``mapInPandas`` pass computes every value inside a range
-   (each range arrives sorted), together with two boundary rows per range:
-   its first row and its last row.
+1. Every row gets a number, stored with the needed columns in the checkpoint
+   folder; ``repartitionByRange`` on ``keys + order + number`` cuts the sorted
+   table into ranges of similar size. A hot key is spread over many ranges,
+   and so are rows that tie in keys and order.
+2. One pass over Arrow batches (``mapInArrow``) computes every value inside a
+   range (each range arrives sorted), and marks its first and last row. Values
+   stay Arrow values, so longs, decimals, microseconds and nulls are exact.
 3. Those boundary rows (at most two per range, so the table is bounded by the
    number of ranges, not by the data) are folded with small windows into the
    values each range inherits from the ranges before and after it.
@@ -17,9 +19,8 @@ The scan here avoids that:
    expressions patch the rows at range edges. The big side is not shuffled
    again.
 
-Rows with equal ``keys + order`` values always land in one range, so ties
-never straddle a boundary. The caller projects ``df`` to the columns it needs
-before the scan: every input column travels through the Python pass.
+The caller projects ``df`` to the columns it needs before the scan: every
+input column travels through the Python pass.
 
 Why one Python pass and a checkpoint rather than windows over
 ``(range id, key)``: such windows need a second full shuffle, and the range
@@ -27,7 +28,8 @@ bounds come from a sample seeded by the RDD id, so two executions of the
 same ``repartitionByRange`` (column pruning gives each consumer its own
 exchange) may cut the ranges differently. Every consumer here reads the one
 checkpointed result of the single range shuffle, so all of them see the same
-ranges, also after an executor is lost.
+ranges, also after an executor is lost. The row numbers are read from a
+checkpoint for the same reason: a repeated task must see the same numbers.
 """
 
 from __future__ import annotations
@@ -36,17 +38,19 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.session import checkpoint, ensure_library
 
-_RP = "_scan_rp"
-# Target size of one range and the most ranges a scan uses. The carry table has
-# one row per range, so the cap is also the bound on what gets broadcast.
+_RP, _TIE = "_scan_rp", "_scan_tie"
+# Target size of one range. Beyond MAX_RANGES of them ranges grow, because the
+# carry table has one row per range and is broadcast: the cap bounds its size.
 TARGET_RANGE_BYTES = 256 * 1024 * 1024
-MAX_RANGES = 50_000
+MAX_RANGES = 1_000_000
 
 
 def range_count(df: DataFrame) -> int:
@@ -58,11 +62,8 @@ def range_count(df: DataFrame) -> int:
     explode the range count for small page-level tables.
     """
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - no estimate: keep the configured count
-        size = 0
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return max(floor, min(MAX_RANGES, -(-size // TARGET_RANGE_BYTES)))
 
 
@@ -70,152 +71,144 @@ def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
-def _same_key(pdf: pd.DataFrame, keys: list[str], carry_key) -> np.ndarray:
-    """Row i has the same key as row i-1 (row 0 is compared with ``carry_key``)."""
-    n = len(pdf)
-    same = np.ones(n, dtype=bool)
-    if n == 0:
-        return same
-    for k in keys:
-        s = pdf[k]
-        prev = s.shift(1)
-        eq = (s == prev) | (s.isna() & prev.isna())
-        same &= eq.to_numpy(dtype=bool)
-    if carry_key is None:
-        same[0] = False
-    else:
-        ok = True
-        for k, v in zip(keys, carry_key):
-            cur = pdf[k].iloc[0]
-            if pd.isna(cur) and pd.isna(v):
-                continue
-            if pd.isna(cur) or pd.isna(v) or cur != v:
-                ok = False
-                break
-        same[0] = ok
-    return same
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Null-safe equality by element; NaN equals NaN, as in grouping."""
+    if pa.types.is_nested(a.type):
+        return np.array([x == y for x, y in zip(a.to_pylist(), b.to_pylist())], dtype=bool)
+    eq = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(a.is_null(), b.is_null()))
+    if pa.types.is_floating(a.type):
+        eq = pc.or_(eq, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return eq.to_numpy(zero_copy_only=False)
+
+
+def _flat(a) -> pa.Array:
+    return a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a
+
+
+def _join(parts: list[pa.Array], typ: pa.DataType) -> pa.Array:
+    return pa.concat_arrays([_flat(p).cast(typ) if p.type != typ else _flat(p) for p in parts])
+
+
+def _only(values: pa.Array, keep: np.ndarray) -> pa.Array:
+    """``values`` where ``keep``, null elsewhere."""
+    index = np.arange(len(values), dtype=np.int64)
+    return values.take(pa.array(index, mask=~keep))
+
+
+def _ordered_longs(a: pa.Array) -> pa.Array | None:
+    """Integers that order as the values of an integer, date, time or boolean column, else None."""
+    t = a.type
+    if pa.types.is_integer(t) or pa.types.is_boolean(t):
+        return a.cast(pa.int64())
+    if pa.types.is_timestamp(t) or pa.types.is_duration(t):
+        return a.view(pa.int64())
+    if pa.types.is_date32(t):
+        return a.view(pa.int32()).cast(pa.int64())
+    return None
 
 
-def _key_of(pdf: pd.DataFrame, keys: list[str], i: int):
-    return tuple(pdf[k].iloc[i] for k in keys)
+def _running_max(a: pa.Array, grp: np.ndarray) -> pa.Array:
+    """Running maximum inside runs of equal ``grp``, nulls skipped, in the column's own type."""
+    longs = _ordered_longs(a)
+    if longs is not None:
+        v = pd.Series(pd.arrays.IntegerArray(longs.fill_null(0).to_numpy(zero_copy_only=False).copy(),
+                                             longs.is_null().to_numpy(zero_copy_only=False)))
+    elif pa.types.is_floating(a.type):
+        v = pd.Series(a.to_numpy(zero_copy_only=False)).astype("float64")
+    else:
+        raise TypeError(f"running maximum of {a.type}")
+    m = v.groupby(grp).cummax().groupby(grp).ffill()
+    if longs is None:
+        return pa.array(m, from_pandas=True).cast(a.type)
+    out = pa.array(m.to_numpy(dtype="int64", na_value=0), mask=m.isna().to_numpy(dtype=bool))
+    if pa.types.is_date32(a.type):
+        return out.cast(pa.int32()).view(a.type)
+    return out.view(a.type) if pa.types.is_timestamp(a.type) or pa.types.is_duration(a.type) else out.cast(a.type)
 
 
 def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols):
-    """Build the per-range function for ``mapInPandas``."""
+    """Build the per-range function for ``mapInArrow``."""
+
+    def finish(cols: dict, same: np.ndarray, after) -> pa.RecordBatch:
+        # lead values and last-of-key flags need the next row of the range
+        n = len(same)
+        follows = after is not None and all(_equal(cols[k].slice(n - 1, 1), after.column(k))[0] for k in keys)
+        same_next = np.append(same[1:], follows)
+        cols["_last"] = pa.array(~same_next)
+        for c in next_cols:
+            tail = after.column(c) if after is not None else pa.nulls(1, cols[c].type)
+            cols["_lnext_" + c] = _only(_join([cols[c].slice(1), tail], cols[c].type), same_next)
+        end = np.zeros(n, dtype=bool)
+        end[n - 1] = after is None
+        cols["_end"] = pa.array(end)
+        return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     def run(batches):
-        state = None        # carried from the previous batch of this range
-        pending = None      # batch waiting for the next batch (lead values)
-        range_first_key = None
-        seen_rows = False
-
-        def finish(pdf, nxt):
-            # lead values and last-of-key flags need the next row of the range
-            n = len(pdf)
-            if nxt is not None and len(nxt):
-                nxt_same = _same_key(nxt.iloc[:1], keys, _key_of(pdf, keys, n - 1))[0]
-            else:
-                nxt_same = False
-            same_next = np.append(pdf["_same"].to_numpy()[1:], nxt_same)
-            pdf["_last"] = ~same_next
-            for c in next_cols:
-                s = pdf[c].shift(-1)
-                if n:
-                    s.iloc[n - 1] = nxt[c].iloc[0] if nxt_same else None
-                pdf["_lnext_" + c] = s.where(same_next, None)
-            pdf["_end"] = False
-            if nxt is None and n:
-                pdf.loc[pdf.index[n - 1], "_end"] = True
-            return pdf.drop(columns=["_same"])
-
-        for pdf in batches:
-            if len(pdf) == 0:
+        state, pending, first_key, index = None, None, None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            carry_key = state["key"] if state else None
-            same = _same_key(pdf, keys, carry_key)
-            if range_first_key is None:
-                range_first_key = _key_of(pdf, keys, 0)
-            pdf["_begin"] = False
-            if not seen_rows:
-                pdf.loc[0, "_begin"] = True
-                seen_rows = True
-            pdf["_same"] = same
-            pdf["_first"] = ~same
+            cols = dict(zip(batch.schema.names, batch.columns))
+            same = np.ones(n, dtype=bool)
+            for k in keys:
+                before = pa.nulls(1, cols[k].type) if state is None else state["row"].column(k)
+                same &= _equal(cols[k], _join([before, cols[k].slice(0, n - 1)], cols[k].type))
+            same[0] &= state is not None
+            if first_key is None:
+                first_key = batch.slice(0, 1)
+            begin = np.zeros(n, dtype=bool)
+            begin[0] = state is None
             grp = np.cumsum(~same)
             cont = grp == 0  # rows continuing the key carried from the last batch
-            # row index of the key inside this range
-            idx = pd.Series(np.ones(len(pdf), dtype=np.int64)).groupby(grp).cumsum() - 1
-            if state is not None:
-                idx = idx + np.where(cont, state["idx"] + 1, 0)
-            pdf["_lidx"] = idx.astype(np.int64)
-            # is this row's key the first key of the range?
-            pf = _same_key(pdf, keys, range_first_key)
-            pf = np.logical_and.accumulate(np.concatenate([[pf[0]], same[1:]])) if len(pf) else pf
-            if state is not None and not state["pf"]:
-                pf = np.zeros(len(pdf), dtype=bool)
-            pdf["_pf"] = pf
+            start = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
+            idx = np.arange(n) - start + np.where(cont, index, 0)
+            # is this row's key the first key of the range? its rows are at the range's start
+            leading = np.logical_and.accumulate(np.concatenate([[state is None or (state["pf"] and same[0])], same[1:]]))
+            cols |= {"_begin": pa.array(begin), "_first": pa.array(~same), "_lidx": pa.array(idx), "_pf": pa.array(leading)}
             for c in prev_cols:
-                s = pdf[c].shift(1)
-                s.iloc[0] = state["vals"][c] if (state is not None and same[0]) else None
-                pdf["_lprev_" + c] = s.where(same, None)
+                before = pa.nulls(1, cols[c].type) if state is None else state["row"].column(c)
+                cols["_lprev_" + c] = _only(_join([before, cols[c].slice(0, n - 1)], cols[c].type), same)
             for c in max_cols:
-                v = pd.to_numeric(pdf[c], errors="coerce").astype("float64")
-                m = v.groupby(grp).cummax()
-                m = m.groupby(grp).ffill()
-                if state is not None and state["max"][c] is not None:
-                    m = pd.Series(np.where(cont, np.fmax(m.to_numpy(), state["max"][c]), m))
-                pdf["_lmax_" + c] = m
+                a, g = cols[c], grp
+                if state is not None:  # the maximum so far is a row in front of those that continue
+                    a, g = _join([state["max"][c], a], a.type), np.concatenate([[0], grp])
+                cols["_lmax_" + c] = _running_max(a, g).slice(int(state is not None))
             for c in run_cols:
-                flag = pdf[c].fillna(False).astype(bool).to_numpy()
-                block = np.cumsum((~same) | (~flag))
-                r = pd.Series(flag.astype(np.int64)).groupby(block).cumsum().to_numpy()
-                if state is not None and same[0] and flag[0]:
-                    r = np.where(block == 0, r + state["run"][c], r)
-                pdf["_lrun_" + c] = r.astype(np.int64)
-            last = len(pdf) - 1
-            state = {
-                "key": _key_of(pdf, keys, last),
-                "idx": int(pdf["_lidx"].iloc[last]),
-                "pf": bool(pdf["_pf"].iloc[last]),
-                "vals": {c: pdf[c].iloc[last] for c in prev_cols},
-                "max": {c: (None if pd.isna(pdf["_lmax_" + c].iloc[last])
-                            else float(pdf["_lmax_" + c].iloc[last])) for c in max_cols},
-                "run": {c: int(pdf["_lrun_" + c].iloc[last]) for c in run_cols},
-            }
+                flag = cols[c].fill_null(False).to_numpy(zero_copy_only=False)
+                last_break = np.maximum.accumulate(np.where(flag & same, -1, np.where(flag, np.arange(n) - 1, np.arange(n))))
+                length = np.arange(n) - last_break
+                if state is not None:  # no break yet in this batch: the run goes on from the one before
+                    length = np.where(last_break < 0, np.arange(n) + 1 + np.where(same[0], state["run"][c], 0), length)
+                cols["_lrun_" + c] = pa.array(np.where(flag, length, 0).astype(np.int64))
+            index = int(idx[-1]) + 1
+            state = {"row": batch.slice(n - 1, 1), "pf": bool(leading[-1]),
+                     "max": {c: cols["_lmax_" + c].slice(n - 1, 1) for c in max_cols},
+                     "run": {c: cols["_lrun_" + c][n - 1].as_py() for c in run_cols}}
             if pending is not None:
-                yield finish(pending, pdf)
-            pending = pdf
+                yield finish(*pending, batch.slice(0, 1))
+            pending = (cols, same)
         if pending is not None:
-            yield finish(pending, None)
+            yield finish(*pending, None)
 
     return run
 
 
-def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
-                 prev: Sequence[str] = (), next: Sequence[str] = (),
-                 running_max: Sequence[str] = (), runs: Sequence[str] = (),
-                 num_partitions: int | None = None) -> DataFrame:
-    """Add ordered-scan columns to ``df`` without a one-task window.
-
-    Per row, within its ``keys`` group in ``order`` (nulls first when a plain
-    column name is given):
+def local_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
+               prev: Sequence[str] = (), next: Sequence[str] = (),
+               running_max: Sequence[str] = (), runs: Sequence[str] = (),
+               num_partitions: int | None = None) -> DataFrame:
+    """The range-partitioned pass of :func:`ordered_scan` as a plan, not yet run.
 
-    * ``_idx``: 0-based position,
-    * ``prev_<c>`` / ``next_<c>``: value of ``c`` in the previous / next row,
-    * ``max_<c>``: running maximum of numeric ``c`` up to this row (nulls skipped),
-    * ``run_<c>``: length of the run of true values of boolean ``c`` ending here.
+    ``df`` has the row-number column of :func:`numbered`.
     """
     keys, prev, next_, running_max, runs = (list(x) for x in (keys, prev, next, running_max, runs))
-    spark = df.sparkSession
-    ensure_library(spark)
     n = num_partitions or range_count(df)
-    sort = [F.col(k).asc_nulls_first() for k in keys] + _sort_cols(order)
-
+    sort = [F.col(k).asc_nulls_first() for k in keys] + _sort_cols(order) + [F.col(_TIE)]
     ranged = (df.repartitionByRange(n, *sort)
                 .sortWithinPartitions(*sort)
+                .drop(_TIE)
                 .withColumn(_RP, F.spark_partition_id()))
-
     fields = list(ranged.schema.fields)
     typ = {f.name: f.dataType for f in fields}
     out = T.StructType(
@@ -223,14 +216,41 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
         + [T.StructField("_begin", T.BooleanType()), T.StructField("_first", T.BooleanType()),
            T.StructField("_lidx", T.LongType()), T.StructField("_pf", T.BooleanType())]
         + [T.StructField("_lprev_" + c, typ[c]) for c in prev]
-        + [T.StructField("_lmax_" + c, T.DoubleType()) for c in running_max]
+        + [T.StructField("_lmax_" + c, typ[c]) for c in running_max]
         + [T.StructField("_lrun_" + c, T.LongType()) for c in runs]
         + [T.StructField("_last", T.BooleanType())]
         + [T.StructField("_lnext_" + c, typ[c]) for c in next_]
         + [T.StructField("_end", T.BooleanType())]
     )
-    local = checkpoint(ranged.mapInPandas(
-        _local_pass(keys, prev, next_, running_max, runs), schema=out))
+    return ranged.mapInArrow(_local_pass(keys, prev, next_, running_max, runs), schema=out)
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a stored number per row, by which rows that tie are split over ranges."""
+    return checkpoint(df.withColumn(_TIE, F.monotonically_increasing_id()))
+
+
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
+                 prev: Sequence[str] = (), next: Sequence[str] = (),
+                 running_max: Sequence[str] = (), runs: Sequence[str] = (),
+                 num_partitions: int | None = None) -> DataFrame:
+    """Add ordered-scan columns to ``df`` without a one-task window.
+
+    Per row, within its ``keys`` group in ``order`` (nulls first when a plain
+    column name is given; rows that tie come in any order):
+
+    * ``_idx``: 0-based position,
+    * ``prev_<c>`` / ``next_<c>``: value of ``c`` in the previous / next row,
+    * ``max_<c>``: running maximum of ``c`` up to this row (nulls skipped), in
+      the type of ``c``: a whole or floating number, date, time or boolean,
+    * ``run_<c>``: length of the run of true values of boolean ``c`` ending here.
+    """
+    keys, prev, next_, running_max, runs = (list(x) for x in (keys, prev, next, running_max, runs))
+    ensure_library(df.sparkSession)
+    typ = {f.name: f.dataType for f in df.schema.fields}
+    if num_partitions is None:
+        num_partitions = range_count(df)
+    local = checkpoint(local_scan(numbered(df), keys, order, prev, next_, running_max, runs, num_partitions))
 
     # boundary rows: the first row of each range (for lead carries) and the
     # last row of each range (for lag / index / max / run carries)
@@ -249,7 +269,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
         F.col(_RP), *key_cols, F.lit(0).alias("_kind"),
         F.lit(None).cast("long").alias("_n"),
         F.lit(None).cast(ends.schema["_lastv"].dataType).alias("_lastv"),
-        *[F.lit(None).cast("double").alias("_mx_" + c) for c in running_max],
+        *[F.lit(None).cast(typ[c]).alias("_mx_" + c) for c in running_max],
         *[F.lit(None).cast("long").alias("_tr_" + c) for c in runs],
         *[F.lit(None).cast("boolean").alias("_all_" + c) for c in runs],
         F.struct(*[F.col(c) for c in next_] or [F.lit(1).alias("_d")]).alias("_firstv"),

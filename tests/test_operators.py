@@ -250,3 +250,18 @@ def test_table_counts_and_describe(spark):
            for r in M.table_counts(spark, ["tc_present", "tc_missing"]).collect()}
     assert got == {"tc_present": (2, True), "tc_missing": (0, False)}
     assert M.describe(df) == [("id", "int", True), ("name", "string", True)]
+
+
+def test_range_checks_beyond_double_precision_and_open_ended(spark):
+    base = 2 ** 53
+    seq = spark.createDataFrame([(base + i,) for i in range(1, 10)], "v long")
+    assert C.sequential_values(seq, "v", num_partitions=1).rows.collect() == []
+    assert C.sequential_values(seq.where(f"v <> {base + 4}"), "v", num_partitions=3).rows.collect() == [(base + 5, base + 3)]
+    chain = spark.createDataFrame([(base + i, base + i + 1) for i in range(6)], "lo long, hi long")
+    assert C.mutually_exclusive_ranges(chain, "lo", "hi", gaps="not_allowed", num_partitions=1).rows.collect() == []
+    far = spark.createDataFrame([("a", dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)), ("a", dt.datetime(2021, 1, 1), dt.datetime(9999, 12, 31)),
+                                 ("b", dt.datetime(2020, 1, 1), dt.datetime(9999, 12, 31)), ("b", dt.datetime(2022, 1, 1), None)],
+                                "k string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    bad = C.mutually_exclusive_ranges(far, "valid_from", "valid_to", ["k"]).rows.collect()
+    assert sorted((r.partition_by_col, r.lower_bound.year) for r in bad) == [("b", 2020), ("b", 2022)]
+    assert C.sequential_values(far, "valid_to", 1, "day", ["k"]).rows.count() == 1

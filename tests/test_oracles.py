@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from postlake.plans import registry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -51,7 +52,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(registry.ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -81,7 +83,7 @@ def _plan_problems(name: str, plan: str) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF001)
     assert _plan_problems(name, sdf._jdf.queryExecution().executedPlan().toString()) == []

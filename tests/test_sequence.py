@@ -1,9 +1,11 @@
+import datetime as dt
+import decimal
 import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from postlake.operators.sequence import ordered_scan
+from postlake.operators.sequence import local_scan, numbered, ordered_scan
 
 
 def _frame(spark, n=3000, seed=7):
@@ -23,7 +25,7 @@ def _brute(df, keys):
     out = (df.withColumn("_idx", F.row_number().over(w) - 1)
              .withColumn("prev_v", F.lag("v").over(w))
              .withColumn("next_v", F.lead("v").over(w))
-             .withColumn("max_v", F.max(F.col("v").cast("double")).over(wr))
+             .withColumn("max_v", F.max(F.col("v")).over(wr))
              .withColumn("_brk", F.max(F.when(~F.coalesce(F.col("f"), F.lit(False)), F.col("_idx"))).over(wr))
              .withColumn("run_f", F.col("_idx") - F.coalesce(F.col("_brk"), F.lit(-1)))
              .drop("_brk"))
@@ -70,3 +72,45 @@ def test_range_count_follows_data_read_not_join_estimates(spark):
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert range_count(a.join(b, "k").join(a, "k")) == floor
     assert range_count(spark.range(10 ** 15)) == MAX_RANGES
+
+
+def test_tied_rows_are_split_over_ranges(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 20 > 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("v"))
+    plan = local_scan(numbered(df), [], ["v"], prev=["v"], num_partitions=16)
+    sizes = [r["count"] for r in plan.groupBy("_scan_rp").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) < 3 * 20_000 / 16
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and text.count("rangepartitioning") == 1 and "SinglePartition" not in text
+    got = sorted((r.v, r._idx, r.prev_v) for r in ordered_scan(df, [], ["v"], prev=["v"], num_partitions=16).collect())
+    values = sorted(r.v for r in df.collect())
+    assert [g[0] for g in got] == values and sorted(g[1] for g in got) == list(range(20_000))
+    assert sorted(g[2] for g in got if g[2] is not None) == values[:-1]
+
+
+def test_values_stay_exact(spark):
+    """Longs above 2**53, far dates, decimals, microseconds, nulls and NaN pass through unchanged."""
+    rows = [(None if i % 3 == 0 else "k", i, None if i % 5 == 4 else 2 ** 53 + i, dt.datetime(9999, 12, 31, 23, 59, 59, 999990 + i % 10),
+             decimal.Decimal("12345678901234567890.12") + i, float("nan") if i % 4 == 0 else i / 3, dt.date(9999, 12, 31), [i, None]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, o long, v long, t timestamp_ntz, d decimal(30,2), f double, y date, a array<int>")
+    cols = ["v", "t", "d", "f", "y", "a"]
+    tops = ["v", "t", "y"]
+    got = ordered_scan(df, ["k"], ["o"], prev=cols, next=cols, running_max=tops, num_partitions=7)
+    w = Window.partitionBy("k").orderBy("o")
+    want = df
+    for c in cols:
+        want = want.withColumn("prev_" + c, F.lag(c).over(w)).withColumn("next_" + c, F.lead(c).over(w))
+    for c in tops:
+        want = want.withColumn("max_" + c, F.max(c).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    names = [x + c for x in ("prev_", "next_") for c in cols] + ["max_" + c for c in tops]
+    assert {c: t for c, t in got.dtypes if c in names} == {c: t for c, t in want.dtypes if c in names}
+    assert sorted(map(repr, got.select("o", *names).collect())) == sorted(map(repr, want.select("o", *names).collect()))
+
+
+def test_keys_with_nan_and_equal_rows(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (float("nan"), 2), (None, 1), (None, 1), (0.5, 3)] * 9, "k double, o int")
+    got = ordered_scan(df, ["k"], ["o"], num_partitions=6).groupBy("k").agg(F.max("_idx").alias("m"), F.count_distinct("_idx").alias("n")).collect()
+    assert sorted((str(r.k), r.m, r.n) for r in got) == [("0.5", 8, 9), ("None", 17, 18), ("nan", 17, 18)]
+
+
+def test_empty_frame(spark):
+    assert ordered_scan(spark.range(0), [], ["id"], prev=["id"], running_max=["id"]).collect() == []
