@@ -48,8 +48,9 @@ def run_medallion(spark: SparkSession, bronze: str | DataFrame, out_root: str |
                   select: Sequence[str] = LAYERS) -> dict[str, DataFrame]:
     """Run the chosen layers in order; returns the relations by name.
 
-    ``bronze`` is a bronze folder (scanned with the contract) or an already
-    typed staging frame. The ``checks`` entry holds the check summary.
+    ``bronze`` is a bronze folder or an already typed staging frame. Staging
+    gives the contract's fields their types and fills nothing, so that the
+    not-null checks see what is missing. The ``checks`` entry holds the check summary.
     """
     unknown = set(select) - set(LAYERS)
     if unknown:

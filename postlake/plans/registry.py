@@ -49,9 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's checkpoint folder (shared on a cluster)."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the session's checkpoint folder (shared on a cluster); it goes when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def _epoch_seconds(ntz: Column) -> Column:
@@ -591,7 +593,7 @@ from orders
 """
 
 
-def _as_postings(spark, d) -> DataFrame:
+def _as_postings(spark, d, keep=()) -> DataFrame:
     o = table(spark, d, "orders")
     fl = F.floor(F.col("o_totalprice") / 10000).cast("bigint")
     return o.select(
@@ -606,6 +608,7 @@ def _as_postings(spark, d) -> DataFrame:
         F.col("o_orderdate").cast("string").alias("posted_at"),
         F.concat(F.lit("Hạn nộp "), (F.col("o_orderkey") % 28 + 1).cast("string"), F.lit("/12")).alias("deadline"),
         (_epoch_seconds(F.col("o_orderdate")) + F.col("o_orderkey")).alias("crawled_at"),
+        *keep,
     )
 
 
@@ -843,30 +846,35 @@ def q_apply_contract(spark, d):
 
 
 @query("a1_scan_bronze_mixed_files", """
-select 'J' || o_orderkey as job_id, o_orderpriority as title, cast(o_totalprice as double) as salary_min,
+select case when o_orderkey % 5 = 0 then null else 'J' || o_orderkey end as job_id, o_orderpriority as title,
+  cast(null as varchar) as source, cast(o_totalprice as double) as salary_min,
   case when o_orderstatus = 'O' then null else cast(o_custkey as double) end as salary_max,
-  [] :: varchar[] as tags
+  case when o_orderstatus = 'F' then []::varchar[] end as tags,
+  case when o_orderstatus = 'P' then 'extra ' || o_custkey end as category,
+  case o_orderstatus when 'F' then '05' when 'O' then '05' else '17' end as batch_hour,
+  'run_' || lower(o_orderstatus) as run_id
 from orders
 """)
 def q_scan_bronze(spark, d):
-    """Three batches of one table written with different physical types, read back by contract."""
+    """Three batches of one table written with different physical types, read back by contract, nulls kept."""
     from postlake.sources.bronze import scan_bronze, write_bronze
     from postlake.sources.contract import posting_contract
     o = table(spark, d, "orders")
     root = _shared_dir(spark, "bronze")
-    base = [F.concat(F.lit("J"), F.col("o_orderkey").cast("string")).alias("job_id"),
+    base = [F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("J"), F.col("o_orderkey").cast("string"))).alias("job_id"),
             F.col("o_orderpriority").alias("title")]
-    # batch F: integer-valued prices as bigint; batch O: no salary_max column; batch P: doubles
+    early, late = dt.datetime(2024, 5, 6, 5), dt.datetime(2024, 5, 6, 17)
+    # batch F: integer-valued prices as bigint; batch O: no salary_max column; batch P: doubles and a column of its own
     write_bronze(o.where("o_orderstatus = 'F'").select(
         *base, F.col("o_totalprice").alias("salary_min"), F.col("o_custkey").alias("salary_max"),
-        F.array().cast("array<int>").alias("tags")), root, "run_f")
+        F.array().cast("array<int>").alias("tags")), root, "run_f", early)
     write_bronze(o.where("o_orderstatus = 'O'").select(
-        *base, F.col("o_totalprice").cast("string").alias("salary_min")), root, "run_o")
+        *base, F.col("o_totalprice").cast("string").alias("salary_min")), root, "run_o", early)
     write_bronze(o.where("o_orderstatus = 'P'").select(
-        *base, F.col("o_totalprice").alias("salary_min"), F.col("o_custkey").cast("double").alias("salary_max")),
-        root, "run_p")
-    stg = scan_bronze(spark, root, posting_contract())
-    return stg.select("job_id", "title", "salary_min", "salary_max", "tags")
+        *base, F.col("o_totalprice").alias("salary_min"), F.col("o_custkey").cast("double").alias("salary_max"),
+        F.concat(F.lit("extra "), F.col("o_custkey").cast("string")).alias("category")), root, "run_p", late)
+    stg = scan_bronze(spark, root, posting_contract(), with_batch_columns=True)
+    return stg.select("job_id", "title", "source", "salary_min", "salary_max", "tags", "category", "batch_hour", "run_id")
 
 
 @query("a9_keyed_records", """
@@ -1272,9 +1280,28 @@ def q_crawl_audit(spark, d):
     return crawl_audit(table(spark, d, "conversations"), "conv_id", "turn", "role")
 
 
+# Staging keeps nulls: these rows miss an id, a source or a crawl time.
+RAW_POSTINGS_SQL = f"""
+select * replace (case when o_orderkey % 101 = 0 then null else job_id end as job_id,
+  case when o_orderkey % 7 = 3 then null when o_orderkey % 11 = 5 then 'elsewhere' else source end as source,
+  case when o_orderkey % 13 = 4 then null else crawled_at end as crawled_at)
+from ({POSTINGS_SQL})
+"""
+
+
+def _as_raw_postings(spark, d) -> DataFrame:
+    o = _as_postings(spark, d, keep=["o_orderkey"])
+    k = F.col("o_orderkey")
+    return o.withColumns({
+        "job_id": F.when(k % 101 != 0, F.col("job_id")),
+        "source": F.when(k % 7 == 3, F.lit(None)).when(k % 11 == 5, F.lit("elsewhere")).otherwise(F.col("source")),
+        "crawled_at": F.when(k % 13 != 4, F.col("crawled_at"))})
+
+
 @query("i4_medallion_checks", f"""
-with stg as ({POSTINGS_SQL}),
-dj as ({POSTING_LAYER_SQL}),
+with stg as ({RAW_POSTINGS_SQL}),
+dj as (select job_id, company from (select *, row_number() over (partition by job_id order by crawled_at desc nulls last) as rn
+        from stg) where rn = 1),
 dc as (select distinct md5('company_' || coalesce(company, 'unknown')) as company_id,
          coalesce(company, 'Unknown') as company_name from dj)
 select 'not_null_stg_jobs_job_id' as check_name, count(*) as failures, count(*) <> 0 as should_warn,
@@ -1291,15 +1318,26 @@ union all select 'unique_dim_company_company_id', count(*), count(*) <> 0, count
 union all select 'not_null_dim_company_company_id', count(*), count(*) <> 0, count(*) <> 0 from dc where company_id is null
 """)
 def q_medallion(spark, d):
-    """Bronze written from posting-shaped rows, then staging → dedup → marts → check suite."""
+    """Bronze written from posting-shaped rows with nulls, then staging → dedup → marts → check suite."""
+    return _medallion(spark, d)["checks"]
+
+
+def _medallion(spark, d) -> dict[str, DataFrame]:
     from postlake.plans.medallion import run_medallion
     from postlake.sources.bronze import write_bronze
     root = _shared_dir(spark, "medallion-bronze")
-    raw = _as_postings(spark, d)
+    raw = _as_raw_postings(spark, d)
     write_bronze(raw.where("o_orderkey % 2 = 0").drop("o_orderkey"), root, "run_even")
     write_bronze(raw.where("o_orderkey % 2 = 1").drop("o_orderkey"), root, "run_odd")
-    out = run_medallion(spark, root, out_root=_shared_dir(spark, "medallion-out"))
-    return out["checks"]
+    return run_medallion(spark, root, out_root=_shared_dir(spark, "medallion-out"))
+
+
+@query("i4_medallion_fact_rows", f"""
+select job_id, company, crawled_at from ({RAW_POSTINGS_SQL}) where job_id is not null
+""")
+def q_medallion_fact(spark, d):
+    """The fact table of the same run: rows without an id are left out, other nulls stay."""
+    return _medallion(spark, d)["fact_job_posting"].select("job_id", "company", "crawled_at")
 
 
 # ------------------------------------------------------------------ 2H streaming
@@ -1307,34 +1345,70 @@ def q_medallion(spark, d):
 def _write_messages(spark, d) -> str:
     """JSON message lines from posting-shaped rows, plus one undecodable line per pending order."""
     src = _shared_dir(spark, "messages")
-    raw = _as_postings(spark, d)
-    raw.drop("o_orderkey").write.json(src + "/good")
+    _as_postings(spark, d).write.json(src + "/good")
     o = table(spark, d, "orders").where("o_orderstatus = 'P'")
     o.select(F.concat(F.lit("broken-"), F.col("o_orderkey").cast("string")).alias("value")) \
         .write.text(src + "/bad")
     return src
 
 
-def _ingest(spark, d):
+def _ingest(spark, src: str, root: str, bad: str, ckpt: str) -> None:
+    """Drain the message folder into bronze, a file for each micro-batch."""
     from postlake.sources.stream_io import read_stream
     from postlake.streaming.ingest import ingest_stream
-    src = _write_messages(spark, d)
-    root, bad, ckpt = (_shared_dir(spark, n) for n in ("ingest-bronze", "ingest-quarantine", "ingest-ckpt"))
-    stream = read_stream(spark, "json", {"recursiveFileLookup": "true", "maxFilesPerTrigger": "4"}, path=src)
-    q = ingest_stream(stream, root, ckpt, quarantine=bad, run_prefix="h1", available_now=True)
-    q.awaitTermination()
-    return root, bad
+    stream = read_stream(spark, "json", {"recursiveFileLookup": "true", "maxFilesPerTrigger": "1"}, path=src)
+    ingest_stream(stream, root, ckpt, quarantine=bad, run_prefix="h", available_now=True).awaitTermination()
 
 
-@query("h1_ingest_stream", f"""
-select job_id, title, coalesce(company, '') as company, source, crawled_at from ({POSTINGS_SQL})
-""")
+def _forget_last_commit(spark, ckpt: str) -> None:
+    """Remove a query's last commit, as if it had stopped between writing a batch and committing it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(ckpt + "/commits")
+    fs = folder.getFileSystem(conf)
+    last = max((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().isdigit()), key=lambda p: int(p.getName()))
+    fs.delete(last, False)
+
+
+# All 29 fields as ingest writes them: defaults filled.
+INGESTED_SQL = f"""
+select job_id, title, coalesce(company, '') as company, url, null::varchar as company_url, null::varchar as logo_url,
+  salary, null::varchar as location, experience, []::varchar[] as tags, null::varchar as updated_at, posted_at,
+  false as is_urgent, false as is_highlight, false as is_flash, false as company_verified,
+  null::varchar as job_description, null::varchar as job_requirement, null::varchar as job_benefit, deadline,
+  []::varchar[] as working_times, null::double as salary_min, null::double as salary_max, false as deal_salary,
+  null::integer as experience_min, null::integer as experience_max, false as experience_not_mentioned, crawled_at, source
+from ({POSTINGS_SQL})
+"""
+
+
+@query("h1_ingest_stream", INGESTED_SQL)
 def q_ingest(spark, d):
     """Messages → file stream → decode → contract → bronze per micro-batch → scan back."""
     from postlake.sources.bronze import scan_bronze
     from postlake.sources.contract import posting_contract
-    root, _ = _ingest(spark, d)
-    return scan_bronze(spark, root, posting_contract()).select("job_id", "title", "company", "source", "crawled_at")
+    root, bad, ckpt = (_shared_dir(spark, n) for n in ("ingest-bronze", "ingest-quarantine", "ingest-ckpt"))
+    _ingest(spark, _write_messages(spark, d), root, bad, ckpt)
+    return scan_bronze(spark, root, posting_contract())
+
+
+@query("h2_replay_and_shared_root", f"""
+select 2 * count(*) as n_rows, count(distinct o_orderkey) as n_postings, 2 as writers, 0 as repeated_in_run
+from ({POSTINGS_SQL})
+""")
+def q_replay(spark, d):
+    """Two queries ingest the same messages into one root, one replays its last batch: nothing is lost or doubled."""
+    from postlake.sources.bronze import scan_bronze
+    src, root, bad = _write_messages(spark, d), _shared_dir(spark, "ingest-bronze"), _shared_dir(spark, "ingest-quarantine")
+    first, second = _shared_dir(spark, "ingest-ckpt"), _shared_dir(spark, "ingest-ckpt")
+    _ingest(spark, src, root, bad, first)
+    _ingest(spark, src, root, bad, second)
+    _forget_last_commit(spark, first)
+    _ingest(spark, src, root, bad, first)
+    rows = scan_bronze(spark, root, with_batch_columns=True).withColumn("writer", F.split("run_id", "_")[1])
+    per = rows.groupBy("writer", "crawled_at").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("n_rows"), F.count_distinct("crawled_at").alias("n_postings"),
+                   F.count_distinct("writer").cast("int").alias("writers"),
+                   F.sum(F.col("n") - 1).cast("int").alias("repeated_in_run"))
 
 
 @query("h3_quarantine_bad_records", """
@@ -1342,22 +1416,53 @@ select 'broken-' || o_orderkey as _raw from orders where o_orderstatus = 'P'
 """)
 def q_quarantine(spark, d):
     from postlake.sources.bronze import scan_bronze
-    _, bad = _ingest(spark, d)
+    root, bad, ckpt = (_shared_dir(spark, n) for n in ("ingest-bronze", "ingest-quarantine", "ingest-ckpt"))
+    _ingest(spark, _write_messages(spark, d), root, bad, ckpt)
     return scan_bronze(spark, bad).select("_raw")
 
 
+@query("a9_publish_stream", """
+select 'J' || o_custkey as key, o_orderpriority as title, cast(epoch(o_orderdate) as bigint) + o_orderkey as crawled_at
+from orders
+""")
+def q_publish_stream(spark, d):
+    """Decoded messages published again by a streaming query as keyed records, read back."""
+    from postlake.sources.stream_io import read_stream, write_keyed_stream
+    src, out, ckpt = _write_messages(spark, d) + "/good", _shared_dir(spark, "published"), _shared_dir(spark, "publish-ckpt")
+    stream = read_stream(spark, "json", {"maxFilesPerTrigger": "2"}, path=src).drop("_raw", "_decoded")
+    write_keyed_stream(stream, "job_id", "json", ckpt, path=out, available_now=True).awaitTermination()
+    kv = spark.read.schema("key string, value string").json(out)
+    return kv.select("key", F.get_json_object("value", "$.title").alias("title"),
+                     F.get_json_object("value", "$.crawled_at").cast("bigint").alias("crawled_at"))
+
+
 @query("h5_dedup_stream", """
 select distinct user_id from events
 """)
 def q_dedup_stream(spark, d):
-    """First sighting per user id in an event stream (watermark-bounded state), one batch."""
+    """One record per user id of an event stream read from the table's own path, a file or a folder."""
     from postlake.streaming.dedup import dedup_stream
-    ev_schema = table(spark, d, "events").schema
-    stream = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-              .parquet(d))
-    firsts = dedup_stream(stream, "user_id", "ts", "1 hour").select("user_id", "ts")
+    # as a glob: a stream takes a plain path for a folder, and the table may be one file
+    path = f"{d.rstrip('/')}/events.parque[t]"
+    stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(path)
     out, ckpt = _shared_dir(spark, "dedup-out"), _shared_dir(spark, "dedup-ckpt")
-    q = (firsts.writeStream.format("parquet").option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start(out))
+    q = (dedup_stream(stream, "user_id", "ts").select("user_id", "ts").writeStream.format("parquet")
+         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start(out))
     q.awaitTermination()
-    return spark.read.schema("user_id bigint, ts timestamp").parquet(out).select("user_id")
+    return spark.read.schema("user_id bigint, ts timestamp_ntz").parquet(out).select("user_id")
+
+
+@query("h5_mark_repeats", """
+select event_id, user_id, ts, row_number() over (partition by user_id order by event_id % 3, ts, event_id) = 1 as is_new
+from events
+""")
+def q_mark_repeats(spark, d):
+    """All events of a stream of three batches, arriving out of time order, marked as first sightings or repeats."""
+    from postlake.streaming.dedup import mark_stream
+    ev = table(spark, d, "events").select("event_id", "user_id", "ts")
+    src, out, seen, ckpt = (_shared_dir(spark, n) for n in ("events", "marked", "seen", "mark-ckpt"))
+    for part in range(3):
+        ev.where(F.col("event_id") % 3 == part).write.parquet(f"{src}/part={part}")
+        stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src)
+        mark_stream(stream, "user_id", ["ts", "event_id"], out, seen, ckpt, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "ts", "is_new")

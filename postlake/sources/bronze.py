@@ -14,12 +14,14 @@ import datetime as dt
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.session import ensure_library
-from postlake.sources.contract import Contract, apply_contract
+from postlake.session import checkpoint, ensure_library
+from postlake.sources.contract import Contract, contract_types
 
+# Column of a micro-batch that holds its logged time.
+BATCH_TIME = "_batch_time"
 BATCH_PARTITIONS = ["batch_date", "batch_hour", "batch_minute", "batch_second"]
 
 
@@ -78,40 +80,48 @@ def scan_bronze(spark: SparkSession, root: str, contract: Contract | None = None
 
     Files are grouped by footer signature; with one signature the folder is
     read as is, otherwise each group is read with its own schema (Parquet
-    pushdown and pruning stay intact), cast to the contract when one is
-    given, and the groups are unioned by name (missing columns → null,
-    numeric types widened by Spark when no contract is given). Only in the
-    mixed case do file lists pass through the driver (as Spark's own file
-    index would hold them).
-    ``with_batch_columns`` keeps the ``batch_*`` / ``run_id`` path columns as
-    strings.
+    pushdown and pruning stay intact), and the groups are unioned by name
+    (missing columns → null). A contract gives its fields their types; nulls
+    stay null, absent fields are null and columns outside the contract are
+    kept. Without one, Spark widens numeric types. Footers are read once. In
+    the mixed case the driver gets a folder for all files of one signature in
+    it, and single files only from folders that mix signatures.
+
+    ``with_batch_columns`` adds the ``batch_*`` / ``run_id`` values of the path
+    as strings, written as in the path (``05`` stays ``05``); they replace data
+    columns of those names. Without it such data columns are kept.
     """
-    sigs = list_signatures(spark, root).groupBy("signature").agg(F.count(F.lit(1)).alias("n")).collect()
-    if not sigs:
+    sigs = checkpoint(list_signatures(spark, root))
+    kinds = [r["signature"] for r in sigs.select("signature").distinct().collect()]
+    if not kinds:
         raise FileNotFoundError(f"no Parquet files under {root}")
-    if len(sigs) == 1:
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    if len(kinds) == 1:
         # one physical schema: read the folder itself, no file list on the driver
-        reader = spark.read.option("pathGlobFilter", "*.parquet")
-        if not with_batch_columns:
-            reader = reader.option("recursiveFileLookup", "true")
-        path_groups = [[root]]
+        frames = [reader.option("recursiveFileLookup", "true").parquet(root)]
     else:
-        # file paths are metadata; they go to the driver as rows (no per-signature buffer in a task)
+        folder = sigs.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+        per = folder.groupBy("folder").agg(F.min("signature").alias("signature"),
+                                           (F.min("signature") != F.max("signature")).alias("mixed")).orderBy("folder").collect()
+        names = sorted(r["folder"] + "/" for r in per)
+        nested = {n for n, after in zip(names, names[1:]) if after.startswith(n)}
+        single = [r["folder"] for r in per if r["mixed"] or r["folder"] + "/" in nested]
         by_sig: dict[str, list[str]] = {}
-        for r in list_signatures(spark, root).collect():
-            by_sig.setdefault(r["signature"], []).append(r["path"])
-        path_groups = [sorted(by_sig[k]) for k in sorted(by_sig)]
-        reader = spark.read.option("basePath", root) if with_batch_columns else spark.read
-    parts = []
-    for paths in path_groups:
-        df = reader.parquet(*paths)
-        part_cols = [c for c in df.columns if c in BATCH_PARTITIONS or c == "run_id"]
-        if not with_batch_columns:
-            df = df.drop(*part_cols)
-            part_cols = []
-        if contract is not None:
-            df = apply_contract(df, contract, passthrough=part_cols)
-        parts.append(df)
+        for r in per:
+            if r["folder"] not in set(single):
+                by_sig.setdefault(r["signature"], []).append(r["folder"])
+        if single:
+            wanted = spark.createDataFrame([(x,) for x in single], "folder string")
+            for r in folder.join(wanted, "folder", "left_semi").collect():
+                by_sig.setdefault(r["signature"], []).append(r["path"])
+        frames = [reader.option("recursiveFileLookup", "true").parquet(*sorted(by_sig[k])) for k in sorted(by_sig)]
+    if with_batch_columns:
+        seen = sigs.agg(*[F.max(F.col("path").contains(f"/{c}=")).alias(c) for c in (*BATCH_PARTITIONS, "run_id")]).first()
+        of_path = [c for c in (*BATCH_PARTITIONS, "run_id") if seen[c]]
+        frames = [df.select(*[F.col(f"`{c}`") for c in df.columns if c not in of_path],
+                            *[F.nullif(F.regexp_extract("_metadata.file_path", f"/{c}=([^/]*)/", 1), F.lit("")).alias(c)
+                              for c in of_path]) for df in frames]
+    parts = [contract_types(df, contract) if contract is not None else df for df in frames]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -124,19 +134,25 @@ def batch_columns(ts: dt.datetime) -> dict[str, str]:
             "batch_minute": ts.strftime("%M"), "batch_second": ts.strftime("%S")}
 
 
-def write_bronze(df: DataFrame, root: str, run_id: str, batch_ts: dt.datetime | None = None,
+def write_bronze(df: DataFrame, root: str, run_id: str, batch_ts: dt.datetime | Column | None = None,
                  partition_cols: Sequence[str] = ("batch_date", "batch_hour")) -> None:
     """Write one batch under ``root/batch_date=.../batch_hour=.../run_id=<run_id>/``.
 
     Each run id gets its own directory and the write replaces only that
     directory (dynamic partition overwrite), so replaying a batch with the same
-    run id rewrites it instead of duplicating it. Date and hour are the
-    default partitions; minute and second are available but make many small
-    directories at scale.
+    run id and time rewrites it instead of duplicating it. A run id names one
+    batch of one writer: a second batch under it and the same time replaces the
+    first. ``batch_ts`` may be a timestamp column of ``df``; it is not written.
+    Date and hour are the default partitions; minute and second are available
+    but make many small directories at scale.
     """
-    ts = batch_ts or dt.datetime.now(dt.timezone.utc)
-    vals = batch_columns(ts)
-    cols = [F.lit(vals[c]).alias(c) for c in partition_cols]
-    out = df.select("*", *cols, F.lit(run_id).alias("run_id"))
+    if isinstance(batch_ts, Column):
+        forms = {"batch_date": "yyyy-MM-dd", "batch_hour": "HH", "batch_minute": "mm", "batch_second": "ss"}
+        cols = [F.date_format(F.to_utc_timestamp(batch_ts, F.current_timezone()), forms[c]).alias(c) for c in partition_cols]
+    else:
+        vals = batch_columns(batch_ts or dt.datetime.now(dt.timezone.utc))
+        cols = [F.lit(vals[c]).alias(c) for c in partition_cols]
+    kept = [F.col(f"`{c}`") for c in df.columns if c != BATCH_TIME]
+    out = df.select(*kept, *cols, F.lit(run_id).alias("run_id"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols, "run_id").parquet(root))

@@ -125,12 +125,13 @@ def default_literal(value, typ: str) -> Column:
 
 
 def apply_contract(df: DataFrame, contract: Contract | None = None, keep_extra: bool = False,
-                   passthrough: Sequence[str] = ()) -> DataFrame:
+                   passthrough: Sequence[str] = (), stamps: Sequence[str] = ()) -> DataFrame:
     """Project ``df`` onto the contract: cast, fill defaults, force required strings.
 
     Missing fields get their default; present nulls are filled with the
     default; required strings that are still null become ``''``. Values that
     do not cast become null (``try_cast``) and then take the default.
+    ``passthrough`` columns are kept as strings, ``stamps`` as they are.
     """
     contract = contract or posting_contract()
     have = {c.lower(): c for c in df.columns}
@@ -150,5 +151,19 @@ def apply_contract(df: DataFrame, contract: Contract | None = None, keep_extra:
         names = {n.lower() for n in contract.names}
         cols += [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
     cols += [F.col(f"`{c}`").cast("string").alias(c) for c in passthrough]
+    cols += [F.col(f"`{c}`") for c in stamps]
     return df.select(*cols)
 
+
+def contract_types(df: DataFrame, contract: Contract | None = None) -> DataFrame:
+    """Give the contract's fields their types and nothing else: no default is filled.
+
+    Fields come first, in contract order; a missing field is null, a value
+    that does not cast is null, other columns of ``df`` follow unchanged.
+    """
+    contract = contract or posting_contract()
+    have = {c.lower(): c for c in df.columns}
+    cols = [(F.col(f"`{have[n.lower()]}`").try_cast(t) if n.lower() in have else F.lit(None).cast(t)).alias(n)
+            for n, t in contract.fields]
+    names = {n.lower() for n in contract.names}
+    return df.select(*cols, *[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])

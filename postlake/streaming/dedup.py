@@ -1,35 +1,88 @@
 """First sightings of an id within a stream (H5).
 
-A record is "new" the first time its key is seen; repeats within the
-watermark delay are dropped from the output. State is bounded by the
-watermark: keys older than ``delay`` behind the newest event time are evicted.
+:func:`dedup_stream` keeps the first record of each key; :func:`mark_stream`
+keeps every record and says which ones are first sightings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+
+def _event_time(df: DataFrame, ts: str):
+    """``ts`` (a timestamp of either kind, or epoch seconds) as the ``timestamp`` that watermarks need."""
+    typ = dict(df.dtypes)[ts]
+    return F.timestamp_seconds(F.col(ts)) if typ in ("bigint", "int", "double") else F.col(ts).cast("timestamp")
 
 
-def dedup_stream(df: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
-    """Keep the first record per ``key`` within ``delay`` of event time ``ts``.
+def dedup_stream(df: DataFrame, key: str, ts: str, delay: str | None = None) -> DataFrame:
+    """Keep one record per ``key``: that of the first micro-batch that has the key.
 
-    ``ts`` may be ``timestamp_ntz`` or epoch seconds; it is turned into a
-    ``timestamp`` (session zone UTC) because watermarks need one.
+    Without ``delay`` the guarantee is exact whatever the order of arrival:
+    no record is dropped but repeats, and the state holds every key seen.
+    With ``delay`` the state is bounded by a watermark on ``ts``: a repeat
+    within ``delay`` of event time is dropped, a key that comes back later
+    counts as new, and a record that arrives more than ``delay`` behind the
+    newest event time of the batches before is dropped even if its key is new.
     """
-    typ = dict(df.dtypes)[ts]
-    if typ in ("bigint", "int", "double"):
-        event = F.timestamp_seconds(F.col(ts))
-    else:
-        event = F.col(ts).cast("timestamp")
-    return (df.withColumn("_event_time", event)
-              .withWatermark("_event_time", delay)
-              .dropDuplicatesWithinWatermark([key]))
+    timed = df.withColumn("_event_time", _event_time(df, ts))
+    if delay is None:
+        return timed.dropDuplicates([key])
+    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key])
 
 
 def new_ids_per_minute(df: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
-    """Count of new keys per event-time minute (append mode, closed by the watermark)."""
+    """Count of new keys per event-time minute (append mode, closed by the watermark).
+
+    The watermark's guarantee is that of :func:`dedup_stream` with ``delay``.
+    """
     firsts = dedup_stream(df, key, ts, delay)
     return (firsts.groupBy(F.window("_event_time", "1 minute").alias("w"))
                   .agg(F.count(F.lit(1)).alias("new_ids"))
                   .select(F.col("w.start").alias("minute"), "new_ids"))
+
+
+def mark_batch(batch: DataFrame, batch_id: int, key: str, order: Sequence[str], out: str, seen: str) -> None:
+    """Write one micro-batch with ``is_new``, and its new keys (the ``foreachBatch`` body)."""
+    spark = batch.sparkSession
+    batch = batch.persist()
+    try:
+        # new keys of earlier batches; a replayed batch does not see its own
+        known = spark.read.option("recursiveFileLookup", "true").schema(batch.select(key).schema.add("seen_in", "long")).parquet(seen) \
+            .where(F.col("seen_in") < batch_id).select(F.col(key).alias("_known")).distinct()
+        first = Window.partitionBy(key).orderBy(*order)
+        firsts = batch.withColumn("_turn", F.row_number().over(first))
+        marked = firsts.join(known, firsts[key].eqNullSafe(known["_known"]), "left_anti").where(F.col("_turn") == 1) \
+            .select(F.col(key).alias("_first"), *[F.col(o).alias(f"_first_{o}") for o in order])
+        same = [batch[key].eqNullSafe(marked["_first"]), *[batch[o].eqNullSafe(marked[f"_first_{o}"]) for o in order]]
+        cond = same[0]
+        for c in same[1:]:
+            cond = cond & c
+        rows = batch.join(marked.withColumn("_hit", F.lit(True)), cond, "left") \
+            .select(*[batch[c] for c in batch.columns], F.coalesce("_hit", F.lit(False)).alias("is_new"))
+        rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        marked.select(F.col("_first").alias(key), F.lit(batch_id).cast("long").alias("seen_in")) \
+            .write.mode("overwrite").parquet(f"{seen}/{batch_id:012d}")
+    finally:
+        batch.unpersist()
+
+
+def mark_stream(df: DataFrame, key: str, order: Sequence[str], out: str, seen: str, checkpoint_location: str,
+                available_now: bool = False) -> StreamingQuery:
+    """Write every record to ``out`` with ``is_new``: true for a key's first record, false for its repeats.
+
+    First is by micro-batch, then by ``order`` (columns that tell the records
+    of a key apart). New keys are kept as Parquet under ``seen``, one folder
+    per batch; records of a batch are marked against those of earlier batches,
+    so nothing is dropped as late and a replayed batch gives the same rows.
+    """
+    spark = df.sparkSession
+    spark.createDataFrame([], df.select(key).schema.add("seen_in", "long")).write.mode("append").parquet(f"{seen}/start")
+    writer = df.writeStream.option("checkpointLocation", checkpoint_location).foreachBatch(
+        lambda b, i: mark_batch(b, i, key, list(order), out, seen))
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

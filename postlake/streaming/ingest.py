@@ -1,28 +1,32 @@
 """Micro-batch ingest of posting records into bronze Parquet (H1-H4).
 
 The stream is read, decoded and split into good and bad records; every
-micro-batch is written with :func:`write_bronze` under a run id made of the
-query's name and the batch id. Spark commits the batch in the checkpoint only
-after ``foreachBatch`` returns, and a replayed batch rewrites its own
-directory, so a failure between write and commit neither loses nor duplicates
-records. A stop drains: ``availableNow`` processes what is there and ends.
+micro-batch is written with :func:`write_bronze` under a run id made of a
+prefix, the query's id and the batch id, in the folder of the batch's logged
+time. Spark commits the batch in the checkpoint only after ``foreachBatch``
+returns; a replayed batch has the same ids and the same logged time, also in
+another hour, and rewrites its own directory. So a failure between write and
+commit neither loses nor duplicates records, and queries that write into one
+root (or a query that starts over with a new checkpoint, which has a new id)
+never replace each other's batches. A stop drains: ``availableNow`` processes
+what is there and ends.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlake.sources.bronze import write_bronze
+from postlake.sources.bronze import BATCH_TIME, write_bronze
 from postlake.sources.contract import Contract, apply_contract, posting_contract
 
-# Flush size and idle interval of the consumer service.
-BATCH_ROWS = 500
+# Fixed value: idle interval after which the consumer service writes what it has.
 IDLE_FLUSH = "30 seconds"
+# Local property in which Spark keeps a streaming query's id while it runs a batch.
+QUERY_ID = "sql.streaming.queryId"
 
 
 def split_bad(df: DataFrame, contract: Contract | None = None) -> tuple[DataFrame, DataFrame]:
@@ -34,11 +38,13 @@ def split_bad(df: DataFrame, contract: Contract | None = None) -> tuple[DataFram
     decoded = F.col("_decoded") if "_decoded" in df.columns else F.lit(True)
     empty = F.col("job_id").isNull() & F.col("title").isNull() & F.col("url").isNull()
     bad_flag = ~decoded | empty
-    good = apply_contract(df.where(~bad_flag), contract)
+    time = [BATCH_TIME] if BATCH_TIME in df.columns else []
+    good = apply_contract(df.where(~bad_flag), contract, stamps=time)
     bad_cols = ["_raw"] if "_raw" in df.columns else []
-    bad = df.where(bad_flag).select(*bad_cols, F.current_timestamp().alias("_quarantined_at"),
+    at = F.col(BATCH_TIME) if time else F.current_timestamp()
+    bad = df.where(bad_flag).select(*bad_cols, *time, at.alias("_quarantined_at"),
                                     F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns
-                                                         if c not in ("_raw", "_decoded")])).alias("_record"))
+                                                         if c not in ("_raw", "_decoded", BATCH_TIME)])).alias("_record"))
     return good, bad
 
 
@@ -50,14 +56,16 @@ def ingest_batch(batch: DataFrame, batch_id: int, root: str, quarantine: str | N
     The batch is decoded once and kept for its two writes (good and bad);
     a lost cached block is recomputed from the same micro-batch offsets.
     """
+    query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    if not query:
+        raise RuntimeError("no streaming query id: ingest_batch runs as a foreachBatch function")
     batch = batch.persist()
     try:
         good, bad = split_bad(batch, contract)
-        run_id = f"{run_prefix}_{batch_id:08d}"
-        ts = dt.datetime.now(dt.timezone.utc)
-        write_bronze(good, root, run_id, ts, partition_cols)
+        run_id = f"{run_prefix}_{query}_{batch_id:08d}"
+        write_bronze(good, root, run_id, F.col(BATCH_TIME), partition_cols)
         if quarantine:
-            write_bronze(bad, quarantine, run_id, ts, partition_cols)
+            write_bronze(bad, quarantine, run_id, F.col(BATCH_TIME), partition_cols)
     finally:
         batch.unpersist()
 
@@ -69,10 +77,11 @@ def ingest_stream(stream: DataFrame, root: str, checkpoint_location: str,
                   partition_cols: Sequence[str] = ("batch_date", "batch_hour")) -> StreamingQuery:
     """Start the ingest query (H1). ``available_now`` drains and stops (H4).
 
-    Bound the batch size on the source: ``maxOffsetsPerTrigger`` (Kafka) or
-    ``maxFilesPerTrigger`` (files), e.g. :data:`BATCH_ROWS` offsets.
+    A micro-batch takes all that has arrived; a limit is the source's option
+    ``maxOffsetsPerTrigger`` (Kafka) or ``maxFilesPerTrigger`` (files).
     """
-    writer = (stream.writeStream
+    # in a stream, current_timestamp() is the micro-batch's logged time
+    writer = (stream.withColumn(BATCH_TIME, F.current_timestamp()).writeStream
               .option("checkpointLocation", checkpoint_location)
               .foreachBatch(lambda b, i: ingest_batch(b, i, root, quarantine, run_prefix,
                                                       contract, partition_cols)))

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import os
 
 import pandas as pd
@@ -36,9 +37,68 @@ def test_scan_bronze_mixed_types(spark, tmp_dir):
     assert set(got) == {"1", "2", "3", "4"}
     assert got["1"]["salary_min"] == 10.0 and got["3"]["salary_min"] == 2.5 and got["2"]["salary_min"] is None
     assert got["2"]["tags"] == ["x"] and got["1"]["tags"] == []
-    assert got["3"]["title"] == "" and got["4"]["company"] == "Acme" and got["4"]["source"] == "unknown"
-    assert got["2"]["experience_min"] == 3 and got["4"]["crawled_at"] == 0
-    assert "batch_date" in df.columns and "category" not in df.columns
+    assert got["3"]["title"] is None and got["4"]["company"] == "Acme" and got["4"]["source"] is None
+    assert got["2"]["experience_min"] == 3 and got["4"]["crawled_at"] is None
+    assert got["4"]["category"] == "extra" and got["1"]["category"] is None
+    assert {got[k]["batch_hour"] for k in "124"} == {"05", "06", "00"} and got["1"]["batch_date"] == "2024-01-01"
+
+
+def test_scan_bronze_folders(spark, tmp_dir):
+    """A folder with files of two signatures, a folder below another one, and data columns named like path columns."""
+    root = os.path.join(tmp_dir, "bronze")
+    _pandas_batch(f"{root}/x/a.parquet", [{"job_id": "1", "run_id": "data", "n": 1}])
+    _pandas_batch(f"{root}/x/b.parquet", [{"job_id": "2", "run_id": "data", "n": 1.5}])
+    _pandas_batch(f"{root}/x/batch_hour=05/c.parquet", [{"job_id": "3", "run_id": "data", "n": 2}])
+    _pandas_batch(f"{root}/y/d.parquet", [{"job_id": "4", "run_id": "data", "n": 3}])
+    got = scan_bronze(spark, root)
+    assert sorted((r["job_id"], r["run_id"], float(r["n"])) for r in got.collect()) == \
+        [("1", "data", 1.0), ("2", "data", 1.5), ("3", "data", 2.0), ("4", "data", 3.0)]
+    hours = scan_bronze(spark, root, with_batch_columns=True)
+    assert {r["job_id"]: r["batch_hour"] for r in hours.collect()} == {"1": None, "2": None, "3": "05", "4": None}
+    assert {r["run_id"] for r in hours.collect()} == {"data"}
+    with pytest.raises(FileNotFoundError):
+        os.makedirs(tmp_dir + "/none")
+        scan_bronze(spark, tmp_dir + "/none")
+
+
+def test_replay_in_another_hour(spark, tmp_dir):
+    """A batch logged hours ago is written to the folder of its logged hour, also when it is replayed."""
+    src, root, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "bronze", "ckpt"))
+    os.makedirs(src)
+    with open(f"{src}/m1.json", "w") as f:
+        f.write('{"job_id": "1", "title": "a"}\n{"job_id": "2", "title": "b"}\n')
+
+    def go():
+        ingest_stream(read_stream(spark, "json", path=src), root, ckpt, available_now=True).awaitTermination()
+
+    go()
+    log = f"{ckpt}/offsets/0"
+    lines = open(log).read().split("\n")
+    meta = json.loads(lines[1])
+    logged = meta["batchTimestampMs"] = meta["batchTimestampMs"] - 5 * 3_600_000
+    hour = dt.datetime.fromtimestamp(logged / 1000, dt.timezone.utc).strftime("%H")
+    os.remove(f"{ckpt}/offsets/.0.crc")
+    open(log, "w").write("\n".join([lines[0], json.dumps(meta), *lines[2:]]))
+    for name in os.listdir(root):
+        if name.startswith("batch_date"):
+            os.rename(f"{root}/{name}", f"{tmp_dir}/written-{name}")
+    for _ in range(2):  # written, then replayed after a stop before the commit
+        for name in os.listdir(f"{ckpt}/commits"):
+            os.remove(f"{ckpt}/commits/{name}")
+        go()
+        rows = scan_bronze(spark, root, with_batch_columns=True).collect()
+        assert sorted(r["job_id"] for r in rows) == ["1", "2"] and {r["batch_hour"] for r in rows} == {hour}
+
+
+def test_two_streams_into_one_root_keep_all(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "bronze")
+    for n in "12":
+        src = os.path.join(tmp_dir, "src" + n)
+        os.makedirs(src)
+        with open(f"{src}/m.json", "w") as f:
+            f.write('{"job_id": "%s", "title": "a"}\n' % n)
+        ingest_stream(read_stream(spark, "json", path=src), root, f"{tmp_dir}/ckpt{n}", available_now=True).awaitTermination()
+    assert sorted(r["job_id"] for r in scan_bronze(spark, root).collect()) == ["1", "2"]
 
 
 def test_write_bronze_replay_is_idempotent(spark, tmp_dir):
