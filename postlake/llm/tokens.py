@@ -10,6 +10,7 @@ arrays as raw integers), then the index's length and the magic number.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 
@@ -26,29 +27,20 @@ COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8bTOKN1"
 BLOCK = 1024
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 END_ID = 2
 
 
-def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """Words (uint64) of ids below 2**60, and the first word of each block, with the total at the end.
+def _pack_blocks(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of a grid of ids, a block in each row, and the number of words of each block.
 
-    Every position of every block learns the widest run of ids that one word can hold from there; then all blocks
-    step through their words together.
+    Every position learns the selector of the most ids that one word can hold from there; then all blocks step through
+    their words together, and all words of a selector are filled at once.
     """
-    n = len(ids)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    blocks = -(-n // block)
-    padded = np.zeros(blocks * block, np.uint64)
-    padded[:n] = ids
-    grid = padded.reshape(blocks, block)
-    length = np.full(blocks, block)
-    length[-1] = n - block * (blocks - 1)
-    width = np.zeros(grid.shape, np.uint8)
-    for b in BITS[1:-1]:
-        width[grid >= (np.uint64(1) << np.uint64(b))] = b + 1
-    fits = np.full(grid.shape, len(COUNTS) - 1, np.uint8)  # the best selector; what none holds needs the escape
+    blocks, block = grid.shape
+    # bits of each id (an id of over 53 bits may count as one bit longer and then takes the escape)
+    width = np.frexp(grid.astype(np.float64))[1].astype(np.uint8)
+    fits = np.full(grid.shape, len(COUNTS) - 1, np.uint8)
     for s in range(len(COUNTS) - 2, -1, -1):
         c = int(COUNTS[s])
         if c > block:
@@ -62,41 +54,47 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
             free = free[:, :free.shape[1] - step] & free[:, step:]
             run += step
         np.copyto(fits[:, :block - c + 1], np.uint8(s), where=free)
-    # a word may not reach behind the last id: there the next smaller run that fits is taken
-    at, row = np.zeros(blocks, np.int64), np.arange(blocks)
-    words, where = [], []
+    fits, flat = fits.ravel(), grid.ravel()
+    first = np.arange(blocks) * block
+    at, row = first.copy(), np.arange(blocks)
+    rows, places, selectors = [], [], []
     taken = np.zeros(blocks, np.int64)
     while len(row):
-        s = fits[row, at[row]]
-        over = at[row] + COUNTS[s] > length[row]
-        while over.any():
-            t = s[over]
-            nxt = t + 1
-            w = row[over]
-            limit = length[w] - at[w]
-            widest = np.array([width[i, a:a + m].max() for i, a, m in zip(w, at[w], np.minimum(limit, COUNTS[np.minimum(nxt, 15)]))])
-            bad = BITS[np.minimum(nxt, 15)] < widest
-            s[over] = nxt
-            still = over.copy()
-            still[over] = (bad | (COUNTS[nxt] > limit)) & (nxt < 15)
-            over = still
-        value = s.astype(np.uint64) << np.uint64(60)
-        for sel in np.unique(s):
-            r = np.nonzero(s == sel)[0]
-            count, bits = int(COUNTS[sel]), int(BITS[sel])
-            if bits:
-                own = grid[row[r][:, None], at[row[r]][:, None] + np.arange(count)]
-                value[r] |= np.bitwise_or.reduce(own << (np.uint64(bits) * np.arange(count, dtype=np.uint64)), axis=1)
-        words.append(value)
-        where.append(row)
+        s = fits[at]
+        rows.append(row)
+        places.append(at)
+        selectors.append(s)
         taken[row] += 1
-        at[row] += COUNTS[s]
-        row = row[at[row] < length[row]]
-    starts = np.concatenate([[0], np.cumsum(taken)])
-    out = np.empty(starts[-1], np.uint64)
-    for turn, (value, row) in enumerate(zip(words, where)):
-        out[starts[row] + turn] = value
-    return out, starts
+        at = at + COUNTS[s]
+        inside = at < first[row] + block
+        if not inside.all():
+            at, row = at[inside], row[inside]
+    starts = np.cumsum(taken) - taken
+    order = np.concatenate([starts[r] + turn for turn, r in enumerate(rows)])
+    place, select = np.concatenate(places), np.concatenate(selectors)
+    value = select.astype(np.uint64) << np.uint64(60)
+    for s in np.unique(select):
+        count, bits = int(COUNTS[s]), int(BITS[s])
+        if bits:
+            r = np.nonzero(select == s)[0]
+            own, begin = value[r], place[r]
+            for k in range(count):
+                own |= flat[begin + k] << np.uint64(bits * k)
+            value[r] = own
+    out = np.empty(len(value), np.uint64)
+    out[order] = value
+    return out, taken
+
+
+def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Words (uint64) of ids below 2**60, and the first word of each block, with the total at the end."""
+    ids = np.ascontiguousarray(ids, np.uint64)
+    whole, some = len(ids) - len(ids) % block, 1024 * block  # a few blocks at a time stay in the cache
+    grids = [ids[lo:min(lo + some, whole)].reshape(-1, block) for lo in range(0, whole, some)] + [ids[whole:].reshape(1, -1)]
+    parts = [_pack_blocks(g) for g in grids if g.size]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    return np.concatenate([w for w, _ in parts]), np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in parts]))])
 
 
 def unpack(words: np.ndarray) -> np.ndarray:
@@ -150,77 +148,82 @@ class TokenFile:
         return unpack(self.words[self.starts[a]:self.starts[b]])[lo - a * self.block:hi - a * self.block]
 
 
-#: Ids of words by tokenizer file, kept by a Python worker over its tasks; at most so many words.
-_KNOWN: dict[str, tuple] = {}
-KEPT_WORDS = 1_000_000
-#: A special token of no text's own words stands between words that are encoded together.
+#: Encoders by tokenizer file, kept by a Python worker over its tasks; each remembers at most so many words.
+_KNOWN: dict[str, WordEncoder] = {}
+KEPT_WORDS = 700_000
+#: Words that are encoded in one call.
 _TOGETHER = 256
+#: A letter or digit, and ASCII punctuation (no apostrophe) behind it.
+_JOINT = r"([A-Za-z0-9])([!-&(-/:-@\[-`{-~])"
+
+
+def _gather(flat: np.ndarray, ends: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The picked runs of ``flat`` one after the other, and their lengths."""
+    begin = ends[pick]
+    sizes = ends[pick + 1] - begin
+    stop = np.cumsum(sizes)
+    total = int(stop[-1]) if len(stop) else 0
+    small = np.int32 if total + len(flat) < 2 ** 31 else np.int64
+    at = np.arange(total, dtype=small)
+    at += np.repeat((begin - (stop - sizes)).astype(small), sizes)
+    return flat[at], sizes
 
 
 class WordEncoder:
     """Encodes texts word by word (words end at ASCII white space) and remembers words.
 
     Right for tokenizers whose result for a text is that of its white-space separated words, one after the other, as
-    with ``word_bpe_49k.json``: its normalizer composes, lower-cases and joins white space, its pre-tokenizer never
-    reaches across white space. ``separator`` is a special token's string; words that hold it are encoded alone.
+    with ``word_bpe_49k.json``: its normalizer composes, lower-cases and joins white space, and its pre-tokenizer never
+    reaches across white space. It also parts punctuation (but for apostrophes) from a letter or digit before it, so a
+    space is put there, and ASCII texts are lower-cased, which leaves fewer different words. Texts with a special
+    token's opening characters are left as they are, and words with them are encoded alone.
     """
 
-    def __init__(self, path: str, separator: str = "<|startoftext|>"):
-        import os
-
+    def __init__(self, path: str, special: str = "<|"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.separator, self.mark = separator, self.tokenizer.token_to_id(separator)
-        if self.mark is None:
-            raise ValueError(f"{separator} is no token of {path}")
+        self.tokenizer, self.special = Tokenizer.from_file(path), special
         self.forget()
 
     def forget(self) -> None:
-        self.at: dict[str, int] = {}
-        self.flat, self.ends = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        self.at: dict[str, int] = {"": 0}  # number of a word, whose ids are flat[ends[number]:ends[number + 1]]
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        whole = [w for w in words if self.separator not in w]
-        alone = [w for w in words if self.separator in w]
-        lines = [f" {self.separator} ".join(whole[i:i + _TOGETHER]) for i in range(0, len(whole), _TOGETHER)]
-        pieces = []
-        for i, e in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cut = np.nonzero(ids == self.mark)[0]
-            bounds = np.concatenate([[-1], cut, [len(ids)]])
-            if len(bounds) - 1 != len(whole[i * _TOGETHER:(i + 1) * _TOGETHER]):
-                raise ValueError("the tokenizer does not keep words apart")
-            pieces.append((np.delete(ids, cut), np.diff(bounds) - 1))
-        pieces += [(np.array(e.ids, np.uint32), np.array([len(e.ids)])) for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
-        base = len(self.at)
-        self.at.update((w, base + i) for i, w in enumerate(whole + alone))
-        last = self.ends[-1][-1]
-        self.flat += [p[0] for p in pieces]
-        self.ends.append(last + np.cumsum(np.concatenate([p[1] for p in pieces])))
+        alone = [w for w in words if self.special in w]
+        together = [w for w in words if self.special not in w] if alone else words
+        groups = [[w] for w in alone] + [together[i:i + _TOGETHER] for i in range(0, len(together), _TOGETHER)]
+        ids, sizes = [self.flat], []
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            own = np.array(e.ids, np.uint32)
+            begin = np.cumsum([len(w) + 1 for w in group[:-1]], dtype=np.int64)
+            cut = np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(own)), begin)
+            ids.append(own)
+            sizes.append(np.diff(np.concatenate([[0], cut, [len(own)]])))
+        self.at.update(zip(alone + together, range(len(self.at), len(self.at) + len(words))))
+        self.flat = np.concatenate(ids)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the number of ids of each (null: 0)."""
-        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        texts = texts.cast(pa.large_string()).fill_null("")
+        apart = pc.replace_substring_regex(texts, _JOINT, r"\1 \2")
+        apart = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(apart), apart)
+        lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, self.special), texts, apart))
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         if len(self.at) > KEPT_WORDS:
             self.forget()
-        new = [w for w in words if w and w not in self.at]
-        if new:
-            self.learn(new)
-            self.flat, self.ends = [np.concatenate(self.flat)], [np.concatenate(self.ends)]
-        flat, ends = self.flat[0], self.ends[0]
-        slot = np.array([self.at[w] if w else -1 for w in words], np.int64)
-        begin, size = (np.where(slot < 0, 0, x) for x in (ends[slot], ends[slot + 1] - ends[slot])) if len(words) else (np.zeros(0, np.int64),) * 2
-        use = coded.indices.to_numpy(zero_copy_only=False)
-        sizes = size[use]
-        out_ends = np.cumsum(sizes)
-        total = int(out_ends[-1]) if len(sizes) else 0
-        ids = flat[np.repeat(begin[use] - (out_ends - sizes), sizes) + np.arange(total)]
-        per_text = np.diff(np.concatenate([[0], out_ends])[np.asarray(lists.offsets) - lists.offsets[0].as_py()])
-        return ids, per_text
+        get = self.at.get
+        slot = np.array([get(w, -1) for w in words], np.int64)
+        new = np.nonzero(slot < 0)[0]
+        if len(new):
+            self.learn([words[i] for i in new.tolist()])
+            slot[new] = [self.at[words[i]] for i in new.tolist()]
+        ids, sizes = _gather(self.flat, self.ends, slot[coded.indices.to_numpy(zero_copy_only=False)])
+        bounds = np.asarray(lists.offsets, np.int64)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[bounds - bounds[0]])
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -230,11 +233,11 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS) -> None:
+                 end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS, step: int = 2000) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the ids in ascending ``id_col`` order.
 
     Null ids come last. Documents of equal id come in the order of their texts. A task writes files of about
-    ``file_ids`` ids; a document is never cut. An empty table writes no file. ``tokenizer``: path of a tokenizers file.
+    ``file_ids`` ids, looking every ``step`` documents; a document is never cut. An empty table writes no file. ``tokenizer``: path of a tokenizers file.
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -248,8 +251,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["file"])
 
         for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
+            for lo in range(0, b.num_rows, step):
+                part = b.slice(lo, step)
                 own, sizes = encoder.encode(part.column(1))
                 ends = np.cumsum(sizes)
                 ids.append(np.insert(own, ends, np.uint32(end_id)))
@@ -262,7 +265,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         if docs_held:
             yield done()
 
-    ordered = rows.sort(F.col("id").asc_nulls_last(), "text")
+    # ranges of ids; the text orders rows within a range only, so that no text is sampled for the ranges' bounds
+    ordered = rows.repartitionByRange(F.col("id").asc_nulls_last()).sortWithinPartitions(F.col("id").asc_nulls_last(), "text")
     write_blobs(ordered.mapInArrow(encode, "file binary"), "file", path, MAGIC)
 
 

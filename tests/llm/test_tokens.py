@@ -41,6 +41,7 @@ def test_pack_is_dense():
 
 
 TEXTS = ["Hello wORld <|endoftext|> x", "", "a<|startoftext|>b  c d́ \x0b é é  x y", None, "it's 12 don't 'S", " \n",
+         "A1.5-b_c (x)[y]{z} don't'S \"q\"'s 3.14,15 a.'s .'s e\u0301. =\u0338 a=\u0338 H\u0331 h\u0331! END.", "H\u0331 H\u0331.", "ABC <|ENDOFTEXT|>, <|endoftext|>.", "\u212a\u017f. x\u00a0y",
          "İΣ 한국어 \U0001f600‍", "word " * 3000, "x" * 20_000, "́ ́a", "<|startoftext|>", "a\x00b\x1fc"]
 
 
