@@ -18,10 +18,19 @@ from ..session import ensure_checkpoint_dir, ensure_library
 HOT_SHARE = 10_000
 
 
+#: Arrow batches of whole texts: rows and bytes that a Python worker and the JVM hold at a time for each task.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make the shared folder and the library's code available to the session."""
+    """Make the shared folder and the library's code available to the session, and its Arrow batches small."""
     ensure_checkpoint_dir(spark)
     ensure_library(spark)
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -123,8 +132,11 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def segment_sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` between successive offsets (0 for empty segments)."""
-    ends = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return ends[offsets[1:]] - ends[offsets[:-1]]
+    out = np.zeros(len(offsets) - 1, np.int64)
+    filled = offsets[:-1] < offsets[1:]
+    if filled.any():
+        out[filled] = np.add.reduceat(flags, offsets[:-1][filled], dtype=np.int64)
+    return out
 
 
 def word_counts(texts: pa.Array) -> np.ndarray:
@@ -143,6 +155,18 @@ def word_count(texts: pa.Array) -> pa.Array:
     return pa.array(word_counts(texts))
 
 
+def smallest(df: DataFrame, group: str, order: list, most: int, ways: int = 64) -> DataFrame:
+    """The first ``most`` rows of each group by ``order``, whose first term is a hash.
+
+    Every task keeps at most ``most`` rows of a group and way, each way of a hot group is picked in a task of its own,
+    and at most ``ways * most`` rows of a group meet in the end.
+    """
+    first = df.withColumn("_way", F.pmod(order[0], F.lit(ways)))
+    first = first.withColumn("_turn", F.row_number().over(Window.partitionBy(group, "_way").orderBy(*order))).where(F.col("_turn") <= most)
+    last = first.withColumn("_turn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_turn") <= most)
+    return last.drop("_way", "_turn")
+
+
 def write_blobs(df: DataFrame, column: str, path: str, tail: bytes) -> None:
     """Write each value of a binary column as one file: the value's bytes, then ``tail``.
 

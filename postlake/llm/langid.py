@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_of, prepare, text_bytes
+from .common import crc_of, prepare, smallest, text_bytes
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -144,9 +144,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     prepare(docs.sparkSession)
     allowed = docs if held_out is None else docs.where(~held_out)
     allowed = allowed.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = allowed.where("lang is not null and id is not null").select("id", "lang").withColumn("turn", F.row_number().over(first))
-    chosen = chosen.where(F.col("turn") <= sample).select("id", "lang").distinct()  # `sample` rows for each language at most
+    ids = allowed.where("lang is not null and id is not null").select("id", "lang")
+    chosen = smallest(ids, "lang", [F.xxhash64("id"), "id"], sample).distinct()  # `sample` rows for each language at most
     known = allowed.join(F.broadcast(chosen), ["id", "lang"]).where(F.col("text").rlike(r"\p{L}"))
 
     def some_windows(batches):

@@ -14,11 +14,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare
+from .common import materialize, prepare, smallest
 
 # Fixed patterns of the base rules: kind, pattern, group of the value, least length of the value. re.ASCII keeps case
 # folding to A-Z.
@@ -227,9 +227,8 @@ def training_strings(found: DataFrame, sample: int = SAMPLE) -> dict[str, list[s
     base = found.where(F.size("values") > 0).select(F.explode(F.transform("values", lambda v, i: F.struct(
         F.get("base", i * 5).cast("int").alias("kind"), v.alias("value")))).alias("x")).select("x.kind", "x.value")
     other = found.select(F.lit(len(BASE)).alias("kind"), F.explode("tokens").alias("value"))
-    # a third of all tokens may be one string: distinct() pre-aggregates; the smallest hashes are picked in every task
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    picked = base.union(other).distinct().withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= sample)
+    # a third of all tokens may be one string: distinct() pre-aggregates
+    picked = smallest(base.union(other).distinct(), "kind", [F.xxhash64("value"), "value"], sample)
     out: dict[str, list[str]] = {k: [] for k in (*KINDS, LEARNED)}
     for r in picked.orderBy("kind", "value").collect():
         out[(*KINDS, LEARNED)[r.kind]].append(r.value[:256])

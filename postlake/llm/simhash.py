@@ -90,7 +90,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, bucket
     """
     if not 0 <= max_bits < blocks:
         raise ValueError("max_bits must be below the number of blocks")
-    keyed = fps.select("fp", F.explode(_block_keys(F.col("fp"), blocks, max_bits)).alias("key"))
+    # a task's rows grow tenfold: spread them first, however few files hold them
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = fps.repartition(tasks, "fp").select("fp", F.explode(_block_keys(F.col("fp"), blocks, max_bits)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
     shared = materialize(shared, "simhash-keys")
     close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
