@@ -65,9 +65,8 @@ def url_path(col) -> Column:
     u = as_col(col)
     for p in PATH_STRIP_PREFIXES:
         u = F.replace(u, F.lit(p), F.lit(""))
-    first_slash = F.coalesce(F.nullif(F.locate("/", u), F.lit(0)), F.locate("?", u) - 1)
-    tail = F.right(u, F.length(u) - first_slash)
-    return F.split_part(tail, F.lit("?"), F.lit(1)).cast("string")
+    # with a slash, what follows the first one; else, before a "?", nothing; else the whole text
+    return F.regexp_replace(F.regexp_replace(u, r"(?s)^[^/]*/|^[^/?]*(?=\?)", ""), r"(?s)\?.*$", "")
 
 
 def url_parameter(col, name: str) -> Column:

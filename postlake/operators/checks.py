@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.text import slugify_name
+from postlake.operators.relational import anti_join, two_way_except
 from postlake.operators.sequence import ordered_scan
 
 
@@ -27,6 +28,14 @@ class Check:
     name: str
     rows: DataFrame
     fail_calc: Column = field(default_factory=lambda: F.count(F.lit(1)))
+    # row checks: the relation and the condition of its failing rows, so that a suite reads a relation once
+    source: DataFrame | None = None
+    bad: Column | None = None
+
+
+def _row_check(name: str, df: DataFrame, bad: Column, where: str | None, rows: DataFrame | None = None) -> Check:
+    cond = F.expr(where) & bad if where else bad
+    return Check(name, df.where(cond) if rows is None else rows, source=df, bad=cond)
 
 
 _OPS = {"!=": operator.ne, "<>": operator.ne, "=": operator.eq, "==": operator.eq,
@@ -41,21 +50,34 @@ def _threshold(expr: str):
     raise ValueError(f"bad threshold {expr!r}")
 
 
+def _summary(name: str, failures: Column, warn_if: str, error_if: str) -> list[Column]:
+    (wop, wv), (eop, ev) = _threshold(warn_if), _threshold(error_if)
+    return [F.lit(name).alias("check_name"), failures.alias("failures"), wop(failures, F.lit(wv)).alias("should_warn"),
+            eop(failures, F.lit(ev)).alias("should_error")]
+
+
 def summarize(check: Check, warn_if: str = "!=0", error_if: str = "!=0") -> DataFrame:
     """``check_name, failures, should_warn, should_error`` for one check."""
-    wop, wv = _threshold(warn_if)
-    eop, ev = _threshold(error_if)
     agg = check.rows.agg(F.coalesce(check.fail_calc, F.lit(0)).cast("long").alias("failures"))
-    return agg.select(F.lit(check.name).alias("check_name"), "failures",
-                      wop(F.col("failures"), F.lit(wv)).alias("should_warn"),
-                      eop(F.col("failures"), F.lit(ev)).alias("should_error"))
+    return agg.select(*_summary(check.name, F.col("failures"), warn_if, error_if))
 
 
 def run_checks(checks: Sequence[Check | tuple[Check, str, str]]) -> DataFrame:
-    """One summary row per check."""
-    parts = []
+    """One summary row per check (G22). All row checks of one relation share one scan and one aggregate."""
+    parts, shared = [], []
     for c in checks:
-        parts.append(summarize(*c) if isinstance(c, tuple) else summarize(c))
+        check, warn_if, error_if = c if isinstance(c, tuple) else (c, "!=0", "!=0")
+        if check.bad is None:
+            parts.append(summarize(check, warn_if, error_if))
+            continue
+        same = next((s for s in shared if s[0] is check.source or s[0].sameSemantics(check.source)), None)
+        if same is None:
+            shared.append(same := (check.source, []))
+        same[1].append((check, warn_if, error_if))
+    for source, own in shared:
+        one = source.agg(*[F.count_if(F.coalesce(c.bad, F.lit(False))).alias(f"_f{i}") for i, (c, _, _) in enumerate(own)])
+        rows = F.array(*[F.struct(*_summary(c.name, F.col(f"_f{i}"), w, e)) for i, (c, w, e) in enumerate(own)])
+        parts.append(one.select(F.inline(rows)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -81,14 +103,14 @@ def accepted_range(df: DataFrame, col: str, min_value=None, max_value=None,
         bad = bad | ~((c >= _lit(min_value)) if inclusive else (c > _lit(min_value)))
     if max_value is not None:
         bad = bad | ~((c <= _lit(max_value)) if inclusive else (c < _lit(max_value)))
-    return Check(f"accepted_range_{col}", _src(df, where).where(bad))
+    return _row_check(f"accepted_range_{col}", df, bad, where)
 
 
 def expression_is_true(df: DataFrame, expression: str, column_name: str | None = None,
                        where: str | None = None) -> Check:
     """Rows where the expression (optionally applied to a column) is false; null passes."""
     text = f"{column_name} {expression}" if column_name else expression
-    return Check("expression_is_true", _src(df, where).where(~F.expr(text)))
+    return _row_check("expression_is_true", df, ~F.expr(text), where)
 
 
 def not_empty_string(df: DataFrame, col: str, trim_whitespace: bool = True,
@@ -96,16 +118,16 @@ def not_empty_string(df: DataFrame, col: str, trim_whitespace: bool = True,
     """Values equal to ``''`` (after trimming by default); null passes."""
     c = F.trim(F.col(col)) if trim_whitespace else F.col(col)
     vals = _src(df, where).select(c.alias(col))
-    return Check(f"not_empty_string_{col}", vals.where(F.col(col) == ""))
+    return _row_check(f"not_empty_string_{col}", df, c == "", where, vals.where(F.col(col) == ""))
 
 
 def not_null(df: DataFrame, col: str, where: str | None = None) -> Check:
-    return Check(f"not_null_{col}", _src(df, where).select(col).where(F.col(col).isNull()))
+    return _row_check(f"not_null_{col}", df, F.col(col).isNull(), where, _src(df, where).select(col).where(F.col(col).isNull()))
 
 
 def assert_equal(df: DataFrame, actual: str, expected: str) -> Check:
     """Rows where two columns differ (a null comparison passes)."""
-    return Check("assert_equal", df.where(F.col(actual) != F.col(expected)))
+    return _row_check("assert_equal", df, F.col(actual) != F.col(expected), None)
 
 
 # ------------------------------------------------------------ value checks
@@ -140,14 +162,15 @@ def unique_combination(df: DataFrame, cols: Sequence[str], where: str | None = N
 
 def at_least_one(df: DataFrame, col: str, group_by: Sequence[str] = (), where: str | None = None) -> Check:
     """Groups (or the table) without a single non-null value of ``col``."""
-    g = _src(df, where).groupBy(*group_by).agg(F.count(F.col(col)).alias("filler_column"))
-    return Check(f"at_least_one_{col}", g.where(F.col("filler_column") == 0))
+    g = _src(df, where).groupBy(*group_by).agg(F.count(F.col(col)).alias("n_present"))
+    return Check(f"at_least_one_{col}", g.where(F.col("n_present") == 0))
 
 
 def not_constant(df: DataFrame, col: str, group_by: Sequence[str] = (), where: str | None = None) -> Check:
-    """Groups whose non-null values are all one value; an empty group passes."""
-    g = _src(df, where).groupBy(*group_by).agg(F.count_distinct(F.col(col)).alias("filler_column"))
-    return Check(f"not_constant_{col}", g.where(F.col("filler_column") == 1))
+    """Groups whose non-null values are all one value (``n_values`` = 1); an empty group passes."""
+    g = _src(df, where).groupBy(*group_by).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+    return Check(f"not_constant_{col}", g.where(F.col("_lo") == F.col("_hi"))
+                 .select(*group_by, F.lit(1).cast("long").alias("n_values")))
 
 
 def not_null_proportion(df: DataFrame, col: str, at_least: float, at_most: float = 1.0,
@@ -247,9 +270,7 @@ def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None =
     Duplicate counts are not compared (use :func:`equal_rowcount` as well).
     """
     cols = list(compare_columns) if compare_columns else a.columns
-    sa, sb = a.select(*cols), b.select(*cols)
-    rows = (sa.subtract(sb).withColumn("which_diff", F.lit("a_minus_b"))
-              .unionByName(sb.subtract(sa).withColumn("which_diff", F.lit("b_minus_a"))))
+    rows = two_way_except(a.select(*cols), b.select(*cols))
     calc = F.count(F.lit(1)) + F.coalesce(F.abs(
         F.sum(F.when(F.col("which_diff") == "a_minus_b", 1).otherwise(0))
         - F.sum(F.when(F.col("which_diff") == "b_minus_a", 1).otherwise(0))), F.lit(0))
@@ -258,9 +279,12 @@ def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None =
 
 def cardinality_equality(a: DataFrame, col: str, b: DataFrame, field: str) -> Check:
     """Value → row-count pairs present on one side only (both directions)."""
-    ta = a.groupBy(F.col(col).alias(col)).agg(F.count(F.lit(1)).alias("num_rows"))
-    tb = b.groupBy(F.col(field).alias(col)).agg(F.count(F.lit(1)).alias("num_rows"))
-    return Check(f"cardinality_equality_{col}", ta.subtract(tb).unionByName(tb.subtract(ta)))
+    side = lambda df, c, n: df.select(F.col(c).alias(col), F.lit(n).alias("_side"))
+    both = side(a, col, 0).union(side(b, field, 1)).groupBy(col).agg(
+        F.count_if(F.col("_side") == 0).alias("_a"), F.count_if(F.col("_side") == 1).alias("_b"))
+    # a value without rows on a side has no pair there
+    pairs = both.where("_a <> _b").select(col, F.explode(F.filter(F.array("_a", "_b"), lambda n: n > 0)).alias("num_rows"))
+    return Check(f"cardinality_equality_{col}", pairs)
 
 
 def relationships_where(df: DataFrame, col: str, to: DataFrame, field: str,
@@ -268,7 +292,7 @@ def relationships_where(df: DataFrame, col: str, to: DataFrame, field: str,
     """Non-null child keys without a parent, both sides filtered (``id, right_id``)."""
     left = df.where(from_condition).where(F.col(col).isNotNull()).select(F.col(col).alias("id"))
     right = to.where(to_condition).where(F.col(field).isNotNull()).select(F.col(field).alias("right_id"))
-    miss = left.join(right, left["id"] == right["right_id"], "left_anti")
+    miss = anti_join(left, right, ["id"], ["right_id"])
     return Check(f"relationships_where_{col}",
                  miss.select("id", F.lit(None).cast(right.schema["right_id"].dataType).alias("right_id")))
 
@@ -324,8 +348,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str,
     partition needs no successor.
     """
     if gaps not in _GAPS:
-        raise ValueError("gaps must be one of ['not_allowed', 'allowed', 'required'], "
-                         f"got {gaps!r}")
+        raise ValueError(f"no rule for gaps={gaps!r}; known are {', '.join(sorted(_GAPS))}")
     gap_op, gap_words = _GAPS[gaps]
     z_op, z_words = ("<=", "less_than_or_equal_to") if zero_length_range_allowed else ("<", "less_than")
     partition_by = list(partition_by)

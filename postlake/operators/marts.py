@@ -11,9 +11,6 @@ from pyspark.errors import AnalysisException
 from postlake.functions.keys import company_key, company_name
 from postlake.operators.sequence import ordered_scan
 
-# Largest pick table (group count x ranks) broadcast by exact_quantiles.
-PICK_BROADCAST_ROWS = 1_000_000
-
 # Fixed value: the nine fact columns, read from the staging layer.
 FACT_COLUMNS = ["job_id", "company", "salary_min", "salary_max", "deal_salary",
                 "experience_min", "experience_max", "experience_not_mentioned", "crawled_at"]
@@ -57,9 +54,10 @@ def table_counts(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]
     return out.withColumn("healthy", F.col("row_count") > 0)
 
 
-def describe(df: DataFrame) -> list[tuple[str, str, bool]]:
-    """Column name, type and nullability (schema metadata only)."""
-    return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+def describe(df: DataFrame) -> DataFrame:
+    """``position, column_name, column_type, nullable`` of every column (schema metadata only)."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string, nullable boolean")
 
 
 def job_totals(fact: DataFrame, key: str = "job_id") -> DataFrame:
@@ -93,61 +91,56 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                          "n")
 
 
-def _join_groups(rows: DataFrame, per_group: DataFrame, group: list[str],
-                 extra: list[str] = (), broadcast_side: bool = False) -> DataFrame:
-    """Attach per-group values to rows (null-safe on the group keys, plus ``extra`` equi-keys).
-
-    With no group, the single per-group row becomes a scalar subquery.
-    """
-    if not group and not extra:
+def _with_groups(rows: DataFrame, per_group: DataFrame, group: list[str]) -> DataFrame:
+    """Attach per-group values to rows, null-safe on the group keys; a single group is a scalar subquery."""
+    if not group:
         one = per_group.select(F.struct(*per_group.columns).alias("_s")).scalar()
         return rows.select("*", *[one[c].alias(c) for c in per_group.columns])
-    r, p = rows.alias("_r"), (F.broadcast(per_group) if broadcast_side else per_group).alias("_p")
+    r, p = rows.alias("_r"), per_group.alias("_p")
     cond = [F.col(f"_r.{g}").eqNullSafe(F.col(f"_p.{g}")) for g in group]
-    cond += [F.col(f"_r.{k}") == F.col(f"_p.{k}") for k in extra]
-    keys = set(group) | set(extra)
     return r.join(p, cond, "inner").select(
-        *[F.col(f"_r.{c}") for c in rows.columns],
-        *[F.col(f"_p.{c}") for c in per_group.columns if c not in keys])
+        *[F.col(f"_r.{c}") for c in rows.columns], *[F.col(f"_p.{c}") for c in per_group.columns if c not in group])
+
+
+def _value_counts(df: DataFrame, group: list[str], col: str) -> DataFrame:
+    """Distinct values ``_v`` per group with their count ``_n`` and running count ``sum__n`` by value (nulls out).
+
+    Equal values are counted before the shuffle, so a value that most rows
+    share is one row, and the ordered scan splits a group with many values.
+    """
+    vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counts = vals.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return ordered_scan(counts, group, ["_v"], sums=["_n"])
+
+
+def _quantiles_of(counts: DataFrame, group: list[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Linear-interpolation quantiles from running counts: the values at the two ranks around each position."""
+    totals = counts.groupBy(*group).agg(F.max("sum__n").alias("_total"))
+    ranked = _with_groups(counts, totals, group)
+    last, first = F.col("sum__n") - 1, F.col("sum__n") - F.col("_n")  # 0-based ranks of a value's rows
+    aggs = []
+    for p, name in zip(probs, names):
+        pos = (F.col("_total") - 1) * F.lit(float(p))
+        for end, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when((rank >= first) & (rank <= last), F.col("_v"))).alias(f"_{end}_{name}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_part_{name}"))
+    got = ranked.groupBy(*group).agg(*aggs)
+    return got.select(*group, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
+                                for n in names])
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
-                    probs: Sequence[float], names: Sequence[str] | None = None,
-                    n_groups: int | None = None) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles of ``col`` per group (nulls out).
 
-    Each row's rank inside its group comes from the range-partitioned ordered
-    scan, so a huge group is spread over many tasks instead of being gathered
-    into one aggregation buffer. The ranks each group needs (two per
-    quantile) are derived from the group sizes and joined on (group, rank),
-    a key with no hot value, so only the picked rows reach the final
-    aggregate.
+    Works on the counts of distinct values, whose running sums per group come
+    from the range-partitioned ordered scan: a huge group is spread over many
+    tasks instead of being gathered into one aggregation buffer, and a value
+    that most rows share is one row.
     """
     group = list(group)
     names = list(names or [f"q{int(p * 100)}" for p in probs])
-    vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counts = vals.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    pos = {name: (F.col("_n") - 1) * F.lit(float(p)) for p, name in zip(probs, names)}
-    need = counts.select(*group, "_n", F.explode(F.array_distinct(F.array(
-        *[F.floor(x).cast("long") for x in pos.values()],
-        *[F.ceil(x).cast("long") for x in pos.values()]))).alias("_idx"))
-    ranked = ordered_scan(vals, group, ["_v"])
-    # the pick table has at most 2 rows per quantile per group: broadcast it when
-    # the group count, checked here, keeps it small; otherwise shuffle-join on
-    # (group, rank), a key without hot values
-    if group and n_groups is None:
-        n_groups = counts.count()
-    small = not group or n_groups * 2 * len(probs) <= PICK_BROADCAST_ROWS
-    picked = _join_groups(ranked, need, group, extra=["_idx"], broadcast_side=small)
-    aggs = []
-    for name, x in pos.items():
-        aggs += [F.max(F.when(F.col("_idx") == F.floor(x), F.col("_v"))).alias(f"_lo_{name}"),
-                 F.max(F.when(F.col("_idx") == F.ceil(x), F.col("_v"))).alias(f"_hi_{name}"),
-                 F.first(x - F.floor(x)).alias(f"_fr_{name}")]
-    got = picked.groupBy(*group).agg(*aggs)
-    outs = [(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_fr_{n}")).alias(n)
-            for n in names]
-    return got.select(*group, *outs)
+    return _quantiles_of(_value_counts(df, group, col), group, probs, names)
 
 
 def box_stats(df: DataFrame, group: Sequence[str], col: str, approx: bool = False,
@@ -155,28 +148,28 @@ def box_stats(df: DataFrame, group: Sequence[str], col: str, approx: bool = Fals
     """Box-plot numbers per group: ``n, min, q1, median, q3, max``, whiskers and outliers.
 
     Whiskers are the most extreme values within 1.5 × IQR of the quartiles.
+    All numbers come from the counts of distinct values.
     ``approx=True`` uses ``percentile_approx`` (bounded memory, approximate).
     """
     group = list(group)
-    vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    # per-group results are one row per group: broadcast them when the checked group count is small
-    n_groups = vals.select(*group).distinct().count() if group else 1
+    names = ["q1", "median", "q3"]
     if approx:
+        vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
         q = vals.groupBy(*group).agg(
             F.percentile_approx("_v", [0.25, 0.5, 0.75], accuracy).alias("_q"))
-        q = q.select(*group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                     F.col("_q")[2].alias("q3"))
+        q = q.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        counts = vals.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
     else:
-        q = exact_quantiles(vals, group, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"], n_groups=n_groups)
+        counts = _value_counts(df, group, col)
+        q = _quantiles_of(counts, group, [0.25, 0.5, 0.75], names)
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    j = _join_groups(vals, q, group, broadcast_side=n_groups <= PICK_BROADCAST_ROWS)
-    return j.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.first("q1").alias("q1"),
+    return _with_groups(counts, q, group).groupBy(*group).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.min("_v").alias("min"), F.first("q1").alias("q1"),
         F.first("median").alias("median"), F.first("q3").alias("q3"), F.max("_v").alias("max"),
         F.min(F.when(F.col("_v") >= lo_fence, F.col("_v"))).alias("lower_whisker"),
         F.max(F.when(F.col("_v") <= hi_fence, F.col("_v"))).alias("upper_whisker"),
-        F.count_if((F.col("_v") < lo_fence) | (F.col("_v") > hi_fence)).alias("outliers"))
+        F.coalesce(F.sum(F.when((F.col("_v") < lo_fence) | (F.col("_v") > hi_fence), F.col("_n"))), F.lit(0)).alias("outliers"))
 
 
 def flag_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -211,47 +204,62 @@ def latest_first(df: DataFrame, k: int, ts: str = "crawled_at", tie: str = "job_
     return df.orderBy(F.col(ts).desc_nulls_last(), F.col(tie).asc_nulls_last()).limit(k)
 
 
-def _order_terms(text: str, column: str) -> list[Column]:
-    """``"count(*) desc, value"`` → sort Columns over the grouped ``value`` / ``_n`` frame."""
-    out = []
-    for term in text.split(","):
-        parts = term.strip().rsplit(None, 1)
-        expr, direction = (parts[0], parts[1].lower()) if len(parts) == 2 and parts[1].lower() in ("asc", "desc") \
-            else (term.strip(), "asc")
-        key = expr.replace(" ", "").lower()
-        c = F.col("_n") if key == "count(*)" else F.col("value") if key in ("value", column.lower()) else None
-        if c is None:
-            raise ValueError(f"cannot order column values by {expr!r}")
-        out.append(c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last())
-    return out
-
-
 def column_values(df: DataFrame | None, column: str, order_by: Sequence[Column] | str | None = None,
                   max_records: int | None = None, where: str | None = None,
                   default: Sequence | None = None, spark: SparkSession | None = None) -> DataFrame:
     """Distinct values of ``column`` as ``value`` (default order: frequency desc, then value).
 
-    ``order_by`` is a list of Columns over the grouped frame, or SQL-like text
-    whose terms are ``count(*)``, the column or ``value``, each optionally
-    followed by ``asc``/``desc`` (``"count(*) desc"``, ``"value"``).
+    ``order_by`` is SQL text over the grouped relation, of any aggregates and
+    the column (``"count(*) desc"``, ``"max(p_size), p_brand desc"``), in which
+    ``value`` may stand for the column, or a list of Columns over ``value`` and
+    the count ``_n``.
 
-    A missing input (``df is None``) returns ``default`` as a one-column frame,
-    or raises when no default is given.
+    ``default`` (values of the column's type) is the result when the relation
+    does not exist (``df is None``; then the type is that of the values) or has
+    no such rows; without one, a missing relation is an error and an empty one
+    gives no rows.
     """
     if df is None:
         if default is None:
             raise ValueError("column_values: relation does not exist and no default was given")
-        return spark.createDataFrame([(v,) for v in default], "value string")
+        if not default:
+            return spark.createDataFrame([], "value string")
+        return spark.createDataFrame([(v,) for v in default], ["value"])
     src = df.where(where) if where else df
-    g = src.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("_n"))
+    kept = [F.count(F.lit(1)).alias("_n")]
     if isinstance(order_by, str):
-        order = _order_terms(order_by, column)
+        terms, order = _order_text(order_by, column)
+        kept += [F.expr(t).alias(f"_o{i}") for i, t in enumerate(terms)]
     else:
         order = list(order_by) if order_by else [F.col("_n").desc(), F.col("value").asc_nulls_last()]
+    g = src.groupBy(F.col(column).alias(column)).agg(*kept).withColumnRenamed(column, "value")
     out = g.orderBy(*order)
     if max_records is not None:
         out = out.limit(max_records)
-    return out.select("value")
+    out = out.select("value")
+    if default is not None and out.isEmpty():
+        typ = df.schema[column].dataType
+        return df.sparkSession.createDataFrame([(v,) for v in default], f"value {typ.simpleString()}")
+    return out
+
+
+def _order_text(text: str, column: str) -> tuple[list[str], list[Column]]:
+    """The expressions of an ORDER BY text, and sort columns over them (named ``_o0``, ``_o1``, ...)."""
+    terms, order, depth, start = [], [], 0, 0
+    for i, ch in enumerate(text + ","):
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 0:
+            terms.append(text[start:i].strip())
+            start = i + 1
+    for i, t in enumerate(terms):
+        words = t.split()
+        down = words[-1].lower() == "desc"
+        if words[-1].lower() in ("asc", "desc"):
+            words = words[:-1]
+        body = " ".join(words)
+        terms[i] = f"`{column}`" if body.lower() == "value" else body
+        order.append(F.col(f"_o{i}").desc_nulls_last() if down else F.col(f"_o{i}").asc_nulls_last())
+    return terms, order
 
 
 def single_value(df: DataFrame, default=None, default_type: str | None = None) -> DataFrame:

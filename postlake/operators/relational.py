@@ -84,31 +84,42 @@ def _like_to_regex(pattern: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def _matches(names: Sequence[str], pattern: str, exclude: str = "") -> list[str]:
+    inc = re.compile(_like_to_regex(pattern), re.IGNORECASE)
+    exc = re.compile(_like_to_regex(exclude), re.IGNORECASE) if exclude else None
+    return sorted(n for n in names if inc.match(n) and not (exc and exc.match(n)))
+
+
 def relations_by_pattern(spark: SparkSession, table_pattern: str, exclude: str = "",
-                         database: str | None = None) -> list[str]:
+                         database: str | None = None, schema_pattern: str | None = None) -> list[str]:
     """Catalog tables/views whose name is LIKE ``table_pattern`` and not LIKE ``exclude``.
 
-    Matching ignores case. Only catalog metadata is read; no data moves.
+    Matching ignores case. ``schema_pattern`` looks in all schemas LIKE it and
+    gives names with their schema (temporary views belong to none and are left
+    out). Only catalog metadata is read; no data moves.
     """
-    inc = re.compile(_like_to_regex(table_pattern), re.IGNORECASE)
-    exc = re.compile(_like_to_regex(exclude), re.IGNORECASE) if exclude else None
-    names = [t.name for t in spark.catalog.listTables(database) if inc.match(t.name)]
-    if exc:
-        names = [n for n in names if not exc.match(n)]
-    return sorted(names)
+    if schema_pattern is None:
+        return _matches([t.name for t in spark.catalog.listTables(database)], table_pattern, exclude)
+    out = []
+    for schema in _matches([d.name for d in spark.catalog.listDatabases()], schema_pattern):
+        names = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]
+        out += [f"{schema}.{n}" for n in _matches(names, table_pattern, exclude)]
+    return out
 
 
 def union_by_pattern(spark: SparkSession, table_pattern: str, exclude: str = "",
-                     database: str | None = None, **union_kwargs) -> DataFrame:
-    names = relations_by_pattern(spark, table_pattern, exclude, database)
+                     database: str | None = None, schema_pattern: str | None = None, **union_kwargs) -> DataFrame:
+    names = relations_by_pattern(spark, table_pattern, exclude, database, schema_pattern)
     if not names:
         raise ValueError(f"no relation matches {table_pattern!r}")
     return union_relations([(n, spark.table(n)) for n in names], **union_kwargs)
 
 
 def union_by_prefix(spark: SparkSession, prefix: str, exclude: str = "",
-                    database: str | None = None, **union_kwargs) -> DataFrame:
-    return union_by_pattern(spark, prefix + "%", exclude, database, **union_kwargs)
+                    database: str | None = None, schema_pattern: str | None = None, **union_kwargs) -> DataFrame:
+    """The union of the relations whose names start with ``prefix`` (taken literally)."""
+    literal = prefix.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+    return union_by_pattern(spark, literal + "%", exclude, database, schema_pattern, **union_kwargs)
 
 
 def anti_join(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
@@ -120,6 +131,15 @@ def anti_join(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
 
 def two_way_except(a: DataFrame, b: DataFrame, label_col: str = "which_diff",
                    a_label: str = "a_minus_b", b_label: str = "b_minus_a") -> DataFrame:
-    """Distinct rows of ``a`` not in ``b`` and of ``b`` not in ``a``, labelled."""
-    return (a.subtract(b).withColumn(label_col, F.lit(a_label))
-             .unionByName(b.subtract(a).withColumn(label_col, F.lit(b_label))))
+    """Distinct rows of ``a`` not in ``b`` and of ``b`` not in ``a``, labelled.
+
+    Each input is read once: both are tagged, stacked and grouped by all
+    columns (nulls are equal there), which combines repeated rows before the
+    one shuffle.
+    """
+    cols = a.columns
+    both = a.withColumns({"_in_a": F.lit(True), "_in_b": F.lit(False)}).union(
+        b.toDF(*cols).withColumns({"_in_a": F.lit(False), "_in_b": F.lit(True)}))
+    sides = both.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.bool_or("_in_a").alias("_in_a"), F.bool_or("_in_b").alias("_in_b"))
+    return sides.where(F.col("_in_a") != F.col("_in_b")).select(
+        *[F.col(f"`{c}`") for c in cols], F.when(F.col("_in_a"), F.lit(a_label)).otherwise(F.lit(b_label)).alias(label_col))

@@ -126,7 +126,7 @@ def _running_max(a: pa.Array, grp: np.ndarray) -> pa.Array:
     return out.view(a.type) if pa.types.is_timestamp(a.type) or pa.types.is_duration(a.type) else out.cast(a.type)
 
 
-def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols):
+def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols, sum_cols=()):
     """Build the per-range function for ``mapInArrow``."""
 
     def finish(cols: dict, same: np.ndarray, after) -> pa.RecordBatch:
@@ -174,6 +174,11 @@ def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols):
                 if state is not None:  # the maximum so far is a row in front of those that continue
                     a, g = _join([state["max"][c], a], a.type), np.concatenate([[0], grp])
                 cols["_lmax_" + c] = _running_max(a, g).slice(int(state is not None))
+            for c in sum_cols:
+                total = np.cumsum(cols[c].fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+                before = np.concatenate([[0], total])[start]  # the sum ahead of this key's first row here
+                carried = np.where(cont, state["sum"][c], 0) if state is not None else 0
+                cols["_lsum_" + c] = pa.array(total - before + carried)
             for c in run_cols:
                 flag = cols[c].fill_null(False).to_numpy(zero_copy_only=False)
                 last_break = np.maximum.accumulate(np.where(flag & same, -1, np.where(flag, np.arange(n) - 1, np.arange(n))))
@@ -184,6 +189,7 @@ def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols):
             index = int(idx[-1]) + 1
             state = {"row": batch.slice(n - 1, 1), "pf": bool(leading[-1]),
                      "max": {c: cols["_lmax_" + c].slice(n - 1, 1) for c in max_cols},
+                     "sum": {c: cols["_lsum_" + c][n - 1].as_py() for c in sum_cols},
                      "run": {c: cols["_lrun_" + c][n - 1].as_py() for c in run_cols}}
             if pending is not None:
                 yield finish(*pending, batch.slice(0, 1))
@@ -197,12 +203,12 @@ def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols):
 def local_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
                prev: Sequence[str] = (), next: Sequence[str] = (),
                running_max: Sequence[str] = (), runs: Sequence[str] = (),
-               num_partitions: int | None = None) -> DataFrame:
+               sums: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """The range-partitioned pass of :func:`ordered_scan` as a plan, not yet run.
 
     ``df`` has the row-number column of :func:`numbered`.
     """
-    keys, prev, next_, running_max, runs = (list(x) for x in (keys, prev, next, running_max, runs))
+    keys, prev, next_, running_max, runs, sums = (list(x) for x in (keys, prev, next, running_max, runs, sums))
     n = num_partitions or range_count(df)
     sort = [F.col(k).asc_nulls_first() for k in keys] + _sort_cols(order) + [F.col(_TIE)]
     ranged = (df.repartitionByRange(n, *sort)
@@ -217,12 +223,13 @@ def local_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
            T.StructField("_lidx", T.LongType()), T.StructField("_pf", T.BooleanType())]
         + [T.StructField("_lprev_" + c, typ[c]) for c in prev]
         + [T.StructField("_lmax_" + c, typ[c]) for c in running_max]
+        + [T.StructField("_lsum_" + c, T.LongType()) for c in sums]
         + [T.StructField("_lrun_" + c, T.LongType()) for c in runs]
         + [T.StructField("_last", T.BooleanType())]
         + [T.StructField("_lnext_" + c, typ[c]) for c in next_]
         + [T.StructField("_end", T.BooleanType())]
     )
-    return ranged.mapInArrow(_local_pass(keys, prev, next_, running_max, runs), schema=out)
+    return ranged.mapInArrow(_local_pass(keys, prev, next_, running_max, runs, sums), schema=out)
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -233,7 +240,7 @@ def numbered(df: DataFrame) -> DataFrame:
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
                  prev: Sequence[str] = (), next: Sequence[str] = (),
                  running_max: Sequence[str] = (), runs: Sequence[str] = (),
-                 num_partitions: int | None = None) -> DataFrame:
+                 sums: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Add ordered-scan columns to ``df`` without a one-task window.
 
     Per row, within its ``keys`` group in ``order`` (nulls first when a plain
@@ -243,14 +250,15 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
     * ``prev_<c>`` / ``next_<c>``: value of ``c`` in the previous / next row,
     * ``max_<c>``: running maximum of ``c`` up to this row (nulls skipped), in
       the type of ``c``: a whole or floating number, date, time or boolean,
-    * ``run_<c>``: length of the run of true values of boolean ``c`` ending here.
+    * ``run_<c>``: length of the run of true values of boolean ``c`` ending here,
+    * ``sum_<c>``: running sum of whole-number ``c`` up to this row (nulls are 0).
     """
-    keys, prev, next_, running_max, runs = (list(x) for x in (keys, prev, next, running_max, runs))
+    keys, prev, next_, running_max, runs, sums = (list(x) for x in (keys, prev, next, running_max, runs, sums))
     ensure_library(df.sparkSession)
     typ = {f.name: f.dataType for f in df.schema.fields}
     if num_partitions is None:
         num_partitions = range_count(df)
-    local = checkpoint(local_scan(numbered(df), keys, order, prev, next_, running_max, runs, num_partitions))
+    local = checkpoint(local_scan(numbered(df), keys, order, prev, next_, running_max, runs, sums, num_partitions))
 
     # boundary rows: the first row of each range (for lead carries) and the
     # last row of each range (for lag / index / max / run carries)
@@ -260,6 +268,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
         (F.col("_lidx") + 1).alias("_n"),
         F.struct(*[F.col(c) for c in prev] or [F.lit(1).alias("_d")]).alias("_lastv"),
         *[F.col("_lmax_" + c).alias("_mx_" + c) for c in running_max],
+        *[F.col("_lsum_" + c).alias("_sm_" + c) for c in sums],
         *[F.col("_lrun_" + c).alias("_tr_" + c) for c in runs],
         *[(F.col("_lrun_" + c) == F.col("_lidx") + 1).alias("_all_" + c) for c in runs],
         F.lit(None).cast(T.StructType([T.StructField(c, typ[c]) for c in next_] or
@@ -270,6 +279,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
         F.lit(None).cast("long").alias("_n"),
         F.lit(None).cast(ends.schema["_lastv"].dataType).alias("_lastv"),
         *[F.lit(None).cast(typ[c]).alias("_mx_" + c) for c in running_max],
+        *[F.lit(None).cast("long").alias("_sm_" + c) for c in sums],
         *[F.lit(None).cast("long").alias("_tr_" + c) for c in runs],
         *[F.lit(None).cast("boolean").alias("_all_" + c) for c in runs],
         F.struct(*[F.col(c) for c in next_] or [F.lit(1).alias("_d")]).alias("_firstv"),
@@ -291,6 +301,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
     ]
     for c in running_max:
         carries.append(F.max("_mx_" + c).over(before).alias("_c_mx_" + c))
+    for c in sums:
+        carries.append(F.sum("_sm_" + c).over(before).alias("_c_sm_" + c))
     for c in runs:
         brk = F.last(F.when(is_end & ~F.col("_all_" + c),
                             F.struct(F.col("_cum").alias("cum"), F.col("_tr_" + c).alias("tr"))),
@@ -303,7 +315,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
         bnd = bnd.withColumn("_c_run_" + c, F.when(brk.isNull(), total)
                              .otherwise(brk["tr"] + total - brk["cum"]))
     back = bnd.where("_kind = 0").select(
-        _RP, "_c_n", "_c_prev", *["_c_mx_" + c for c in running_max],
+        _RP, "_c_n", "_c_prev", *["_c_mx_" + c for c in running_max], *["_c_sm_" + c for c in sums],
         *["_c_run_" + c for c in runs])
     fwd = bnd.where("_kind = 1").select(_RP, "_c_next")
     carry = back.join(fwd, _RP, "full_outer")
@@ -323,6 +335,9 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
     for c in running_max:
         cols.append(F.when(pf, F.greatest(F.col("_lmax_" + c), F.col("_c_mx_" + c)))
                     .otherwise(F.col("_lmax_" + c)).alias("max_" + c))
+    for c in sums:
+        cols.append((F.col("_lsum_" + c) + F.when(pf, F.coalesce(F.col("_c_sm_" + c), F.lit(0))).otherwise(0))
+                    .alias("sum_" + c))
     for c in runs:
         lead_run = F.col("_lrun_" + c) == F.col("_lidx") + 1
         cols.append(F.when(pf & lead_run, F.col("_lrun_" + c) + F.coalesce(F.col("_c_run_" + c), F.lit(0)))

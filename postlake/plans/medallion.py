@@ -2,8 +2,8 @@
 
 Layers are ordinary DataFrame functions; ``select`` chooses which layers run,
 and each layer is registered under the name the next layer and the
-dashboards read. With ``out_root`` (a shared folder), staging and
-``dim_company`` are written there as tables, which also cuts the lineage;
+dashboards read. With ``out_root`` (a shared folder), staging, the deduplicated
+layer and ``dim_company`` are written there as tables, which also cuts the lineage;
 otherwise, and for the other relations, they are views.
 """
 
@@ -63,7 +63,9 @@ def run_medallion(spark: SparkSession, bronze: str | DataFrame, out_root: str |
             else materialize(stg, "stg_jobs", "view")
     stg = out.get("stg_jobs") or spark.table("stg_jobs")
     if "intermediate" in select:
-        out["int_jobs_dedup"] = materialize(latest_postings(stg), "int_jobs_dedup", "view")
+        latest = latest_postings(stg)
+        out["int_jobs_dedup"] = materialize(latest, "int_jobs_dedup", "table", path("int_jobs_dedup")) if out_root \
+            else materialize(latest, "int_jobs_dedup", "view")
     if "marts" in select:
         jobs = out.get("int_jobs_dedup") or spark.table("int_jobs_dedup")
         dc = dim_company(jobs)

@@ -14,7 +14,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.functions.keys import company_key, posting_id, surrogate_key
@@ -26,7 +26,7 @@ from postlake.functions.urls import (absolute_url, clean_url, company_from_url,
 from postlake.operators import checks as C
 from postlake.operators import marts as M
 from postlake.operators.columns import cast_columns, group_by_first_n, nullcheck, search, select_star
-from postlake.operators.relational import union_by_pattern, union_relations
+from postlake.operators.relational import union_by_pattern, union_by_prefix, union_relations
 from postlake.operators.reshape import date_spine, deduplicate, generate_series, unpivot
 from postlake.plans.pages import build_postings, crawl_audit, extract_items
 from postlake.session import ensure_checkpoint_dir
@@ -299,14 +299,18 @@ def q_url_host(spark, d):
     return table(spark, d, "pages").select("page_id", url_host("url").alias("host"))
 
 
-@query("c13_url_path", """
-with s as (select page_id, replace(replace(url, 'http://', ''), 'https://', '') as u from pages)
-select page_id,
-  split_part(right(u, length(u) - coalesce(nullif(strpos(u, '/'), 0), strpos(u, '?') - 1)), '?', 1) as path
-from s
+@query("c13_url_path", r"""
+select page_id, case when u like '%/%' then regexp_extract(u, '^[^/]*/([^?]*)', 1)
+                     when u like '%?%' then '' else u end as path
+from (select page_id, regexp_replace(url, 'https?://', '', 'g') as u from (
+  select page_id, url from pages
+  union all select -page_id - 1, regexp_extract(url, '://([^/?#]*)', 1) || case page_id % 3 when 0 then '?a=/b' when 1 then '' else '/x/y?z#f' end from pages))
 """)
 def q_url_path(spark, d):
-    return table(spark, d, "pages").select("page_id", url_path("url").alias("path"))
+    p = table(spark, d, "pages").select("page_id", "url")
+    tail = F.when(F.col("page_id") % 3 == 0, "?a=/b").when(F.col("page_id") % 3 == 1, "").otherwise("/x/y?z#f")
+    bare = p.select((-F.col("page_id") - 1).alias("page_id"), F.concat(F.regexp_extract("url", "://([^/?#]*)", 1), tail).alias("url"))
+    return p.union(bare).select("page_id", url_path("url").alias("path"))
 
 
 @query("c14_url_parameter", """
@@ -508,6 +512,16 @@ def q_union_pattern(spark, d):
     return union_by_pattern(spark, "REL\\_%", exclude="%excluded", where="acctbal > 0")
 
 
+@query("d2_union_by_prefix", UNION_SQL.replace("'customer'", "'src_customer'").replace("'supplier'", "'src_supplier'"))
+def q_union_prefix(spark, d):
+    """The prefix is literal: ``srcXnation`` does not start with ``src_``."""
+    c, s = _renamed(spark, d)
+    c.createOrReplaceTempView("src_customer")
+    s.createOrReplaceTempView("src_supplier")
+    table(spark, d, "nation").createOrReplaceTempView("srcXnation")
+    return union_by_prefix(spark, "src_", where="acctbal > 0")
+
+
 # ------------------------------------------------------------------ 2E reshape and generators
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -732,16 +746,36 @@ def q_box(spark, d):
                     ["min", "q1", "median", "q3", "max", "lower_whisker", "upper_whisker"]], "outliers")
 
 
-@query("f8_box_stats_global", """
-with q as (select quantile_cont(l_extendedprice, 0.25) as q1, quantile_cont(l_extendedprice, 0.5) as median,
-             quantile_cont(l_extendedprice, 0.75) as q3 from lineitem)
-select count(*) as n, round(any_value(q1), 4) as q1, round(any_value(median), 4) as median,
-  round(any_value(q3), 4) as q3
-from lineitem, q
-""")
+def _box_global_sql(value: str) -> str:
+    return f"""
+with v as (select {value} as v from lineitem),
+q as (select quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as median, quantile_cont(v, 0.75) as q3 from v)
+select count(*) as n, round(min(v), 4) as min, round(any_value(q1), 4) as q1, round(any_value(median), 4) as median,
+  round(any_value(q3), 4) as q3, round(max(v), 4) as max,
+  round(min(case when v >= q1 - 1.5 * (q3 - q1) then v end), 4) as lower_whisker,
+  round(max(case when v <= q3 + 1.5 * (q3 - q1) then v end), 4) as upper_whisker,
+  cast(count_if(v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)) as bigint) as outliers
+from v, q where v is not null
+"""
+
+
+def _box_global(rows: DataFrame, col: str) -> DataFrame:
+    b = M.box_stats(rows, [], col)
+    return b.select("n", *[F.round(c, 4).alias(c) for c in
+                    ["min", "q1", "median", "q3", "max", "lower_whisker", "upper_whisker"]], "outliers")
+
+
+@query("f8_box_stats_global", _box_global_sql("l_extendedprice"))
 def q_box_global(spark, d):
-    b = M.box_stats(table(spark, d, "lineitem"), [], "l_extendedprice")
-    return b.select("n", *[F.round(c, 4).alias(c) for c in ["q1", "median", "q3"]])
+    return _box_global(table(spark, d, "lineitem"), "l_extendedprice")
+
+
+@query("f8_box_stats_shared_value", _box_global_sql(
+    "case when l_orderkey % 20 > 0 then 1000.0 when l_linenumber > 5 then null else l_extendedprice end"))
+def q_box_shared(spark, d):
+    """A column of which most rows share one value."""
+    v = F.when(F.col("l_orderkey") % 20 > 0, F.lit(1000.0)).when(F.col("l_linenumber") > 5, F.lit(None)).otherwise(F.col("l_extendedprice"))
+    return _box_global(table(spark, d, "lineitem").select(v.alias("v")), "v")
 
 
 @query("f9_flag_counts", f"""
@@ -780,6 +814,23 @@ def q_column_values_top(spark, d):
     return M.column_values(table(spark, d, "part"), "p_brand", max_records=3, where="p_size > 10")
 
 
+@query("f13_column_values_default_of_empty", """
+select unnest([3, 5])::integer as value from (select count(*) as n from part where p_size < 0) where n = 0
+""")
+def q_column_values_default(spark, d):
+    """The relation exists but has no such rows: the default, in the column's type."""
+    return M.column_values(table(spark, d, "part"), "p_size", where="p_size < 0", default=[3, 5])
+
+
+@query("f13_column_values_ordered_by_expression", """
+select p_brand as value from part group by p_brand
+order by max(p_retailprice) - min(p_retailprice) desc, p_brand limit 7
+""")
+def q_column_values_expression(spark, d):
+    return M.column_values(table(spark, d, "part"), "p_brand", max_records=7,
+                           order_by="max(p_retailprice) - min(p_retailprice) desc, value")
+
+
 @query("f14_single_value", """
 select max(o_totalprice) as value from orders
 """)
@@ -788,7 +839,7 @@ def q_single_value(spark, d):
 
 
 @query("f14_single_value_default", """
-select -1.0::double as value
+select coalesce((select o_totalprice from orders where o_totalprice < 0 limit 1), -1.0)::double as value
 """)
 def q_single_value_default(spark, d):
     empty = table(spark, d, "orders").where(F.col("o_totalprice") < 0).select("o_totalprice")
@@ -826,6 +877,29 @@ def q_export_csv(spark, d):
     return spark.read.option("header", True).schema(c.schema).csv(path)
 
 
+@query("a5_export_csv_with_lists", """
+select o_orderkey, '["' || o_orderpriority || '","' || o_orderstatus || '"]' as tags,
+  '{"key":' || o_custkey || '}' as customer from orders
+""")
+def q_export_csv_lists(spark, d):
+    from postlake.sources.catalog import export_csv
+    o = table(spark, d, "orders").select("o_orderkey", F.array("o_orderpriority", "o_orderstatus").alias("tags"),
+                                         F.struct(F.col("o_custkey").alias("key")).alias("customer"))
+    path = _shared_dir(spark, "export")
+    export_csv(o, path)
+    return spark.read.option("header", True).option("escape", "\"").schema("o_orderkey bigint, tags string, customer string").csv(path)
+
+
+@query("a7_describe", """
+select cid + 1 as position, name as column_name,
+  case type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'VARCHAR' then 'string' when 'DOUBLE' then 'double'
+            when 'TIMESTAMP' then 'timestamp_ntz' end as column_type, not "notnull" as nullable
+from pragma_table_info('orders')
+""")
+def q_describe(spark, d):
+    return M.describe(table(spark, d, "orders"))
+
+
 @query("a3_apply_contract", """
 select case when o_orderkey % 4 = 0 then '' else 'J' || o_orderkey end as job_id,
   coalesce(case when o_orderkey % 3 = 0 then null else o_orderpriority end, '') as title,
@@ -907,7 +981,7 @@ def q_accepted_range_col(spark, d):
 
 
 @query("g2_at_least_one", """
-select user_id, count(case when value > 480 then value end) as filler_column
+select user_id, count(case when value > 480 then value end) as n_present
 from events group by user_id having count(case when value > 480 then value end) = 0
 """)
 def q_at_least_one(spark, d):
@@ -986,19 +1060,17 @@ def q_fewer_rows(spark, d):
     return C.fewer_rows_than(a, b, ["nationkey"]).rows
 
 
+# A range fails if it is not longer than nothing, or if the nearest later one begins before it ends.
 RANGES_SQL = """
-with r as (select user_id, ts as lower_bound, ts + to_minutes(cast(floor(value / 8) as bigint)) as upper_bound
-           from events),
-w as (select user_id as partition_by_col, lower_bound, upper_bound,
-        lead(lower_bound) over (partition by user_id order by lower_bound nulls last, upper_bound nulls last)
-          as next_lower_bound,
-        row_number() over (partition by user_id order by lower_bound desc nulls first, upper_bound desc nulls first) = 1
-          as is_last_record
-      from r),
-c as (select *, coalesce(lower_bound < upper_bound, false) as lower_bound_less_than_upper_bound,
-        coalesce(upper_bound <= next_lower_bound, is_last_record, false)
-          as upper_bound_less_than_or_equal_to_next_lower_bound from w)
-select * from c where not (lower_bound_less_than_upper_bound and upper_bound_less_than_or_equal_to_next_lower_bound)
+with r as (select user_id, event_id, ts as lo, ts + to_minutes(cast(floor(value / 8) as bigint)) as hi from events),
+p as (select a.user_id, a.event_id, a.lo, a.hi, min(b.lo) as after, count(b.event_id) = 0 as alone
+      from r a left join r b on a.user_id = b.user_id and a.event_id <> b.event_id
+        and (b.lo, b.hi, b.event_id) > (a.lo, a.hi, a.event_id)
+      group by all)
+select user_id as partition_by_col, lo as lower_bound, hi as upper_bound, after as next_lower_bound,
+  alone as is_last_record, lo < hi as lower_bound_less_than_upper_bound,
+  alone or hi <= after as upper_bound_less_than_or_equal_to_next_lower_bound
+from p where not exists (select 1 where lo < hi and (alone or hi <= after))
 """
 
 
@@ -1011,23 +1083,45 @@ def q_ranges(spark, d):
 
 
 @query("g8_mutually_exclusive_ranges_global", """
-with r as (select l_orderkey * 100 + l_linenumber * 10 as lo,
-                  l_orderkey * 100 + l_linenumber * 10 + cast(floor(l_quantity / 4) as bigint) as hi from lineitem),
-w as (select lo as lower_bound, hi as upper_bound,
-        lead(lo) over (order by lo nulls last, hi nulls last) as next_lower_bound,
-        row_number() over (order by lo desc nulls first, hi desc nulls first) = 1 as is_last_record from r),
-c as (select *, coalesce(lower_bound < upper_bound, false) as lower_bound_less_than_upper_bound,
-        coalesce(upper_bound = next_lower_bound, is_last_record, false)
-          as upper_bound_equal_to_next_lower_bound from w)
-select * from c where not (lower_bound_less_than_upper_bound and upper_bound_equal_to_next_lower_bound)
+with r as (select 9007199254740992 + l_orderkey * 100 + l_linenumber * 10 as lo,
+                  9007199254740992 + l_orderkey * 100 + l_linenumber * 10 + cast(floor(l_quantity / 4) as bigint) as hi
+           from lineitem),
+w as (select lo as lower_bound, hi as upper_bound, lead(lo) over (order by lo, hi) as next_lower_bound,
+        count(*) over (order by lo, hi) = count(*) over () as is_last_record from r)
+select *, lower_bound < upper_bound as lower_bound_less_than_upper_bound,
+  is_last_record or upper_bound = next_lower_bound as upper_bound_equal_to_next_lower_bound
+from w where lower_bound >= upper_bound or (not is_last_record and upper_bound <> next_lower_bound)
 """)
 def q_ranges_global(spark, d):
+    """Bounds above 2**53, which doubles cannot tell apart."""
     li = table(spark, d, "lineitem")
-    lo = F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10
+    lo = F.lit(2 ** 53) + F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10
     r = li.select(lo.alias("lo"), (lo + F.floor(F.col("l_quantity") / 4).cast("bigint")).alias("hi"))
     return C.mutually_exclusive_ranges(r, "lo", "hi", gaps="not_allowed").rows
 
 
+@query("g8_open_ended_ranges", """
+with r as (select o_custkey as k, o_orderdate as lo,
+    lead(o_orderdate) over (partition by o_custkey order by o_orderdate, o_orderkey) as nxt, o_orderkey,
+    row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as back from orders),
+v as (select k, lo, case when o_orderkey % 9 = 0 then null when back = 1 then timestamp '9999-12-31 00:00:00'
+        when o_orderkey % 7 = 0 then nxt + interval 1 day else nxt end as hi, nxt, back from r),
+f as (select k as partition_by_col, lo as lower_bound, hi as upper_bound, nxt as next_lower_bound, back = 1 as is_last_record,
+    coalesce(lo <= hi, false) as a, back = 1 or coalesce(hi <= nxt, false) as b from v)
+select partition_by_col, lower_bound, upper_bound, next_lower_bound, is_last_record,
+  a as lower_bound_less_than_or_equal_to_upper_bound, b as upper_bound_less_than_or_equal_to_next_lower_bound
+from f where not (a and b)
+""")
+def q_open_ranges(spark, d):
+    """Validity ranges per customer: open ends at 9999-12-31, some overlaps, some null ends."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    r = table(spark, d, "orders").withColumn("nxt", F.lead("o_orderdate").over(w))
+    end = F.when(F.col("o_orderkey") % 9 == 0, F.lit(None)).when(F.col("nxt").isNull(), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")) \
+        .when(F.col("o_orderkey") % 7 == 0, F.timestamp_add("DAY", F.lit(1), F.col("nxt"))).otherwise(F.col("nxt"))
+    r = r.select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("lo"), end.alias("hi"))
+    return C.mutually_exclusive_ranges(r, "lo", "hi", ["k"], zero_length_range_allowed=True).rows
+
+
 @query("g9_not_accepted_values", """
 select distinct o_orderpriority as value_field from orders where o_orderpriority in ('1-URGENT', '5-LOW', '9-NONE')
 """)
@@ -1036,7 +1130,7 @@ def q_not_accepted(spark, d):
 
 
 @query("g10_not_constant", """
-select l_orderkey, count(distinct l_returnflag) as filler_column from lineitem group by l_orderkey
+select l_orderkey, count(distinct l_returnflag) as n_values from lineitem group by l_orderkey
 having count(distinct l_returnflag) = 1
 """)
 def q_not_constant(spark, d):
@@ -1106,6 +1200,17 @@ def q_sequential(spark, d):
     return C.sequential_values(table(spark, d, "events"), "event_id", 1, group_by=["user_id"]).rows
 
 
+@query("g15_sequential_large_ids_with_nulls", """
+with e as (select user_id, case when event_id % 17 = 0 then null else 9007199254740992 + event_id end as id from events)
+select user_id, id, previous_id from (
+  select user_id, id, lag(id) over (partition by user_id order by id nulls last) as previous_id from e)
+where id <> previous_id + 1
+""")
+def q_sequential_large(spark, d):
+    e = table(spark, d, "events").select("user_id", F.when(F.col("event_id") % 17 != 0, F.lit(2 ** 53) + F.col("event_id")).alias("id"))
+    return C.sequential_values(e, "id", 1, group_by=["user_id"]).rows
+
+
 @query("g15_sequential_dates_global", """
 select o_orderdate, previous_o_orderdate from (
   select o_orderdate, lag(o_orderdate) over (order by o_orderdate nulls last) as previous_o_orderdate
