@@ -2,27 +2,23 @@
 
 Extraction rules are written the way the crawler configs write them: a
 container selector and, per field, a selector plus an attribute (``text``,
-``exists`` or an attribute name). Selectors are compiled to regular
-expressions that run inside Spark; only the cutting of a page into its
-container elements is a small Arrow-batched pandas UDF, because a card that
-nests elements of its own tag needs balanced-tag counting, which a regular
-expression cannot do. Supported selector forms: ``tag``, ``*``,
-``.class`` (CSS escapes allowed), ``#id``, attribute tests ``[a]``, ``[a=v]``,
-``[a*=v]``, ``[a^=v]``, ``[a$=v]``, ``[a~=v]``, ``:nth-of-type(n)``, compounds
-of these, descendant/child chains (``h3.title a``; ``>`` is treated as a
-descendant step), adjacent siblings (``a + span``) and comma-separated
-alternatives (tried in order). Inside a card, a field's element ends at the
-first closing tag of its name, so a field element nested in a same-named
-element is cut short;
-``nth-of-type`` counts matches in document order within the enclosing
-element rather than per parent; void tags (``img``, ``input``...) have no
-body and are matched by their opening tag.
+``exists`` or an attribute name). A small Arrow-batched pandas UDF reads each
+page's tags with the standard library's tokenizer, lists its elements in
+document order and picks the containers and their fields; all further work
+(absolute links, parsing, ids, the contract) is columns. Selector forms:
+``tag``, ``*``, ``.class`` (CSS escapes allowed), ``#id``, attribute tests
+``[a]``, ``[a=v]``, ``[a*=v]``, ``[a^=v]``, ``[a$=v]``, ``[a~=v]``,
+``:nth-of-type(n)``, compounds of these, descendant and child steps
+(``h3.title a``, ``ul > li``), adjacent siblings (``a + span``) and
+comma-separated alternatives. As in CSS, a field is the container's first
+inner element, in document order, that any alternative matches.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from html.parser import HTMLParser
 
 import pandas as pd
 
@@ -31,25 +27,81 @@ from pyspark.sql import functions as F
 
 from postlake.functions.keys import posting_id
 from postlake.functions.parsing import with_experience, with_salary
-from postlake.functions.urls import company_from_url
+from postlake.functions.urls import absolute_url, company_from_url
 from postlake.operators.sequence import ordered_scan
-from postlake.session import ensure_library
+from postlake.session import checkpoint, ensure_library
 from postlake.sources.contract import apply_contract
 
+# Elements without an end tag, and those whose text is not shown.
 _VOID = {"img", "input", "br", "hr", "meta", "link", "source", "area", "base", "col", "embed", "wbr"}
-# The HTML entities decoded in extracted text.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&")]
+_HIDDEN = {"script", "style"}
 
 
-_ATTR_OPS = {"=": "{v}", "*=": "[^\"]*{v}[^\"]*", "^=": "{v}[^\"]*", "$=": "[^\"]*{v}",
-             "~=": "(?:[^\"]*\\s)?{v}(?:\\s[^\"]*)?"}
-_COMPOUND = re.compile(
-    r"""(?P<tag>[a-zA-Z][a-zA-Z0-9]*|\*)?(?P<quals>(?:\.(?:\\.|[A-Za-z0-9_-])+|\#(?:\\.|[A-Za-z0-9_-])+|\[[^\]]*\])*)(?::nth-of-type\((?P<nth>\d+)\))?$""")
+class _Page(HTMLParser):
+    """The elements of a page in document order; element ``i`` holds the elements up to ``stop[i]``.
 
+    An end tag closes the elements opened since its start tag and is ignored
+    without one; elements left open end with the page. Character references
+    are decoded, in text and attributes.
+    """
 
-def _unescape(name: str) -> str:
-    return re.sub(r"\\(.)", r"\1", name)
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.tag, self.attrs, self.parent, self.nth, self.left, self.stop = [], [], [], [], [], []
+        self.texts, self.span = [], []
+        self.opened: list[int] = []
+        self.last_child: dict[int, int] = {}
+        self.of_type: dict[tuple[int, str], int] = {}
+        self.feed(html)
+        self.close()
+        while self.opened:
+            self._end()
+
+    def _end(self) -> int:
+        i = self.opened.pop()
+        self.stop[i], self.span[i] = len(self.tag), (self.span[i][0], len(self.texts))
+        return i
+
+    def handle_starttag(self, tag, attrs):
+        i, up = len(self.tag), self.opened[-1] if self.opened else -1
+        self.tag.append(tag)
+        self.attrs.append({k: v or "" for k, v in attrs})
+        self.parent.append(up)
+        self.of_type[up, tag] = self.of_type.get((up, tag), 0) + 1
+        self.nth.append(self.of_type[up, tag])
+        self.left.append(self.last_child.get(up, -1))
+        self.last_child[up] = i
+        self.stop.append(i + 1)
+        self.span.append((len(self.texts), len(self.texts)))
+        if tag not in _VOID:
+            self.opened.append(i)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self._end()
+
+    def handle_endtag(self, tag):
+        if any(self.tag[i] == tag for i in self.opened):
+            while self.tag[self._end()] != tag:
+                pass
+
+    def handle_data(self, data):
+        if data.strip() and not (self.opened and self.tag[self.opened[-1]] in _HIDDEN):
+            self.texts.append(data.strip())
+
+    def text(self, i: int) -> str:
+        """Text pieces of an element, each stripped, joined."""
+        return "".join(self.texts[slice(*self.span[i])])
+
+
+_QUALIFIER = r"\.(?:\\.|[\w-])+|\#(?:\\.|[\w-])+|\[[^\]]*\]"
+_COMPOUND = re.compile(rf"(?P<tag>[a-zA-Z][a-zA-Z0-9]*|\*)?(?P<quals>(?:{_QUALIFIER})*)(?::nth-of-type\((?P<nth>\d+)\))?")
+_ATTRIBUTE = re.compile(r"""\[\s*([A-Za-z_:][-\w:.]*)\s*(?:([*^$~]?=)\s*(['"]?)(.*?)\3)?\s*\]""")
+_TESTS: dict[str, Callable[[str, str], bool]] = {
+    "=": lambda have, want: have == want, "*=": lambda have, want: want != "" and want in have,
+    "^=": lambda have, want: want != "" and have.startswith(want), "$=": lambda have, want: want != "" and have.endswith(want),
+    "~=": lambda have, want: want in have.split()}
 
 
 def _split_top(text: str, sep: str) -> list[str]:
@@ -73,159 +125,90 @@ def _split_top(text: str, sep: str) -> list[str]:
     return [x.strip() for x in out if x.strip()]
 
 
-def _steps(selector: str) -> list[tuple[str, str]]:
-    """``a b > c + d`` → [(' ', 'a'), (' ', 'b'), ('>', 'c'), ('+', 'd')]."""
-    spaced = re.sub(r"\s*([>+])\s*", r" \1 ", selector.strip())
-    parts = _split_top(spaced, " ")
-    steps, comb = [], " "
-    for p in parts:
-        if p in (">", "+"):
-            comb = p
-            continue
-        steps.append((comb, p))
-        comb = " "
-    return steps
-
-
-def _compound(sel: str) -> tuple[str, str | None, int]:
-    """Opening-tag regex of one compound selector, its fixed tag name (None: any) and ``nth-of-type``.
-
-    With no fixed tag the regex captures the tag name in group 1.
-    """
-    m = _COMPOUND.match(sel.strip())
-    if not m:
-        raise ValueError(f"unsupported selector {sel!r}")
-    tag = None if m.group("tag") in (None, "*") else m.group("tag")
-    attrs = ""
-    for q in re.findall(r"\.(?:\\.|[A-Za-z0-9_-])+|\#(?:\\.|[A-Za-z0-9_-])+|\[[^\]]*\]", m.group("quals") or ""):
+def _compound(text: str) -> Callable[[_Page, int], bool]:
+    """Test of one compound selector on an element."""
+    m = _COMPOUND.fullmatch(text)
+    if not m or not text:
+        raise ValueError(f"unsupported selector {text!r}")
+    tag, nth, tests = (m["tag"] or "*").lower(), int(m["nth"] or 0), []
+    for q in re.findall(_QUALIFIER, m["quals"]):
+        name = re.sub(r"\\(.)", r"\1", q[1:])
         if q[0] == ".":
-            name = re.escape(_unescape(q[1:]))
-            attrs += rf'(?=[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?")'
+            tests.append(("class", _TESTS["~="], name))
         elif q[0] == "#":
-            attrs += rf'(?=[^>]*\bid="{re.escape(_unescape(q[1:]))}")'
+            tests.append(("id", _TESTS["="], name))
         else:
-            a = re.fullmatch(r"\[\s*([A-Za-z_:][-A-Za-z0-9_:.]*)\s*(?:([*^$~]?=)\s*(['\"]?)(.*?)\3)?\s*\]", q)
+            a = _ATTRIBUTE.fullmatch(q)
             if not a:
                 raise ValueError(f"unsupported attribute selector {q!r}")
-            name, op, val = a.group(1), a.group(2), a.group(4)
-            if op is None:
-                attrs += rf'(?=[^>]*\b{re.escape(name)}=)'
+            tests.append((a[1].lower(), _TESTS[a[2]] if a[2] else lambda have, want: True, a[4]))
+
+    def holds(page: _Page, i: int) -> bool:
+        own = page.attrs[i]
+        return (tag in ("*", page.tag[i]) and nth in (0, page.nth[i])
+                and all(name in own and test(own[name], want) for name, test, want in tests))
+
+    return holds
+
+
+def _selector(text: str) -> Callable[[_Page, int], bool]:
+    """Test of a whole selector (alternatives of steps) on an element."""
+    chains = []
+    for alternative in _split_top(text, ","):
+        steps, relation = [], " "
+        for part in _split_top(re.sub(r"\s*([>+])\s*(?![^\[]*\])", r" \1 ", alternative), " "):
+            if part in (">", "+"):
+                relation = part
             else:
-                body = _ATTR_OPS[op].replace("{v}", re.escape(val))
-                attrs += rf'(?=[^>]*\b{re.escape(name)}="{body}")'
-    nth = int(m.group("nth") or 1)
-    if tag:
-        return rf"<{tag}\b{attrs}[^>]*>", tag, nth
-    return rf"<([a-zA-Z][a-zA-Z0-9]*)\b{attrs}[^>]*>", None, nth
-
-
-def _simple_regex(sel: str) -> tuple[str, int]:
-    """Regex of one compound selector (whole match = element, to the first closing tag) and its nth."""
-    open_rx, tag, nth = _compound(sel)
-    if tag and tag.lower() in _VOID:
-        return open_rx, nth
-    if tag:
-        return open_rx + rf".*?</{tag}>", nth
-    return open_rx + r".*?</\1>", nth
-
-
-def _balanced_items(container: str):
-    """Pandas UDF: every element matching ``container`` in a page, cut at its balanced closing tag.
-
-    A card that contains elements of its own tag (``div`` in ``div``) ends at
-    its own closing tag, not at the first inner one. Runs on Arrow batches of
-    pages; the per-page work is a scan of that page's tags.
-    """
-    opens = []
-    for alt in _split_top(container, ","):
-        open_rx, tag, _ = _compound(alt)
-        opens.append((re.compile(open_rx, re.S), tag))
+                steps.append((relation, _compound(part)))
+                relation = " "
+        chains.append(steps)
+
+    def ends(page: _Page, i: int, steps: list, k: int) -> bool:
+        relation, test = steps[k]
+        if not test(page, i):
+            return False
+        if k == 0:
+            return True
+        if relation == "+":
+            return page.left[i] >= 0 and ends(page, page.left[i], steps, k - 1)
+        up = page.parent[i]
+        while up >= 0:
+            if ends(page, up, steps, k - 1):
+                return True
+            up = page.parent[up] if relation == " " else -1
+        return False
+
+    return lambda page, i: any(ends(page, i, steps, len(steps) - 1) for steps in chains)
+
+
+def _items(container: str, fields: Mapping[str, Mapping]):
+    """Pandas UDF: for each container element of a page, the values of its fields as text (null: absent)."""
+    holds = _selector(container)
+    rules = [(_selector(r["selector"]) if r.get("selector") else None, r.get("attribute", "text").lower()) for r in fields.values()]
+
+    def value(page: _Page, card: int, test, attribute: str):
+        inner = range(card + 1, page.stop[card])
+        i = card if test is None else next((i for i in inner if test(page, i)), None)
+        if i is None:
+            return None
+        if attribute == "exists":
+            return "true"
+        return page.text(i) or None if attribute == "text" else page.attrs[i].get(attribute)
 
     def cut(html):
         if html is None:
             return None
-        starts = {}  # element start -> (tag, opening tag text); one entry per element
-        for rx, fixed in opens:
-            for m in rx.finditer(html):
-                starts.setdefault(m.start(), (fixed or m.group(1), m.group(0)))
-        ends, wanted = {}, {}
-        for st, (tag, text) in starts.items():
-            if tag.lower() in _VOID or text.endswith("/>"):
-                ends[st] = st + len(text)
-            else:
-                wanted.setdefault(tag, set()).add(st)
-        # one pass over the page per tag name: a stack pairs each opening tag with its close
-        for tag, sts in wanted.items():
-            stack = []
-            for t in re.finditer(rf"<(/?){re.escape(tag)}\b[^>]*>", html):
-                if t.group(1):
-                    if stack:
-                        st = stack.pop()
-                        if st in sts:
-                            ends[st] = t.end()
-                elif not t.group(0).endswith("/>"):
-                    stack.append(t.start())
-            for st in stack:  # never closed: runs to the end of the page
-                if st in sts:
-                    ends.setdefault(st, len(html))
-        return [html[st:ends[st]] for st in sorted(starts)]
-
-    @F.pandas_udf("array<string>")
+        page = _Page(html)
+        return [[value(page, i, *rule) for rule in rules] for i in range(len(page.tag)) if holds(page, i)]
+
+    @F.pandas_udf("array<array<string>>")
     def items(html: pd.Series) -> pd.Series:
         return html.map(cut)
 
     return items
 
 
-def _pick(scope: Column, rx: str, nth: int) -> Column:
-    if nth == 1:
-        found = F.regexp_extract(scope, "(?s)" + rx, 0)
-    else:
-        found = F.try_element_at(F.regexp_extract_all(scope, F.lit("(?s)" + rx), F.lit(0)), F.lit(nth))
-    return F.when(scope.isNull() | (found == ""), F.lit(None)).otherwise(found)
-
-
-def _find_first(html: Column, selector: str) -> Column:
-    """Whole text of the first element matching ``selector`` inside ``html`` (null if none).
-
-    Descendant and child steps search the body of the element found so far;
-    an adjacent-sibling step (``+``) matches right after it.
-    """
-    out = None
-    for alt in _split_top(selector, ","):
-        scope, found, prev_rx = html, None, None
-        for comb, comp in _steps(alt):
-            rx, nth = _simple_regex(comp)
-            if found is None:
-                cur = _pick(scope, rx, nth)
-            elif comb == "+":
-                rest = F.regexp_replace(scope, "(?s)^.*?" + prev_rx, "")
-                sib = F.regexp_extract(rest, r"(?s)^\s*" + rx, 0)
-                cur = F.when(found.isNull() | (sib == ""), F.lit(None)).otherwise(sib)
-            else:
-                scope = F.regexp_replace(found, r"(?s)^<[^>]*>", "")
-                cur = _pick(scope, rx, nth)
-            found, prev_rx = cur, rx
-        out = found if out is None else F.coalesce(out, found)
-    return out
-
-
-def element_text(elem: Column) -> Column:
-    """Text of an element: tags (and script/style bodies) removed, pieces stripped and joined."""
-    t = F.regexp_replace(elem, r"(?is)<(script|style)\b[^>]*>.*?</\1>", "")
-    t = F.regexp_replace(t, r"\s*<[^>]*>\s*", "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.trim(t)
-
-
-def element_attribute(elem: Column, attr: str) -> Column:
-    """Value of ``attr`` on the element's opening tag (null when absent)."""
-    v = F.regexp_extract(elem, r'^<[^>]*?\b' + re.escape(attr) + r'="([^"]*)"', 1)
-    has = elem.rlike(r'^<[^>]*?\b' + re.escape(attr) + r'="')
-    return F.when(has, v)
-
-
 def load_crawler_config(path: str) -> dict:
     """Read a crawler YAML config: ``name``, ``base_url``, ``container_selector`` and ``fields``."""
     import yaml
@@ -255,38 +238,44 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     null), ``exists`` gives true/false, any other attribute gives its value,
     and a root-relative ``href`` is made absolute with ``base_url``. A field
     whose element is absent is null (``exists``: false). ``item_pos`` is the
-    item's position on its page.
+    item's position on its page; containers inside containers are items too.
     """
     ensure_library(pages.sparkSession)
     clash = set(keep) & set(fields)
     if clash:
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
-    items = _balanced_items(container)(F.col(html_col))
+    items = _items(container, fields)(F.col(html_col))
     exploded = pages.select(*[F.col(k) for k in keep], F.posexplode(items).alias("item_pos", "_item"))
     cols = []
-    for name, rule in fields.items():
-        sel, attr = rule.get("selector"), rule.get("attribute", "text")
-        elem = F.col("_item") if not sel else _find_first(F.col("_item"), sel)
+    for n, (name, rule) in enumerate(fields.items()):
+        c = F.col("_item")[n]
+        attr = rule.get("attribute", "text").lower()
         if attr == "exists":
-            c = elem.isNotNull()
-        elif attr == "text":
-            c = F.nullif(element_text(elem), F.lit(""))
-        else:
-            c = element_attribute(elem, attr)
-            if attr == "href" and base_url is not None:
-                b = base_url if isinstance(base_url, Column) else F.lit(base_url)
-                c = F.when(c.startswith("/"), F.concat(b, c)).otherwise(c)
+            c = c.isNotNull()
+        elif attr == "href" and base_url is not None:
+            c = absolute_url(c, base_url)
         cols.append(c.alias(name))
     return exploded.select(*[F.col(k) for k in keep], "item_pos", *cols)
 
 
+def content_key(df: DataFrame) -> Column:
+    """sha256 of all columns of ``df`` in name order, each value as its length and text (``-`` for null)."""
+    parts = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        c = F.col(f"`{f.name}`")
+        c = c.cast("string") if f.dataType.typeName() not in ("array", "struct", "map") else F.to_json(c)
+        parts.append(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
+
+
 def build_postings(items: DataFrame, source, crawled_at, usd_rate: float = 25000.0,
                    fallback_id: Column | None = None) -> DataFrame:
     """Assemble contract records from extracted fields.
 
     Order of the steps: company from the URL slug when empty → stable id
     (sha256 of the cleaned URL, else the cleaned id or its numeric tail, else
-    ``fallback_id``) → salary and experience parsing → projection onto the
+    ``fallback_id``, by default a hash of the whole item with its source, crawl
+    time, page and position, so that different items keep different ids) → salary and experience parsing → projection onto the
     contract (defaults filled, required strings non-null). ``source`` and
     ``crawled_at`` are literals or columns.
     """
@@ -296,12 +285,10 @@ def build_postings(items: DataFrame, source, crawled_at, usd_rate: float = 25000
     for c in ("job_id", "company", "url", "salary", "experience"):
         if c not in base.columns:
             base = base.withColumn(c, F.lit(None).cast("string"))
-    base = base.withColumn("job_id", F.col("job_id").cast("string"))
+    fb = fallback_id if fallback_id is not None else content_key(base)
+    base = base.withColumn("job_id", F.col("job_id").cast("string")).withColumn("_fallback", fb)
     base = base.withColumn("company", company_from_url("company", "url"))
-    fb = fallback_id if fallback_id is not None else F.sha2(
-        F.concat_ws("|", F.col("source"), F.coalesce(F.col("title").cast("string"), F.lit(""))
-                    if "title" in base.columns else F.lit(""), F.col("crawled_at").cast("string")), 256)
-    base = base.withColumn("job_id", posting_id("job_id", "url", fb))
+    base = base.withColumn("job_id", posting_id("job_id", "url", F.col("_fallback")))
     base = with_experience(with_salary(base, "salary", usd_rate), "experience")
     return apply_contract(base)
 
@@ -338,7 +325,8 @@ def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str,
     """
     src = items.select(F.col(source_col).alias("source"), F.col(page_col).alias("page"),
                        F.col(id_col).cast("string").alias("item_id"))
-    per_id = src.groupBy("source", "page", "item_id").agg(F.count(F.lit(1)).alias("_c"))
+    # four users below: aggregated once
+    per_id = checkpoint(src.groupBy("source", "page", "item_id").agg(F.count(F.lit(1)).alias("_c")))
     first_seen = (per_id.groupBy("source", "item_id").agg(F.min("page").alias("page"))
                         .groupBy("source", "page").agg(F.count(F.lit(1)).alias("new_ids")))
     per_page = per_id.groupBy("source", "page").agg(F.sum("_c").alias("n_items"))

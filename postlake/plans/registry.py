@@ -1336,32 +1336,143 @@ def q_extract_items(spark, d):
     return _nav_items(spark, d)
 
 
-@query("i2_build_postings_from_pages", f"""
-with it as ({NAV_ITEMS_SQL}),
-s as (select *, split_part(split_part(replace(replace(replace(page_url, 'android-app://', ''), 'http://', ''),
-        'https://', ''), '/', 1), '?', 1) as source, 1700000000 + page_id * 60 as crawled_at from it)
-select case when url is not null and url <> '' then sha256(rtrim(split_part(split_part(url, '?', 1), '#', 1), '/'))
-            else sha256(concat_ws('|', source, coalesce(title, ''), cast(crawled_at as varchar))) end as job_id,
-  coalesce(title, '') as title, url, '' as company, source, crawled_at, true as deal_salary,
-  true as experience_not_mentioned, false as is_urgent, []::varchar[] as tags
-from s
+# Listing pages built from ``orders``: one page per order with a full card (nested elements of the card's own tag, both
+# kinds of quotes, character references, look-alike attributes, a first heading without the link) and a sparse card.
+CARD_PAGES_SQL = """
+select o_orderkey as page_id, '<html><body><style>.card{color:red}</style><ul><li>menu</li></ul><div class="list">'
+  || '<div class="wide card" data-id="' || o_orderkey || '"><div class=body><div>A&amp;B ' || o_orderpriority
+  || '</div> <div>t&aacute;il &#225;&#xE1; &lt;x&gt;</div></div>'
+  || '<h3 class="title"><b>no link</b></h3><h3 class="title"><a data-href="/wrong" title="a > b" href=''/job/' || o_orderkey
+  || '?x=1&amp;y=2''>Role ' || o_orderkey || '</a></h3>'
+  || case when o_orderkey % 3 = 0 then '' else '<p><span class="firm company">Firm <i>' || (o_custkey % 50) || '</i></span></p>' end
+  || '<div class="facts"><em>x</em><span>' || (o_orderkey % 20 + 1) || ' - ' || (o_orderkey % 20 + 6) || ' triệu</span>'
+  || '<span>' || (o_orderkey % 5 + 1) || ' năm</span></div><img class="logo" src="/l' || (o_orderkey % 7) || '.png"><br>'
+  || case when o_orderkey % 4 = 0 then '<label class="hot"></label>' else '' end || '</div>'
+  || '<div class="card"><h3 class="title"><script>var a="<a href=1>";</script>Plain</h3>'
+  || case o_orderkey % 3 when 0 then '<a class="detail" href="/detail-jobs/acme-soft-' || o_orderkey || '/">go</a>' else '' end
+  || '<div class="tag">t1</div><div class="facts"></div></div></div></body></html>' as html
+from orders
+"""
+
+
+def _card_pages(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    n = lambda c: c.cast("string")
+    html = text(
+        '<html><body><style>.card{color:red}</style><ul><li>menu</li></ul><div class="list">',
+        '<div class="wide card" data-id="', n(k), '"><div class=body><div>A&amp;B ', F.col("o_orderpriority"),
+        "</div> <div>t&aacute;il &#225;&#xE1; &lt;x&gt;</div></div>",
+        '<h3 class="title"><b>no link</b></h3><h3 class="title"><a data-href="/wrong" title="a > b" href=\'/job/', n(k),
+        "?x=1&amp;y=2'>Role ", n(k), "</a></h3>",
+        F.when(k % 3 == 0, "").otherwise(text('<p><span class="firm company">Firm <i>', n(F.col("o_custkey") % 50), "</i></span></p>")),
+        '<div class="facts"><em>x</em><span>', n(k % 20 + 1), " - ", n(k % 20 + 6), " triệu</span>",
+        "<span>", n(k % 5 + 1), ' năm</span></div><img class="logo" src="/l', n(k % 7), '.png"><br>',
+        F.when(k % 4 == 0, '<label class="hot"></label>').otherwise(""), "</div>",
+        '<div class="card"><h3 class="title"><script>var a="<a href=1>";</script>Plain</h3>',
+        F.when(k % 3 == 0, text('<a class="detail" href="/detail-jobs/acme-soft-', n(k), '/">go</a>')).otherwise(""),
+        '<div class="tag">t1</div><div class="facts"></div></div></div></body></html>')
+    return o.select(k.alias("page_id"), html.alias("html"))
+
+
+CARD_RULES = {
+    "title": {"selector": "h3.title a, .title", "attribute": "text"},
+    "body": {"selector": "div.body", "attribute": "text"},
+    "url": {"selector": "h3.title > a[href], a[href*='/detail-jobs/']", "attribute": "href"},
+    "company": {"selector": ".firm.company", "attribute": "text"},
+    "salary": {"selector": ".facts span:nth-of-type(1)", "attribute": "text"},
+    "experience": {"selector": "div.facts span + span", "attribute": "text"},
+    "logo_url": {"selector": "img[src$='.png']", "attribute": "src"},
+    "is_urgent": {"selector": "label.hot", "attribute": "exists"},
+    "mark": {"selector": None, "attribute": "data-id"},
+}
+
+# What the cards say, from the table and not from the html.
+CARDS_SQL = """
+select o_orderkey as page_id, 0 as item_pos, 'no link' as title, 'A&B ' || o_orderpriority || 'táil áá <x>' as body,
+  'https://jobs.example.vn/job/' || o_orderkey || '?x=1&y=2' as url,
+  case when o_orderkey % 3 <> 0 then 'Firm' || (o_custkey % 50) end as company,
+  (o_orderkey % 20 + 1) || ' - ' || (o_orderkey % 20 + 6) || ' triệu' as salary, (o_orderkey % 5 + 1) || ' năm' as experience,
+  '/l' || (o_orderkey % 7) || '.png' as logo_url, o_orderkey % 4 = 0 as is_urgent, cast(o_orderkey as varchar) as mark
+from orders
+union all
+select o_orderkey, 1, 'Plain', null, case when o_orderkey % 3 = 0 then 'https://jobs.example.vn/detail-jobs/acme-soft-' || o_orderkey || '/' end,
+  null, null, null, null, false, null
+from orders
+"""
+
+
+def _cards(spark, d) -> DataFrame:
+    return extract_items(_card_pages(spark, d), "div.card", CARD_RULES, keep=("page_id",), base_url="https://jobs.example.vn")
+
+
+@query("i1_extract_cards", CARDS_SQL)
+def q_extract_cards(spark, d):
+    return _cards(spark, d)
+
+
+_CARD_KEYS = sorted(["page_id", "item_pos", *CARD_RULES, "source", "crawled_at", "job_id"])
+
+
+@query("i2_build_postings", f"""
+with c as (select *, 'demo' as source, 1700000000 + page_id as crawled_at, null::varchar as job_id from ({CARDS_SQL})),
+k as (select *, sha256({" || ".join(f"coalesce(length({n}::varchar) || ':' || {n}::varchar, '-')" for n in _CARD_KEYS)}) as own from c)
+select case when url is null then own when item_pos = 0 then sha256('https://jobs.example.vn/job/' || page_id)
+         else sha256('https://jobs.example.vn/detail-jobs/acme-soft-' || page_id) end as job_id,
+  title, case when company is not null then company when contains(url, '/detail-jobs/') then 'Acme Soft' else '' end as company,
+  url, null::varchar as company_url, logo_url, salary, null::varchar as location, experience, []::varchar[] as tags,
+  null::varchar as updated_at, null::varchar as posted_at, is_urgent, false as is_highlight, false as is_flash,
+  false as company_verified, null::varchar as job_description, null::varchar as job_requirement, null::varchar as job_benefit,
+  null::varchar as deadline, []::varchar[] as working_times,
+  case when item_pos = 0 then (page_id % 20 + 1) * 1000000.0 end::double as salary_min,
+  case when item_pos = 0 then (page_id % 20 + 6) * 1000000.0 end::double as salary_max, item_pos = 1 as deal_salary,
+  case when item_pos = 0 then page_id % 5 + 1 end::integer as experience_min,
+  case when item_pos = 0 then page_id % 5 + 1 end::integer as experience_max, item_pos = 1 as experience_not_mentioned,
+  crawled_at, source
+from k
 """)
 def q_build_postings(spark, d):
-    items = _nav_items(spark, d)
-    recs = build_postings(items, source=url_host("page_url"),
-                          crawled_at=F.lit(1700000000) + F.col("page_id") * 60)
-    return recs.select("job_id", "title", "url", "company", "source", "crawled_at", "deal_salary",
-                       "experience_not_mentioned", "is_urgent", "tags")
+    """Cards to contract records, all 29 fields; cards without a URL keep apart by their content and place."""
+    return build_postings(_cards(spark, d), source="demo", crawled_at=F.lit(1700000000) + F.col("page_id"))
+
+
+# Crawls built from ``events``: each user is a source whose pages follow one of six patterns, so that every stop rule fires.
+AUDIT_ITEMS_SQL = """
+select user_id as source, cast(rn // 20 as bigint) as page,
+  case user_id % 6
+    when 0 then 'e' || event_id                                  -- all new
+    when 1 then 'r' || (rn % 30)                                 -- repeats: redundant
+    when 3 then 'd' || (rn % 20) || '-' || least(rn // 20, 1)    -- the same ids again from the second page on
+    else 'e' || event_id end as item_id
+from (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as rn from events)
+where not (user_id % 6 = 2 and rn // 20 in (1, 2) and rn % 20 >= 4)  -- small pages
+  and not (user_id % 6 = 4 and rn // 20 = 2)                         -- an empty page
+"""
+
+
+def _audit_items(spark, d) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    rn, u = F.col("rn"), F.col("user_id") % 6
+    page = F.floor(rn / 20).cast("bigint")
+    fresh = F.concat(F.lit("e"), F.col("event_id").cast("string"))
+    item = F.when(u == 1, F.concat(F.lit("r"), (rn % 30).cast("string"))) \
+        .when(u == 3, F.concat(F.lit("d"), (rn % 20).cast("string"), F.lit("-"), F.least(page, F.lit(1)).cast("string"))).otherwise(fresh)
+    ev = table(spark, d, "events").withColumn("rn", F.row_number().over(w) - 1)
+    ev = ev.where(~((u == 2) & page.isin(1, 2) & (rn % 20 >= 4)) & ~((u == 4) & (page == 2)))
+    return ev.select(F.col("user_id").alias("source"), page.alias("page"), item.alias("item_id"))
 
 
 @query("i3_crawl_audit", """
-with src as (select conv_id as source, turn as page, role as item_id from conversations),
+with src as (""" + AUDIT_ITEMS_SQL + """),
+crawled as (select distinct source, page from (select user_id as source, cast(rn // 20 as bigint) as page from (select user_id, row_number() over (partition by user_id order by event_id) - 1 as rn from events))),
 fs as (select source, page, count(*) as new_ids from
          (select source, item_id, min(page) as page from src group by 1, 2) group by 1, 2),
 pp as (select source, page, count(*) as n_items, array_to_string(list_sort(list(item_id)), '|') as fingerprint
        from src group by 1, 2),
-pg as (select pp.*, coalesce(fs.new_ids, 0) as new_ids from pp left join fs using (source, page)),
-s1 as (select *, 1.0 - new_ids / n_items as redundancy,
+pg as (select source, page, coalesce(n_items, 0) as n_items, fingerprint, coalesce(new_ids, 0) as new_ids
+       from crawled left join pp using (source, page) left join fs using (source, page)),
+s1 as (select *, case when n_items > 0 then 1.0 - new_ids / n_items else 1.0 end as redundancy,
          max(n_items) over (partition by source order by page rows between unbounded preceding and current row)
            as max_items,
          lag(fingerprint) over (partition by source order by page) as prev_fp,
@@ -1382,6 +1493,43 @@ select source, page, n_items, new_ids, redundancy, max_items, small_run, identic
 from s4 left join st using (source)
 """)
 def q_crawl_audit(spark, d):
+    """Page counters and stop reasons of the built crawls, empty pages included."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    crawled = table(spark, d, "events").withColumn("rn", F.row_number().over(w) - 1).select(
+        F.col("user_id").alias("source"), F.floor(F.col("rn") / 20).cast("bigint").alias("page"))
+    return crawl_audit(_audit_items(spark, d), "source", "page", "item_id", pages=crawled)
+
+
+@query("i3_crawl_audit_conversations", """
+with src as (select conv_id as source, turn as page, role as item_id from conversations),
+crawled as (select distinct source, page from (select conv_id as source, turn as page from conversations)),
+fs as (select source, page, count(*) as new_ids from
+         (select source, item_id, min(page) as page from src group by 1, 2) group by 1, 2),
+pp as (select source, page, count(*) as n_items, array_to_string(list_sort(list(item_id)), '|') as fingerprint
+       from src group by 1, 2),
+pg as (select source, page, coalesce(n_items, 0) as n_items, fingerprint, coalesce(new_ids, 0) as new_ids
+       from crawled left join pp using (source, page) left join fs using (source, page)),
+s1 as (select *, case when n_items > 0 then 1.0 - new_ids / n_items else 1.0 end as redundancy,
+         max(n_items) over (partition by source order by page rows between unbounded preceding and current row)
+           as max_items,
+         lag(fingerprint) over (partition by source order by page) as prev_fp,
+         row_number() over (partition by source order by page) as idx from pg),
+s2 as (select *, (max_items >= 15 and n_items <= max_items * 0.6) as small,
+         coalesce(fingerprint = prev_fp, false) as identical from s1),
+s3 as (select *,
+         idx - coalesce(max(case when not small then idx end) over (partition by source order by page
+           rows between unbounded preceding and current row), 0) as small_run,
+         idx - coalesce(max(case when not identical then idx end) over (partition by source order by page
+           rows between unbounded preceding and current row), 0) as identical_run from s2),
+s4 as (select *, case when n_items = 0 then 'empty' when redundancy > 0.5 then 'redundant'
+                      when small_run >= 2 then 'small_pages' when new_ids = 0 then 'no_new'
+                      when identical_run >= 2 then 'identical_pages' end as stop_reason from s3),
+st as (select source, min(page) as sp from s4 where stop_reason is not null group by 1)
+select source, page, n_items, new_ids, redundancy, max_items, small_run, identical_run, stop_reason,
+  coalesce(page = sp, false) as first_stop
+from s4 left join st using (source)
+""")
+def q_crawl_audit_conversations(spark, d):
     return crawl_audit(table(spark, d, "conversations"), "conv_id", "turn", "role")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from postlake.operators import checks as C
 from postlake.operators import marts as M
 from postlake.operators.columns import cast_columns, nullcheck, search, select_star, star
-from postlake.operators.relational import union_relations
+from postlake.operators.relational import two_way_except, union_relations
 from postlake.operators.reshape import (date_spine, deduplicate, generate_series, latest_postings,
                                         pivot, unpivot)
 
@@ -249,7 +249,7 @@ def test_table_counts_and_describe(spark):
     got = {r["table_name"]: (r["row_count"], r["healthy"])
            for r in M.table_counts(spark, ["tc_present", "tc_missing"]).collect()}
     assert got == {"tc_present": (2, True), "tc_missing": (0, False)}
-    assert M.describe(df) == [("id", "int", True), ("name", "string", True)]
+    assert rows(M.describe(df)) == [(1, "id", "int", True), (2, "name", "string", True)]
 
 
 def test_range_checks_beyond_double_precision_and_open_ended(spark):
@@ -265,3 +265,75 @@ def test_range_checks_beyond_double_precision_and_open_ended(spark):
     bad = C.mutually_exclusive_ranges(far, "valid_from", "valid_to", ["k"]).rows.collect()
     assert sorted((r.partition_by_col, r.lower_bound.year) for r in bad) == [("b", 2020), ("b", 2022)]
     assert C.sequential_values(far, "valid_to", 1, "day", ["k"]).rows.count() == 1
+
+
+def test_box_stats_of_a_shared_value(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 20 > 0, 7.0).otherwise(F.col("id").cast("double")).alias("v"), (F.col("id") % 2).alias("g"))
+    df = df.union(spark.createDataFrame([(None, 0), (float("inf"), 1), (-0.0, 0), (0.0, 0)], "v double, g long"))
+    for g, own in ((0, df.where("g = 0")), (1, df.where("g = 1"))):
+        values = sorted(r.v for r in own.where("v is not null").collect())
+        r = M.box_stats(df, ["g"], "v").where(F.col("g") == g).first()
+        assert (r.n, r.min, r.max, r.q1, r.median, r.q3) == (len(values), values[0], values[-1], 7.0, 7.0, 7.0)
+        assert r.outliers == sum(v != 7.0 for v in values) and r.lower_whisker == r.upper_whisker == 7.0
+    empty = M.box_stats(df.where("v > 1e9 and v < 1e9"), [], "v").first()
+    assert empty.n == 0 and empty.median is None
+
+
+def test_column_values_defaults_and_order(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 1), ("b", 9), (None, 2)], "field string, n int")
+    assert M.column_values(df, "field", where="n > 99", default=["x"]).collect() == [("x",)]
+    assert dict(M.column_values(df, "n", where="n > 99", default=[1]).dtypes) == {"value": "int"}
+    assert M.column_values(df, "field", where="n > 99").collect() == []
+    assert M.column_values(None, "field", default=[1, 2], spark=spark).collect() == [(1,), (2,)]
+    assert M.column_values(None, "field", default=[], spark=spark).collect() == []
+    with pytest.raises(ValueError):
+        M.column_values(None, "field")
+    order = lambda text: [r.value for r in M.column_values(df, "field", order_by=text).collect()]
+    assert order("max(n) desc") == ["b", "a", None] and order("count(*) desc, field") == ["b", "a", None]
+    assert order("coalesce(sum(n), 0) - min(n) desc, value desc") == ["b", "a", None]
+
+
+def test_two_way_difference_reads_each_side_once(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(2, "x"), (3, None), (3, None)], "k int, v string")
+    out = two_way_except(a, b)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    assert sorted(map(str, rows_any(out))) == sorted(map(str, [(1, None, "a_minus_b"), (3, "y", "a_minus_b"), (3, None, "b_minus_a")]))
+    same = C.cardinality_equality(a, "k", b, "k").rows
+    assert sorted(map(tuple, same.collect())) == [(1, 2), (3, 1), (3, 2)]
+
+
+def rows_any(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_suite_reads_a_relation_once(spark, tmp_dir):
+    spark.range(10).selectExpr("id", "nullif(id, 3) as v", "'' as s").write.parquet(tmp_dir + "/t")
+    df = spark.read.parquet(tmp_dir + "/t")
+    suite = C.run_checks([C.not_null(df, "v"), C.not_null(df, "id", where="id > 4"), C.not_empty_string(df, "s"),
+                          C.accepted_range(df, "id", 2, 7), (C.expression_is_true(df, "v < 5"), ">3", ">9")])
+    assert suite._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r.check_name: (r.failures, r.should_warn, r.should_error) for r in suite.collect()}
+    assert got == {"not_null_v": (1, True, True), "not_null_id": (0, False, False), "not_empty_string_s": (10, True, True),
+                   "accepted_range_id": (4, True, True), "expression_is_true": (5, True, False)}
+
+
+def test_relations_over_schemas(spark):
+    from postlake.operators.relational import relations_by_pattern, union_by_pattern, union_by_prefix
+    for db in ("zone_a", "zone_b", "other"):
+        spark.sql(f"create database if not exists {db}")
+        spark.range(2).write.mode("overwrite").saveAsTable(f"{db}.ev_1")
+        spark.range(1).write.mode("overwrite").saveAsTable(f"{db}.evx")
+    assert relations_by_pattern(spark, "EV%", exclude="%x", schema_pattern="zone%") == ["zone_a.ev_1", "zone_b.ev_1"]
+    assert union_by_pattern(spark, "ev%", schema_pattern="zone%").count() == 6
+    assert union_by_prefix(spark, "ev_", schema_pattern="zone%").count() == 4
+
+
+def test_running_sums(spark):
+    from pyspark.sql import Window
+    from postlake.operators.sequence import ordered_scan
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("n"))
+    w = Window.partitionBy("k").orderBy("o")
+    want = df.withColumn("sum_n", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    for parts in (1, 9):
+        assert rows(ordered_scan(df, ["k"], ["o"], sums=["n"], num_partitions=parts), "o", "sum_n") == rows(want, "o", "sum_n")

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 import os
 
@@ -7,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.plans.pages import build_postings, crawl_audit, extract_items
+from postlake.plans.pages import build_postings, crawl_audit, extract_items, extract_with_config, load_crawler_config
 from postlake.sources.bronze import scan_bronze, write_bronze
 from postlake.sources.contract import apply_contract, load_contract, posting_contract
 from postlake.sources.stream_io import read_stream
@@ -15,7 +16,7 @@ from postlake.streaming.ingest import ingest_stream
 
 
 def _pandas_batch(path, records):
-    # one flush of the reference sink: a pandas frame from dicts, types inferred per batch
+    # one flushed batch: a pandas frame from dicts, types inferred per batch
     os.makedirs(os.path.dirname(path), exist_ok=True)
     pd.DataFrame(records).to_parquet(path, index=False, engine="pyarrow")
 
@@ -150,42 +151,78 @@ def test_ingest_stream_restart_no_duplicates(spark, tmp_dir):
     assert [r["_raw"] for r in scan_bronze(spark, bad).collect()] == ["{not json"]
 
 
-HTML = """<html><body>
-<div class="job-item-2" data-id="77"><h3 class="title"><a href="/viec-lam/dev-77"><span>Dev &amp; Ops</span></a></h3>
-<a class="company" href="/c/1">ACME</a><label class="salary">10 - 20 triệu</label>
-<label class="is-urgent">!</label><img class="logo" src="/l.png"></div>
-<div class="job-item-search-result"><h3 class="title"><span>Tester</span></h3>
-<label class="exp">2 năm</label></div>
-</body></html>"""
-
-RULES = {
-    "job_id": {"selector": None, "attribute": "data-id"},
-    "title": {"selector": "h3.title a span, h3.title span", "attribute": "text"},
-    "url": {"selector": "h3.title a", "attribute": "href"},
-    "company": {"selector": ".company", "attribute": "text"},
-    "salary": {"selector": "label.salary", "attribute": "text"},
-    "experience": {"selector": "label.exp", "attribute": "text"},
-    "is_urgent": {"selector": "label.is-urgent", "attribute": "exists"},
-    "logo_url": {"selector": "img.logo", "attribute": "src"},
+# An invented listing page and rules of its own, one for each selector form.
+LISTING = """<!DOCTYPE html><html><body><nav><article>not an offer</article></nav><main id="offers">
+<article class="offer top" data-ref='A&amp;1'>
+  <header><h2>Lead <em>Pilot</em> &eacute;&#233;&#xE9;</h2><p>one</p><p lang=vi>hai</p></header>
+  <section class="text"><article class="note">quoted <section>deep</section></article> after</section>
+  <ul><li>first</li><li data-kind="pay base">10 - 20 triệu<li>third</ul>
+  <a data-href="/bad" class="go now" href='/offers/lead-pilot-7/?from=list&amp;n=2'>see</a><br/><i>3 năm</i>
+  <img src="/badges/new.svg" alt="New!"><div class="w-[10px] p-2">!</div>
+</article>
+<article class="offer"><section class="text"></section><footer><h2>Cook</h2></footer><a href="https://else.example/x">x</a></article>
+</main></body></html>"""
+
+OFFER = {
+    "job_id": {"selector": None, "attribute": "data-ref"},
+    "title": {"selector": "footer h2, header > h2", "attribute": "text"},
+    "body": {"selector": "section.text", "attribute": "text"},
+    "second": {"selector": "header p:nth-of-type(2)", "attribute": "text"},
+    "language": {"selector": "p[lang]", "attribute": "lang"},
+    "salary": {"selector": "[data-kind~='pay']", "attribute": "text"},
+    "url": {"selector": "a.go[href^='/offers/']", "attribute": "href"},
+    "experience": {"selector": "a + br + i", "attribute": "text"},
+    "logo_url": {"selector": "img[src$='.svg'][alt*=\"ew\"]", "attribute": "src"},
+    "is_flash": {"selector": "div.w-\\[10px\\].p-2", "attribute": "exists"},
+    "is_urgent": {"selector": "#offers .top .urgent", "attribute": "exists"},
+    "any": {"selector": "main *", "attribute": "text"},
 }
 
 
-def test_extract_and_build(spark):
-    pages = spark.createDataFrame([(1, "https://www.topcv.vn/x", HTML)], "page_id long, url string, html string")
+def test_extract_every_selector_form(spark):
+    pages = spark.createDataFrame([(1, LISTING), (2, None), (3, ""), (4, "<article class=offer>")], "page_id long, html string")
     with pytest.raises(ValueError):
-        extract_items(pages, "div", RULES)
-    items = extract_items(pages, ".job-item-2, .job-item-search-result", RULES, keep=("page_id",),
-                          base_url="https://www.topcv.vn")
-    got = sorted(items.collect(), key=lambda r: r["item_pos"])
-    assert got[0]["job_id"] == "77" and got[0]["title"] == "Dev & Ops"
-    assert got[0]["url"] == "https://www.topcv.vn/viec-lam/dev-77" and got[0]["is_urgent"] is True
-    assert got[0]["logo_url"] == "/l.png" and got[0]["company"] == "ACME"
-    assert got[1]["title"] == "Tester" and got[1]["url"] is None and got[1]["is_urgent"] is False
-    recs = build_postings(items, "topcv", 1700000000)
-    r = {x["title"]: x for x in recs.collect()}
-    assert r["Dev & Ops"]["salary_min"] == 10_000_000.0 and r["Dev & Ops"]["deal_salary"] is False
-    assert len(r["Dev & Ops"]["job_id"]) == 64 and r["Tester"]["experience_min"] == 2
-    assert r["Tester"]["job_id"] is not None and r["Tester"]["company"] == ""
+        extract_items(pages, "div", {"page_id": {"selector": None}}, keep=("page_id",))
+    for bad in ("a:hover", "p::before", "a[", "h2 ~ p"):
+        with pytest.raises(ValueError):
+            extract_items(pages, "article", {"x": {"selector": bad}}, keep=("page_id",))
+    items = extract_items(pages, "main > article.offer, article.offer", OFFER, keep=("page_id",), base_url="https://site.example")
+    got = {(r["page_id"], r["item_pos"]): r.asDict() for r in items.collect()}
+    assert set(got) == {(1, 0), (1, 1), (4, 0)}
+    a, b, c = got[1, 0], got[1, 1], got[4, 0]
+    assert a["job_id"] == "A&1" and a["title"] == "LeadPilotééé"
+    assert a["body"] == "quoteddeepafter" and a["second"] == "hai" and a["language"] == "vi"
+    assert a["salary"] == "10 - 20 triệuthird" and a["experience"] == "3 năm"  # an open li holds what follows
+    assert a["url"] == "https://site.example/offers/lead-pilot-7/?from=list&n=2"
+    assert a["logo_url"] == "/badges/new.svg" and a["is_flash"] is True and a["is_urgent"] is False
+    assert b["title"] == "Cook" and b["body"] is None and b["url"] is None and b["is_flash"] is False
+    assert all(c[k] is None for k in OFFER if not k.startswith("is_"))
+
+
+def test_first_in_document_order_and_later_parents(spark):
+    html = '<div class=c><p class=b>B</p><p class=a>A</p><h3 class=t>x</h3><h3 class=t><a href="/y">Y</a></h3></div>'
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    rules = {"either": {"selector": ".a, .b"}, "link": {"selector": "h3.t a", "attribute": "href"}, "self": {"selector": ".c .a"}}
+    r = extract_items(pages, ".c", rules, keep=("page_id",)).first()
+    assert (r["either"], r["link"], r["self"]) == ("B", "/y", "A")
+
+
+def test_build_postings_from_items(spark):
+    pages = spark.createDataFrame([(1, LISTING), (2, LISTING)], "page_id long, html string")
+    items = extract_items(pages, "article.offer", {k: v for k, v in OFFER.items() if k not in ("body", "second", "language", "any")},
+                          keep=("page_id",), base_url="https://site.example")
+    rows = build_postings(items, "site", 1700000000).collect()
+    lead = [r for r in rows if r["title"].startswith("Lead")]
+    assert {r["job_id"] for r in lead} == {hashlib.sha256(b"https://site.example/offers/lead-pilot-7").hexdigest()}
+    assert lead[0]["salary_min"] == 10_000_000.0 and lead[0]["experience_min"] == 3 and lead[0]["deal_salary"] is False
+    cooks = [r for r in rows if r["title"] == "Cook"]
+    assert len({r["job_id"] for r in cooks}) == 2 and all(len(r["job_id"]) == 64 and r["company"] == "" for r in cooks)
+
+
+def test_items_of_different_companies_keep_apart(spark):
+    df = spark.createDataFrame([("Dev", "A"), ("Dev", "B"), ("Dev", "B|"), ("Dev|B", "")], "title string, company string")
+    ids = [r["job_id"] for r in build_postings(df, "s", 1).collect()]
+    assert len(set(ids)) == 4 and sorted(ids) == sorted(r["job_id"] for r in build_postings(df, "s", 1).collect())
 
 
 def test_crawl_audit_rules(spark):
@@ -214,49 +251,34 @@ def test_crawl_audit_identical_pages(spark):
     assert out[("u", 2)]["identical_run"] == 0
 
 
-CARD = """<div class="text-card-foreground shadow rounded">
-<img alt="job-image" src="https://cdn/x.png"><div class="bg-[#FFF0F3] p-1">flash</div>
-<a class="t" href="/detail-jobs/acme-soft-2102239?src=list">Backend Dev</a> <span>ACME Soft</span>
-<span class="text-brand-500 font-semibold">Tới 2,000 USD</span>
-<div class="mt-2 grid"><span>Hà Nội</span><span>Trên 3 năm</span></div></div>
-<div class="text-card-foreground shadow"><a href="/detail-jobs/x-9">Ops</a><span>  </span></div>"""
-
-CONFIG = """name: "demo"
-base_url: "https://topdev.vn"
-container_selector: "div.text-card-foreground.shadow"
+CRAWLER = """
+name: harbour
+base_url: https://harbour.example
+container_selector: "tr.row[data-open='yes']"
 fields:
-  job_id: {selector: "a[href*='/detail-jobs/']", attribute: "href"}
-  title: {selector: "a[href*='/detail-jobs/']", attribute: "text"}
-  company: {selector: "a[href*='/detail-jobs/'] + span", attribute: "text"}
-  url: {selector: "a[href*='/detail-jobs/']", attribute: "href"}
-  logo_url: {selector: "img[alt='job-image']", attribute: "src"}
-  salary: {selector: "span.text-brand-500.font-semibold", attribute: "text"}
-  location: {selector: "div.mt-2.grid span:nth-of-type(1), .location", attribute: "text"}
-  experience: {selector: "div.mt-2.grid span:nth-of-type(2), .experience", attribute: "text"}
-  is_flash: {selector: "div.bg-\\\\[\\\\#FFF0F3\\\\]", attribute: "exists"}
+  title:
+    selector: td.what > strong
+    attribute: text
+  url:
+    selector: td.what a
+    attribute: href
+  is_urgent: {selector: "td:nth-of-type(3) b", attribute: exists}
 """
 
 
-def test_crawler_config_rules(spark, tmp_dir):
-    from postlake.plans.pages import extract_with_config, load_crawler_config
-    path = os.path.join(tmp_dir, "demo.yaml")
+def test_crawler_config(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "harbour.yaml")
     with open(path, "w", encoding="utf-8") as f:
-        f.write(CONFIG)
+        f.write(CRAWLER)
     cfg = load_crawler_config(path)
-    pages = spark.createDataFrame([(1, CARD)], "page_id long, html string")
-    items = sorted(extract_with_config(pages, cfg).collect(), key=lambda r: r["item_pos"])
-    a, b = items
-    assert a["title"] == "Backend Dev" and a["company"] == "ACME Soft"
-    assert a["url"] == "https://topdev.vn/detail-jobs/acme-soft-2102239?src=list"
-    assert a["logo_url"] == "https://cdn/x.png" and a["is_flash"] is True
-    assert a["salary"] == "Tới 2,000 USD" and a["location"] == "Hà Nội" and a["experience"] == "Trên 3 năm"
-    assert b["title"] == "Ops" and b["company"] is None and b["is_flash"] is False and b["location"] is None
-    recs = {r["title"]: r for r in build_postings(extract_with_config(pages, cfg), "demo", 1).collect()}
-    assert recs["Backend Dev"]["salary_max"] == 2.0 * 25000 and recs["Backend Dev"]["salary_min"] is None
-    assert recs["Backend Dev"]["experience_min"] == 3
-    import hashlib
-    assert recs["Backend Dev"]["job_id"] == hashlib.sha256(b"https://topdev.vn/detail-jobs/acme-soft-2102239").hexdigest()
-    assert recs["Ops"]["company"] == "X"
+    html = """<table><tr class="row" data-open="yes"><td class="what"><strong>Mate</strong><a href="/mate">more</a></td><td>x</td><td><b>now</b></td></tr>
+    <tr class="row" data-open="no"><td class="what"><strong>Gone</strong></td></tr></table>"""
+    got = extract_with_config(spark.createDataFrame([(1, html)], "page_id long, html string"), cfg).collect()
+    assert [(r["title"], r["url"], r["is_urgent"]) for r in got] == [("Mate", "https://harbour.example/mate", True)]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("name: x\nfields: {}\n")
+    with pytest.raises(ValueError):
+        load_crawler_config(path)
 
 
 def test_crawl_audit_empty_page(spark):
@@ -336,3 +358,42 @@ def test_medallion_layers(spark, tmp_dir):
     assert out["fact_job_posting"].count() == 3 and out["dim_company"].count() == 1
     with pytest.raises(ValueError):
         run_medallion(spark, root, select=("bronze",))
+
+
+def test_dedup_stream_over_batches(spark, tmp_dir):
+    """Without a delay no first sighting is lost, however late; with one, a record behind the watermark is."""
+    from postlake.streaming.dedup import dedup_stream, mark_stream
+    day = dt.datetime(2024, 1, 1)
+    batches = [[(1, "a", 10), (2, "b", 10)], [(3, "a", 11), (4, "c", 2)], [(5, "d", 1), (6, None, 12), (7, None, 13), (8, "d", 1)]]
+    src = os.path.join(tmp_dir, "src")
+    schema = "id long, k string, ts timestamp_ntz"
+    for n, batch in enumerate(batches):
+        rows = [(i, k, day + dt.timedelta(hours=h)) for i, k, h in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        for name, delay in (("all", None), ("late", "1 hour")):
+            (dedup_stream(stream, "k", "ts", delay).select("id", "k").writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck-{name}")
+             .trigger(availableNow=True).start(f"{tmp_dir}/{name}").awaitTermination())
+        mark_stream(stream, "k", ["ts", "id"], f"{tmp_dir}/marked", f"{tmp_dir}/seen", f"{tmp_dir}/ck-mark", available_now=True).awaitTermination()
+    assert sorted(str(r["k"]) for r in spark.read.parquet(f"{tmp_dir}/all").collect()) == ["None", "a", "b", "c", "d"]
+    assert "d" not in {r["k"] for r in spark.read.parquet(f"{tmp_dir}/late").collect()}
+    marked = {r["id"]: r["is_new"] for r in spark.read.parquet(f"{tmp_dir}/marked").collect()}
+    assert marked == {1: True, 2: True, 3: False, 4: True, 5: True, 6: True, 7: False, 8: False}
+    # a batch that is replayed before its commit gives the same rows
+    commits = sorted(int(n) for n in os.listdir(f"{tmp_dir}/ck-mark/commits") if n.isdigit())
+    for name in (f"{commits[-1]}", f".{commits[-1]}.crc"):
+        os.remove(f"{tmp_dir}/ck-mark/commits/{name}")
+    stream = spark.readStream.schema(schema).parquet(src)
+    mark_stream(stream, "k", ["ts", "id"], f"{tmp_dir}/marked", f"{tmp_dir}/seen", f"{tmp_dir}/ck-mark", available_now=True).awaitTermination()
+    again = spark.read.parquet(f"{tmp_dir}/marked").collect()
+    assert {r["id"]: r["is_new"] for r in again} == marked and len(again) == 8
+
+
+def test_medallion_checks_can_fail(spark, tmp_dir):
+    from postlake.plans.medallion import run_medallion
+    rows = [("1", "a", "topcv", 10), (None, "b", None, None)]
+    write_bronze(spark.createDataFrame(rows, "job_id string, title string, source string, crawled_at long"), tmp_dir + "/b", "r")
+    out = run_medallion(spark, tmp_dir + "/b", out_root=tmp_dir + "/m")
+    checks = {r["check_name"]: r["failures"] for r in out["checks"].collect()}
+    assert [checks[f"not_null_stg_jobs_{c}"] for c in ("job_id", "source", "crawled_at")] == [1, 1, 1]
+    assert checks["not_null_dim_job_job_id"] == 1 and out["fact_job_posting"].count() == 1
