@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Texts are compared as UTF-8 bytes, A-Z lower-cased, runs of ASCII white space as one space. A benchmark item is cut into
-windows of ``window`` bytes (half overlapping; a shorter item is one window), each with a budget of e edits. If a window
+windows of ``window`` bytes, a third of a window apart (a shorter item is one window), each with a budget of e edits. If a window
 lies in a document within e edits, the two share at least L + 1 - q (e + 1) q-grams, in one band of diagonals. So the
 shared q-grams of each item are counted in overlapping diagonal bands, bands that reach the bound of one of the item's
 windows are kept, and the item's windows are aligned there within the band.
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .common import prepare, text_bytes
 
 Q = 8
-WINDOW = 100
+WINDOW = 60
 #: Edits allowed for each byte of a window.
 RATE = 0.08
 #: Items shorter than this (in normalised bytes) occur by chance and are not searched.
@@ -66,7 +66,7 @@ def bound(length: int, rate: float = RATE) -> int:
 def item_windows(length: int, window: int = WINDOW) -> list[tuple[int, int]]:
     if length <= window:
         return [(0, length)]
-    starts = sorted({*range(0, length - window + 1, window // 2), length - window})
+    starts = sorted({*range(0, length - window + 1, window // 3), length - window})
     return [(s, s + window) for s in starts]
 
 
