@@ -21,11 +21,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates, that of the smallest id; of its repeated rows, one."""
-    groups = simhash.near_duplicates(docs)
-    heads = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head")).distinct()
-    kept = docs.join(heads, docs["doc_id"].eqNullSafe(heads["_head"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each component of near-duplicates, that of the smallest id; of its repeated rows, one.
+
+    Documents without an id cannot be named by a component: one of each text is kept.
+    """
+    groups = simhash.near_duplicates(docs.where("doc_id is not null"))
+    # one key for the join and for repeated rows: one shuffle of the texts
+    named = F.concat(F.lit("i"), F.col("doc_id").cast("string"))
+    key = F.coalesce(named, F.concat(F.lit("t"), F.sha2(F.coalesce("text", F.lit("")), 256)))
+    heads = groups.where(F.col("doc_id") == F.col("component_id")).select(named.alias("_key"))
+    heads = heads.union(docs.where("doc_id is null").select(key.alias("_key"))).distinct()
+    kept = docs.withColumn("_key", key).join(heads, "_key", "left_semi")
+    return kept.dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

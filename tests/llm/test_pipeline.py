@@ -87,3 +87,11 @@ def test_stages_with_nothing(spark, stages):
     empty = stages[0].limit(0)
     for name, stage in P.STAGES:
         assert stage(spark, empty, SF).collect() == []
+
+
+def test_near_duplicate_stage_without_ids(spark):
+    from helpers import documents
+
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, "q w e r t y u"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "a b c d e f"), (4, None)]
+    out = P.drop_near_duplicates(spark, documents(spark, rows), SF).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in out) == [("3", "a b c d e f"), ("4", "None"), ("None", "a b c d e f"), ("None", "q w e r t y u")]
