@@ -1101,9 +1101,9 @@ def q_ranges_global(spark, d):
 
 
 @query("g8_open_ended_ranges", """
-with r as (select o_custkey as k, o_orderdate as lo,
-    lead(o_orderdate) over (partition by o_custkey order by o_orderdate, o_orderkey) as nxt, o_orderkey,
-    row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as back from orders),
+with o as (select o_custkey as k, o_orderkey, o_orderdate + to_seconds(o_orderkey % 80000) as lo from orders),
+r as (select k, lo, o_orderkey, lead(lo) over (partition by k order by lo) as nxt,
+    row_number() over (partition by k order by lo desc) as back from o),
 v as (select k, lo, case when o_orderkey % 9 = 0 then null when back = 1 then timestamp '9999-12-31 00:00:00'
         when o_orderkey % 7 = 0 then nxt + interval 1 day else nxt end as hi, nxt, back from r),
 f as (select k as partition_by_col, lo as lower_bound, hi as upper_bound, nxt as next_lower_bound, back = 1 as is_last_record,
@@ -1114,11 +1114,11 @@ from f where not (a and b)
 """)
 def q_open_ranges(spark, d):
     """Validity ranges per customer: open ends at 9999-12-31, some overlaps, some null ends."""
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    r = table(spark, d, "orders").withColumn("nxt", F.lead("o_orderdate").over(w))
+    o = table(spark, d, "orders").withColumn("lo", F.timestamp_add("SECOND", F.col("o_orderkey") % 80000, F.col("o_orderdate")))
+    r = o.withColumn("nxt", F.lead("lo").over(Window.partitionBy("o_custkey").orderBy("lo")))
     end = F.when(F.col("o_orderkey") % 9 == 0, F.lit(None)).when(F.col("nxt").isNull(), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")) \
         .when(F.col("o_orderkey") % 7 == 0, F.timestamp_add("DAY", F.lit(1), F.col("nxt"))).otherwise(F.col("nxt"))
-    r = r.select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("lo"), end.alias("hi"))
+    r = r.select(F.col("o_custkey").alias("k"), "lo", end.alias("hi"))
     return C.mutually_exclusive_ranges(r, "lo", "hi", ["k"], zero_length_range_allowed=True).rows
 
 
