@@ -25,7 +25,7 @@ RATE = 0.08
 LEAST_CHARS = 20
 #: Benchmark bytes that are indexed and broadcast at a time, and document bytes that are compared at a time.
 BENCHMARK_BLOCK = 4_000_000
-DOCUMENT_BLOCK = 2_000_000
+DOCUMENT_BLOCK = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -24,7 +24,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 REPEATS = 2
 BLOCK_WORDS = 4096
-SHARDS = 64
+#: Words of an output shard, if no number of shards is given.
+SHARD_WORDS = 2_000_000
 SEED = 42
 #: Levels of the tree that one task splits for one node.
 LEVELS = 6
@@ -120,13 +121,14 @@ def draw_blocks(shares: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def plan_mix(sizes: DataFrame, id_col: str = "doc_id", weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS,
-             block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+             block_words: int = BLOCK_WORDS, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """What the mix takes of each document.
 
     ``sizes``: id column, skey, size (words). Returns id, skey, size, rows (rows alike in these three, which are taken
     alike), words and target of the source, and draws: an array of struct(epoch, words, shard) with one entry for each
     time that the document comes into the mix. The last document of a quota is cut, so that a source's words are its
-    target, rounded (but for less than a word for each of ``rows``). Empty documents are never drawn.
+    target, rounded (but for less than a word for each of ``rows``). Empty documents are never drawn. Without ``shards``
+    there is one for every SHARD_WORDS words.
     """
     spark = sizes.sparkSession
     prepare(spark)
@@ -134,6 +136,7 @@ def plan_mix(sizes: DataFrame, id_col: str = "doc_id", weights=WEIGHTS, share: f
     sources = source_targets(sizes, weights, share, repeats)
     total = sources.agg(F.sum("target")).first()[0] or 0.0
     width = max(block_words, int(total) // MOST_BLOCKS + 1)
+    shards = shards or max(1, -(-int(total) // SHARD_WORDS))
     sources = materialize(sources.withColumn("quota", F.round("target").cast("long"))
                           .withColumn("blocks", F.ceil(F.col("quota") / width).cast("long")), "mix-targets")
     blocks = materialize(draw_blocks(split_quotas(sources.select("sid", "blocks"), shards, seed), seed), "mix-blocks")

@@ -164,8 +164,8 @@ def document_quality(x: np.ndarray, lengths: np.ndarray, bounds: np.ndarray, mod
 
 def score_texts(texts: pa.Array, model: dict) -> np.ndarray:
     out = [np.zeros(0)]
-    for lo in range(0, len(texts), 500):
-        x, lengths, bounds = features_of(texts.slice(lo, 500))
+    for lo in range(0, len(texts), 200):  # few texts at a time: every byte needs about twenty in the arrays
+        x, lengths, bounds = features_of(texts.slice(lo, 200))
         a, b = model["curve"]
         out.append(1 / (1 + np.exp(-(a + b * _logit(document_quality(x, lengths, bounds, model))))))
     return np.concatenate(out)
@@ -188,8 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def numbers(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 200):
-                part = b.slice(lo, 200)
+            for lo in range(0, b.num_rows, 100):
+                part = b.slice(lo, 100)
                 x, lengths, bounds = features_of(part.column(part.schema.names.index("text")))
                 label = part.column(part.schema.names.index("label")).to_pylist()
                 ids = part.column(part.schema.names.index("id")).to_pylist()

@@ -113,4 +113,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES = {"op1_warc": WARC_SQL, "op10_search": SEARCH_SQL}
+ORACLES = {"op1_warc": WARC_SQL, "op8_urls": urls.judge_sql(URL_RULES), "op10_search": SEARCH_SQL}

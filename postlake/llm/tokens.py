@@ -150,7 +150,7 @@ class TokenFile:
 
 #: Encoders by tokenizer file, kept by a Python worker over its tasks; each remembers at most so many words.
 _KNOWN: dict[str, WordEncoder] = {}
-KEPT_WORDS = 700_000
+KEPT_WORDS = 500_000
 #: Words that are encoded in one call.
 _TOGETHER = 256
 #: A letter or digit, and ASCII punctuation (no apostrophe) behind it.
@@ -233,7 +233,7 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS, step: int = 2000) -> None:
+                 end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS, step: int = 1500) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the ids in ascending ``id_col`` order.
 
     Null ids come last. Documents of equal id come in the order of their texts. A task writes files of about

@@ -19,7 +19,7 @@ DISTRUST_FLOOR = 0.1
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Targets of links to other hosts: an href that has a host.
-HREF = r"""(?i)\shref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
+HREF = r"""(?i)[\t\n\f\r ]href[\t\n\f\r ]*=[\t\n\f\r ]*["']?[\t\n\f\r ]*((?:[a-z][a-z0-9+.-]*:)?//[^"'\t\n\f\r >]+)"""
 
 
 def url_host(url: Column) -> Column:
@@ -127,3 +127,39 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
     return out.select(F.col("page_id").alias(id_col), "host", "path", "rule",
                       F.coalesce("rule_verdict", "host_verdict", F.lit("allow")).alias("verdict"),
                       F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+
+
+def judge_sql(rules: list[tuple[str, str, str]], damping: float = DAMPING, iterations: int = ITERATIONS,
+              distrust_floor: float = DISTRUST_FLOOR) -> str:
+    """The same judgement of the table ``pages`` as one SQL statement, a common table expression for each iteration."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    host = lambda url: f"translate(regexp_extract({url}, '{URL_PARTS}', 1), '{UPPER}', '{LOWER}')"
+    rows = ", ".join(f"({quote(v)}, {quote(h)}, {quote(p)})" for v, h, p in rules) or "(NULL, NULL, NULL)"
+    ranks, last = [], {}
+    for kind, weight, src, dst in (("t", "trusted", "src", "dst"), ("d", "blocked", "dst", "src")):
+        ranks.append(f"""{kind}e AS (SELECT {src} AS u, {dst} AS v, count(*) OVER (PARTITION BY {src}) AS n FROM links),
+{kind}0 AS (SELECT host, {1 - damping} * {weight} / sum({weight}) OVER () AS r FROM hosts WHERE {weight} > 0)""")
+        for i in range(iterations):
+            ranks.append(f"""{kind}{i + 1} AS (SELECT host, sum(r) AS r FROM (SELECT host, r FROM {kind}0 UNION ALL
+  SELECT v, {damping} * r / n FROM {kind}{i} JOIN {kind}e ON host = u) GROUP BY host)""")
+        last[kind] = f"{kind}{iterations}"
+    steps = ",\n".join(ranks)
+    return f"""
+WITH parts AS (SELECT row_number() OVER () AS row_id, page_id, html, coalesce({host('url')}, '') AS host,
+  coalesce(regexp_extract(url, '{URL_PARTS}', 2), '') AS path FROM pages),
+rules(says, rule_host, rule_path) AS (VALUES {rows}),
+best AS (SELECT row_id, rule_host || rule_path AS rule, says FROM parts JOIN rules
+  ON host <> '' AND (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC, says DESC) = 1),
+ruled AS (SELECT parts.*, rule, says FROM parts LEFT JOIN best USING (row_id)),
+hosts AS (SELECT host, count(*) FILTER (says = 'allow') AS trusted, count(*) FILTER (says = 'block') AS blocked
+  FROM ruled WHERE host <> '' GROUP BY host),
+hrefs AS (SELECT host AS src, unnest(regexp_extract_all(html, {quote(HREF)}, 1)) AS href FROM parts),
+links AS (SELECT DISTINCT src, dst FROM (SELECT src, {host("CASE WHEN starts_with(href, '//') THEN 'x:' || href ELSE href END")} AS dst FROM hrefs)
+  WHERE src <> '' AND dst <> '' AND src <> dst),
+{steps},
+judged AS (SELECT hosts.host, coalesce(d.r, 0) > coalesce(t.r, 0) AND coalesce(d.r, 0) * count(*) OVER () > {distrust_floor} AS bad
+  FROM hosts LEFT JOIN {last['t']} t ON t.host = hosts.host LEFT JOIN {last['d']} d ON d.host = hosts.host)
+SELECT page_id, ruled.host, path, rule, coalesce(says, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN judged ON judged.host = ruled.host
+"""

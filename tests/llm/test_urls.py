@@ -1,6 +1,7 @@
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from postlake.llm import queries, urls
@@ -73,6 +74,11 @@ def test_matches_brute_force(spark, rules):
     got = [tuple(r) for r in urls.judge_urls(df.repartition(3), rules).collect()]
     key = lambda r: (str(r[0]), *map(str, r[1:5]), *(round(x, 9) for x in r[5:]))
     assert sorted(map(key, got)) == sorted(map(key, brute(PAGES, rules)))
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", PAGES)
+    want = con.execute(urls.judge_sql(rules)).fetchall()
+    assert sorted(map(lambda r: tuple(map(str, r)), want)) == sorted(tuple(map(str, r[:5])) for r in got)
     if rules is RULES:
         verdict = {r[0]: r[4] for r in got}
         assert verdict[4] == "block" and verdict[2] == "allow" and verdict[7] == "allow"
