@@ -318,10 +318,10 @@ def test_suite_reads_a_relation_once(spark, tmp_dir):
                    "accepted_range_id": (4, True, True), "expression_is_true": (5, True, False)}
 
 
-def test_relations_over_schemas(spark):
+def test_relations_over_schemas(spark, tmp_dir):
     from postlake.operators.relational import relations_by_pattern, union_by_pattern, union_by_prefix
     for db in ("zone_a", "zone_b", "other"):
-        spark.sql(f"create database if not exists {db}")
+        spark.sql(f"create database {db} location '{tmp_dir}/{db}'")
         spark.range(2).write.mode("overwrite").saveAsTable(f"{db}.ev_1")
         spark.range(1).write.mode("overwrite").saveAsTable(f"{db}.evx")
     assert relations_by_pattern(spark, "EV%", exclude="%x", schema_pattern="zone%") == ["zone_a.ev_1", "zone_b.ev_1"]
