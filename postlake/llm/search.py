@@ -37,10 +37,12 @@ def segment_statistics(x: np.ndarray, parts: int) -> np.ndarray:
     return np.stack(out, axis=1) if out else np.zeros((len(x), 1))
 
 
-def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of row pairs; beyond the exact range of doubles with Python's integers, cut to long."""
-    if not len(a) or not a.shape[1] or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2.0 ** 53:
-        return np.einsum("ij,ij->i", a, b).astype(np.int64)
+def _exact_in_doubles(a: np.ndarray, b: np.ndarray) -> bool:
+    return not a.shape[1] or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2.0 ** 53
+
+
+def big_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Integer inner products of row pairs with Python's integers, cut to long."""
     sums = (sum(int(x) * int(y) for x, y in zip(u, v)) for u, v in zip(a, b))
     return np.array([max(-LONG_MAX - 1, min(LONG_MAX, s)) for s in sums], np.int64)
 
@@ -55,30 +57,27 @@ class Searcher:
         self.least = np.full(len(ids), -np.inf)  # the k-th best score so far
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
-        keep = None
+        """Look at some candidates: a resolution drops pairs, and whole candidates that no query keeps, for the next."""
+        own = ids[None, :] == self.ids[:, None]
+        alive = ~own
         for mine, parts in zip(self.stats, self.segments):
-            theirs = segment_statistics(x, parts)
-            if keep is None:
-                bound = mine @ theirs.T
-                keep = np.nonzero(self._may(bound, self.least[:, None]))
-            else:
-                q, c = keep
-                ok = np.empty(len(q), bool)
-                for lo in range(0, len(q), 1 << 18):
-                    s = slice(lo, lo + (1 << 18))
-                    ok[s] = self._may(np.einsum("ij,ij->i", mine[q[s]], theirs[c[s]]), self.least[q[s]])
-                keep = q[ok], c[ok]
-        q, c = keep
-        own = ids[c] != self.ids[q]
-        q, c = q[own], c[own]
-        score = np.concatenate([np.zeros(0, np.int64)] + [
-            exact_scores(self.vectors[q[lo:lo + (1 << 18)]], x[c[lo:lo + (1 << 18)]]) for lo in range(0, len(q), 1 << 18)])
-        good = score >= self.least[q]
-        self._merge(q[good], ids[c[good]], score[good])
-
-    @staticmethod
-    def _may(bound: np.ndarray, least: np.ndarray) -> np.ndarray:
-        return bound + 1e-9 * np.abs(bound) + 1e-6 >= least  # the bounds are rounded
+            bound = mine @ segment_statistics(x, parts).T
+            bound += 1e-9 * np.abs(bound) + 1e-6  # the bounds are rounded
+            alive &= bound >= self.least[:, None]
+            some = alive.any(axis=0)
+            if not some.all():
+                ids, x, alive = ids[some], x[some], alive[:, some]
+        if not len(ids):
+            return
+        if _exact_in_doubles(self.vectors, x):  # whole numbers below 2**53: any order of summing is exact
+            score = self.vectors @ x.T
+            alive &= score >= self.least[:, None]
+            q, c = np.nonzero(alive)
+            score = score[q, c].astype(np.int64)
+        else:
+            q, c = np.nonzero(alive)
+            score = big_scores(self.vectors[q], x[c])
+        self._merge(q, ids[c], score)
 
     def _merge(self, q, ids, score) -> None:
         q, ids, score = (np.concatenate(x) for x in ((self.query, q), (self.found, ids), (self.score, score)))
