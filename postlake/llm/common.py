@@ -42,6 +42,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def tidy() -> None:
+    """Give memory that Arrow keeps for later back to the system: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, name)
@@ -152,6 +157,7 @@ def word_counts(texts: pa.Array) -> np.ndarray:
 
 @F.arrow_udf(T.LongType())
 def word_count(texts: pa.Array) -> pa.Array:
+    tidy()
     return pa.array(word_counts(texts))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, text_bytes
+from .common import prepare, text_bytes, tidy
 
 Q = 8
 WINDOW = 60
@@ -228,6 +228,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def search(batches, sent=sent):
             index = Index(sent.value, rate, window, least)
             for b in batches:
+                tidy()
                 texts = b.column(1)
                 found = sorted(find_in_texts(index, texts).items())
                 if not found:

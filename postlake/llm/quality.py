@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_of, prepare, segment_sums, text_bytes
+from .common import crc_of, prepare, segment_sums, text_bytes, tidy
 
 #: The classifier is fitted on at most so many labelled documents, those of the smallest hashes of the id, of which each
 #: gives at most SAMPLE_LINES lines (of a longer one, evenly spaced runs of RUN lines).
@@ -222,6 +222,7 @@ def scorer(model: dict):
     """The column function of a fitted model: probability that a text is good (null: as the empty text)."""
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
+        tidy()
         return pa.array(score_texts(texts, model))
 
     return score

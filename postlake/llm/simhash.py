@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, materialize, prepare
+from .common import attach, materialize, prepare, tidy
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHI
     """id, fp (the fingerprint's bits as a signed long) of every row."""
     @F.arrow_udf(T.LongType())
     def of(texts: pa.Array) -> pa.Array:
+        tidy()
         known: dict = {}
         out = np.empty(len(texts), np.uint64)
         for i, t in enumerate(texts.to_pylist()):
