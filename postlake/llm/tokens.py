@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, read_blobs, running_sum, scratch_path, write_blobs
+from .common import materialize, prepare, read_blobs, running_sum, scratch_path, tidy, write_blobs
 
 # Fixed values of the Simple-8b layout: ids in a word and bits of each, by selector. Runs of 240 and 120 zeros come first.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -150,7 +150,7 @@ class TokenFile:
 
 #: Encoders by tokenizer file, kept by a Python worker over its tasks; each remembers at most so many words.
 _KNOWN: dict[str, WordEncoder] = {}
-KEPT_WORDS = 500_000
+KEPT_WORDS = 700_000
 #: Words that are encoded in one call.
 _TOGETHER = 256
 #: A letter or digit, and ASCII punctuation (no apostrophe) behind it.
@@ -233,7 +233,7 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS, step: int = 1500) -> None:
+                 end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS, step: int = 2000) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the ids in ascending ``id_col`` order.
 
     Null ids come last. Documents of equal id come in the order of their texts. A task writes files of about
@@ -258,6 +258,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                 ids.append(np.insert(own, ends, np.uint32(end_id)))
                 lengths.append(sizes + 1)
                 docs_held += part.column(0).to_pylist()
+                tidy()
                 held += len(ids[-1])
                 if held >= file_ids:
                     yield done()
