@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, text_bytes, tidy
+from .common import materialize, prepare, text_bytes, tidy
 
 Q = 8
 WINDOW = 60
@@ -248,6 +248,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item, all columns kept."""
-    bad = contaminated(docs, benchmark, id_col, **how).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` that hold no window of any item, all columns kept.
+
+    Rows are decided one by one, under a row number of their own (the documents are written with it once): null and
+    shared values of ``id_col`` play no part.
+    """
+    prepare(docs.sparkSession)
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
+    # written, so that few found rows are known to be few and the texts need no shuffle
+    bad = materialize(contaminated(rows, benchmark, "_row", **how).select("_row").distinct(), "decontam-found")
+    return rows.join(bad, "_row", "left_anti").select(*docs.columns)

@@ -103,6 +103,14 @@ def test_empty_tables(spark):
     assert d.drop_contaminated(docs, bench).count() == 1
 
 
+def test_drops_rows_not_ids(spark):
+    rng = random.Random(13)
+    item, clean = prose(rng, 30), [prose(rng, 40) for _ in range(4)]
+    rows = [(None, clean[0] + " " + item), (None, clean[0]), (None, clean[1]), (None, None), (7, item), (7, clean[2]), (7, item), (8, clean[3]), (8, clean[3])]
+    kept = d.drop_contaminated(documents(spark, rows).repartition(3), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in rows if item not in (t or ""))
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(SF + "/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(SF + "/benchmark.parquet").collect()]
