@@ -21,17 +21,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates, that of the smallest id; of its repeated rows, one.
+    """One document of each component of near-duplicates: that of the smallest id, and of its texts that of the smallest hash.
 
-    Documents without an id cannot be named by a component: one of each text is kept.
+    Rows are told apart by id and text, so different texts of one id are documents of their own; of rows equal in both,
+    one is kept. Documents without an id are compared like all others, and one of them is kept in each component, also
+    beside one with an id.
     """
-    groups = simhash.near_duplicates(docs.where("doc_id is not null"))
-    # one key for the join and for repeated rows: one shuffle of the texts
-    named = F.concat(F.lit("i"), F.col("doc_id").cast("string"))
-    key = F.coalesce(named, F.concat(F.lit("t"), F.sha2(F.coalesce("text", F.lit("")), 256)))
-    heads = groups.where(F.col("doc_id") == F.col("component_id")).select(named.alias("_key"))
-    heads = heads.union(docs.where("doc_id is null").select(key.alias("_key"))).distinct()
-    kept = docs.withColumn("_key", key).join(heads, "_key", "left_semi")
+    # no nulls in the key, documents without an id last; one key for the join and for repeated rows: one shuffle of the texts
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                   F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("hash"))
+    keyed = docs.withColumn("_key", key)
+    groups = simhash.near_duplicates(keyed, "_key")
+    own = groups.where(F.col("_key.no_id") | (F.col("_key") == F.col("component_id")))
+    heads = own.groupBy("component_id", "_key.no_id").agg(F.min("_key").alias("_key")).select("_key")
+    kept = keyed.join(heads, "_key", "left_semi")
     return kept.dropDuplicates(["_key"]).select(*docs.columns)
 
 

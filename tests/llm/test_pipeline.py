@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -7,6 +8,7 @@ import __spark_entry__ as E
 import corpus_pipeline as P
 from postlake.llm import decontam, quality, simhash
 from postlake.llm.common import materialize, prepare
+from helpers import prose
 from test_decontam import norm
 from test_mixing import targets
 from test_simhash import brute_components, brute_fingerprint
@@ -95,3 +97,16 @@ def test_near_duplicate_stage_without_ids(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, "q w e r t y u"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "a b c d e f"), (4, None)]
     out = P.drop_near_duplicates(spark, documents(spark, rows), SF).collect()
     assert sorted((str(r.doc_id), str(r.text)) for r in out) == [("3", "a b c d e f"), ("4", "None"), ("None", "a b c d e f"), ("None", "q w e r t y u")]
+
+
+def test_near_duplicate_stage_shared_ids(spark):
+    from helpers import documents
+
+    rng = random.Random(5)
+    a, b, c, long = prose(rng, 12), prose(rng, 12), prose(rng, 12), prose(rng, 400)
+    near = next(t for t in (" ".join(w for j, w in enumerate(long.split()) if j != i) for i in range(400))
+                if 0 < (simhash.fingerprint(t) ^ simhash.fingerprint(long)).bit_count() <= simhash.MAX_BITS)
+    rows = [(5, a), (5, b), (5, b), (2, c), (6, a), (7, c), (7, "x " + b), (None, long), (None, near), (None, long)]
+    for df in (documents(spark, rows), documents(spark, rows[::-1]).repartition(3)):
+        out = [(r.doc_id, r.text) for r in P.drop_near_duplicates(spark, df, SF).collect()]
+        assert len(out) == 5 and set(out) - {(None, long), (None, near)} == {(5, a), (5, b), (2, c), (7, "x " + b)}
