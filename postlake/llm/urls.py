@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from .common import attach, materialize, prepare
 
 DAMPING = 0.85
+#: Ranks are iterated until all that is still to be spread is below this share of the mean rank of a host.
+TOLERANCE = 0.001
+#: Iterations that the SQL spells out; it gives the same ranks where no walk is longer.
 ITERATIONS = 12
 #: A host is blocked if its distrust is above its trust and above this share of the mean rank of a host.
 DISTRUST_FLOOR = 0.1
@@ -66,12 +69,13 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.select("src", url_host(href).alias("dst")).where("src <> '' and dst <> '' and src <> dst").distinct()
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank of trust along the links and of distrust against them: host, trust, distrust.
 
     ``seeds``: host, trusted, blocked (weights). Each kind of seed shares a total of 1; the rank that reaches a host
     without further links leaves the walk. Both ranks go through the same job, under a key of kind and host; a host
-    with very many links is split by ``attach``.
+    with very many links is split by ``attach``. Steps go on until no rank can grow by ``tolerance`` any more: what a
+    step adds falls by the damping each time, so all steps to come add at most damping / (1 - damping) of the last.
     """
     edges = links.select(F.concat(F.lit("t:"), "src").alias("src"), F.concat(F.lit("t:"), "dst").alias("dst")) \
         .union(links.select(F.concat(F.lit("d:"), "dst"), F.concat(F.lit("d:"), "src")))
@@ -83,14 +87,19 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iter
     base = share("t:", "trusted", sums["t"]).union(share("d:", "blocked", sums["b"])).union(
         edges.groupBy(F.col("src").alias("node")).agg(F.lit(0.0).alias("seed"), F.count("*").alias("degree")))
     base = materialize(base.groupBy("node").agg(F.sum("seed").alias("seed"), F.sum("degree").alias("degree")), "url-nodes")
-    start = base.select("node", ((1 - damping) * F.col("seed")).alias("rank"), "degree")
-    rank = start
-    for _ in range(iterations if n_edges else 0):
-        state = materialize(rank.where("degree > 0 and rank > 0"), "url-rank")
-        sent = attach(edges, state.select(F.col("node").alias("src"), (F.col("rank") / F.col("degree")).alias("each"), "degree"),
+    first = (1 - damping) * F.col("seed")
+    rank = base.select("node", first.alias("rank"), first.alias("gain"), "degree")
+    none, left = F.lit(0.0), float("inf")
+    while n_edges and left > tolerance:
+        sends = rank.where("degree > 0 and gain > 0")
+        sent = attach(edges, sends.select(F.col("node").alias("src"), (F.col("gain") / F.col("degree")).alias("each"), "degree"),
                       "src", "degree", ["dst"], total=n_edges)
-        flow = sent.where("each is not null").select(F.col("dst").alias("node"), (damping * F.col("each")).alias("rank"), F.lit(0).cast("long").alias("degree"))
-        rank = start.union(flow).groupBy("node").agg(F.sum("rank").alias("rank"), F.sum("degree").alias("degree"))
+        flow = sent.where("each is not null").select(
+            F.col("dst").alias("node"), none.alias("rank"), (damping * F.col("each")).alias("gain"), F.lit(0).cast("long").alias("degree"))
+        both = rank.select("node", "rank", none.alias("gain"), "degree").union(flow).groupBy("node").agg(
+            F.sum("rank").alias("rank"), F.sum("gain").alias("gain"), F.sum("degree").alias("degree"))
+        rank = materialize(both.withColumn("rank", F.col("rank") + F.col("gain")), "url-rank")
+        left = (rank.where("degree > 0").agg(F.sum("gain")).first()[0] or 0.0) * damping / (1 - damping)
     kind = F.substring("node", 1, 2)
     return rank.groupBy(F.expr("substring(node, 3)").alias("host")).agg(
         F.coalesce(F.sum(F.when(kind == "t:", F.col("rank"))), F.lit(0.0)).alias("trust"),
@@ -98,14 +107,15 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, iter
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame, id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", damping: float = DAMPING, iterations: int = ITERATIONS,
+               html_col: str = "html", damping: float = DAMPING, tolerance: float = TOLERANCE,
                distrust_floor: float = DISTRUST_FLOOR) -> DataFrame:
     """Judge every URL: page_id, host, path, rule, verdict, trust, distrust.
 
     ``rules``: (verdict, host, path) tuples, or a DataFrame of host, path, verdict. The longest fitting rule decides;
     else the host's ranks do (see ``DISTRUST_FLOOR``). Seeds weigh the number of a host's pages that rules allow or
     block. A null URL, or one without ``://``, has an empty host and path, no rule and no rank, and is allowed. Null
-    html has no links. Repeated rows are judged alike, once each.
+    html has no links. Repeated rows are judged alike, once each. Ranks are short of their limit by at most
+    ``tolerance`` / hosts.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -117,8 +127,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
     counts = materialize(ruled.where("host <> ''").groupBy("host").agg(
         F.count("*").alias("pages"), F.count_if(F.col("rule_verdict") == "allow").alias("trusted"),
         F.count_if(F.col("rule_verdict") == "block").alias("blocked")), "url-hosts")
-    ranks = propagate(host_links(pages, url_col, html_col), counts, damping, iterations)
     hosts = max(1, counts.count())
+    ranks = propagate(host_links(pages, url_col, html_col), counts, damping, tolerance / hosts)
     judged = counts.select("host", "pages").join(ranks, "host", "left").select(
         "host", "pages", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
     bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") * hosts > distrust_floor)

@@ -84,6 +84,27 @@ def test_matches_brute_force(spark, rules):
         assert verdict[4] == "block" and verdict[2] == "allow" and verdict[7] == "allow"
 
 
+def test_chain_of_more_links_than_the_sql_has_steps(spark):
+    chain = [page(i, f"http://c{i}.org/", f"http://c{i + 1}.org/") for i in range(14)]
+    pages = [*chain, page(14, "http://c14.org/", "http://bad.net/"), page(15, "http://bad.net/es/x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.judge_urls(df, RULES).collect()}
+    want = {r[0]: r for r in brute(pages, RULES, 40)}
+    assert got[0].verdict == want[0][4] == "block" and got[0].distrust == pytest.approx(0.15 * 0.85 ** 15)
+    assert all(got[i].distrust == pytest.approx(r[6]) and got[i].verdict == r[4] for i, r in want.items())
+
+
+def test_ranks_of_a_cycle_converge(spark):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")]
+    links = spark.createDataFrame(edges, "src string, dst string")
+    seeds = spark.createDataFrame([("a", 3, 0), ("b", 1, 0), ("d", 0, 2)], "host string, trusted long, blocked long")
+    got = {r.host: r for r in urls.propagate(links, seeds, 0.5, 1e-3).collect()}
+    trust = brute_rank(edges, {"a": 3, "b": 1}, 60, 0.5)
+    distrust = brute_rank([(b, a) for a, b in edges], {"d": 2}, 60, 0.5)
+    for h in "abcd":
+        assert 0 <= trust.get(h, 0) - got[h].trust + 1e-12 <= 1e-3 and 0 <= distrust.get(h, 0) - got[h].distrust + 1e-12 <= 1e-3
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge_urls(df, RULES).collect() == []
