@@ -17,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from postlake.sources.contract import Contract, posting_contract
 
 # Length of the schema-registry header in front of each message
-# (one magic byte and a four-byte schema id), and the consumer's defaults: read
-# the topic from the earliest offset, at most 500 records per micro-batch.
+# (one magic byte and a four-byte schema id), and the consumer's default: read
+# the topic from the earliest offset. A micro-batch has no limit of its own.
 REGISTRY_HEADER_BYTES = 5
-KAFKA_SOURCE_DEFAULTS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "500"}
+KAFKA_SOURCE_DEFAULTS = {"startingOffsets": "earliest"}
 
 
 CORRUPT = "_corrupt_record"

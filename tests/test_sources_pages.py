@@ -324,6 +324,27 @@ def test_read_stream_parquet_contract(spark, tmp_dir):
     assert (r["job_id"], r["title"], r["_decoded"], r["source"]) == ("7", "t", True, "unknown")
 
 
+@pytest.mark.parametrize("given", [{}, {"maxOffsetsPerTrigger": "9", "startingOffsets": "latest"}])
+def test_kafka_stream_sets_no_limit_of_its_own(spark, given):
+    class Reader:
+        def format(self, name):
+            assert name == "kafka"
+            return self
+
+        def options(self, **opts):
+            self.opts = opts
+            return self
+
+        def load(self):
+            return spark.createDataFrame([("{}",)], "value string")
+
+    class Session:
+        readStream = Reader()
+
+    read_stream(Session, "kafka", {"subscribe": "t"} | given)
+    assert Session.readStream.opts == {"subscribe": "t", "startingOffsets": "earliest"} | given
+
+
 def test_decode_marks_malformed_json(spark):
     from postlake.sources.stream_io import CORRUPT, decode_value
     df = spark.createDataFrame([('{"job_id": "1", "title": "a"',), ('{"job_id": "2"}',)], "value string")
