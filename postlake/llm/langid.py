@@ -139,14 +139,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         sample: int = SAMPLE_DOCUMENTS) -> dict:
     """Train on at most ``sample`` documents of each language for which ``held_out`` is false.
 
-    Null languages and texts without a letter teach nothing. Without any left, every text is ``und``.
+    Null languages and texts without a letter teach nothing. Of rows that share id and language, the text of the
+    smallest hash teaches. Without any left, every text is ``und``.
     """
     prepare(docs.sparkSession)
     allowed = docs if held_out is None else docs.where(~held_out)
     allowed = allowed.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    ids = allowed.where("lang is not null and id is not null").select("id", "lang")
-    chosen = smallest(ids, "lang", [F.xxhash64("id"), "id"], sample).distinct()  # `sample` rows for each language at most
-    known = allowed.join(F.broadcast(chosen), ["id", "lang"]).where(F.col("text").rlike(r"\p{L}"))
+    allowed = allowed.where("lang is not null and id is not null").where(F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
+    ids = allowed.groupBy("id", "lang").agg(F.min("hash").alias("hash"))
+    chosen = smallest(ids, "lang", [F.xxhash64("id"), "id"], sample)  # `sample` rows for each language at most
+    known = allowed.join(F.broadcast(chosen), ["id", "lang", "hash"])
 
     def some_windows(batches):
         for b in batches:
@@ -157,7 +159,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 yield pa.RecordBatch.from_arrays([ids.slice(k, 1).cast(pa.int64()), langs.slice(k, 1).cast(pa.string()),
                                                   pa.array([rows[keep].tobytes()], pa.binary())], names=["id", "lang", "rows"])
 
-    rows = known.select("id", "lang", "text").mapInArrow(some_windows, "id long, lang string, rows binary").orderBy("lang", F.xxhash64("id"), "id", "rows").collect()
+    taught = known.select("id", "lang", "text").mapInArrow(some_windows, "id long, lang string, rows binary")
+    taught = taught.groupBy("id", "lang").agg(F.min("rows").alias("rows"))  # equal rows once
+    rows = taught.orderBy("lang", F.xxhash64("id"), "id", "rows").collect()
     if not rows:
         return {"langs": [], "tables": [], "out": np.zeros((0, 0), np.float32), "bias": np.zeros(0, np.float32)}
     langs = sorted({r.lang for r in rows})

@@ -75,3 +75,13 @@ def test_nothing_to_learn(spark):
     out = g.predict_language(documents(spark, [(1, "text", None), (2, None, None)])).collect()
     assert [(r.lang_pred, r.score) for r in out] == [("und", 0.0)] * 2
     assert g.predict_language(documents(spark, [])).collect() == []
+
+
+def test_sample_is_bounded_by_rows_and_skips_texts_without_letters(spark, monkeypatch):
+    import postlake.llm.langid as module
+
+    rows = [(i, f"word {i} {k % 2}", "en") for i in range(5) for k in range(10)]
+    rows += [(100 + i, None if i % 2 else "12 34", "fr") for i in range(40)] + [(i, f"mot {i}", "fr") for i in (200, 201, 202)]
+    monkeypatch.setattr(module, "train", lambda x, label, n: {"count": [int((label == k).sum()) for k in range(n)]})
+    model = module.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), sample=3)
+    assert model["langs"] == ["en", "fr"] and model["count"] == [3, 3]
