@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, quality, search, secrets, simhash, tokens, urls, warc
-from .common import prepare, scratch_path
+from . import codes, decontam, divergence, langid, mixing, personal, quality, search, secrets, simhash, tokens, urls, warc
+from .common import attach, materialize, prepare, scratch_path
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -85,9 +85,38 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, found in GNATs over the codebooks' entries, and their errors summed over labels."""
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    # a label may hold a third of all rows: sums are made before the shuffle, and joined on by attach()
+    coded = materialize(coded.withColumn("lkey", mixing.source_key("label")), "vector-codes")
+    sums = materialize(coded.groupBy("lkey").agg(F.sum(F.col("error").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("rows")), "vector-errors")
+    out = attach(coded, sums.withColumn("label_error", F.least("sum", F.lit(codes.LONG_MAX).cast("decimal(38,0)")).cast("long")).drop("sum"),
+                 "lkey", "rows", ["id", "code"])
+    return out.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                      F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from every other of its language, and the terms it uses more than its language."""
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts by kind, the base rules' digest, all spans."""
+    found = personal.find_personal(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("personal", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("personal", lambda s: s["kind"].isin(*personal.KINDS))
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in personal.KINDS],
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("personal")).alias("spans"))
+
+
 QUERIES = {"op1_warc": op1_warc, "op2_mixing": op2_mixing, "op3_secrets": op3_secrets, "op4_simhash": op4_simhash,
            "op5_decontamination": op5_decontamination, "op6_quality": op6_quality, "op7_tokens": op7_tokens,
-           "op8_urls": op8_urls, "op9_language": op9_language, "op10_search": op10_search}
+           "op8_urls": op8_urls, "op9_language": op9_language, "op10_search": op10_search,
+           "op11_codes": op11_codes, "op12_divergence": op12_divergence, "op13_personal": op13_personal}
 
 WARC_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
@@ -113,4 +142,5 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES = {"op1_warc": WARC_SQL, "op8_urls": urls.judge_sql(URL_RULES), "op10_search": SEARCH_SQL}
+ORACLES = {"op1_warc": WARC_SQL, "op8_urls": urls.judge_sql(URL_RULES), "op10_search": SEARCH_SQL,
+           "op11_codes": codes.codes_sql(), "op12_divergence": divergence.audit_sql()}

@@ -82,7 +82,7 @@ def test_token_stage(stages):
 
 def test_run_and_registration(spark, stages):
     assert sorted(map(tuple, E.queries()["pipeline"](spark, SF).collect())) == sorted(map(tuple, stages[5].collect()))
-    assert sum(n.startswith("op") for n in E.queries()) == 10 and "pipeline" not in E.oracle_sql()
+    assert sum(n.startswith("op") for n in E.queries()) == 13 and "pipeline" not in E.oracle_sql()
 
 
 def test_stages_with_nothing(spark, stages):
