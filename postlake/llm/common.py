@@ -3,6 +3,8 @@ distributed running sums, joins that split hot keys, and files of raw bytes."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 import zlib
 
@@ -42,16 +44,67 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@functools.cache
+def _trim():
+    """The C library's call that gives free memory back to the system, or nothing where there is none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda keep: 0
+
+
 def tidy() -> None:
-    """Give memory that Arrow keeps for later back to the system: Python workers live on between tasks."""
+    """Give memory that Arrow and the C library keep for later back to the system: Python workers live on between tasks."""
     pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def tidied(batches):
+    """The batches of a task, with :func:`tidy` before each and after the last."""
+    try:
+        for b in batches:
+            tidy()
+            yield b
+    finally:
+        tidy()
+
+
+def slices(column: pa.Array, most_bytes: int, most_rows: int):
+    """(first row, row behind the last) of runs of rows with strings of up to ``most_bytes``; a longer string is alone."""
+    _, off = text_bytes(column)
+    lo = 0
+    while lo < len(column):
+        hi = min(lo + most_rows, int(np.searchsorted(off, off[lo] + most_bytes, "right")) - 1)
+        yield lo, max(lo + 1, hi)
+        lo = max(lo + 1, hi)
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores behind those that ``columns`` have already (Spark's names ignore case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` whose successors are written; no frame that is still to run may read them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_of(col: Column | str) -> Column:
@@ -80,7 +133,7 @@ def running_sum(df: DataFrame, order: list, values: dict[str, str], name: str) -
         from pyspark import TaskContext
 
         part, so_far = TaskContext.get().partitionId(), dict.fromkeys(outs, 0)
-        for b in batches:
+        for b in tidied(batches):
             added = [pa.array(np.full(b.num_rows, part, np.int32))]
             for o in outs:
                 v = b.column(b.schema.names.index(values[o])).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)

@@ -42,15 +42,48 @@ def test_odd_vectors(spark):
     assert found(spark, [(0, [1.0])], lambda i: True, 3) == []
 
 
-def test_bounds_hold_and_prune():
+def test_bounds_hold():
     rng = np.random.default_rng(4)
     a, b = np.floor(256 * rng.normal(0, 1, (40, 10))), np.floor(256 * rng.normal(0, 1, (50, 10)))
-    last = None
-    for parts in (1, 2, 5, 16):
-        bound = search.segment_statistics(a, parts) @ search.segment_statistics(b, parts).T
+    turn = search.transform(b)
+    assert np.allclose(turn @ turn.T, np.eye(10))
+    last = np.full((40, 50), np.inf)
+    for edges in search.resolutions(10):
+        bound = search.segment_statistics(a @ turn, edges) @ search.segment_statistics(b @ turn, edges).T
         assert (bound >= a @ b.T - 1e-6).all()
-        last = bound
-    assert np.allclose(last, np.abs(a[:, None] * b[None]).sum(axis=2)) or (last >= a @ b.T - 1e-6).all()
+        last = np.minimum(last, bound)
+    assert last.mean() < np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)).mean()
+    assert [e[0] for e in search.resolutions(64)] == [0] * 5 and search.resolutions(1) == [[0, 1]] and search.resolutions(0) == []
+
+
+def exact_share(x, ids, queries_every):
+    sample = slice(0, 4096)
+    q = ids % queries_every == 0
+    s = search.Searcher(ids[q], x[q], 5, search.transform(x[sample]), search.first_scores(ids[q], x[q], ids[sample], x[sample], 5))
+    for lo in range(0, len(ids), search.CHUNK):
+        s.add(ids[lo:lo + search.CHUNK], x[lo:lo + search.CHUNK])
+    score = x[q] @ x.T
+    score[ids[q][:, None] == ids[None]] = -np.inf
+    want = sorted((int(i), *map(int, r)) for i, row in zip(ids[q], score) for r in sorted(zip(-row, ids))[:5])
+    assert sorted(zip(s.ids[s.query].tolist(), (-s.score).tolist(), s.found.tolist())) == want
+    assert s.pairs == int(np.isfinite(score).sum())
+    return s.exact / s.pairs
+
+
+def test_few_pairs_get_exact_scores():
+    rng = np.random.default_rng(8)
+    ids = np.arange(6000)
+    centres = rng.normal(0, 1, (40, 64))
+    clustered = np.floor(256 * (centres[rng.integers(0, 40, 6000)] + rng.normal(0, 0.1, (6000, 64))))
+    assert exact_share(clustered, ids, 50) < 0.04  # a cluster is a fortieth of all
+    given = spark_free_vectors("/root/testdata/sf0.1/embeddings.parquet")
+    assert exact_share(given, np.arange(len(given)), 50) < 0.15  # directions without structure
+
+
+def spark_free_vectors(path):
+    import pyarrow.parquet as pq
+
+    return np.floor(256 * np.array(pq.read_table(path, columns=["embedding"]).column(0).to_pylist(), np.float64))
 
 
 def test_query_matches_sql(spark):
