@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare, smallest
+from .common import materialize, prepare, smallest, tidied
 
 # Fixed patterns of the base rules: kind, pattern, group of the value, least length of the value. re.ASCII keeps case
 # folding to A-Z.
@@ -32,8 +32,9 @@ KINDS = tuple(k for k, *_ in BASE)
 LEARNED = "grammar"
 
 CANDIDATE = r"[A-Za-z0-9+/_.=-]{16,}"
-#: An automaton is fitted on at most so many distinct strings, those of the smallest hashes.
+#: An automaton is fitted on at most so many distinct strings, those of the smallest hashes, and so many characters of each.
 SAMPLE = 500
+LONGEST = 256
 ALPHA = 0.05
 #: Least log-likelihood ratio (nats) of a candidate's format against ordinary tokens, in total and for each character.
 LEAST_RATIO = 12.0
@@ -65,14 +66,20 @@ def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def candidate_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Long tokens that no span in ``taken`` touches."""
-    taken, out, k = sorted(taken), [], 0
+def candidate_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, bool]]:
+    """(start, end, whether no span in ``taken`` touches it) of the long tokens that do not lie inside one of those spans."""
+    taken, out, first = sorted(taken), [], 0
     for m in re.finditer(CANDIDATE, text):
-        while k < len(taken) and taken[k][1] <= m.start():
+        while first < len(taken) and taken[first][1] <= m.start():  # by start: later ones may end before, too
+            first += 1
+        touched = inside = False
+        k = first
+        while k < len(taken) and taken[k][0] < m.end():
+            touched |= taken[k][1] > m.start()
+            inside |= taken[k][0] <= m.start() and taken[k][1] >= m.end()
             k += 1
-        if k == len(taken) or taken[k][0] >= m.end():
-            out.append((m.start(), m.end()))
+        if not inside:
+            out.append((m.start(), m.end(), not touched))
     return out
 
 
@@ -98,14 +105,17 @@ class Automaton:
         return out
 
 
-def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
-    """Merge the compatible states of the strings' prefix tree, breadth first, into an automaton."""
+def infer(strings: list[str], alpha: float = ALPHA, longest: int = LONGEST) -> Automaton:
+    """Merge the compatible states of the strings' prefix tree, breadth first, into an automaton.
+
+    Of a longer string the first ``longest`` characters teach how formats go on, but not that they end there.
+    """
     to: list[dict[int, int]] = [{}]  # next state by symbol, and how often each edge and each end was taken
     taken: list[dict[int, int]] = [{}]
     end = [0]
     for s in strings:
         q = 0
-        for c in _CLASS[np.frombuffer(s.encode(), np.uint8)].tolist():
+        for c in _CLASS[np.frombuffer(s[:longest].encode(), np.uint8)].tolist():
             if c not in to[q]:
                 to[q][c] = len(to)
                 to.append({})
@@ -113,7 +123,7 @@ def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
                 end.append(0)
             taken[q][c] = taken[q].get(c, 0) + 1
             q = to[q][c]
-        end[q] += 1
+        end[q] += len(s) <= longest
     uses = [sum(t.values()) + e for t, e in zip(taken, end)]
     limit = math.sqrt(0.5 * math.log(2 / alpha))
 
@@ -199,23 +209,26 @@ def is_credential(tokens: list[str], formats: dict[str, Automaton], ordinary: Au
 FOUND = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("base", T.ArrayType(T.LongType())),
     T.StructField("values", T.ArrayType(T.StringType())), T.StructField("starts", T.ArrayType(T.LongType())),
-    T.StructField("tokens", T.ArrayType(T.StringType()))])
+    T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("apart", T.ArrayType(T.BooleanType()))])
 
 
 def scan_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One pass over the texts: base matches (five numbers each) with their values, and the other long tokens."""
+    """One pass over the texts: base matches (five numbers each) with their values, and the other long tokens.
+
+    ``apart`` says of each token that no base match touches it; a token inside a base match is not listed.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def scan(batches):
         names = [f.name for f in FOUND]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string())]
-        for b in batches:
-            out = [[], [], [], []]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_())]
+        for b in tidied(batches):
+            out = [[], [], [], [], []]
             for text in b.column(1).to_pylist():
                 text = text or ""
                 base = base_spans(text)
                 rest = candidate_spans(text, [x[1:3] for x in base])
-                for column, value in zip(out, ([n for x in base for n in x], [text[x[3]:x[4]] for x in base], [a for a, _ in rest], [text[a:z] for a, z in rest])):
+                for column, value in zip(out, ([n for x in base for n in x], [text[x[3]:x[4]] for x in base], [a for a, _, _ in rest], [text[a:z] for a, z, _ in rest], [x for _, _, x in rest])):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(out, kinds[1:])]], names=names)
 
@@ -223,15 +236,19 @@ def scan_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def training_strings(found: DataFrame, sample: int = SAMPLE) -> dict[str, list[str]]:
-    """At most ``sample`` distinct strings of each base kind and of the other long tokens, by the smallest hashes."""
+    """At most ``sample`` distinct strings of each base kind and of the tokens apart from them, by the smallest hashes.
+
+    Strings come whole but for what :func:`infer` does not read: at most LONGEST characters and one more.
+    """
     base = found.where(F.size("values") > 0).select(F.explode(F.transform("values", lambda v, i: F.struct(
         F.get("base", i * 5).cast("int").alias("kind"), v.alias("value")))).alias("x")).select("x.kind", "x.value")
-    other = found.select(F.lit(len(BASE)).alias("kind"), F.explode("tokens").alias("value"))
+    other = found.select(F.lit(len(BASE)).alias("kind"), F.explode(F.filter("tokens", lambda t, i: F.get("apart", i))).alias("value"))
     # a third of all tokens may be one string: distinct() pre-aggregates
-    picked = smallest(base.union(other).distinct(), "kind", [F.xxhash64("value"), "value"], sample)
+    picked = smallest(base.union(other).distinct(), "kind", [F.xxhash64("value"), "value"], sample) \
+        .withColumn("value", F.substring("value", 1, LONGEST + 1))
     out: dict[str, list[str]] = {k: [] for k in (*KINDS, LEARNED)}
     for r in picked.orderBy("kind", "value").collect():
-        out[(*KINDS, LEARNED)[r.kind]].append(r.value[:256])
+        out[(*KINDS, LEARNED)[r.kind]].append(r.value)
     return out
 
 
@@ -239,11 +256,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row of ``docs``: id, n_assign, n_access, n_hex, base_sha256, spans, n_grammar.
 
     Base spans are whole matches of the three patterns, leftmost and non-overlapping for each kind. The automata add
-    spans of kind ``grammar``, of long tokens that no base span touches; base spans stay. ``spans`` joins
+    spans of kind ``grammar``, of long tokens that do not lie inside one base span; base spans stay. ``spans`` joins
     ``kind:start:end`` by start, then kind, with commas (code points, end exclusive); ``base_sha256`` is the SHA-256 of
     the same of the base spans. A null text is empty: no spans, the digest of the empty string. Without labelled
-    credentials nothing is added. Automata learn from at most ``sample`` strings of each kind, cut to 256 characters;
-    all tokens are scored whole.
+    credentials nothing is added. Automata learn from at most ``sample`` strings of each kind, of which they read the
+    first LONGEST characters; all tokens are scored whole.
     """
     prepare(docs.sparkSession)
     found = materialize(scan_texts(docs, id_col, text_col), "secret-scan")
@@ -251,7 +268,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     formats, ordinary = learned_formats({k: strings[k] for k in KINDS}, strings[LEARNED])
 
     def judge(batches):
-        for b in batches:
+        for b in tidied(batches):
             ids, base, starts, tokens = (b.column(b.schema.names.index(c)) for c in ("id", "base", "starts", "tokens"))
             words = tokens.flatten().dictionary_encode()
             good = is_credential(words.dictionary.to_pylist(), formats, ordinary)
