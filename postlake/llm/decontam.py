@@ -1,24 +1,32 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Texts are compared as UTF-8 bytes, A-Z lower-cased, runs of ASCII white space as one space. A benchmark item is cut into
-windows of ``window`` bytes, a third of a window apart (a shorter item is one window), each with a budget of e edits. If a window
-lies in a document within e edits, the two share at least L + 1 - q (e + 1) q-grams, in one band of diagonals. So the
-shared q-grams of each item are counted in overlapping diagonal bands, bands that reach the bound of one of the item's
-windows are kept, and the item's windows are aligned there within the band.
+windows of ``window`` bytes, STRIDE bytes apart (a shorter item is one window), each with a budget of e edits, RATE of its
+bytes, rounded up. If a window lies in a document within e edits, the two share at least L + 1 - q (e + 1) q-grams, in one band of
+diagonals. So the shared q-grams of each item are counted in overlapping diagonal bands, bands that reach the bound of one
+of the item's windows are kept, and the item's windows are aligned there within the band.
+
+What is always found: every window within its budget (5 edits in 60 bytes), and so every verbatim passage of at least 60
+normalised bytes of an item, wherever it begins: the nearest window lacks at most STRIDE / 2 = 5 of its bytes, which its
+budget covers. Shorter passages of longer items are found or not by their place.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare, text_bytes, tidy
+from .common import materialize, prepare, text_bytes, tidied
 
 Q = 8
 WINDOW = 60
+#: Bytes from one window of an item to the next.
+STRIDE = 10
 #: Edits allowed for each byte of a window.
 RATE = 0.08
 #: Items shorter than this (in normalised bytes) occur by chance and are not searched.
@@ -55,8 +63,8 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 
 def budget(length: int, rate: float = RATE) -> int:
-    """Edits allowed in a window: the rate, but so that the q-gram bound stays above zero."""
-    return min(int(rate * length), (length - 1) // Q - 1 if length >= 2 * Q else 0)
+    """Edits allowed in a window: the rate, rounded up, but so that the q-gram bound stays above zero."""
+    return min(math.ceil(rate * length), (length - 1) // Q - 1 if length >= 2 * Q else 0)
 
 
 def bound(length: int, rate: float = RATE) -> int:
@@ -66,7 +74,7 @@ def bound(length: int, rate: float = RATE) -> int:
 def item_windows(length: int, window: int = WINDOW) -> list[tuple[int, int]]:
     if length <= window:
         return [(0, length)]
-    starts = sorted({*range(0, length - window + 1, window // 3), length - window})
+    starts = sorted({*range(0, length - window + 1, STRIDE), length - window})
     return [(s, s + window) for s in starts]
 
 
@@ -160,39 +168,45 @@ class Index:
 
 
 def _pieces(texts: pa.Array, size: int, overlap: int):
-    """(first text, bytes, offsets, shift) of runs of whole texts of about ``size`` bytes; a longer text is cut."""
+    """(first text, data, at, starts) of runs of whole texts of about ``size`` bytes, normalised.
+
+    A longer text is normalised piece by piece, each piece after the last ``overlap`` normalised bytes of the one before,
+    so that white space at a cut, however much, takes nothing from the overlap. ``at``: places in the bytes of all texts.
+    """
     raw, off = text_bytes(texts)
     lo = 0
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + size, "right")) - 1)
         if hi == lo + 1 and off[hi] - off[lo] > size:
-            at = off[lo]
-            while True:
-                end = min(off[hi], at + size)
-                yield lo, raw[at:end], np.array([0, end - at]), at - off[lo]
-                if end == off[hi]:
-                    break
-                at = end - overlap
+            data, at, blank = np.zeros(0, np.uint8), np.zeros(0, np.int64), False
+            for begin in range(int(off[lo]), int(off[hi]), size):
+                low = _LOWER[raw[begin:min(begin + size, int(off[hi]))]]
+                keep = low != 32
+                keep[1:] |= low[:-1] != 32
+                keep[0] |= not blank
+                blank = low[-1] == 32
+                data, at = np.concatenate([data[-overlap:], low[keep]]), np.concatenate([at[-overlap:], np.nonzero(keep)[0] + begin])
+                yield lo, np.append(data, np.uint8(0)), np.append(at, off[hi]), np.array([0, len(data) + 1])
         else:
-            yield lo, raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], 0
+            data, at, starts = normalise(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+            yield lo, data, at + off[lo], starts
         lo = hi
 
 
 def find_in_texts(index: Index, texts: pa.Array, size: int = DOCUMENT_BLOCK):
     """{(text number, item number): [start, end, edits, windows]} with positions as bytes of the text."""
     found: dict = {}
-    # white space counts once in a window but in full here; a longer run than this can hide a match at a cut
-    overlap = min(size // 2, 16 * (WINDOW + 8 * index.step))
-    for first, raw, off, shift in _pieces(texts, size, overlap):
-        data, at, starts = normalise(raw, off)
-        if not len(index.texts):
-            continue
+    if not len(index.texts):
+        return found
+    _, off = text_bytes(texts)
+    overlap = 4 * (max(b - a for w in index.windows for a, b in w) + 2 * index.step)
+    for first, data, at, starts in _pieces(texts, size, overlap):
         item, diagonal = index.bands(data)
         for i, a, b, end, edits in index.align(data, item, diagonal):
             end = min(max(end, 1), len(data))
             k = int(np.searchsorted(starts, end - 1, "right")) - 1
             begin = max(int(starts[k]), end - (b - a))
-            span = [int(at[begin] - off[k]) + shift, int(at[end - 1] - off[k]) + 1 + shift]
+            span = [int(at[begin] - off[first + k]), int(at[end - 1] - off[first + k]) + 1]
             old = found.setdefault((first + k, i), [*span, edits, set()])
             old[0], old[1], old[2] = min(old[0], span[0]), max(old[1], span[1]), min(old[2], edits)
             old[3].add(a)
@@ -214,21 +228,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     give rows each. The benchmark is read in blocks of about ``BENCHMARK_BLOCK`` bytes, each of which is compared with
     all documents; texts are compared whole, in overlapping pieces of ``DOCUMENT_BLOCK`` bytes.
     """
-    spark = docs.sparkSession
-    prepare(spark)
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (BENCHMARK_BLOCK // 2)))
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for block in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
+    for sent in _blocks(benchmark, item_col, item_text):
 
         def search(batches, sent=sent):
             index = Index(sent.value, rate, window, least)
-            for b in batches:
-                tidy()
+            for b in tidied(batches):
                 texts = b.column(1)
                 found = sorted(find_in_texts(index, texts).items())
                 if not found:
@@ -247,14 +254,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.withColumnRenamed("doc_id", id_col)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item, all columns kept.
+def _blocks(benchmark: DataFrame, item_col: str, item_text: str) -> list:
+    """The benchmark's items, broadcast in blocks of about ``BENCHMARK_BLOCK`` bytes."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // (BENCHMARK_BLOCK // 2)))
+    out = []
+    for block in range(blocks):
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        out.append(benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in own.collect()]))
+    return out
 
-    Rows are decided one by one, under a row number of their own (the documents are written with it once): null and
-    shared values of ``id_col`` play no part.
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+                      rate: float = RATE, window: int = WINDOW, least: int = LEAST_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, all columns kept, whatever their names.
+
+    Every row is decided by its own text, in the pass that hands it on: ids play no part, nothing is shuffled, joined or
+    copied. With several blocks of benchmark, each looks at what the ones before it have left (a written table).
     """
     prepare(docs.sparkSession)
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
-    # written, so that few found rows are known to be few and the texts need no shuffle
-    bad = materialize(contaminated(rows, benchmark, "_row", **how).select("_row").distinct(), "decontam-found")
-    return rows.join(bad, "_row", "left_anti").select(*docs.columns)
+    blocks, place = _blocks(benchmark, item_col, item_text), docs.columns.index(text_col)
+    for n, sent in enumerate(blocks):
+
+        def clean(batches, sent=sent):
+            index = Index(sent.value, rate, window, least)
+            for b in tidied(batches):
+                keep = np.ones(b.num_rows, bool)
+                keep[[k for k, _ in find_in_texts(index, b.column(place).cast(pa.string()))]] = False
+                yield b.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+        if n + 1 < len(blocks):
+            docs = materialize(docs, "decontam-left")
+    return docs
