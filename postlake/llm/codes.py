@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, tidied
 
 SCALE = 256
 PARTS = 16
@@ -170,7 +170,7 @@ def _sums(rows: DataFrame, books: Codebooks, parts: int) -> dict[int, tuple[int,
         trees = [Gnat(b) for b in sent.value]
         count = np.zeros((parts, entries), np.int64)
         sums = np.zeros((parts, entries, width), np.int64 if small else object)
-        for b in batches:
+        for b in tidied(batches):
             x = _matrix(b.column(0), parts * width, small)
             for k, tree in enumerate(trees):
                 own = x[:, k * width:(k + 1) * width]
@@ -227,7 +227,7 @@ def assign_codes(rows: DataFrame, books: Codebooks) -> DataFrame:
 
     def assign(batches):
         trees = [Gnat(b) for b in sent.value]
-        for b in batches:
+        for b in tidied(batches):
             x = _matrix(b.column(2), parts * width, small)
             code, error = np.zeros((len(x), parts), np.uint8), np.zeros(len(x), x.dtype)
             for k, tree in enumerate(trees):

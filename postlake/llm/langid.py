@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_of, prepare, smallest, text_bytes
+from .common import crc_of, prepare, smallest, text_bytes, tidied
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     known = allowed.join(F.broadcast(chosen), ["id", "lang", "hash"])
 
     def some_windows(batches):
-        for b in batches:
+        for b in tidied(batches):
             ids, texts, langs = (b.column(b.schema.names.index(c)) for c in ("id", "text", "lang"))
             for k in range(b.num_rows):
                 rows, _, size = windows_of(*text_bytes(texts.slice(k, 1)))
@@ -172,7 +172,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, fold: int = 0,
                      **how) -> DataFrame:
-    """Per row of ``docs``: all its columns, held_out, lang_pred, score.
+    """Per row of ``docs``: its id, held_out, lang_pred, score.
 
     Rows whose crc32(id as text) mod ``folds`` is ``fold`` (a null id counts as not held out) teach nothing. A null
     text, or one without a letter, is ``und`` with score 0; so is every text if nothing was learned.
@@ -189,5 +189,5 @@ def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["lang", "score"])
 
     text = F.col(text_col).cast("string")
-    out = docs.withColumn("held_out", held).withColumn("_found", language(F.when(text.rlike(r"\p{L}"), text)))
-    return out.withColumn("lang_pred", F.col("_found.lang")).withColumn("score", F.col("_found.score")).drop("_found")
+    out = docs.select(F.col(id_col), held.alias("held_out"), language(F.when(text.rlike(r"\p{L}"), text)).alias("found"))
+    return out.select(out[0], "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))

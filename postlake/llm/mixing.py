@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, materialize, prepare, running_sum, word_count
+from .common import attach, materialize, prepare, running_sum, unused, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -170,21 +170,27 @@ def _first_words(texts: pa.Array, counts: pa.Array) -> pa.Array:
                      for t, n in zip(texts.to_pylist(), counts.to_pylist())], pa.string())
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **how) -> DataFrame:
-    """The mixed documents: all columns of ``docs``, a row for each draw, with ``mix_shard`` and ``mix_epoch``.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED,
+        names: tuple[str, str] = ("mix_shard", "mix_epoch"), **how) -> DataFrame:
+    """The mixed documents: all columns of ``docs``, a row for each draw, with its shard and epoch (``names``).
 
     A document that the mix takes in part has its first words only. Rows of a shard are together in a task, in random
-    (seeded) order. Null texts and texts without words are never drawn. Columns of ``docs`` named like the two new ones
-    are replaced. ``how``: as for ``plan_mix``.
+    (seeded) order. Null texts and texts without words are never drawn. Columns of ``docs`` named as in ``names``
+    are replaced; all others keep their values, whatever their names. ``how``: as for ``plan_mix``.
     """
-    plan = plan_mix(document_sizes(docs, id_col, text_col, source_col), id_col, seed=seed, **how)
-    plan = plan.where(F.size("draws") > 0).select(F.col(id_col).alias("_id"), F.col("skey").alias("_skey"), F.col("size").alias("_size"), F.col("draws").alias("_draws"))
-    sized = docs.withColumn("_own_size", word_count(F.col(text_col))).withColumn("_own_skey", source_key(source_col))
-    drawn = sized.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own_skey") == F.col("_skey")) & (F.col("_own_size") == F.col("_size")))
-    drawn = drawn.withColumn("_draw", F.explode("_draws"))
-    cut = F.col("_draw.words") < F.col("_size")
-    part = _first_words(F.when(cut, F.col(text_col)), F.col("_draw.words"))
-    out = drawn.withColumn("_part", part).select(
-        *[(F.coalesce("_part", c).alias(c) if c == text_col else F.col(c)) for c in docs.columns if c not in ("mix_shard", "mix_epoch")],
-        F.col("_draw.shard").alias("mix_shard"), F.col("_draw.epoch").alias("mix_epoch"))
-    return out.repartition("mix_shard").sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed), F.col(id_col), "mix_epoch"))
+    docs = docs.drop(*names)
+    own_size, own_skey, key, skey, size, draws, draw, part = unused(
+        [*docs.columns, *names], "own_size", "own_skey", "key", "skey", "size", "draws", "draw", "part")
+    plan = plan_mix(document_sizes(docs, id_col, text_col, source_col), id_col, seed=seed, **how).where(F.size("draws") > 0)
+    plan = plan.select(F.col(id_col).alias(key), F.col("skey").alias(skey), F.col("size").alias(size), F.col("draws").alias(draws))
+    # null-safe throughout: a null filter on the size would count the words once more. A row that repeats through the
+    # table is one key with one row on the plan's side; the adaptive skew join splits its copies
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    sized = docs.withColumn(own_size, word_count(F.col(text_col))).withColumn(own_skey, source_key(source_col))
+    drawn = sized.join(plan, same(id_col, key) & same(own_skey, skey) & same(own_size, size))
+    drawn = drawn.withColumn(draw, F.explode(draws))
+    words = F.col(draw)["words"]
+    drawn = drawn.withColumn(part, _first_words(F.when(words < F.col(size), F.col(text_col)), words))
+    out = drawn.select(*[F.coalesce(part, c).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+                       F.col(draw)["shard"].alias(names[0]), F.col(draw)["epoch"].alias(names[1]))
+    return out.repartition(names[0]).sortWithinPartitions(names[0], F.xxhash64(F.lit(seed), F.col(id_col), names[1]))

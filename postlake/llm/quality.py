@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_of, prepare, segment_sums, text_bytes, tidy
+from .common import crc_of, prepare, segment_sums, text_bytes, tidied, tidy
 
 #: The classifier is fitted on at most so many labelled documents, those of the smallest hashes of the id, of which each
 #: gives at most SAMPLE_LINES lines (of a longer one, evenly spaced runs of RUN lines).
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_LINES = 512
+#: All of them together give at most so many lines (50 numbers each on the driver): long documents then give fewer each.
+SAMPLE_TOTAL = 250_000
 RUN = 32
 STEPS = 300
 THRESHOLD = 0.7
@@ -171,10 +173,20 @@ def score_texts(texts: pa.Array, model: dict) -> np.ndarray:
     return np.concatenate(out)
 
 
+def lines_each(counts: list[int], total: int) -> int:
+    """Lines that each document may give, in whole runs: SAMPLE_LINES, or fewer so that all give at most ``total``."""
+    most = SAMPLE_LINES
+    while most > RUN and sum(min(n, most) for n in counts) > total:
+        most -= RUN
+    return most
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        held_out: Column | None = None, sample: int = SAMPLE_DOCUMENTS) -> dict:
+        held_out: Column | None = None, sample: int = SAMPLE_DOCUMENTS, total: int = SAMPLE_TOTAL) -> dict:
     """Train on at most ``sample`` labelled documents for which ``held_out`` is false; without any, every score is 0.5.
 
+    The driver gets at most ``total`` lines of them (but RUN of each document).
+
     An id with several labels counts by its smallest one; null labels and ids are left out, null texts are empty.
     """
     prepare(docs.sparkSession)
@@ -186,8 +198,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(sample)
     known = allowed.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
 
+    # the longest of them (an id's repeated rows are rows of their own), so that the bound holds whichever are taken
+    lines = known.select(F.size(F.split("text", "\n", -1)).alias("lines")).orderBy(F.desc("lines")).limit(sample).collect()
+    most = lines_each([r["lines"] or 1 for r in lines], total)
+
     def numbers(batches):
-        for b in batches:
+        for b in tidied(batches):
             for lo in range(0, b.num_rows, 100):
                 part = b.slice(lo, 100)
                 x, lengths, bounds = features_of(part.column(part.schema.names.index("text")))
@@ -196,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 for k in range(part.num_rows):
                     own, n = slice(bounds[k], bounds[k + 1]), int(bounds[k + 1] - bounds[k])
                     keep = np.arange(n)
-                    if n > SAMPLE_LINES:
-                        begin = np.linspace(0, n - RUN, SAMPLE_LINES // RUN).astype(int)
+                    if n > most:
+                        begin = np.linspace(0, n - RUN, most // RUN).astype(int)
                         keep = np.unique((begin[:, None] + np.arange(RUN)).ravel())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([ids[k]], pa.int64()), pa.array([int(label[k] == 1)], pa.int32()),
@@ -228,13 +244,26 @@ def scorer(model: dict):
     return score
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, fold: int = 2,
-                  threshold: float = THRESHOLD, **how) -> DataFrame:
-    """Per row of ``docs``: all its columns, held_out, score, predicted (1 if the score reaches ``threshold``).
-
-    Rows whose crc32(id as text) mod ``folds`` is ``fold`` (a null id counts as not held out) teach no label.
-    """
+def score_column(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, fold: int = 2,
+                 **how) -> tuple[Column, Column]:
+    """(held out, score) as columns over ``docs``, from a classifier fitted on its rows that are not held out."""
     held = F.coalesce(F.pmod(crc_of(id_col), F.lit(folds)) == fold, F.lit(False))
     model = fit(docs, labels, id_col, text_col, held_out=held, **how)
-    out = docs.withColumn("held_out", held).withColumn("score", scorer(model)(F.col(text_col).cast("string")))
+    return held, scorer(model)(F.col(text_col).cast("string"))
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **how) -> DataFrame:
+    """Per row of ``docs``: its id, held_out, score, predicted (1 if the score reaches ``threshold``).
+
+    Rows whose crc32(id as text) mod ``folds`` is ``fold`` (a null id counts as not held out) teach no label. Other
+    columns are not looked at; :func:`keep_good` keeps them.
+    """
+    held, score = score_column(docs, labels, id_col, text_col, **how)
+    out = docs.select(F.col(id_col), held.alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **how) -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, all columns kept, whatever their names."""
+    _, score = score_column(docs, labels, id_col, text_col, **how)
+    return docs.where(score >= threshold)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, materialize, prepare, tidy
+from .common import attach, materialize, prepare, release, tidy
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -126,13 +126,14 @@ def components(edges: DataFrame) -> DataFrame:
     before = print_of(edges)
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("weight")), "cc-low")
-        large = attach(both, low, "u", "weight", ["v"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        first = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("weight")), "cc-low")
+        large = attach(both, first, "u", "weight", ["v"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "cc-large")
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("weight")), "cc-low")
         hooked = attach(large, low, "u", "weight", ["v"])
         small = hooked.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
         small = materialize(small, "cc-edges")
+        release(edges, first, large, low)
         # done when nothing changed: every node hangs on one smaller node, which hangs on none
         now = print_of(small)
         if now == before:

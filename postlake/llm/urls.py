@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, materialize, prepare
+from .common import attach, materialize, prepare, release
 
 DAMPING = 0.85
 #: Ranks are iterated until all that is still to be spread is below this share of the mean rank of a host.
@@ -98,7 +98,9 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
             F.col("dst").alias("node"), none.alias("rank"), (damping * F.col("each")).alias("gain"), F.lit(0).cast("long").alias("degree"))
         both = rank.select("node", "rank", none.alias("gain"), "degree").union(flow).groupBy("node").agg(
             F.sum("rank").alias("rank"), F.sum("gain").alias("gain"), F.sum("degree").alias("degree"))
-        rank = materialize(both.withColumn("rank", F.col("rank") + F.col("gain")), "url-rank")
+        last, rank = rank, materialize(both.withColumn("rank", F.col("rank") + F.col("gain")), "url-rank")
+        if hasattr(last, "scratch"):
+            release(last)
         left = (rank.where("degree > 0").agg(F.sum("gain")).first()[0] or 0.0) * damping / (1 - damping)
     kind = F.substring("node", 1, 2)
     return rank.groupBy(F.expr("substring(node, 3)").alias("host")).agg(

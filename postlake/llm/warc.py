@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, materialize, prepare, read_blobs, write_blobs
+from .common import attach, materialize, prepare, read_blobs, tidied, write_blobs
 
 # Fixed values of the Zstandard seekable format: magic numbers of skippable frames and of the footer.
 SEEK_TABLE_MAGIC = 0x184D2A5E
@@ -189,7 +189,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", payload_
 
     def pack(batches):
         bundle = Bundle(frame_bytes)
-        for b in batches:
+        for b in tidied(batches):
             for key, uri, data, revisit, first in zip(*(c.to_pylist() for c in b.columns)):
                 bundle.add(key, record_bytes(key, uri, data, first, revisit, date))
                 if bundle.total >= bundle_bytes:
@@ -215,7 +215,7 @@ def read_archive(spark: SparkSession, path: str, keys: list[str] | None = None)
     arrow = to_arrow_schema(RECORD_SCHEMA)
 
     def unpack(batches):
-        for b in batches:
+        for b in tidied(batches):
             for path, content in zip(b.column(0).to_pylist(), b.column(1)):
                 rows, held = [], 0
                 for key, frame, offset, record in read_records(content.as_py(), wanted):
