@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, read_blobs, running_sum, scratch_path, tidy, write_blobs
+from .common import materialize, prepare, read_blobs, running_sum, scratch_path, slices, text_bytes, tidied, write_blobs
 
 # Fixed values of the Simple-8b layout: ids in a word and bits of each, by selector. Runs of 240 and 120 zeros come first.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -89,7 +89,7 @@ def _pack_blocks(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """Words (uint64) of ids below 2**60, and the first word of each block, with the total at the end."""
     ids = np.ascontiguousarray(ids, np.uint64)
-    whole, some = len(ids) - len(ids) % block, 1024 * block  # a few blocks at a time stay in the cache
+    whole, some = len(ids) - len(ids) % block, 256 * block  # a few blocks at a time stay in the cache
     grids = [ids[lo:min(lo + some, whole)].reshape(-1, block) for lo in range(0, whole, some)] + [ids[whole:].reshape(1, -1)]
     parts = [_pack_blocks(g) for g in grids if g.size]
     if not parts:
@@ -148,11 +148,17 @@ class TokenFile:
         return unpack(self.words[self.starts[a]:self.starts[b]])[lo - a * self.block:hi - a * self.block]
 
 
-#: Encoders by tokenizer file, kept by a Python worker over its tasks; each remembers at most so many words.
+#: Encoders by tokenizer file, kept by a Python worker over its tasks. An encoder forgets its words when they, their ids
+#: and what finds them take more bytes than this; longer words are encoded each time they come.
 _KNOWN: dict[str, WordEncoder] = {}
-KEPT_WORDS = 700_000
+KEPT_BYTES = 40 << 20
+KEPT_LENGTH = 64
+#: Bytes of text that are encoded at a time.
+SLICE_BYTES = 3 << 20
 #: Words that are encoded in one call.
 _TOGETHER = 256
+#: Fixed odd numbers, one for each place in a word, that make the words' hashes.
+_PLACES = np.random.Generator(np.random.PCG64(8)).integers(0, 2 ** 63, KEPT_LENGTH, np.uint64) * np.uint64(2) + np.uint64(1)
 #: A letter or digit, and ASCII punctuation (no apostrophe) behind it.
 _JOINT = r"([A-Za-z0-9])([!-&(-/:-@\[-`{-~])"
 
@@ -169,6 +175,19 @@ def _gather(flat: np.ndarray, ends: np.ndarray, pick: np.ndarray) -> tuple[np.nd
     return flat[at], sizes
 
 
+def word_hashes(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of up to KEPT_LENGTH bytes, from its bytes and length (others: any number)."""
+    size = np.diff(off)
+    place = np.arange(len(raw)) - np.repeat(off[:-1], size)
+    mixed = (raw.astype(np.uint64) + np.uint64(1)) * _PLACES[np.minimum(place, KEPT_LENGTH - 1)]
+    out = np.zeros(len(size), np.uint64)
+    some = size > 0
+    if some.any():
+        out[some] = np.add.reduceat(mixed, off[:-1][some])
+    out ^= out >> np.uint64(31)
+    return out * _PLACES[0] ^ size.astype(np.uint64)
+
+
 class WordEncoder:
     """Encodes texts word by word (words end at ASCII white space) and remembers words.
 
@@ -187,23 +206,62 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.at: dict[str, int] = {"": 0}  # number of a word, whose ids are flat[ends[number]:ends[number + 1]]
+        # word n is data[begin[n]:begin[n + 1]] and has the ids flat[ends[n]:ends[n + 1]]; word 0 is empty
+        self.data, self.begin = np.zeros(0, np.uint8), np.zeros(2, np.int64)
         self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        alone = [w for w in words if self.special in w]
-        together = [w for w in words if self.special not in w] if alone else words
-        groups = [[w] for w in alone] + [together[i:i + _TOGETHER] for i in range(0, len(together), _TOGETHER)]
-        ids, sizes = [self.flat], []
-        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+        self.hash, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash, no hash twice
+
+    def bytes_kept(self) -> int:
+        return sum(x.nbytes for x in (self.data, self.begin, self.flat, self.ends, self.hash, self.number))
+
+    def tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and the number of ids of each."""
+        alone = [i for i, w in enumerate(words) if self.special in w]
+        single = set(alone)
+        together = [i for i in range(len(words)) if i not in single] if alone else list(range(len(words)))
+        groups = [[i] for i in alone] + [together[k:k + _TOGETHER] for k in range(0, len(together), _TOGETHER)]
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)):
             own = np.array(e.ids, np.uint32)
-            begin = np.cumsum([len(w) + 1 for w in group[:-1]], dtype=np.int64)
+            begin = np.cumsum([len(words[i]) + 1 for i in group[:-1]], dtype=np.int64)
             cut = np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(own)), begin)
             ids.append(own)
             sizes.append(np.diff(np.concatenate([[0], cut, [len(own)]])))
-        self.at.update(zip(alone + together, range(len(self.at), len(self.at) + len(words))))
-        self.flat = np.concatenate(ids)
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        flat, size = np.concatenate(ids), np.concatenate(sizes)
+        if alone:
+            flat, size = _gather(flat, np.concatenate([[0], np.cumsum(size)]), np.argsort(np.array(alone + together), kind="stable"))
+        return flat, size
+
+    def _find(self, raw: np.ndarray, off: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each word (-1: not known), and whether a word of the same hash is known."""
+        size, number = np.diff(off), np.full(len(hashes), -1, np.int64)
+        number[size == 0] = 0
+        at = np.minimum(np.searchsorted(self.hash, hashes), max(0, len(self.hash) - 1))
+        same = (self.hash[at] == hashes) & (size > 0) if len(self.hash) else np.zeros(len(hashes), bool)
+        maybe = np.nonzero(same & (size <= KEPT_LENGTH))[0]
+        n = self.number[at[maybe]].astype(np.int64) if len(maybe) else np.zeros(0, np.int64)
+        alike = self.begin[n + 1] - self.begin[n] == size[maybe]
+        maybe, n = maybe[alike], n[alike]
+        own, sizes = _gather(raw, off, maybe)
+        other, _ = _gather(self.data, self.begin, n)
+        if len(maybe):
+            differ = np.add.reduceat(own != other, np.cumsum(sizes) - sizes, dtype=np.int64) > 0
+            number[maybe[~differ]] = n[~differ]
+        return number, same
+
+    def _keep(self, raw, off, hashes, pick, flat, ends) -> None:
+        """Remember the picked words, whose ids are flat[ends[k]:ends[k + 1]] in turn; of words of one hash only one."""
+        _, first = np.unique(hashes[pick], return_index=True)
+        own, sizes = _gather(raw, off, pick[first])
+        ids, counts = _gather(flat, ends, first)
+        known = len(self.begin) - 1
+        self.data, self.flat = np.concatenate([self.data, own]), np.concatenate([self.flat, ids])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        every = np.concatenate([self.hash, hashes[pick][first]])
+        number = np.concatenate([self.number, np.arange(known, known + len(first), dtype=np.int32)])
+        order = np.argsort(every, kind="stable")
+        self.hash, self.number = every[order], number[order]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the number of ids of each (null: 0)."""
@@ -212,16 +270,20 @@ class WordEncoder:
         apart = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(apart), apart)
         lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, self.special), texts, apart))
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.at) > KEPT_WORDS:
+        if self.bytes_kept() > KEPT_BYTES:
             self.forget()
-        get = self.at.get
-        slot = np.array([get(w, -1) for w in words], np.int64)
-        new = np.nonzero(slot < 0)[0]
-        if len(new):
-            self.learn([words[i] for i in new.tolist()])
-            slot[new] = [self.at[words[i]] for i in new.tolist()]
-        ids, sizes = _gather(self.flat, self.ends, slot[coded.indices.to_numpy(zero_copy_only=False)])
+        raw, off = text_bytes(coded.dictionary)
+        hashes = word_hashes(raw, off)
+        number, taken = self._find(raw, off, hashes)
+        new = np.nonzero(number < 0)[0]
+        fresh, counts = self.tokenize(coded.dictionary.take(pa.array(new)).to_pylist())
+        fresh_ends = np.concatenate([[0], np.cumsum(counts)])
+        number[new] = len(self.ends) - 1 + np.arange(len(new))
+        flat, ends = np.concatenate([self.flat, fresh]), np.concatenate([self.ends, self.ends[-1] + fresh_ends[1:]])
+        ids, sizes = _gather(flat, ends, number[coded.indices.to_numpy(zero_copy_only=False)])
+        keep = np.nonzero((np.diff(off)[new] <= KEPT_LENGTH) & ~taken[new])[0]
+        own, _ = _gather(fresh, fresh_ends, keep)
+        self._keep(raw, off, hashes, new[keep], own, np.concatenate([[0], np.cumsum(counts[keep])]))
         bounds = np.asarray(lists.offsets, np.int64)
         return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[bounds - bounds[0]])
 
@@ -236,11 +298,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                  end_id: int = END_ID, block: int = BLOCK, file_ids: int = FILE_IDS, step: int = 2000) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the ids in ascending ``id_col`` order.
 
-    Null ids come last. Documents of equal id come in the order of their texts. A task writes files of about
-    ``file_ids`` ids, looking every ``step`` documents; a document is never cut. An empty table writes no file. ``tokenizer``: path of a tokenizers file.
+    Null ids come last. Documents of equal id come in the order of their texts' hashes (xxhash64), so that an id, or a
+    row, that repeats through the table is dealt to many tasks. A task writes files of about ``file_ids`` ids, looking
+    at least every ``step`` documents; a document is never cut. An empty table writes no file. ``tokenizer``: path of a tokenizers file.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.monotonically_increasing_id().alias("turn"))
 
     def encode(batches):
         encoder = word_encoder(tokenizer)
@@ -250,15 +314,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
             data = file_bytes(docs_held, np.concatenate(lengths), np.concatenate(ids), block)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["file"])
 
-        for b in batches:
-            for lo in range(0, b.num_rows, step):
-                part = b.slice(lo, step)
+        for b in tidied(batches):
+            for lo, hi in slices(b.column(1), SLICE_BYTES, step):
+                part = b.slice(lo, hi - lo)
                 own, sizes = encoder.encode(part.column(1))
                 ends = np.cumsum(sizes)
                 ids.append(np.insert(own, ends, np.uint32(end_id)))
                 lengths.append(sizes + 1)
                 docs_held += part.column(0).to_pylist()
-                tidy()
                 held += len(ids[-1])
                 if held >= file_ids:
                     yield done()
@@ -266,8 +329,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         if docs_held:
             yield done()
 
-    # ranges of ids; the text orders rows within a range only, so that no text is sampled for the ranges' bounds
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_last()).sortWithinPartitions(F.col("id").asc_nulls_last(), "text")
+    order = [F.col("id").asc_nulls_last(), "hash", "turn"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
     write_blobs(ordered.mapInArrow(encode, "file binary"), "file", path, MAGIC)
 
 
@@ -280,7 +343,7 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
     prepare(spark)
 
     def read(batches):
-        for b in batches:
+        for b in tidied(batches):
             for name, data in zip(b.column(0).to_pylist(), b.column(1)):
                 f = TokenFile(data.as_py())
                 ids = f.ids(0, f.n_ids).astype("<u4")

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -57,15 +58,36 @@ def test_words_encode_as_whole_texts(library):
 
 
 def test_forgetting_words(library, monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 200)
     encoder = tokens.WordEncoder(PATH)
     for t in TEXTS * 2:
         assert encoder.encode(pa.array([t], pa.string()))[0].tolist() == library(t)
 
 
+def text_hash(text):
+    """xxhash64 as a signed long (null: the seed)."""
+    n = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return n - (n >> 63 << 64)
+
+
+def test_table_of_words(library, monkeypatch):
+    """Words are told apart by their bytes: one hash for all of them changes nothing."""
+    encoder = tokens.WordEncoder(PATH)
+    monkeypatch.setattr(tokens, "word_hashes", lambda raw, off: np.full(len(off) - 1, 7, np.uint64))
+    for t in TEXTS * 2:
+        assert encoder.encode(pa.array([t, "Hello", t], pa.string()))[0].tolist() == library(t) + library("Hello") + library(t)
+    assert len(encoder.hash) == 1
+
+
+def test_kept_bytes_are_bounded(library):
+    encoder = tokens.WordEncoder(PATH)
+    encoder.encode(pa.array([" ".join(f"w{i}x" for i in range(50_000)), "y" * 100_000], pa.string()))
+    assert len(encoder.begin) == 50_002 and encoder.bytes_kept() < 70 * 50_000
+
+
 def want_rows(rows, library):
     out, start = [], 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, text_hash(r[1]))):
         ids = library(t) + [2]
         out.append((i, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
         start += len(ids)
