@@ -1,13 +1,16 @@
+import os
 import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
 from postlake.llm import decontam, quality, simhash
-from postlake.llm.common import materialize, prepare
+from postlake.llm.common import materialize, prepare, scratch_path
+from postlake.llm.mixing import plan_mix
 from helpers import prose
 from test_decontam import norm
 from test_mixing import targets
@@ -96,7 +99,7 @@ def test_near_duplicate_stage_without_ids(spark):
 
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, "q w e r t y u"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "a b c d e f"), (4, None)]
     out = P.drop_near_duplicates(spark, documents(spark, rows), SF).collect()
-    assert sorted((str(r.doc_id), str(r.text)) for r in out) == [("3", "a b c d e f"), ("4", "None"), ("None", "a b c d e f"), ("None", "q w e r t y u")]
+    assert sorted((str(r.doc_id), str(r.text)) for r in out) == [("3", "a b c d e f"), ("4", "None"), ("None", "q w e r t y u")]
 
 
 def test_near_duplicate_stage_shared_ids(spark):
@@ -110,3 +113,54 @@ def test_near_duplicate_stage_shared_ids(spark):
     for df in (documents(spark, rows), documents(spark, rows[::-1]).repartition(3)):
         out = [(r.doc_id, r.text) for r in P.drop_near_duplicates(spark, df, SF).collect()]
         assert len(out) == 5 and set(out) - {(None, long), (None, near)} == {(5, a), (5, b), (2, c), (7, "x " + b)}
+
+
+#: Names that the stages and operators use inside or give their results.
+CLASHES = ("score predicted held_out key _key no_id id hash row _row _row_id mix_shard mix_epoch own_size own_skey skey size draws draw part found label "
+           "fp component_id fingerprint start end edits windows item item_id n_tokens turn _id _draw _part _own_size good lines rows quota block").split()
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_keep_columns_of_any_name(spark, stages, number):
+    docs = stages[number]
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id")).alias(c) for c in CLASHES], F.lit(3).alias("MIX_Shard2"))
+    out = P.STAGES[number][1](spark, wide, SF)
+    assert out.columns == wide.columns and out.dtypes == wide.dtypes
+    rows = out.collect()
+    assert len(rows) == stages[number + 1].count()
+    assert all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in CLASHES)
+
+
+def test_token_stage_with_columns_of_any_name(spark, stages):
+    docs = stages[1].limit(20)
+    wide = docs.select("*", *[F.lit("x").alias(c) for c in CLASHES])
+    assert sorted(map(tuple, P.write_token_files(spark, wide, SF).collect())) == sorted(map(tuple, P.write_token_files(spark, docs, SF).collect()))
+
+
+def text_shuffles(df):
+    """Exchanges that move texts: lines of the formatted plan's details."""
+    plan = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return [x for x in re.split(r"\n\(\d+\) ", plan) if re.match(r"Exchange", x) and re.search(r"Input \[\d+\]: .*\b(text|first)#", x)], plan
+
+
+def test_texts_are_shuffled_once(spark, stages, monkeypatch):
+    monkeypatch.setattr(P.mixing, "plan_mix", lambda *a, **k: materialize(plan_mix(*a, **k), "test-plan"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved, plan = text_shuffles(P.drop_near_duplicates(spark, stages[1], SF))
+        assert len(moved) == 1, plan
+        assert text_shuffles(P.drop_benchmark(spark, stages[2], SF))[0] == []
+        moved, plan = text_shuffles(P.mix_sources(spark, stages[3], SF))
+        assert len(moved) == 2, plan  # to the plan of the mix, and to the shards
+        assert plan.count(") ArrowEvalPython") == 2, plan  # the words are counted once and cut once
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_run_deletes_tables_it_has_replaced(spark, stages, tmp_dir):
+    import glob
+
+    folder = os.path.dirname(scratch_path(spark, "test")).removeprefix("file:")
+    before = set(glob.glob(folder + "/pipeline-*"))
+    P.run(spark, SF).count()
+    assert [x.split("/")[-1].split("-")[1] for x in set(glob.glob(folder + "/pipeline-*")) - before] == ["tokens"]
