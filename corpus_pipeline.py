@@ -10,32 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.llm import decontam, mixing, quality, simhash, tokens
-from postlake.llm.common import materialize, prepare
+from postlake.llm.common import materialize, prepare, release, unused
 from postlake.llm.queries import table, tokenizer_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier accepts."""
-    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates: that of the smallest id, and of its texts that of the smallest hash.
 
     Rows are told apart by id and text, so different texts of one id are documents of their own; of rows equal in both,
-    one is kept. Documents without an id are compared like all others, and one of them is kept in each component, also
-    beside one with an id.
+    one is kept. Documents without an id come after all others, so one is kept only where no document of its component has an id.
     """
-    # no nulls in the key, documents without an id last; one key for the join and for repeated rows: one shuffle of the texts
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-                   F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("hash"))
-    keyed = docs.withColumn("_key", key)
-    groups = simhash.near_duplicates(keyed, "_key")
-    own = groups.where(F.col("_key.no_id") | (F.col("_key") == F.col("component_id")))
-    heads = own.groupBy("component_id", "_key.no_id").agg(F.min("_key").alias("_key")).select("_key")
-    kept = keyed.join(heads, "_key", "left_semi")
-    return kept.dropDuplicates(["_key"]).select(*docs.columns)
+    # a key without nulls, as columns: the texts are shuffled once, by it, copies of a row are dropped before and after
+    # that, and what the component's heads are joined to has the same partitioning
+    key = unused(docs.columns, "no_id", "id", "hash")
+    keyed = docs.withColumns(dict(zip(key, (F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.sha2(F.coalesce("text", F.lit("")), 256)))))
+    groups = simhash.near_duplicates(keyed.select(F.struct(*key).alias("key"), "text"), "key")
+    heads = groups.where(F.col("key") == F.col("component_id")).select(*[F.col(f"key.{k}").alias(k) for k in key]).distinct()
+    return keyed.dropDuplicates(key).join(heads, key, "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix draws, a row for each time; ``n_chars`` follows the text of a cut document."""
-    mixed = mixing.mix(docs)
+    mixed = mixing.mix(docs, names=tuple(unused(docs.columns, "mix_shard", "mix_epoch")))
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
@@ -64,7 +60,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from the table ``documents`` on."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            release(before)
+        before = docs
     return docs
