@@ -5,14 +5,15 @@ that turns those rows into a failure number (``count(*)`` unless the check
 defines its own). :func:`summarize` reduces a check to one row of
 ``failures, should_warn, should_error``; :func:`run_checks` unions such rows
 for a whole suite. Every check is a plan of filters, aggregates and joins —
-grouped checks aggregate partially before the shuffle, and the two ordered
-checks use the range-partitioned scan, never a one-task window.
+grouped checks aggregate partially before the shuffle, all of one relation in
+one scan, and the two ordered checks use the range-partitioned scan, never a
+one-task window.
 """
 
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +29,22 @@ class Check:
     name: str
     rows: DataFrame
     fail_calc: Column = field(default_factory=lambda: F.count(F.lit(1)))
-    # row checks: the relation and the condition of its failing rows, so that a suite reads a relation once
+    # the relation that a suite reads once for all its checks, and the condition of a row check's failing rows
     source: DataFrame | None = None
     bad: Column | None = None
+    # checks of groups: the keys, the numbers of a group (with their values over no rows), and when a group fails
+    keys: tuple[str, ...] | None = None
+    numbers: dict[str, tuple[Column, object]] = field(default_factory=dict)
+    fails: Callable[[Callable[[str], Column]], Column] | None = None
+
+
+def _group_check(name: str, df: DataFrame, keys: Sequence[str], numbers: dict[str, tuple[Column, object]],
+                 fails: Callable[[Callable[[str], Column]], Column], where: str | None, shown: Callable[[DataFrame], DataFrame] | None = None) -> Check:
+    """A check of the groups of ``keys`` (none: of the table) by numbers of each group; ``shown`` projects the failing groups."""
+    groups = _src(df, where).groupBy(*keys).agg(*[c.alias(n) for n, (c, _) in numbers.items()])
+    bad = groups.where(fails(F.col))
+    rows = shown(bad) if shown else bad
+    return Check(name, rows) if where else Check(name, rows, source=df, keys=tuple(keys), numbers=numbers, fails=fails)
 
 
 def _row_check(name: str, df: DataFrame, bad: Column, where: str | None, rows: DataFrame | None = None) -> Check:
@@ -63,11 +77,15 @@ def summarize(check: Check, warn_if: str = "!=0", error_if: str = "!=0") -> Data
 
 
 def run_checks(checks: Sequence[Check | tuple[Check, str, str]]) -> DataFrame:
-    """One summary row per check (G22). All row checks of one relation share one scan and one aggregate."""
+    """One summary row per check (G22). All row and group checks of one relation share one scan.
+
+    The scan has an aggregate over grouping sets: a set for each group key that occurs, and the empty one for
+    row checks and checks of the whole table.
+    """
     parts, shared = [], []
     for c in checks:
         check, warn_if, error_if = c if isinstance(c, tuple) else (c, "!=0", "!=0")
-        if check.bad is None:
+        if check.source is None:
             parts.append(summarize(check, warn_if, error_if))
             continue
         same = next((s for s in shared if s[0] is check.source or s[0].sameSemantics(check.source)), None)
@@ -75,15 +93,42 @@ def run_checks(checks: Sequence[Check | tuple[Check, str, str]]) -> DataFrame:
             shared.append(same := (check.source, []))
         same[1].append((check, warn_if, error_if))
     for source, own in shared:
-        one = source.agg(*[F.count_if(F.coalesce(c.bad, F.lit(False))).alias(f"_f{i}") for i, (c, _, _) in enumerate(own)])
         rows = F.array(*[F.struct(*_summary(c.name, F.col(f"_f{i}"), w, e)) for i, (c, w, e) in enumerate(own)])
-        parts.append(one.select(F.inline(rows)))
+        parts.append(_failures(source, [c for c, _, _ in own]).select(F.inline(rows)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _failures(source: DataFrame, own: list[Check]) -> DataFrame:
+    """One row with the failures ``_f<i>`` of each check of a relation."""
+    number = lambda i: lambda n: F.col(f"_n{i}_{n}")
+    counted = [F.count_if(F.coalesce(c.bad, F.lit(False))).alias(f"_c{i}") for i, c in enumerate(own) if c.bad is not None]
+    counted += [e.alias(f"_n{i}_{n}") for i, c in enumerate(own) for n, (e, _) in c.numbers.items()]
+    failed = lambda c, i: F.coalesce(c.fails(number(i)), F.lit(False))
+    grouped = {i: c for i, c in enumerate(own) if c.keys}
+    if not grouped:
+        one, whole = source.agg(*counted), {i: F.col(f"_c{i}") if c.bad is not None else failed(c, i).cast("long") for i, c in enumerate(own)}
+        return one.select(*[f.alias(f"_f{i}") for i, f in whole.items()])
+    columns = list(dict.fromkeys(k for c in grouped.values() for k in c.keys))
+    sets = list(dict.fromkeys([tuple(sorted(c.keys)) for c in grouped.values()] + [()] * (len(grouped) < len(own))))
+    mark = lambda keys: sum(1 << (len(columns) - 1 - j) for j, k in enumerate(columns) if k not in keys)
+    sums = source.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in columns]).agg(F.grouping_id().alias("_set"), *counted)
+    in_set = lambda keys: F.col("_set") == mark(keys)
+    # of the empty set there is one row, or none over an empty table: then the numbers are those over no rows
+    whole, values = [], []
+    for i, c in enumerate(own):
+        if c.keys:
+            whole.append(F.count_if(in_set(c.keys) & failed(c, i)).alias(f"_f{i}"))
+        elif c.bad is not None:
+            whole.append(F.coalesce(F.max(F.when(in_set(()), F.col(f"_c{i}"))), F.lit(0)).alias(f"_f{i}"))
+        else:
+            whole += [F.coalesce(F.max(F.when(in_set(()), number(i)(n))), F.lit(none)).alias(f"_n{i}_{n}") for n, (_, none) in c.numbers.items()]
+        values.append(F.col(f"_f{i}") if c.keys or c.bad is not None else failed(c, i).cast("long").alias(f"_f{i}"))
+    return sums.agg(*whole).select(*values)
+
+
 def _src(df: DataFrame, where: str | None) -> DataFrame:
     return df.where(where) if where else df
 
@@ -134,53 +179,46 @@ def assert_equal(df: DataFrame, actual: str, expected: str) -> Check:
 
 def not_accepted_values(df: DataFrame, col: str, values: Sequence, where: str | None = None) -> Check:
     """Distinct values that are in the forbidden list, as ``value_field``."""
-    vals = _src(df, where).select(F.col(col).alias("value_field")).distinct()
-    return Check(f"not_accepted_values_{col}", vals.where(F.col("value_field").isin(list(values))))
+    return _group_check(f"not_accepted_values_{col}", df, [col], {"n_records": (F.count(F.lit(1)), 0)}, lambda n: F.col(col).isin(list(values)),
+                        where, lambda g: g.select(F.col(col).alias("value_field")))
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence, where: str | None = None) -> Check:
     """Values outside the list with their row count (``value_field, n_records``); null passes."""
-    g = (_src(df, where).groupBy(F.col(col).alias("value_field"))
-         .agg(F.count(F.lit(1)).alias("n_records")))
-    return Check(f"accepted_values_{col}", g.where(~F.col("value_field").isin(list(values))))
+    return _group_check(f"accepted_values_{col}", df, [col], {"n_records": (F.count(F.lit(1)), 0)}, lambda n: ~F.col(col).isin(list(values)),
+                        where, lambda g: g.select(F.col(col).alias("value_field"), "n_records"))
 
 
 def unique(df: DataFrame, col: str, where: str | None = None) -> Check:
     """Non-null values seen more than once (``unique_field, n_records``)."""
-    g = (_src(df, where).where(F.col(col).isNotNull()).groupBy(F.col(col).alias("unique_field"))
-         .agg(F.count(F.lit(1)).alias("n_records")))
-    return Check(f"unique_{col}", g.where(F.col("n_records") > 1))
+    return _group_check(f"unique_{col}", df, [col], {"n_records": (F.count(F.lit(1)), 0)}, lambda n: F.col(col).isNotNull() & (n("n_records") > 1),
+                        where, lambda g: g.select(F.col(col).alias("unique_field"), "n_records"))
 
 
 def unique_combination(df: DataFrame, cols: Sequence[str], where: str | None = None) -> Check:
     """Combinations of ``cols`` that occur more than once."""
-    g = _src(df, where).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return Check("unique_combination_of_columns", g.where(F.col("_n") > 1).select(*cols))
+    return _group_check("unique_combination_of_columns", df, cols, {"_n": (F.count(F.lit(1)), 0)}, lambda n: n("_n") > 1, where, lambda g: g.select(*cols))
 
 
 # ----------------------------------------------------------- group checks
 
 def at_least_one(df: DataFrame, col: str, group_by: Sequence[str] = (), where: str | None = None) -> Check:
     """Groups (or the table) without a single non-null value of ``col``."""
-    g = _src(df, where).groupBy(*group_by).agg(F.count(F.col(col)).alias("n_present"))
-    return Check(f"at_least_one_{col}", g.where(F.col("n_present") == 0))
+    return _group_check(f"at_least_one_{col}", df, group_by, {"n_present": (F.count(F.col(col)), 0)}, lambda n: n("n_present") == 0, where)
 
 
 def not_constant(df: DataFrame, col: str, group_by: Sequence[str] = (), where: str | None = None) -> Check:
     """Groups whose non-null values are all one value (``n_values`` = 1); an empty group passes."""
-    g = _src(df, where).groupBy(*group_by).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    return Check(f"not_constant_{col}", g.where(F.col("_lo") == F.col("_hi"))
-                 .select(*group_by, F.lit(1).cast("long").alias("n_values")))
+    return _group_check(f"not_constant_{col}", df, group_by, {"_lo": (F.min(col), None), "_hi": (F.max(col), None)}, lambda n: n("_lo") == n("_hi"),
+                        where, lambda g: g.select(*group_by, F.lit(1).cast("long").alias("n_values")))
 
 
 def not_null_proportion(df: DataFrame, col: str, at_least: float, at_most: float = 1.0,
                         group_by: Sequence[str] = (), where: str | None = None) -> Check:
     """Groups whose share of non-null ``col`` lies outside [at_least, at_most]."""
-    g = _src(df, where).groupBy(*group_by).agg(
-        (F.sum(F.when(F.col(col).isNull(), 0).otherwise(1)) / F.count(F.lit(1)))
-        .cast("double").alias("not_null_proportion"))
-    bad = (F.col("not_null_proportion") < at_least) | (F.col("not_null_proportion") > at_most)
-    return Check(f"not_null_proportion_{col}", g.where(bad))
+    share = (F.count(F.col(col)) / F.nullif(F.count(F.lit(1)), F.lit(0))).cast("double")
+    return _group_check(f"not_null_proportion_{col}", df, group_by, {"not_null_proportion": (share, None)},
+                        lambda n: (n("not_null_proportion") < at_least) | (n("not_null_proportion") > at_most), where)
 
 
 _UNITS = {"second", "minute", "hour", "day", "week", "month", "quarter", "year"}
@@ -212,9 +250,8 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int,
         threshold, mx = F.to_date(threshold), F.to_date(mx)
     elif typ == "date":
         mx = mx.cast("timestamp_ntz")
-    g = _src(df, where).groupBy(*group_by).agg(mx.alias("most_recent"))
-    g = g.select(*group_by, "most_recent", threshold.alias("threshold"))
-    return Check(f"recency_{field}", g.where(F.col("most_recent") < F.col("threshold")))
+    return _group_check(f"recency_{field}", df, group_by, {"most_recent": (mx, None)}, lambda n: n("most_recent") < threshold, where,
+                        lambda g: g.select(*group_by, "most_recent", threshold.alias("threshold")))
 
 
 # --------------------------------------------------------- compare checks
@@ -320,7 +357,7 @@ def sequential_values(df: DataFrame, col: str, interval=1, datepart: str | None
     group_by = list(group_by)
     prev_name = "previous_" + slugify_name(col)
     src = _src(df, where).select(*group_by, col)
-    scanned = ordered_scan(src, group_by, [F.col(col).asc_nulls_last()], prev=[col],
+    scanned = ordered_scan(src, group_by, [f"{col} nulls last"], prev=[col],
                            num_partitions=num_partitions)
     prev = F.col("prev_" + col)
     if datepart:
@@ -355,7 +392,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str,
     src = df.select(*partition_by, F.col(lower).alias("lower_bound"),
                     F.col(upper).alias("upper_bound"), F.lit(1).alias("_one"))
     scanned = ordered_scan(src, partition_by,
-                           [F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_last()],
+                           ["lower_bound nulls last", "upper_bound nulls last"],
                            next=["lower_bound", "_one"], num_partitions=num_partitions)
     lo, up, nxt = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     is_last = F.col("next__one").isNull()

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Callable, Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from postlake.functions.keys import company_key, company_name
-from postlake.operators.sequence import ordered_scan
+from postlake.session import checkpoint
 
 # Fixed value: the nine fact columns, read from the staging layer.
 FACT_COLUMNS = ["job_id", "company", "salary_min", "salary_max", "deal_salary",
@@ -91,85 +95,241 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                          "n")
 
 
-def _with_groups(rows: DataFrame, per_group: DataFrame, group: list[str]) -> DataFrame:
-    """Attach per-group values to rows, null-safe on the group keys; a single group is a scalar subquery."""
-    if not group:
-        one = per_group.select(F.struct(*per_group.columns).alias("_s")).scalar()
-        return rows.select("*", *[one[c].alias(c) for c in per_group.columns])
-    r, p = rows.alias("_r"), per_group.alias("_p")
-    cond = [F.col(f"_r.{g}").eqNullSafe(F.col(f"_p.{g}")) for g in group]
-    return r.join(p, cond, "inner").select(
-        *[F.col(f"_r.{c}") for c in rows.columns], *[F.col(f"_p.{c}") for c in per_group.columns if c not in group])
+# Slices of a value range in one pass of the selection; rows up to which its state is kept on the driver, and slices there.
+SLICES = 4096
+LOCAL_GROUPS = 10_000
+LOCAL_SLICES = 500_000
 
 
-def _value_counts(df: DataFrame, group: list[str], col: str) -> DataFrame:
-    """Distinct values ``_v`` per group with their count ``_n`` and running count ``sum__n`` by value (nulls out).
+def _numbers(df: DataFrame, group: list[str], col: str) -> DataFrame:
+    """The groups and the values as doubles, without nulls and NaN."""
+    vals = df.select(*group, F.col(col).cast("double").alias("_v"))
+    return vals.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
-    Equal values are counted before the shuffle, so a value that most rows
-    share is one row, and the ordered scan splits a group with many values.
+
+def _magnitude(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises: sign and power of two (zero and the infinities alone)."""
+    power = F.floor(F.signum(v) * (F.log2(F.abs(v)) + 1100))
+    inf = float("inf")
+    return F.when(v == 0, 0).when(v == inf, 9999).when(v == -inf, -9999).otherwise(power).cast("int")
+
+
+def _settled(df: DataFrame, group: list[str]) -> tuple[DataFrame, bool]:
+    """``df`` (a few rows for each group), run: a local table while there are few groups, else a checkpoint. And if it is local."""
+    rows = df.limit(LOCAL_GROUPS + 1).collect()
+    if len(rows) <= LOCAL_GROUPS:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return checkpoint(df), False
+
+
+def _same_group(a: DataFrame, b: DataFrame, group: list[str], also: Column | None = None, small: bool = False) -> DataFrame:
+    """Rows of ``a`` with those of ``b`` of the same group (null-safe) for which ``also`` holds; columns of both but b's group."""
+    names = {g: f"_g_{g}" for g in group}
+    other = b.withColumnsRenamed(names)
+    cond = F.lit(True) if also is None else also
+    for g in group:
+        cond = cond & F.col(f"`{g}`").eqNullSafe(F.col(f"`_g_{g}`"))
+    return a.join(F.broadcast(other) if small else other, cond).drop(*names.values())
+
+
+def _ranks_in(slices: DataFrame, by: list[str], wanted: Column) -> DataFrame:
+    """The slice that holds each wanted rank: ``by``, wanted, _rank (inside the slice), _lo, _hi.
+
+    ``slices``: ``by``, _at, _n, _lo, _hi, and what ``wanted`` (an array of struct(name, rank)) is made of.
     """
-    vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counts = vals.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    return ordered_scan(counts, group, ["_v"], sums=["_n"])
-
-
-def _quantiles_of(counts: DataFrame, group: list[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """Linear-interpolation quantiles from running counts: the values at the two ranks around each position."""
-    totals = counts.groupBy(*group).agg(F.max("sum__n").alias("_total"))
-    ranked = _with_groups(counts, totals, group)
-    last, first = F.col("sum__n") - 1, F.col("sum__n") - F.col("_n")  # 0-based ranks of a value's rows
-    aggs = []
-    for p, name in zip(probs, names):
+    order = Window.partitionBy(*by or [F.lit(0)]).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = slices.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+    inside = lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_n"))
+    return placed.withColumn("_r", F.explode(F.filter(wanted, inside))).select(
+        *by, F.col("_r.name").alias("_name"), (F.col("_r.rank") - F.col("_before")).alias("_rank"), "_lo", "_hi")
+
+
+class _Wanted:
+    """What the selection looks for in one group: its totals, and each wanted rank with the range that holds it."""
+
+    def __init__(self, total: int, low: float, high: float, ranks: dict[str, int]):
+        self.total, self.low, self.high = total, low, high
+        self.at = {name: (rank, low, high) for name, rank in ranks.items()}  # rank inside the range, the range's ends
+
+    def narrow(self, part: tuple[float, float] | None, slices: list[tuple]) -> None:
+        """Go on to the slices (place, n, lo, hi) of one range (None: of the whole group)."""
+        own = sorted(slices)
+        ends = list(accumulate(n for _, n, _, _ in own))
+        for name, (rank, lo, hi) in self.at.items():
+            if part in (None, (lo, hi)):
+                k = bisect_right(ends, rank)
+                self.at[name] = (rank - (ends[k - 1] if k else 0), own[k][2], own[k][3])
+
+
+def _ranks(total: int, probs: Sequence[float]) -> dict[str, int]:
+    """The two ranks around each probability."""
+    out = {}
+    for i, p in enumerate(probs):
+        pos = (total - 1) * float(p)
+        out |= {f"{i} lo": math.floor(pos), f"{i} hi": math.ceil(pos)}
+    return out
+
+
+def _select_on_driver(vals: DataFrame, group: list[str], probs: Sequence[float], rows: list) -> list[tuple]:
+    """(group..., quantiles..., total, min, max) for few groups, from the first pass' ``rows``.
+
+    The driver keeps at most LOCAL_SLICES slices at a time; a pass over the data counts them on the executors.
+    """
+    first: dict[tuple, list] = {}
+    for r in rows:
+        first.setdefault(tuple(r[:len(group)]), []).append(tuple(r[len(group):]))
+    found = {}
+    for key, own in first.items():
+        total = sum(n for _, n, _, _ in own)
+        found[key] = w = _Wanted(total, min(x[2] for x in own), max(x[3] for x in own), _ranks(total, probs))
+        w.narrow(None, own)
+    while ranges := sorted({(k, lo, hi) for k, w in found.items() for _, lo, hi in w.at.values() if lo < hi}, key=repr):
+        v, many = F.col("_v"), max(16, min(SLICES, LOCAL_SLICES // len(ranges)))
+        if group:
+            parts = vals.sparkSession.createDataFrame([(*k, lo, hi, i) for i, (k, lo, hi) in enumerate(ranges)],
+                                                      T.StructType([*vals.select(*group).schema.fields, *(T.StructField(n, t) for n, t in (
+                                                          ("_from", T.DoubleType()), ("_to", T.DoubleType()), ("_part", T.IntegerType())))]))
+            cut = _same_group(vals, parts, group, v.between(F.col("_from"), F.col("_to")), True)
+            share = (v - F.col("_from")) / (F.col("_to") - F.col("_from"))
+        else:  # at most two ranges for each probability: constants
+            part = share = F.lit(None)
+            for i, (_, lo, hi) in enumerate(ranges):
+                part = F.when(v.between(lo, hi), i).otherwise(part)
+                share = F.when(v.between(lo, hi), (v - lo) / (F.lit(hi) - F.lit(lo))).otherwise(share)
+            cut = vals.withColumn("_part", part.cast("int")).where("_part is not null")
+        at = F.least(F.floor(share * many), F.lit(many - 1)).cast("int")
+        slices: dict[int, list] = {}
+        for r in cut.groupBy("_part", at.alias("_at")).agg(*_STATS()).collect():
+            slices.setdefault(r["_part"], []).append(tuple(r[1:]))
+        for i, (key, lo, hi) in enumerate(ranges):
+            found[key].narrow((lo, hi), slices[i])
+    out = []
+    for key, w in found.items():
+        values = []
+        for i, p in enumerate(probs):
+            (_, lo, _), (_, hi, _), pos = w.at[f"{i} lo"], w.at[f"{i} hi"], (w.total - 1) * float(p)
+            values.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
+        out.append((*key, *values, w.total, w.low, w.high))
+    return out
+
+
+def _STATS() -> list[Column]:
+    return [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+
+
+def _order_statistics(vals: DataFrame, group: list[str], probs: Sequence[float]) -> tuple[DataFrame, DataFrame, bool]:
+    """(state, totals, local): the values at the two ranks around each probability, found by refining histograms.
+
+    ``state``: group, _name ("i lo" or "i hi"), _lo = _hi = the value. The first pass counts each group's values by sign and
+    power of two; every further pass cuts the ranges that still hold different values and a wanted rank into
+    SLICES slices. Counts, minima and maxima are made before the shuffle, so a pass moves at most SLICES rows for each
+    range and task, and no value is sorted; a range ends when its smallest and largest value are one. Slices are cut by a function that never falls
+    as the value rises, so ranks add up exactly; a pass narrows a range to about 1 / SLICES, six passes any.
+    """
+    stats = _STATS()
+    slices = vals.groupBy(*group, _magnitude(F.col("_v")).alias("_at")).agg(*stats)
+    totals = Window.partitionBy(*group or [F.lit(0)])
+    slices = slices.withColumns({"_total": F.sum("_n").over(totals), "_min": F.min("_lo").over(totals), "_max": F.max("_hi").over(totals)})
+    wanted = []
+    for i, p in enumerate(probs):
         pos = (F.col("_total") - 1) * F.lit(float(p))
-        for end, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            aggs.append(F.max(F.when((rank >= first) & (rank <= last), F.col("_v"))).alias(f"_{end}_{name}"))
-        aggs.append(F.max(pos - F.floor(pos)).alias(f"_part_{name}"))
-    got = ranked.groupBy(*group).agg(*aggs)
-    return got.select(*group, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
-                                for n in names])
+        wanted += [F.struct(F.lit(f"{i} {end}").alias("name"), rank.cast("long").alias("rank")) for end, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos)))]
+    sizes = [F.col(c) for c in ("_total", "_min", "_max")]
+    first = _ranks_in(slices, [*group, "_total", "_min", "_max"], F.array(*wanted))
+    state, local = _settled(first, group)
+    sums = state.select(*[F.col(f"`{g}`") for g in group], *sizes).distinct()
+    state = state.drop("_total", "_min", "_max")
+    for _ in range(64):
+        open_ = state.where("_lo < _hi")
+        if open_.isEmpty():
+            return state, sums, local
+        parts = open_.select(*[F.col(f"`{g}`") for g in group], F.col("_lo").alias("_from"), F.col("_hi").alias("_to")).distinct()
+        within = F.col("_v").between(F.col("_from"), F.col("_to"))
+        if group:
+            cut = _same_group(vals, parts, group, within, local)
+        else:  # at most two ranges for each probability: constants
+            ranges = F.array(*[F.struct(F.lit(r["_from"]).alias("_from"), F.lit(r["_to"]).alias("_to")) for r in parts.collect()])
+            hit = F.filter(ranges, lambda r: F.col("_v").between(r["_from"], r["_to"]))
+            cut = vals.withColumn("_hit", F.get(hit, F.lit(0))).where("_hit is not null").select("_v", "_hit._from", "_hit._to")
+        share = (F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from"))
+        at = F.least(F.floor(share * SLICES), F.lit(SLICES - 1)).cast("int")
+        slices = cut.groupBy(*group, "_from", "_to", at.alias("_at")).agg(*stats)
+        ranks = open_.groupBy(*group, "_lo", "_hi").agg(F.collect_list(F.struct(F.col("_name").alias("name"), F.col("_rank").alias("rank"))).alias("_want")) \
+            .withColumnsRenamed({"_lo": "_a", "_hi": "_b"})
+        slices = _same_group(slices, ranks, group, (F.col("_from") == F.col("_a")) & (F.col("_to") == F.col("_b")), local)
+        inner = _ranks_in(slices, [*group, "_from", "_to", "_want"], F.col("_want")).select(*state.columns)
+        state, local = _settled(state.where("_lo = _hi").unionByName(inner), group)
+    raise RuntimeError("the selection does not end")
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles of ``col`` per group (nulls out).
+    """Exact linear-interpolation quantiles of ``col`` per group (nulls and NaN out).
 
-    Works on the counts of distinct values, whose running sums per group come
-    from the range-partitioned ordered scan: a huge group is spread over many
-    tasks instead of being gathered into one aggregation buffer, and a value
-    that most rows share is one row.
+    The values at the wanted ranks are found by a few counting passes over the
+    data (see :func:`_order_statistics`): no group is gathered or sorted, however
+    large, and a value that most rows share is one count.
     """
     group = list(group)
     names = list(names or [f"q{int(p * 100)}" for p in probs])
-    return _quantiles_of(_value_counts(df, group, col), group, probs, names)
+    return _quantiles(_numbers(df, group, col), group, probs, names)[0].select(*group, *names)
+
+
+def _quantiles(vals: DataFrame, group: list[str], probs: Sequence[float], names: Sequence[str]) -> tuple[DataFrame, bool]:
+    """The quantiles with _total, _min and _max of each group; and if it is a local table."""
+    rows = vals.groupBy(*group, _magnitude(F.col("_v")).alias("_at")).agg(*_STATS()).limit(LOCAL_GROUPS + 1).collect()
+    if len(rows) <= LOCAL_GROUPS:
+        schema = T.StructType([*vals.select(*group).schema.fields, *(T.StructField(n, T.DoubleType()) for n in names), T.StructField("_total", T.LongType()),
+                               T.StructField("_min", T.DoubleType()), T.StructField("_max", T.DoubleType())])
+        found = _select_on_driver(vals, group, probs, rows)
+        empty = [] if group or found else [(*[None] * len(names), 0, None, None)]
+        return vals.sparkSession.createDataFrame(found + empty, schema), True
+    state, sums, local = _order_statistics(vals, group, probs)
+    value = lambda name: F.max(F.when(F.col("_name") == name, F.col("_lo"))).alias(f"_{name}")
+    found = state.groupBy(*group).agg(*[value(f"{i} {end}") for i in range(len(probs)) for end in ("lo", "hi")])
+    found = _same_group(found, sums, group) if group else found.withColumns(
+        {c: sums.agg(F.first(c)).scalar() for c in ("_total", "_min", "_max")})
+    out = []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        pos = (F.col("_total") - 1) * F.lit(float(p))
+        lo, hi = F.col(f"`_{i} lo`"), F.col(f"`_{i} hi`")
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return found.select(*group, *out, "_total", "_min", "_max"), local
 
 
 def box_stats(df: DataFrame, group: Sequence[str], col: str, approx: bool = False,
               accuracy: int = 10000) -> DataFrame:
-    """Box-plot numbers per group: ``n, min, q1, median, q3, max``, whiskers and outliers.
+    """Box-plot numbers per group: ``n, min, q1, median, q3, max``, whiskers and outliers (nulls and NaN out).
 
     Whiskers are the most extreme values within 1.5 × IQR of the quartiles.
-    All numbers come from the counts of distinct values.
     ``approx=True`` uses ``percentile_approx`` (bounded memory, approximate).
     """
     group = list(group)
     names = ["q1", "median", "q3"]
+    vals = _numbers(df, group, col)
     if approx:
-        vals = df.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
         q = vals.groupBy(*group).agg(
             F.percentile_approx("_v", [0.25, 0.5, 0.75], accuracy).alias("_q"))
-        q = q.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-        counts = vals.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+        q, local = q.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]), False
     else:
-        counts = _value_counts(df, group, col)
-        q = _quantiles_of(counts, group, [0.25, 0.5, 0.75], names)
+        q, local = _quantiles(vals, group, [0.25, 0.5, 0.75], names)
+        q = q.select(*group, *names)
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    return _with_groups(counts, q, group).groupBy(*group).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.min("_v").alias("min"), F.first("q1").alias("q1"),
+    if group:
+        both = _same_group(vals, q, group, small=local)
+    elif local:
+        one = q.first()
+        both = vals.withColumns({n: F.lit(one[n]).cast("double") for n in names})
+    else:  # one row, used as a scalar subquery
+        one = q.select(F.struct(*names).alias("_s")).scalar()
+        both = vals.withColumns({n: one[n] for n in names})
+    return both.groupBy(*group).agg(
+        F.count("_v").alias("n"), F.min("_v").alias("min"), F.first("q1").alias("q1"),
         F.first("median").alias("median"), F.first("q3").alias("q3"), F.max("_v").alias("max"),
         F.min(F.when(F.col("_v") >= lo_fence, F.col("_v"))).alias("lower_whisker"),
         F.max(F.when(F.col("_v") <= hi_fence, F.col("_v"))).alias("upper_whisker"),
-        F.coalesce(F.sum(F.when((F.col("_v") < lo_fence) | (F.col("_v") > hi_fence), F.col("_n"))), F.lit(0)).alias("outliers"))
+        F.count_if((F.col("_v") < lo_fence) | (F.col("_v") > hi_fence)).alias("outliers"))
 
 
 def flag_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.functions.text import slugify_name
+from postlake.session import stored
 
 
 _SORT_TEXT = re.compile(r"^\s*(`[^`]+`|[\w.]+)(?:\s+(asc|desc))?(?:\s+nulls\s+(first|last))?\s*$", re.I)
@@ -81,6 +82,34 @@ def latest_postings(stg: DataFrame, extra_columns: Sequence[str] = ()) -> DataFr
     return deduplicate(typed, ["job_id"], [F.col("crawled_at").desc_nulls_last(), tie.desc()])
 
 
+def merge_latest(spark: SparkSession, root: str, new: DataFrame, key: str, order_by: Sequence, buckets: int = 256) -> int:
+    """Merge ``new`` rows into the table of latest rows per ``key`` below ``root``; returns the number of buckets touched.
+
+    The table is kept in folders by a hash of the key (``_bucket=<n>``). A merge reads only the buckets that
+    the new rows' keys fall into, keeps the first row per key by ``order_by`` of old and new ones, and replaces those folders
+    (dynamic overwrite: the job's output takes their place when it is complete). Merging batch by batch gives what
+    :func:`deduplicate` gives over all rows; merging a batch again changes nothing. ``buckets`` must
+    be the same for every merge. One writer at a time.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket")
+    rows = deduplicate(new, [key], order_by).withColumn("_bucket", bucket)
+    rows = stored(rows, "latest-new")
+    touched = sorted(r["_bucket"] for r in rows.select("_bucket").distinct().collect())  # at most ``buckets`` numbers
+    if not touched:
+        return 0
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        old = spark.read.schema(rows.schema).parquet(root).where(F.col("_bucket").isin(touched))
+        rows = deduplicate(old.unionByName(rows), [key], order_by)
+    rows.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(root)
+    return len(touched)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The table of :func:`merge_latest`."""
+    return spark.read.parquet(root).drop("_bucket")
+
+
 _AGGS = {
     "sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "avg": F.avg,
     "bool_or": F.bool_or, "bool_and": F.bool_and,

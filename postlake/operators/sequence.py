@@ -3,54 +3,47 @@
 ``Window.partitionBy(key).orderBy(...)`` sends every row of one key to one
 task, and a window with no key sends the whole table there. A key holding a
 third of the table therefore becomes one task holding a third of the table.
-The scan here avoids that:
+The scan here cuts the sorted table into ranges and runs ordinary windows
+inside them:
 
 1. Every row gets a number, stored with the needed columns in the checkpoint
-   folder; ``repartitionByRange`` on ``keys + order + number`` cuts the sorted
-   table into ranges of similar size. A hot key is spread over many ranges,
-   and so are rows that tie in keys and order.
-2. One pass over Arrow batches (``mapInArrow``) computes every value inside a
-   range (each range arrives sorted), and marks its first and last row. Values
-   stay Arrow values, so longs, decimals, microseconds and nulls are exact.
-3. Those boundary rows (at most two per range, so the table is bounded by the
-   number of ranges, not by the data) are folded with small windows into the
-   values each range inherits from the ranges before and after it.
-4. The carry table is broadcast and joined on the range id; a few ``when``
-   expressions patch the rows at range edges. The big side is not shuffled
-   again.
-
-The caller projects ``df`` to the columns it needs before the scan: every
-input column travels through the Python pass.
-
-Why one Python pass and a checkpoint rather than windows over
-``(range id, key)``: such windows need a second full shuffle, and the range
-bounds come from a sample seeded by the RDD id, so two executions of the
-same ``repartitionByRange`` (column pruning gives each consumer its own
-exchange) may cut the ranges differently. Every consumer here reads the one
-checkpointed result of the single range shuffle, so all of them see the same
-ranges, also after an executor is lost. The row numbers are read from a
-checkpoint for the same reason: a repeated task must see the same numbers.
+   folder, so that rows that tie in keys and order have places of their own.
+2. A sample of the stored rows, sorted, gives the splitters of the ranges:
+   rows of keys, order and number, of which a session variable keeps the
+   array. A row's range is a plain expression of them, a binary search, so
+   every consumer and every repeated task sees the same ranges. A hot key is
+   spread over many ranges, and so are rows that tie.
+3. Windows over (key, range) compute every value inside a range.
+4. Only the keys that the splitters name can lie in several ranges (a key
+   between two splitters lies in one). For those, the sums, first and last
+   rows of each range are aggregated, carried over the key's ranges by a small
+   window (all in all at most two rows for each range), and joined back by
+   key and range, as which the rows are partitioned and sorted already.
+
+The caller projects ``df`` to the columns it needs before the scan: they are
+written once and shuffled once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.session import checkpoint, ensure_library
+from postlake.session import stored
 
-_RP, _TIE = "_scan_rp", "_scan_tie"
-# Target size of one range. Beyond MAX_RANGES of them ranges grow, because the
-# carry table has one row per range and is broadcast: the cap bounds its size.
+_RP, _TIE, _KEY, _AT = "_scan_rp", "_scan_tie", "_scan_key", "_scan_at"
+# Target size of one range. Beyond MAX_RANGES of them ranges grow: the array of
+# splitters has an entry for each range but one.
 TARGET_RANGE_BYTES = 256 * 1024 * 1024
 MAX_RANGES = 1_000_000
+# Sampled rows for each range; ranges up to which the search is spelled out, and up to which the splitters are a local table.
+SAMPLE = 64
+SPELLED_OUT = 64
+LOCAL_CUTS = 10_000
 
 
 def range_count(df: DataFrame) -> int:
@@ -67,279 +60,171 @@ def range_count(df: DataFrame) -> int:
     return max(floor, min(MAX_RANGES, -(-size // TARGET_RANGE_BYTES)))
 
 
-def _sort_cols(order: Sequence) -> list[Column]:
-    return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
-
-
-def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Null-safe equality by element; NaN equals NaN, as in grouping."""
-    if pa.types.is_nested(a.type):
-        return np.array([x == y for x, y in zip(a.to_pylist(), b.to_pylist())], dtype=bool)
-    eq = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(a.is_null(), b.is_null()))
-    if pa.types.is_floating(a.type):
-        eq = pc.or_(eq, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
-    return eq.to_numpy(zero_copy_only=False)
-
-
-def _flat(a) -> pa.Array:
-    return a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a
-
-
-def _join(parts: list[pa.Array], typ: pa.DataType) -> pa.Array:
-    return pa.concat_arrays([_flat(p).cast(typ) if p.type != typ else _flat(p) for p in parts])
-
-
-def _only(values: pa.Array, keep: np.ndarray) -> pa.Array:
-    """``values`` where ``keep``, null elsewhere."""
-    index = np.arange(len(values), dtype=np.int64)
-    return values.take(pa.array(index, mask=~keep))
-
-
-def _ordered_longs(a: pa.Array) -> pa.Array | None:
-    """Integers that order as the values of an integer, date, time or boolean column, else None."""
-    t = a.type
-    if pa.types.is_integer(t) or pa.types.is_boolean(t):
-        return a.cast(pa.int64())
-    if pa.types.is_timestamp(t) or pa.types.is_duration(t):
-        return a.view(pa.int64())
-    if pa.types.is_date32(t):
-        return a.view(pa.int32()).cast(pa.int64())
-    return None
-
-
-def _running_max(a: pa.Array, grp: np.ndarray) -> pa.Array:
-    """Running maximum inside runs of equal ``grp``, nulls skipped, in the column's own type."""
-    longs = _ordered_longs(a)
-    if longs is not None:
-        v = pd.Series(pd.arrays.IntegerArray(longs.fill_null(0).to_numpy(zero_copy_only=False).copy(),
-                                             longs.is_null().to_numpy(zero_copy_only=False)))
-    elif pa.types.is_floating(a.type):
-        v = pd.Series(a.to_numpy(zero_copy_only=False)).astype("float64")
-    else:
-        raise TypeError(f"running maximum of {a.type}")
-    m = v.groupby(grp).cummax().groupby(grp).ffill()
-    if longs is None:
-        return pa.array(m, from_pandas=True).cast(a.type)
-    out = pa.array(m.to_numpy(dtype="int64", na_value=0), mask=m.isna().to_numpy(dtype=bool))
-    if pa.types.is_date32(a.type):
-        return out.cast(pa.int32()).view(a.type)
-    return out.view(a.type) if pa.types.is_timestamp(a.type) or pa.types.is_duration(a.type) else out.cast(a.type)
-
-
-def _local_pass(keys, prev_cols, next_cols, max_cols, run_cols, sum_cols=()):
-    """Build the per-range function for ``mapInArrow``."""
-
-    def finish(cols: dict, same: np.ndarray, after) -> pa.RecordBatch:
-        # lead values and last-of-key flags need the next row of the range
-        n = len(same)
-        follows = after is not None and all(_equal(cols[k].slice(n - 1, 1), after.column(k))[0] for k in keys)
-        same_next = np.append(same[1:], follows)
-        cols["_last"] = pa.array(~same_next)
-        for c in next_cols:
-            tail = after.column(c) if after is not None else pa.nulls(1, cols[c].type)
-            cols["_lnext_" + c] = _only(_join([cols[c].slice(1), tail], cols[c].type), same_next)
-        end = np.zeros(n, dtype=bool)
-        end[n - 1] = after is None
-        cols["_end"] = pa.array(end)
-        return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
-
-    def run(batches):
-        state, pending, first_key, index = None, None, None, 0
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            cols = dict(zip(batch.schema.names, batch.columns))
-            same = np.ones(n, dtype=bool)
-            for k in keys:
-                before = pa.nulls(1, cols[k].type) if state is None else state["row"].column(k)
-                same &= _equal(cols[k], _join([before, cols[k].slice(0, n - 1)], cols[k].type))
-            same[0] &= state is not None
-            if first_key is None:
-                first_key = batch.slice(0, 1)
-            begin = np.zeros(n, dtype=bool)
-            begin[0] = state is None
-            grp = np.cumsum(~same)
-            cont = grp == 0  # rows continuing the key carried from the last batch
-            start = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
-            idx = np.arange(n) - start + np.where(cont, index, 0)
-            # is this row's key the first key of the range? its rows are at the range's start
-            leading = np.logical_and.accumulate(np.concatenate([[state is None or (state["pf"] and same[0])], same[1:]]))
-            cols |= {"_begin": pa.array(begin), "_first": pa.array(~same), "_lidx": pa.array(idx), "_pf": pa.array(leading)}
-            for c in prev_cols:
-                before = pa.nulls(1, cols[c].type) if state is None else state["row"].column(c)
-                cols["_lprev_" + c] = _only(_join([before, cols[c].slice(0, n - 1)], cols[c].type), same)
-            for c in max_cols:
-                a, g = cols[c], grp
-                if state is not None:  # the maximum so far is a row in front of those that continue
-                    a, g = _join([state["max"][c], a], a.type), np.concatenate([[0], grp])
-                cols["_lmax_" + c] = _running_max(a, g).slice(int(state is not None))
-            for c in sum_cols:
-                total = np.cumsum(cols[c].fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-                before = np.concatenate([[0], total])[start]  # the sum ahead of this key's first row here
-                carried = np.where(cont, state["sum"][c], 0) if state is not None else 0
-                cols["_lsum_" + c] = pa.array(total - before + carried)
-            for c in run_cols:
-                flag = cols[c].fill_null(False).to_numpy(zero_copy_only=False)
-                last_break = np.maximum.accumulate(np.where(flag & same, -1, np.where(flag, np.arange(n) - 1, np.arange(n))))
-                length = np.arange(n) - last_break
-                if state is not None:  # no break yet in this batch: the run goes on from the one before
-                    length = np.where(last_break < 0, np.arange(n) + 1 + np.where(same[0], state["run"][c], 0), length)
-                cols["_lrun_" + c] = pa.array(np.where(flag, length, 0).astype(np.int64))
-            index = int(idx[-1]) + 1
-            state = {"row": batch.slice(n - 1, 1), "pf": bool(leading[-1]),
-                     "max": {c: cols["_lmax_" + c].slice(n - 1, 1) for c in max_cols},
-                     "sum": {c: cols["_lsum_" + c][n - 1].as_py() for c in sum_cols},
-                     "run": {c: cols["_lrun_" + c][n - 1].as_py() for c in run_cols}}
-            if pending is not None:
-                yield finish(*pending, batch.slice(0, 1))
-            pending = (cols, same)
-        if pending is not None:
-            yield finish(*pending, None)
-
-    return run
-
-
-def local_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
-               prev: Sequence[str] = (), next: Sequence[str] = (),
-               running_max: Sequence[str] = (), runs: Sequence[str] = (),
-               sums: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
-    """The range-partitioned pass of :func:`ordered_scan` as a plan, not yet run.
-
-    ``df`` has the row-number column of :func:`numbered`.
-    """
-    keys, prev, next_, running_max, runs, sums = (list(x) for x in (keys, prev, next, running_max, runs, sums))
-    n = num_partitions or range_count(df)
-    sort = [F.col(k).asc_nulls_first() for k in keys] + _sort_cols(order) + [F.col(_TIE)]
-    ranged = (df.repartitionByRange(n, *sort)
-                .sortWithinPartitions(*sort)
-                .drop(_TIE)
-                .withColumn(_RP, F.spark_partition_id()))
-    fields = list(ranged.schema.fields)
-    typ = {f.name: f.dataType for f in fields}
-    out = T.StructType(
-        fields
-        + [T.StructField("_begin", T.BooleanType()), T.StructField("_first", T.BooleanType()),
-           T.StructField("_lidx", T.LongType()), T.StructField("_pf", T.BooleanType())]
-        + [T.StructField("_lprev_" + c, typ[c]) for c in prev]
-        + [T.StructField("_lmax_" + c, typ[c]) for c in running_max]
-        + [T.StructField("_lsum_" + c, T.LongType()) for c in sums]
-        + [T.StructField("_lrun_" + c, T.LongType()) for c in runs]
-        + [T.StructField("_last", T.BooleanType())]
-        + [T.StructField("_lnext_" + c, typ[c]) for c in next_]
-        + [T.StructField("_end", T.BooleanType())]
-    )
-    return ranged.mapInArrow(_local_pass(keys, prev, next_, running_max, runs, sums), schema=out)
+def _place(df: DataFrame, order: Sequence[str]) -> Column:
+    """A struct that sorts as the order columns, then the row number; ``"c nulls last"`` puts nulls behind all values."""
+    fields = []
+    for i, text in enumerate(order):
+        name = text.removesuffix(" nulls last")
+        if name != text:
+            fields.append(F.col(name).isNull().alias(f"n{i}"))
+        fields.append(F.col(name).alias(f"c{i}"))
+    tie = F.col(_TIE) if _TIE in df.columns else F.lit(0).cast("long")
+    return F.struct(*fields, tie.alias("tie"))
+
+
+def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with its key and place as one column each."""
+    return df.withColumn(_KEY, F.struct(*[F.col(k) for k in keys] or [F.lit(0).alias("all")])).withColumn(_AT, _place(df, order))
 
 
 def numbered(df: DataFrame) -> DataFrame:
     """``df`` with a stored number per row, by which rows that tie are split over ranges."""
-    return checkpoint(df.withColumn(_TIE, F.monotonically_increasing_id()))
+    return stored(df.withColumn(_TIE, F.monotonically_increasing_id()), "scan-rows")
+
+
+class Cuts:
+    """The splitters of ``n`` ranges: at most n - 1 keys and places, each the first of a range after the first."""
+
+    def __init__(self, table: DataFrame, n: int, rows: list | None = None):
+        self.table, self.n, self.rows = table, n, rows
+
+    def range_of(self) -> Column:
+        """How many splitters are not above the row's key and place: a binary search in a constant array.
+
+        The array is a session variable's value. For few ranges the search is spelled out as nested conditions, which
+        Spark compiles; for more it is a loop over its steps.
+        """
+        spark, name = self.table.sparkSession, f"scan_{uuid.uuid4().hex}"
+        if self.rows is None:
+            one = self.table.agg(F.sort_array(F.collect_list(F.struct(_KEY, _AT))).alias("all"))
+        else:
+            schema = T.StructType([T.StructField("all", T.ArrayType(self.table.schema))])
+            one = spark.createDataFrame([(self.rows,)], schema).select(F.sort_array("all").alias("all"))
+        spark.sql(f"DECLARE VARIABLE {name} {one.schema['all'].dataType.simpleString()}")
+        spark.sql(f"SET VAR {name} = (SELECT `all` FROM {{one}})", one=one)
+        cuts, row = F.expr(name), F.struct(_KEY, _AT)
+        if self.n <= SPELLED_OUT:
+            def search(lo: int, hi: int) -> Column:
+                if lo == hi:
+                    return F.lit(lo)
+                mid = (lo + hi) // 2
+                return F.when(F.coalesce(row < F.get(cuts, F.lit(mid)), F.lit(True)), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+            return search(0, self.n - 1)
+        both = F.array(F.struct(cuts.alias("cuts"), row.alias("row")))
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(self.n.bit_length()))])
+        return F.transform(both, lambda x: F.aggregate(steps, F.lit(0), lambda at, s: at + F.when(
+            F.get(x["cuts"], at + s - 1) <= x["row"], s).otherwise(0)))[0]
+
+
+def splitters(rows: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None = None) -> Cuts:
+    """Splitters of ``n`` ranges (default: :func:`range_count`) from a sorted sample of ``rows``, a stored table.
+
+    The sample has about SAMPLE rows for each range, so sorting it in one task is bounded by the number of ranges.
+    """
+    n = n or range_count(rows)
+    total, picked = rows.count(), _placed(rows, keys, order).select(_KEY, _AT)
+    if total > 2 * SAMPLE * n:
+        picked = picked.sample(False, SAMPLE * n / total, 7)
+    turn = F.row_number().over(Window.orderBy(_KEY, _AT)) - 1
+    size = F.count(F.lit(1)).over(Window.partitionBy())
+    part = lambda i: F.floor(i * n / F.col("_scan_size"))
+    turns = picked.withColumn("_scan_rp", turn).withColumn("_scan_size", size)
+    cuts = turns.where((F.col("_scan_rp") > 0) & (part(F.col("_scan_rp")) > part(F.col("_scan_rp") - 1))).select(_KEY, _AT)
+    if n > LOCAL_CUTS:
+        return Cuts(stored(cuts, "scan-splitters"), n)
+    found = cuts.collect()
+    return Cuts(rows.sparkSession.createDataFrame(found, cuts.schema), n, found)
+
+
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partitions: int | None = None,
+           cuts: Cuts | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, cuts): ``df`` with the scan's columns (key, place, range), and its splitters.
+
+    Without ``cuts`` the rows are numbered and stored. With cuts, which were made from a table of the same keys and
+    places, ``df`` is a stored table whose order tells rows apart.
+    """
+    if cuts is None:
+        df = numbered(df)
+        cuts = splitters(df, keys, order, num_partitions or range_count(df))
+    return _placed(df, keys, order).withColumn(_RP, cuts.range_of()), cuts.table
 
 
-def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence,
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  prev: Sequence[str] = (), next: Sequence[str] = (),
                  running_max: Sequence[str] = (), runs: Sequence[str] = (),
-                 sums: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                 sums: Sequence[str] = (), num_partitions: int | None = None, cuts: Cuts | None = None) -> DataFrame:
     """Add ordered-scan columns to ``df`` without a one-task window.
 
-    Per row, within its ``keys`` group in ``order`` (nulls first when a plain
-    column name is given; rows that tie come in any order):
+    Per row, within its ``keys`` group in ascending ``order`` (column names, nulls first; ``"c nulls last"``
+    puts them last; rows that tie come in any order):
 
     * ``_idx``: 0-based position,
     * ``prev_<c>`` / ``next_<c>``: value of ``c`` in the previous / next row,
-    * ``max_<c>``: running maximum of ``c`` up to this row (nulls skipped), in
-      the type of ``c``: a whole or floating number, date, time or boolean,
+    * ``max_<c>``: running maximum of ``c`` up to this row (nulls skipped),
     * ``run_<c>``: length of the run of true values of boolean ``c`` ending here,
     * ``sum_<c>``: running sum of whole-number ``c`` up to this row (nulls are 0).
+
+    ``cuts``: as for :func:`ranged`, for several scans of tables with the same keys and places.
     """
     keys, prev, next_, running_max, runs, sums = (list(x) for x in (keys, prev, next, running_max, runs, sums))
-    ensure_library(df.sparkSession)
-    typ = {f.name: f.dataType for f in df.schema.fields}
-    if num_partitions is None:
-        num_partitions = range_count(df)
-    local = checkpoint(local_scan(numbered(df), keys, order, prev, next_, running_max, runs, sums, num_partitions))
-
-    # boundary rows: the first row of each range (for lead carries) and the
-    # last row of each range (for lag / index / max / run carries)
-    key_cols = [F.col(k) for k in keys]
-    ends = local.where("_end").select(
-        F.col(_RP), *key_cols, F.lit(1).alias("_kind"),
-        (F.col("_lidx") + 1).alias("_n"),
-        F.struct(*[F.col(c) for c in prev] or [F.lit(1).alias("_d")]).alias("_lastv"),
-        *[F.col("_lmax_" + c).alias("_mx_" + c) for c in running_max],
-        *[F.col("_lsum_" + c).alias("_sm_" + c) for c in sums],
-        *[F.col("_lrun_" + c).alias("_tr_" + c) for c in runs],
-        *[(F.col("_lrun_" + c) == F.col("_lidx") + 1).alias("_all_" + c) for c in runs],
-        F.lit(None).cast(T.StructType([T.StructField(c, typ[c]) for c in next_] or
-                                      [T.StructField("_d", T.IntegerType())])).alias("_firstv"),
-    )
-    begins = local.where("_begin").select(
-        F.col(_RP), *key_cols, F.lit(0).alias("_kind"),
-        F.lit(None).cast("long").alias("_n"),
-        F.lit(None).cast(ends.schema["_lastv"].dataType).alias("_lastv"),
-        *[F.lit(None).cast(typ[c]).alias("_mx_" + c) for c in running_max],
-        *[F.lit(None).cast("long").alias("_sm_" + c) for c in sums],
-        *[F.lit(None).cast("long").alias("_tr_" + c) for c in runs],
-        *[F.lit(None).cast("boolean").alias("_all_" + c) for c in runs],
-        F.struct(*[F.col(c) for c in next_] or [F.lit(1).alias("_d")]).alias("_firstv"),
-    )
-    bnd = ends.unionByName(begins)
-    # one window per key over at most two rows per range: bounded work (with no
-    # key this is one task over at most 2 x num_partitions rows)
-    w = Window.partitionBy(*keys).orderBy(F.col(_RP), F.col("_kind")) if keys \
-        else Window.partitionBy(F.lit(0)).orderBy(F.col(_RP), F.col("_kind"))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
-    is_end = F.col("_kind") == 1
-    bnd = bnd.withColumn("_cum", F.sum("_n").over(upto))
-    carries = [
-        F.sum("_n").over(before).alias("_c_n"),
-        F.last(F.when(is_end, F.col("_lastv")), ignorenulls=True).over(before).alias("_c_prev"),
-        F.first(F.when(~is_end, F.col("_firstv")), ignorenulls=True).over(after).alias("_c_next"),
-    ]
+    rows, cuts = ranged(df, keys, order, num_partitions, cuts)
+    inside = Window.partitionBy(_KEY, _RP).orderBy(_AT)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turn = F.row_number().over(inside)
+    value = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0))
+    stop = lambda c: F.when(~F.coalesce(F.col(c), F.lit(False)), F.col("_scan_turn"))
+
+    # what a range hands on: only keys that a splitter names can go on in the next range
+    torn = rows if not keys else rows.join(cuts.select(_KEY).distinct(), _KEY, "left_semi")
+    if runs:
+        torn = torn.withColumn("_scan_turn", turn)
+    handed = torn.groupBy(_KEY, _RP).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max_by(F.struct(c), _AT).alias("_last_" + c) for c in prev],
+        *[F.min_by(F.struct(c), _AT).alias("_first_" + c) for c in next_],
+        *[F.max(c).alias("_max_" + c) for c in running_max],
+        *[F.sum(value(c)).alias("_sum_" + c) for c in sums],
+        *[F.max(stop(c)).alias("_stop_" + c) for c in runs])
+    over = Window.partitionBy(_KEY).orderBy(_RP)
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    handed = handed.withColumn("_ends", ends)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    carry = handed.select(
+        F.col(_KEY).alias("_carry_key"), F.col(_RP).alias("_carry_rp"), zero(F.sum("_n").over(before)).alias("_carry_n"),
+        *[F.lag("_last_" + c).over(over).alias("_carry_prev_" + c) for c in prev],
+        *[F.lead("_first_" + c).over(over).alias("_carry_next_" + c) for c in next_],
+        *[F.max("_max_" + c).over(before).alias("_carry_max_" + c) for c in running_max],
+        *[zero(F.sum("_sum_" + c).over(before)).alias("_carry_sum_" + c) for c in sums],
+        # rows since the last break in the ranges before
+        *[(zero(F.sum("_n").over(before)) - zero(F.max(F.col("_ends") - F.col("_n") + F.col("_stop_" + c)).over(before))).alias("_carry_run_" + c)
+          for c in runs])
+
+    local = rows.withColumn("_scan_turn", turn).withColumn("_scan_end", F.lead(F.lit(1)).over(inside).isNull())
+    for c in prev:
+        local = local.withColumn("prev_" + c, F.lag(c).over(inside))
+    for c in next_:
+        local = local.withColumn("next_" + c, F.lead(c).over(inside))
     for c in running_max:
-        carries.append(F.max("_mx_" + c).over(before).alias("_c_mx_" + c))
+        local = local.withColumn("max_" + c, F.max(c).over(upto))
     for c in sums:
-        carries.append(F.sum("_sm_" + c).over(before).alias("_c_sm_" + c))
-    for c in runs:
-        brk = F.last(F.when(is_end & ~F.col("_all_" + c),
-                            F.struct(F.col("_cum").alias("cum"), F.col("_tr_" + c).alias("tr"))),
-                     ignorenulls=True).over(before)
-        carries.append(brk.alias("_c_brk_" + c))
-    bnd = bnd.select(_RP, "_kind", *carries)
+        local = local.withColumn("sum_" + c, F.sum(value(c)).over(upto))
     for c in runs:
-        brk = F.col("_c_brk_" + c)
-        total = F.coalesce(F.col("_c_n"), F.lit(0))
-        bnd = bnd.withColumn("_c_run_" + c, F.when(brk.isNull(), total)
-                             .otherwise(brk["tr"] + total - brk["cum"]))
-    back = bnd.where("_kind = 0").select(
-        _RP, "_c_n", "_c_prev", *["_c_mx_" + c for c in running_max], *["_c_sm_" + c for c in sums],
-        *["_c_run_" + c for c in runs])
-    fwd = bnd.where("_kind = 1").select(_RP, "_c_next")
-    carry = back.join(fwd, _RP, "full_outer")
-
-    # the carry table holds at most one row per range: safe to broadcast
-    j = local.join(F.broadcast(carry), _RP, "left")
-    pf, first, end = F.col("_pf"), F.col("_first"), F.col("_end")
-    cols = [F.col(f.name) for f in df.schema.fields]
-    cols.append((F.col("_lidx") + F.when(pf, F.coalesce(F.col("_c_n"), F.lit(0))).otherwise(0))
-                .alias("_idx"))
+        local = local.withColumn("_stop_" + c, F.max(stop(c)).over(upto))
+    both = local.join(carry, (F.col(_KEY) == F.col("_carry_key")) & (F.col(_RP) == F.col("_carry_rp")), "left")
+    begins = F.col("_scan_turn") == 1
+    out = [F.col(f"`{c}`") for c in df.columns]
+    out.append((F.col("_scan_turn") - 1 + zero(F.col("_carry_n"))).cast("long").alias("_idx"))
     for c in prev:
-        cols.append(F.when(first & pf, F.col("_c_prev")[c])
-                    .otherwise(F.col("_lprev_" + c)).alias("prev_" + c))
+        out.append(F.when(begins, F.col("_carry_prev_" + c)[c]).otherwise(F.col("prev_" + c)).alias("prev_" + c))
     for c in next_:
-        cols.append(F.when(end, F.col("_c_next")[c])
-                    .otherwise(F.col("_lnext_" + c)).alias("next_" + c))
+        out.append(F.when(F.col("_scan_end"), F.col("_carry_next_" + c)[c]).otherwise(F.col("next_" + c)).alias("next_" + c))
     for c in running_max:
-        cols.append(F.when(pf, F.greatest(F.col("_lmax_" + c), F.col("_c_mx_" + c)))
-                    .otherwise(F.col("_lmax_" + c)).alias("max_" + c))
+        out.append(F.greatest("max_" + c, "_carry_max_" + c).alias("max_" + c))
     for c in sums:
-        cols.append((F.col("_lsum_" + c) + F.when(pf, F.coalesce(F.col("_c_sm_" + c), F.lit(0))).otherwise(0))
-                    .alias("sum_" + c))
+        out.append((F.col("sum_" + c) + zero(F.col("_carry_sum_" + c))).alias("sum_" + c))
     for c in runs:
-        lead_run = F.col("_lrun_" + c) == F.col("_lidx") + 1
-        cols.append(F.when(pf & lead_run, F.col("_lrun_" + c) + F.coalesce(F.col("_c_run_" + c), F.lit(0)))
-                    .otherwise(F.col("_lrun_" + c)).alias("run_" + c))
-    return j.select(*cols)
+        unbroken = F.col("_scan_turn") + zero(F.col("_carry_run_" + c))
+        out.append(F.when(F.col("_stop_" + c).isNull(), unbroken).otherwise(F.col("_scan_turn") - F.col("_stop_" + c)).cast("long").alias("run_" + c))
+    return both.select(*out)

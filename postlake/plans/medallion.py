@@ -1,15 +1,17 @@
 """The medallion job (I4): staging → intermediate → marts → checks.
 
-Layers are ordinary DataFrame functions; ``select`` chooses which layers run,
-and each layer is registered under the name the next layer and the
-dashboards read. With ``out_root`` (a shared folder), staging, the deduplicated
-layer and ``dim_company`` are written there as tables, which also cuts the lineage;
-otherwise, and for the other relations, they are views.
+Relations are ordinary DataFrame functions with the relations they read. ``select``
+names relations or layers; each is run after all that it reads (its upstream closure),
+each once, and nothing else is run. Every relation is registered under the name the
+next one and the dashboards read. With ``out_root`` (a shared folder), staging, the
+deduplicated layer and ``dim_company`` are written there as tables, which also cuts the
+lineage; otherwise, and for the other relations, they are views.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,16 @@ LAYERS = ("staging", "intermediate", "marts", "checks")
 ACCEPTED_SOURCES = ["topcv", "topdev"]
 
 
+@dataclass(frozen=True)
+class Relation:
+    """A relation: its layer, the relations it reads, how it is made of them, and whether it is written as a table."""
+
+    layer: str
+    reads: tuple[str, ...]
+    make: Callable[..., DataFrame]
+    table: bool = False
+
+
 def _named(check: C.Check, test: str, relation: str, column: str) -> C.Check:
     check.name = f"{test}_{relation}_{column}"
     return check
@@ -44,35 +56,60 @@ def pipeline_checks(stg: DataFrame, dim_job_df: DataFrame, dim_company_df: DataF
     ])
 
 
+RELATIONS: dict[str, Relation] = {
+    "stg_jobs": Relation("staging", (), lambda bronze: bronze, table=True),
+    "int_jobs_dedup": Relation("intermediate", ("stg_jobs",), latest_postings, table=True),
+    "dim_company": Relation("marts", ("int_jobs_dedup",), dim_company, table=True),
+    "dim_job": Relation("marts", ("int_jobs_dedup",), dim_job),
+    "fact_job_posting": Relation("marts", ("stg_jobs",), fact_job_posting),
+    "checks": Relation("checks", ("stg_jobs", "dim_job", "dim_company"), pipeline_checks),
+}
+
+
+def run_order(select: Sequence[str], relations: dict[str, Relation] | None = None) -> list[str]:
+    """The relations that ``select`` (names or layers) needs, each after all that it reads."""
+    relations = RELATIONS if relations is None else relations
+    layers = {r.layer for r in relations.values()}
+    unknown = [s for s in select if s not in relations and s not in layers]
+    if unknown:
+        raise ValueError(f"unknown relations or layers {sorted(unknown)}")
+    out: list[str] = []
+
+    def add(name: str, below: tuple[str, ...]) -> None:
+        if name in below:
+            raise ValueError(f"relations read each other: {' -> '.join((*below, name))}")
+        if name not in relations:
+            raise ValueError(f"{below[-1]} reads {name}, which is not declared")
+        for source in relations[name].reads:
+            add(source, (*below, name))
+        if name not in out:
+            out.append(name)
+
+    for name, relation in relations.items():
+        if name in select or relation.layer in select:
+            add(name, ())
+    return out
+
+
 def run_medallion(spark: SparkSession, bronze: str | DataFrame, out_root: str | None = None,
                   select: Sequence[str] = LAYERS) -> dict[str, DataFrame]:
-    """Run the chosen layers in order; returns the relations by name.
+    """Run the selected relations and all that they read, in order; returns the relations by name.
 
     ``bronze`` is a bronze folder or an already typed staging frame. Staging
     gives the contract's fields their types and fills nothing, so that the
-    not-null checks see what is missing. The ``checks`` entry holds the check summary.
+    not-null checks see what is missing. ``checks`` is the check summary.
     """
-    unknown = set(select) - set(LAYERS)
-    if unknown:
-        raise ValueError(f"unknown layers {sorted(unknown)}")
     out: dict[str, DataFrame] = {}
-    path = (lambda n: f"{out_root.rstrip('/')}/{n}") if out_root else (lambda n: None)
-    if "staging" in select:
-        stg = scan_bronze(spark, bronze, posting_contract()) if isinstance(bronze, str) else bronze
-        out["stg_jobs"] = materialize(stg, "stg_jobs", "table", path("stg_jobs")) if out_root \
-            else materialize(stg, "stg_jobs", "view")
-    stg = out.get("stg_jobs") or spark.table("stg_jobs")
-    if "intermediate" in select:
-        latest = latest_postings(stg)
-        out["int_jobs_dedup"] = materialize(latest, "int_jobs_dedup", "table", path("int_jobs_dedup")) if out_root \
-            else materialize(latest, "int_jobs_dedup", "view")
-    if "marts" in select:
-        jobs = out.get("int_jobs_dedup") or spark.table("int_jobs_dedup")
-        dc = dim_company(jobs)
-        out["dim_company"] = materialize(dc, "dim_company", "table", path("dim_company")) if out_root \
-            else materialize(dc, "dim_company", "view")
-        out["dim_job"] = materialize(dim_job(jobs), "dim_job", "view")
-        out["fact_job_posting"] = materialize(fact_job_posting(stg), "fact_job_posting", "view")
-    if "checks" in select:
-        out["checks"] = pipeline_checks(stg, spark.table("dim_job"), spark.table("dim_company"))
+    for name in run_order(select):
+        relation = RELATIONS[name]
+        if not relation.reads:
+            df = scan_bronze(spark, bronze, posting_contract()) if isinstance(bronze, str) else bronze
+        else:
+            df = relation.make(*[out[r] for r in relation.reads])
+        if name == "checks":
+            out[name] = df
+        elif relation.table and out_root:
+            out[name] = materialize(df, name, "table", f"{out_root.rstrip('/')}/{name}")
+        else:
+            out[name] = materialize(df, name, "view")
     return out

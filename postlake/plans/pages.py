@@ -2,10 +2,11 @@
 
 Extraction rules are written the way the crawler configs write them: a
 container selector and, per field, a selector plus an attribute (``text``,
-``exists`` or an attribute name). A small Arrow-batched pandas UDF reads each
-page's tags with the standard library's tokenizer, lists its elements in
-document order and picks the containers and their fields; all further work
-(absolute links, parsing, ids, the contract) is columns. Selector forms:
+``exists`` or an attribute name). One Arrow UDF lists each page's elements in
+document order (tag, attributes, where the element ends, its ancestors); which of them
+are containers and which is a container's first element for a field are
+column expressions over that list, as is all further work (absolute links,
+parsing, ids, the contract). Selector forms:
 ``tag``, ``*``, ``.class`` (CSS escapes allowed), ``#id``, attribute tests
 ``[a]``, ``[a=v]``, ``[a*=v]``, ``[a^=v]``, ``[a$=v]``, ``[a~=v]``,
 ``:nth-of-type(n)``, compounds of these, descendant and child steps
@@ -18,90 +19,144 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
-from html.parser import HTMLParser
+from html import unescape
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake.functions.keys import posting_id
 from postlake.functions.parsing import with_experience, with_salary
 from postlake.functions.urls import absolute_url, company_from_url
-from postlake.operators.sequence import ordered_scan
-from postlake.session import checkpoint, ensure_library
+from postlake.operators.sequence import ordered_scan, splitters
+from postlake.session import ensure_library, spread, stored
 from postlake.sources.contract import apply_contract
 
 # Elements without an end tag, and those whose text is not shown.
 _VOID = {"img", "input", "br", "hr", "meta", "link", "source", "area", "base", "col", "embed", "wbr"}
 _HIDDEN = {"script", "style"}
-
-
-class _Page(HTMLParser):
-    """The elements of a page in document order; element ``i`` holds the elements up to ``stop[i]``.
-
-    An end tag closes the elements opened since its start tag and is ignored
-    without one; elements left open end with the page. Character references
-    are decoded, in text and attributes.
-    """
-
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.tag, self.attrs, self.parent, self.nth, self.left, self.stop = [], [], [], [], [], []
-        self.texts, self.span = [], []
-        self.opened: list[int] = []
-        self.last_child: dict[int, int] = {}
-        self.of_type: dict[tuple[int, str], int] = {}
-        self.feed(html)
-        self.close()
-        while self.opened:
-            self._end()
-
-    def _end(self) -> int:
-        i = self.opened.pop()
-        self.stop[i], self.span[i] = len(self.tag), (self.span[i][0], len(self.texts))
-        return i
-
-    def handle_starttag(self, tag, attrs):
-        i, up = len(self.tag), self.opened[-1] if self.opened else -1
-        self.tag.append(tag)
-        self.attrs.append({k: v or "" for k, v in attrs})
-        self.parent.append(up)
-        self.of_type[up, tag] = self.of_type.get((up, tag), 0) + 1
-        self.nth.append(self.of_type[up, tag])
-        self.left.append(self.last_child.get(up, -1))
-        self.last_child[up] = i
-        self.stop.append(i + 1)
-        self.span.append((len(self.texts), len(self.texts)))
-        if tag not in _VOID:
-            self.opened.append(i)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._end()
-
-    def handle_endtag(self, tag):
-        if any(self.tag[i] == tag for i in self.opened):
-            while self.tag[self._end()] != tag:
-                pass
-
-    def handle_data(self, data):
-        if data.strip() and not (self.opened and self.tag[self.opened[-1]] in _HIDDEN):
-            self.texts.append(data.strip())
-
-    def text(self, i: int) -> str:
-        """Text pieces of an element, each stripped, joined."""
-        return "".join(self.texts[slice(*self.span[i])])
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+)>""", re.S)
+_PAIR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+
+#: A page: its elements in document order and its visible texts. ``at``: an element's place; ``css``: its class attribute; ``up``: place of the parent (-1: none); ``path``: those of all
+#: ancestors; ``nth``: number among the siblings of its tag; ``left``: the sibling before it (-1: none); ``stop``: place behind its last
+#: inner element; its texts are those from ``first`` up to ``last``.
+_ELEMENT = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("tag", T.StringType()), T.StructField("css", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+                         T.StructField("up", T.IntegerType()), T.StructField("path", T.ArrayType(T.IntegerType())),
+                         *[T.StructField(n, T.IntegerType()) for n in ("nth", "left", "stop", "first", "last")]])
+PAGE = T.StructType([T.StructField("elements", T.ArrayType(_ELEMENT)), T.StructField("texts", T.ArrayType(T.StringType()))])
+
+
+class _Listing:
+    """The elements of a batch of pages, column by column."""
+
+    def __init__(self):
+        self.tag, self.css, self.up, self.nth, self.left, self.stop, self.first, self.last = ([] for _ in range(8))
+        self.path, self.path_ends, self.name, self.value, self.attr_ends = [], [0], [], [], [0]
+        self.texts, self.page_ends, self.text_ends = [], [0], [0]
+
+    def add(self, html: str) -> None:
+        """List one page. An end tag closes the elements opened since its start tag and is ignored without one; elements
+        left open end with the page. Character references are decoded, in texts and attributes."""
+        tags, base, texts, at, size = self.tag, len(self.tag), len(self.texts), 0, len(html)
+        opened: list[int] = []
+        child: dict[int, int] = {}
+        kinds: dict[tuple[int, str], int] = {}
+
+        def text(piece: str) -> None:
+            piece = (unescape(piece) if "&" in piece else piece).strip()
+            if piece:
+                self.texts.append(piece)
+
+        def close() -> str:
+            i = base + opened.pop()
+            self.stop[i], self.last[i] = len(tags) - base, len(self.texts) - texts
+            return tags[i]
+
+        while at < size and (m := _MARKUP.search(html, at)):
+            begin, after = m.span()
+            if begin > at:
+                text(html[at:begin])
+            at = after
+            ends, tag, rest = m.groups()
+            if not tag:
+                continue
+            tag = tag.lower()
+            if ends:
+                if opened and (tags[base + opened[-1]] == tag or any(tags[base + i] == tag for i in opened)):
+                    while close() != tag:
+                        pass
+                continue
+            i, up, seen = len(tags) - base, opened[-1] if opened else -1, len(self.texts) - texts
+            kinds[up, tag] = nth = kinds.get((up, tag), 0) + 1
+            tags.append(tag)
+            self.up.append(up)
+            self.nth.append(nth)
+            self.left.append(child.get(up, -1))
+            child[up] = i
+            self.stop.append(i + 1)
+            self.first.append(seen)
+            self.last.append(seen)
+            self.path += opened
+            self.path_ends.append(len(self.path))
+            closed, own = False, {}
+            if rest:
+                ends = 0
+                for a in _PAIR.finditer(rest):
+                    name, double, single, bare = a.groups()
+                    value = double or single or bare or ""
+                    own[name.lower()] = unescape(value) if "&" in value else value
+                    ends = a.end()
+                self.name += own
+                self.value += own.values()
+                closed = "/" in rest[ends:]
+            self.css.append(own.get("class"))
+            self.attr_ends.append(len(self.name))
+            if tag in _VOID or closed:
+                continue
+            opened.append(i)
+            if tag in _HIDDEN:  # neither markup nor text up to the end tag
+                end = re.compile(rf"</{tag}\b", re.I).search(html, at)
+                at = end.start() if end else size
+        if at < size:
+            text(html[at:])
+        while opened:
+            close()
+        self.page_ends.append(len(tags))
+        self.text_ends.append(len(self.texts))
+
+    def column(self) -> pa.StructArray:
+        ints = lambda x: pa.array(np.array(x, np.int32))
+        attrs = pa.MapArray.from_arrays(ints(self.attr_ends), pa.array(self.name, pa.string()), pa.array(self.value, pa.string()))
+        path = pa.ListArray.from_arrays(ints(self.path_ends), ints(self.path))
+        sizes = np.diff(self.page_ends)
+        at = np.arange(len(self.tag)) - np.repeat(np.array(self.page_ends[:-1], np.int64), sizes)
+        elements = pa.StructArray.from_arrays([ints(at), pa.array(self.tag, pa.string()), pa.array(self.css, pa.string()), attrs, ints(self.up), path, ints(self.nth), ints(self.left),
+                                               ints(self.stop), ints(self.first), ints(self.last)], names=_ELEMENT.names)
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ints(self.page_ends), elements),
+                                           pa.ListArray.from_arrays(ints(self.text_ends), pa.array(self.texts, pa.string()))], names=["elements", "texts"])
+
+
+@F.arrow_udf(PAGE)
+def list_elements(html: pa.Array) -> pa.Array:
+    """Column function: the elements and texts of a page (null: none)."""
+    out = _Listing()
+    for page in html:
+        out.add(page.as_py() or "")
+    return out.column()
 
 
 _QUALIFIER = r"\.(?:\\.|[\w-])+|\#(?:\\.|[\w-])+|\[[^\]]*\]"
 _COMPOUND = re.compile(rf"(?P<tag>[a-zA-Z][a-zA-Z0-9]*|\*)?(?P<quals>(?:{_QUALIFIER})*)(?::nth-of-type\((?P<nth>\d+)\))?")
 _ATTRIBUTE = re.compile(r"""\[\s*([A-Za-z_:][-\w:.]*)\s*(?:([*^$~]?=)\s*(['"]?)(.*?)\3)?\s*\]""")
-_TESTS: dict[str, Callable[[str, str], bool]] = {
-    "=": lambda have, want: have == want, "*=": lambda have, want: want != "" and want in have,
-    "^=": lambda have, want: want != "" and have.startswith(want), "$=": lambda have, want: want != "" and have.endswith(want),
-    "~=": lambda have, want: want in have.split()}
+_TESTS: dict[str, Callable[[Column, str], Column]] = {
+    "=": lambda have, want: have == want, "*=": lambda have, want: F.contains(have, F.lit(want)) if want else F.lit(False),
+    "^=": lambda have, want: F.startswith(have, F.lit(want)) if want else F.lit(False),
+    "$=": lambda have, want: F.endswith(have, F.lit(want)) if want else F.lit(False),
+    "~=": lambda have, want: F.contains(have, F.lit(want)) & F.array_contains(F.split(have, r"[\t\n\f\r ]+"), want)}
 
 
 def _split_top(text: str, sep: str) -> list[str]:
@@ -125,8 +180,8 @@ def _split_top(text: str, sep: str) -> list[str]:
     return [x.strip() for x in out if x.strip()]
 
 
-def _compound(text: str) -> Callable[[_Page, int], bool]:
-    """Test of one compound selector on an element."""
+def _compound(text: str) -> Callable[[Column], Column]:
+    """Test of one compound selector on an element's columns."""
     m = _COMPOUND.fullmatch(text)
     if not m or not text:
         raise ValueError(f"unsupported selector {text!r}")
@@ -134,27 +189,48 @@ def _compound(text: str) -> Callable[[_Page, int], bool]:
     for q in re.findall(_QUALIFIER, m["quals"]):
         name = re.sub(r"\\(.)", r"\1", q[1:])
         if q[0] == ".":
-            tests.append(("class", _TESTS["~="], name))
+            tests.append(("class", "~=", name))
         elif q[0] == "#":
-            tests.append(("id", _TESTS["="], name))
+            tests.append(("id", "=", name))
         else:
             a = _ATTRIBUTE.fullmatch(q)
             if not a:
                 raise ValueError(f"unsupported attribute selector {q!r}")
-            tests.append((a[1].lower(), _TESTS[a[2]] if a[2] else lambda have, want: True, a[4]))
+            tests.append((a[1].lower(), a[2], a[4]))
 
-    def holds(page: _Page, i: int) -> bool:
-        own = page.attrs[i]
-        return (tag in ("*", page.tag[i]) and nth in (0, page.nth[i])
-                and all(name in own and test(own[name], want) for name, test, want in tests))
+    def holds(e: Column) -> Column:
+        out = F.lit(True) if tag == "*" else e["tag"] == tag
+        if nth:
+            out = out & (e["nth"] == nth)
+        for name, test, want in tests:
+            have = e["css"] if name == "class" else F.try_element_at(e["attrs"], F.lit(name))
+            out = out & (have.isNotNull() if test is None else F.coalesce(_TESTS[test](have, want), F.lit(False)))
+        return out
 
     return holds
 
 
-def _selector(text: str) -> Callable[[_Page, int], bool]:
-    """Test of a whole selector (alternatives of steps) on an element."""
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _chain(steps: list[tuple[str, Callable]], e: Column, elements: Column) -> Column:
+    """Whether a chain of steps ends at the element: its last test, then the earlier steps at its ancestors or the sibling before it."""
+    (relation, test), before = steps[-1], steps[:-1]
+    if not before:
+        return test(e)
+    at = lambda place: _chain(before, F.get(elements, place), elements)
+    if relation == " ":
+        return test(e) & F.exists(e["path"], at)
+    place = e["up"] if relation == ">" else e["left"]
+    return test(e) & (place >= 0) & F.coalesce(at(place), F.lit(False))
+
+
+def _places(selector: str, elements: Column) -> Column:
+    """Places of the elements that any of the selector's alternatives matches, in document order."""
     chains = []
-    for alternative in _split_top(text, ","):
+    for alternative in _split_top(selector, ","):
         steps, relation = [], " "
         for part in _split_top(re.sub(r"\s*([>+])\s*(?![^\[]*\])", r" \1 ", alternative), " "):
             if part in (">", "+"):
@@ -164,49 +240,35 @@ def _selector(text: str) -> Callable[[_Page, int], bool]:
                 relation = " "
         chains.append(steps)
 
-    def ends(page: _Page, i: int, steps: list, k: int) -> bool:
-        relation, test = steps[k]
-        if not test(page, i):
-            return False
-        if k == 0:
-            return True
-        if relation == "+":
-            return page.left[i] >= 0 and ends(page, page.left[i], steps, k - 1)
-        up = page.parent[i]
-        while up >= 0:
-            if ends(page, up, steps, k - 1):
-                return True
-            up = page.parent[up] if relation == " " else -1
-        return False
-
-    return lambda page, i: any(ends(page, i, steps, len(steps) - 1) for steps in chains)
-
-
-def _items(container: str, fields: Mapping[str, Mapping]):
-    """Pandas UDF: for each container element of a page, the values of its fields as text (null: absent)."""
-    holds = _selector(container)
-    rules = [(_selector(r["selector"]) if r.get("selector") else None, r.get("attribute", "text").lower()) for r in fields.values()]
-
-    def value(page: _Page, card: int, test, attribute: str):
-        inner = range(card + 1, page.stop[card])
-        i = card if test is None else next((i for i in inner if test(page, i)), None)
-        if i is None:
-            return None
-        if attribute == "exists":
-            return "true"
-        return page.text(i) or None if attribute == "text" else page.attrs[i].get(attribute)
+    def holds(e: Column) -> Column:
+        out = _chain(chains[0], e, elements)
+        for steps in chains[1:]:
+            out = out | _chain(steps, e, elements)
+        return out
+
+    return F.transform(F.filter(elements, holds), lambda e: e["at"])
 
-    def cut(html):
-        if html is None:
-            return None
-        page = _Page(html)
-        return [[value(page, i, *rule) for rule in rules] for i in range(len(page.tag)) if holds(page, i)]
 
-    @F.pandas_udf("array<array<string>>")
-    def items(html: pd.Series) -> pd.Series:
-        return html.map(cut)
+def _items(page: Column, container: str, fields: Mapping[str, Mapping]) -> Column:
+    """For each container of a page, an array of its fields' values as text (null: absent)."""
+    elements, texts = page["elements"], page["texts"]
+    rules = [(r.get("selector") or None, r.get("attribute", "text").lower()) for r in fields.values()]
+    inner = {s: f"s{n}" for n, s in enumerate(dict.fromkeys(s for s, _ in rules if s))}
+    places = F.struct(_places(container, elements).alias("own"), *[_places(s, elements).alias(n) for s, n in inner.items()])
+
+    def value(found: Column, attribute: str) -> Column:
+        if attribute == "exists":
+            return F.when(found.isNotNull(), F.lit("true"))
+        if attribute == "text":
+            return F.nullif(F.array_join(F.slice(texts, found["first"] + 1, found["last"] - found["first"]), ""), F.lit(""))
+        return F.try_element_at(found["attrs"], F.lit(attribute))
+
+    def item(at: Column, all_: Column) -> Column:
+        stop = F.get(elements, at)["stop"]
+        first = {s: F.get(F.filter(all_[n], lambda p: (p > at) & (p < stop)), F.lit(0)) for s, n in inner.items()}
+        return F.array(*[value(F.get(elements, at if s is None else first[s]), a) for s, a in rules] or [F.lit(None).cast("string")])
 
-    return items
+    return _bind(places, lambda all_: F.transform(all_["own"], lambda at: item(at, all_)))
 
 
 def load_crawler_config(path: str) -> dict:
@@ -244,8 +306,10 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     clash = set(keep) & set(fields)
     if clash:
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
-    items = _items(container, fields)(F.col(html_col))
-    exploded = pages.select(*[F.col(k) for k in keep], F.posexplode(items).alias("item_pos", "_item"))
+    rules = _items(F.col("_page"), container, fields)
+    listed = spread(pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_html")))
+    listed = listed.select(*[F.col(k) for k in keep], list_elements("_html").alias("_page"))
+    exploded = listed.select(*[F.col(k) for k in keep], F.posexplode(rules).alias("item_pos", "_item"))
     cols = []
     for n, (name, rule) in enumerate(fields.items()):
         c = F.col("_item")[n]
@@ -317,40 +381,40 @@ def crawl_audit(items: DataFrame, source_col: str, page_col: str, id_col: str,
     (every crawled ``source_col``/``page_col`` pair) is given; its redundancy
     is 1.
 
-    Page identity is decided exactly without gathering any page's ids: the
-    per-(page, id) counts of each page are joined to those of the previous
-    page, and two pages are identical when both totals equal the size of the
-    multiset intersection. Running values come from the range-partitioned
+    Page identity: every page has sums of its ids' hashes (128 bits in four parts), made in the aggregate that counts its
+    items; a page whose count and sums equal those of the page before is compared with it id by id, which is exact
+    and reads only such pages' items. Running values come from the range-partitioned
     ordered scan, so a source with most of the pages is still split.
     """
     src = items.select(F.col(source_col).alias("source"), F.col(page_col).alias("page"),
                        F.col(id_col).cast("string").alias("item_id"))
-    # four users below: aggregated once
-    per_id = checkpoint(src.groupBy("source", "page", "item_id").agg(F.count(F.lit(1)).alias("_c")))
-    first_seen = (per_id.groupBy("source", "item_id").agg(F.min("page").alias("page"))
-                        .groupBy("source", "page").agg(F.count(F.lit(1)).alias("new_ids")))
-    per_page = per_id.groupBy("source", "page").agg(F.sum("_c").alias("n_items"))
+    hashes = [F.xxhash64(F.lit(seed), "item_id") for seed in (1, 2)]
+    halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(2 ** 32 - 1)), F.shiftrightunsigned(h, 32))]
+    per_page = src.groupBy("source", "page").agg(F.count(F.lit(1)).alias("n_items"), F.struct(*[F.sum(h).alias(f"h{i}") for i, h in enumerate(halves)]).alias("_ids"))
+    first_seen = (src.groupBy("source", "item_id").agg(F.min("page").alias("page"))
+                     .groupBy("source", "page").agg(F.count(F.lit(1)).alias("new_ids")))
     if pages is not None:
         crawled = pages.select(F.col(source_col).alias("source"), F.col(page_col).alias("page")).distinct()
         per_page = crawled.join(per_page, ["source", "page"], "full_outer").fillna(0, ["n_items"])
-    pages = per_page.join(first_seen, ["source", "page"], "left").fillna(0, ["new_ids"])
-    s1 = ordered_scan(pages, ["source"], ["page"], prev=["page", "n_items"], running_max=["n_items"])
-    # multiset intersection of each page with the page before it
-    link = s1.select("source", "page", F.col("prev_page").alias("_prev")).where(F.col("_prev").isNotNull())
-    cur = per_id.join(link, ["source", "page"])
-    prev = per_id.select("source", F.col("page").alias("_prev"), "item_id", F.col("_c").alias("_pc"))
-    common = (cur.join(prev, ["source", "_prev", "item_id"])
-                 .groupBy("source", "page").agg(F.sum(F.least("_c", "_pc")).alias("_common")))
-    flagged = s1.join(common, ["source", "page"], "left").select(
+    pages = stored(per_page.join(first_seen, ["source", "page"], "left").fillna(0, ["new_ids"]), "audit-counts")
+    cuts = splitters(pages, ["source"], ["page"])
+    s1 = ordered_scan(pages, ["source"], ["page"], prev=["page", "n_items", "_ids"], running_max=["n_items"], cuts=cuts)
+    s1 = stored(s1.withColumn("_alike", (F.col("n_items") > 0) & (F.col("prev_n_items") == F.col("n_items")) & (F.col("prev__ids") == F.col("_ids"))), "audit-pages")
+    alike = s1.where("_alike").select("source", "page", "prev_page")
+    own = src.join(alike, ["source", "page"]).select("source", "page", "item_id", F.lit(1).alias("_side"))
+    other = src.join(alike.select("source", F.col("prev_page").alias("page"), F.col("page").alias("_of")), ["source", "page"]) \
+        .select("source", F.col("_of").alias("page"), "item_id", F.lit(-1).alias("_side"))
+    differ = own.union(other).groupBy("source", "page", "item_id").agg(F.sum("_side").alias("_n")).where("_n <> 0") \
+        .select("source", "page", F.lit(True).alias("_differ")).distinct()
+    flagged = s1.join(differ, ["source", "page"], "left").select(
         "source", "page", "n_items", "new_ids",
         F.when(F.col("n_items") > 0, 1.0 - F.col("new_ids") / F.col("n_items"))
          .otherwise(F.lit(1.0)).alias("redundancy"),
         F.col("max_n_items").cast("long").alias("max_items"),
         ((F.col("max_n_items") >= SMALL_PAGE_BASELINE)
          & (F.col("n_items") <= F.col("max_n_items") * SMALL_PAGE_SHARE)).alias("small"),
-        F.coalesce((F.col("prev_n_items") == F.col("n_items")) & (F.col("_common") == F.col("n_items")),
-                   F.lit(False)).alias("identical"))
-    s2 = ordered_scan(flagged, ["source"], ["page"], runs=["small", "identical"])
+        F.coalesce(F.col("_alike") & F.col("_differ").isNull(), F.lit(False)).alias("identical"))
+    s2 = ordered_scan(stored(flagged, "audit-flags"), ["source"], ["page"], runs=["small", "identical"], cuts=cuts)
     reason = (F.when(F.col("n_items") == 0, F.lit("empty"))
                .when(F.col("redundancy") > REDUNDANCY_LIMIT, F.lit("redundant"))
                .when(F.col("run_small") >= SMALL_PAGE_RUN, F.lit("small_pages"))

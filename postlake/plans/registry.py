@@ -1593,6 +1593,36 @@ def q_medallion_fact(spark, d):
     return _medallion(spark, d)["fact_job_posting"].select("job_id", "company", "crawled_at")
 
 
+@query("i4_selected_mart", f"""
+with l as (select company from (select *, row_number() over (partition by job_id order by crawled_at desc nulls last) as rn
+           from ({RAW_POSTINGS_SQL})) where rn = 1)
+select distinct md5('company_' || coalesce(company, 'unknown')) as company_id, coalesce(company, 'Unknown') as company_name,
+  'stg_jobs,int_jobs_dedup,dim_company' as ran from l
+""")
+def q_selected_mart(spark, d):
+    """One mart, selected by name: what it reads is run before it, and nothing else."""
+    from postlake.plans.medallion import run_medallion
+    from postlake.sources.contract import contract_types, posting_contract
+    stg = contract_types(_as_raw_postings(spark, d).drop("o_orderkey"), posting_contract())
+    out = run_medallion(spark, stg, out_root=_shared_dir(spark, "medallion-out"), select=["dim_company"])
+    return out["dim_company"].withColumn("ran", F.lit(",".join(out)))
+
+
+@query("i4_incremental", f"""
+select job_id, title, company, source, salary, crawled_at from (
+  select *, row_number() over (partition by job_id order by crawled_at desc nulls last) as rn from ({POSTINGS_SQL})) where rn = 1
+""")
+def q_incremental(spark, d):
+    """Latest posting per id, merged batch by batch (the second twice): as one run over all rows."""
+    from postlake.operators.reshape import merge_latest, read_latest
+    raw, root = _as_postings(spark, d, keep=["o_orderkey"]), _shared_dir(spark, "latest")
+    cols = ["job_id", "title", "company", "source", "salary", "crawled_at"]
+    order = [F.col("crawled_at").desc_nulls_last(), F.xxhash64(*cols).desc()]
+    for batch in (0, 1, 1):
+        merge_latest(spark, root, raw.where(F.col("o_orderkey") % 5 == 2 if batch else F.col("o_orderkey") % 5 != 2).select(*cols), "job_id", order, buckets=16)
+    return read_latest(spark, root)
+
+
 # ------------------------------------------------------------------ 2H streaming
 
 def _write_messages(spark, d) -> str:
@@ -1605,12 +1635,12 @@ def _write_messages(spark, d) -> str:
     return src
 
 
-def _ingest(spark, src: str, root: str, bad: str, ckpt: str) -> None:
+def _ingest(spark, src: str, root: str, bad: str, ckpt: str, counts: str | None = None) -> None:
     """Drain the message folder into bronze, a file for each micro-batch."""
     from postlake.sources.stream_io import read_stream
     from postlake.streaming.ingest import ingest_stream
     stream = read_stream(spark, "json", {"recursiveFileLookup": "true", "maxFilesPerTrigger": "1"}, path=src)
-    ingest_stream(stream, root, ckpt, quarantine=bad, run_prefix="h", available_now=True).awaitTermination()
+    ingest_stream(stream, root, ckpt, quarantine=bad, run_prefix="h", available_now=True, counts=counts).awaitTermination()
 
 
 def _forget_last_commit(spark, ckpt: str) -> None:
@@ -1713,9 +1743,62 @@ def q_mark_repeats(spark, d):
     """All events of a stream of three batches, arriving out of time order, marked as first sightings or repeats."""
     from postlake.streaming.dedup import mark_stream
     ev = table(spark, d, "events").select("event_id", "user_id", "ts")
-    src, out, seen, ckpt = (_shared_dir(spark, n) for n in ("events", "marked", "seen", "mark-ckpt"))
+    src, out, ckpt = (_shared_dir(spark, n) for n in ("events", "marked", "mark-ckpt"))
     for part in range(3):
         ev.where(F.col("event_id") % 3 == part).write.parquet(f"{src}/part={part}")
         stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src)
-        mark_stream(stream, "user_id", ["ts", "event_id"], out, seen, ckpt, available_now=True).awaitTermination()
+        mark_stream(stream, "user_id", ["ts", "event_id"], out, ckpt, available_now=True).awaitTermination()
     return spark.read.parquet(out).select("event_id", "user_id", "ts", "is_new")
+
+
+@query("h5_mark_two_writers", """
+with e as (select user_id, event_type, event_id % 2 as part from events),
+w as (select 0 as writer, user_id, event_type, part from e union all select 0, user_id, event_type, part from e where user_id % 3 = 0
+      union all select 1, user_id, event_type, part from e where part = 1),
+m as (select *, row_number() over (partition by writer, user_id order by part, event_type) = 1 as is_new from w),
+n as (select writer, count(*) as records, count_if(is_new) as new, count_if(not is_new) as repeated from m group by writer)
+select user_id, event_type, is_new, count(*) as n, min(records) as records, min(new)::bigint as new, min(repeated)::bigint as repeated
+from m join n using (writer) group by writer, user_id, event_type, is_new
+""")
+def q_mark_two_writers(spark, d):
+    """Records of few fields, so that many are equal throughout: one query marks two batches and replays its last, another
+    with a checkpoint of its own marks the second batch into the same folder; with each writer's own counts."""
+    from postlake.streaming.dedup import mark_stream
+    from postlake.streaming.runs import read_counts
+    ev = table(spark, d, "events").withColumn("part", F.col("event_id") % 2).select("user_id", "event_type", "part")
+    ev = ev.union(ev.where("user_id % 3 = 0"))
+    plain = table(spark, d, "events").withColumn("part", F.col("event_id") % 2).where("part = 1").select("user_id", "event_type", "part")
+    first, second, out, counts = (_shared_dir(spark, n) for n in ("events", "events", "marked", "mark-counts"))
+    plain.write.parquet(f"{second}/late")
+    checkpoints = [_shared_dir(spark, "mark-ckpt") for _ in range(2)]
+
+    def mark(src, ckpt):
+        stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src)
+        mark_stream(stream, "user_id", ["event_type"], out, ckpt, available_now=True, counts=counts).awaitTermination()
+
+    for part in range(2):
+        ev.where(F.col("part") == part).write.parquet(f"{first}/batch{part}")
+        mark(first, checkpoints[0])
+    mark(second, checkpoints[1])
+    _forget_last_commit(spark, checkpoints[0])
+    mark(first, checkpoints[0])
+    marked = spark.read.parquet(out)
+    each = marked.groupBy("query", "user_id", "event_type", "is_new").agg(F.count(F.lit(1)).alias("n"))
+    kinds = ["records", "new", "repeated"]
+    sums = read_counts(spark, counts).groupBy("query").agg(*[F.sum(F.when(F.col("name") == k, F.col("n"))).alias(k) for k in kinds])
+    return each.join(sums, "query").select("user_id", "event_type", "is_new", "n", *kinds)
+
+
+@query("h1_run_counters", f"""
+select 'bad' as name, count(*) as n, count(*) as rows_read from orders where o_orderstatus = 'P'
+union all select 'good', count(*), count(*) from ({POSTINGS_SQL})
+""")
+def q_run_counters(spark, d):
+    """Good and bad records of an ingest as its batches counted them, beside the rows that lie in bronze and quarantine."""
+    from postlake.sources.bronze import scan_bronze
+    from postlake.streaming.runs import read_counts
+    root, bad, ckpt, counts = (_shared_dir(spark, n) for n in ("ingest-bronze", "ingest-quarantine", "ingest-ckpt", "ingest-counts"))
+    _ingest(spark, _write_messages(spark, d), root, bad, ckpt, counts)
+    there = scan_bronze(spark, root).select(F.lit("good").alias("name")).union(scan_bronze(spark, bad).select(F.lit("bad")))
+    told = read_counts(spark, counts).groupBy("name").agg(F.sum("n").alias("n"))
+    return told.join(there.groupBy("name").agg(F.count(F.lit(1)).alias("rows_read")), "name")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -96,3 +97,30 @@ def checkpoint(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the session's checkpoint folder; it is deleted when the driver's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def stored(df, name: str):
+    """``df`` written as Parquet in the session's checkpoint folder and read back: cuts the lineage, keeps column pruning."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df):
+    """``df`` over at least as many tasks as there are cores, for work on its rows that is far dearer than moving them.
+
+    Only an input that is read in fewer splits (a small table in one file) is dealt anew; after a shuffle Spark has
+    chosen the number already.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

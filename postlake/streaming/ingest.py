@@ -16,17 +16,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlake.sources.bronze import BATCH_TIME, write_bronze
 from postlake.sources.contract import Contract, apply_contract, posting_contract
+from postlake.streaming.runs import query_id, write_counts
 
 # Fixed value: idle interval after which the consumer service writes what it has.
 IDLE_FLUSH = "30 seconds"
-# Local property in which Spark keeps a streaming query's id while it runs a batch.
-QUERY_ID = "sql.streaming.queryId"
 
 
 def split_bad(df: DataFrame, contract: Contract | None = None) -> tuple[DataFrame, DataFrame]:
@@ -50,22 +49,26 @@ def split_bad(df: DataFrame, contract: Contract | None = None) -> tuple[DataFram
 
 def ingest_batch(batch: DataFrame, batch_id: int, root: str, quarantine: str | None,
                  run_prefix: str, contract: Contract | None,
-                 partition_cols: Sequence[str]) -> None:
+                 partition_cols: Sequence[str], counts: str | None = None) -> None:
     """Write one micro-batch (the ``foreachBatch`` body).
 
     The batch is decoded once and kept for its two writes (good and bad);
     a lost cached block is recomputed from the same micro-batch offsets.
+    Good and bad records are counted as they are written.
     """
-    query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-    if not query:
-        raise RuntimeError("no streaming query id: ingest_batch runs as a foreachBatch function")
+    query = query_id(batch)
     batch = batch.persist()
     try:
         good, bad = split_bad(batch, contract)
         run_id = f"{run_prefix}_{query}_{batch_id:08d}"
-        write_bronze(good, root, run_id, F.col(BATCH_TIME), partition_cols)
+        seen = {"good": Observation("good"), "bad": Observation("bad")}
+        one = F.count(F.lit(1)).alias("n")
+        write_bronze(good.observe(seen["good"], one), root, run_id, F.col(BATCH_TIME), partition_cols)
         if quarantine:
-            write_bronze(bad, quarantine, run_id, F.col(BATCH_TIME), partition_cols)
+            write_bronze(bad.observe(seen["bad"], one), quarantine, run_id, F.col(BATCH_TIME), partition_cols)
+        if counts:
+            written = ("good", "bad") if quarantine else ("good",)
+            write_counts(batch.sparkSession, counts, query, batch_id, {name: seen[name].get["n"] for name in written})
     finally:
         batch.unpersist()
 
@@ -74,9 +77,12 @@ def ingest_stream(stream: DataFrame, root: str, checkpoint_location: str,
                   quarantine: str | None = None, contract: Contract | None = None,
                   run_prefix: str = "ingest", available_now: bool = False,
                   processing_time: str = IDLE_FLUSH,
-                  partition_cols: Sequence[str] = ("batch_date", "batch_hour")) -> StreamingQuery:
+                  partition_cols: Sequence[str] = ("batch_date", "batch_hour"),
+                  counts: str | None = None) -> StreamingQuery:
     """Start the ingest query (H1). ``available_now`` drains and stops (H4).
 
+    ``counts``: folder to which each batch writes how many good and bad records it held.
+
     A micro-batch takes all that has arrived; a limit is the source's option
     ``maxOffsetsPerTrigger`` (Kafka) or ``maxFilesPerTrigger`` (files).
     """
@@ -84,7 +90,7 @@ def ingest_stream(stream: DataFrame, root: str, checkpoint_location: str,
     writer = (stream.withColumn(BATCH_TIME, F.current_timestamp()).writeStream
               .option("checkpointLocation", checkpoint_location)
               .foreachBatch(lambda b, i: ingest_batch(b, i, root, quarantine, run_prefix,
-                                                      contract, partition_cols)))
+                                                      contract, partition_cols, counts)))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -279,6 +279,48 @@ def test_box_stats_of_a_shared_value(spark):
     assert empty.n == 0 and empty.median is None
 
 
+def test_selection_of_odd_numbers(spark):
+    import math
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(11)
+    inf, nan = float("inf"), float("nan")
+    lists = {
+        "wide": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300) for _ in range(3000)],
+        "close": [1e15 + rnd.randint(0, 3000) / 8 for _ in range(3000)],
+        "outlier": [rnd.random() for _ in range(2000)] + [1e300, -1e300],
+        "tiny": [5e-324 * rnd.randint(-9, 9) for _ in range(500)],
+        "odd": [nan, inf, -inf, 0.0, -0.0, 1.0, nan, None],
+        "one": [3.25], "none": [nan, None], "halves": [float(i % 2) for i in range(1001)]}
+    df = spark.createDataFrame([(k, v) for k, vs in lists.items() for v in vs], "g string, v double").repartition(5)
+    got = {r.g: r for r in M.box_stats(df, ["g"], "v").collect()}
+    assert set(got) == set(lists) - {"none"}
+    for g, r in got.items():
+        own = np.sort([v for v in lists[g] if v is not None and not math.isnan(v)])
+        want = []
+        for p in (0.25, 0.5, 0.75):
+            at = (len(own) - 1) * p
+            lo, hi = own[math.floor(at)], own[math.ceil(at)]
+            want.append(float(lo if lo == hi else lo + (hi - lo) * (at - math.floor(at))))
+        assert (r.n, r.min, r.max) == (len(own), own[0], own[-1])
+        assert [r.q1, r.median, r.q3] == want, g
+        alone = M.box_stats(df.where(F.col("g") == g), [], "v").first()
+        assert tuple(alone) == tuple(r)[1:]
+
+
+def test_selection_with_many_groups(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 101).alias("g"), (F.col("id") * 7919 % 3001).cast("double").alias("v"))
+    want = sorted(map(tuple, M.exact_quantiles(df, ["g"], "v", [0.1, 0.5]).collect()))
+    monkeypatch.setattr(M, "LOCAL_GROUPS", 50)
+    monkeypatch.setattr(M, "SLICES", 4)
+    assert sorted(map(tuple, M.exact_quantiles(df, ["g"], "v", [0.1, 0.5]).collect())) == want
+    exact = df.groupBy("g").agg(F.percentile("v", 0.1), F.percentile("v", 0.5))
+    for got, other in zip(want, sorted(map(tuple, exact.collect()))):
+        assert got == pytest.approx(other)
+
+
 def test_column_values_defaults_and_order(spark):
     df = spark.createDataFrame([("a", 3), ("b", 1), ("b", 9), (None, 2)], "field string, n int")
     assert M.column_values(df, "field", where="n > 99", default=["x"]).collect() == [("x",)]
@@ -337,3 +379,27 @@ def test_running_sums(spark):
     want = df.withColumn("sum_n", F.coalesce(F.sum("n").over(w), F.lit(0)))
     for parts in (1, 9):
         assert rows(ordered_scan(df, ["k"], ["o"], sums=["n"], num_partitions=parts), "o", "sum_n") == rows(want, "o", "sum_n")
+
+
+def test_suite_of_one_relation_is_one_scan(spark, tmp_dir):
+    rows = [(i, i % 7, None if i % 5 == 0 else i % 3, "c", dt.date(2024, 1, 1 + i % 9), 0.5 * (i % 4)) for i in range(90)] + [(None, None, None, "c", None, float("nan"))] * 2
+    path = tmp_dir + "/t"
+    spark.createDataFrame(rows, "id int, a int, b int, c string, t date, d double").write.parquet(path)
+
+    def suite(df):
+        now = dt.datetime(2024, 1, 9)
+        return [C.unique(df, "id"), C.unique(df, "a"), C.unique(df, "d"), C.accepted_values(df, "b", [0, 1]), C.not_accepted_values(df, "a", [3, 99]),
+                C.unique_combination(df, ["a", "b"]), C.unique_combination(df, ["b", "a"]), C.at_least_one(df, "b", ["a"]), C.at_least_one(df, "b"),
+                C.not_constant(df, "c"), C.not_constant(df, "b", ["a", "c"]), C.not_null_proportion(df, "b", 0.9, group_by=["a"]),
+                C.not_null_proportion(df, "b", 0.1), C.recency(df, "t", "day", 2, group_by=["a"], now=now), C.recency(df, "t", "day", 0, now=now),
+                C.not_null(df, "id"), C.accepted_range(df, "a", 1, 5), C.expression_is_true(df, "id >= 0")]
+
+    for df in (spark.read.parquet(path), spark.read.parquet(path).where("id > 1000")):
+        for number, c in enumerate(own := suite(df)):
+            c.name = f"{number} {c.name}"
+        fused = C.run_checks(own)
+        assert fused._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+        got = {r.check_name: r.failures for r in fused.collect()}
+        assert got == {c.name: c.rows.count() for c in own}
+    no_groups = C.run_checks([C.not_constant(df, "c"), C.not_null(df, "id")])
+    assert no_groups._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

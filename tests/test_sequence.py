@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from postlake.operators.sequence import local_scan, numbered, ordered_scan
+from postlake.operators.sequence import ordered_scan, ranged
 
 
 def _frame(spark, n=3000, seed=7):
@@ -76,11 +76,11 @@ def test_range_count_follows_data_read_not_join_estimates(spark):
 
 def test_tied_rows_are_split_over_ranges(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 20 > 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("v"))
-    plan = local_scan(numbered(df), [], ["v"], prev=["v"], num_partitions=16)
-    sizes = [r["count"] for r in plan.groupBy("_scan_rp").count().collect()]
-    assert len(sizes) >= 14 and max(sizes) < 3 * 20_000 / 16
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "MapInArrow" in text and text.count("rangepartitioning") == 1 and "SinglePartition" not in text
+    rows, cuts = ranged(df, [], ["v"], num_partitions=16)
+    sizes = [r["count"] for r in rows.groupBy("_scan_rp").count().collect()]
+    assert cuts.count() == 15 and len(sizes) == 16 and max(sizes) < 3 * 20_000 / 16
+    text = ordered_scan(df, [], ["v"], prev=["v"], num_partitions=16)._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in text and "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
     got = sorted((r.v, r._idx, r.prev_v) for r in ordered_scan(df, [], ["v"], prev=["v"], num_partitions=16).collect())
     values = sorted(r.v for r in df.collect())
     assert [g[0] for g in got] == values and sorted(g[1] for g in got) == list(range(20_000))
@@ -114,3 +114,29 @@ def test_keys_with_nan_and_equal_rows(spark):
 
 def test_empty_frame(spark):
     assert ordered_scan(spark.range(0), [], ["id"], prev=["id"], running_max=["id"]).collect() == []
+
+
+def test_search_in_many_splitters(spark, monkeypatch):
+    from postlake.operators import sequence
+    monkeypatch.setattr(sequence, "SPELLED_OUT", 2)
+    monkeypatch.setattr(sequence, "LOCAL_CUTS", 2)
+    _check(spark, ["k"], 13)
+    _check(spark, [], 90)
+
+
+def test_torn_keys_only_are_aggregated(spark):
+    """Keys that no splitter names hand nothing on; all parts of a key that lies in many ranges do."""
+    df = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(0)).otherwise(F.col("id")).alias("k"), (F.col("id") * 7 % 4001).alias("o"))
+    _, cuts = ranged(df, ["k"], ["o"], num_partitions=8)
+    assert cuts.count() == 7 and cuts.where("_scan_key.k = 0").count() >= 5
+    w = Window.partitionBy("k").orderBy("o")
+    got = ordered_scan(df, ["k"], ["o"], prev=["o"], next=["o"], num_partitions=8).select("k", "o", "_idx", "prev_o", "next_o")
+    want = df.select("k", "o", (F.row_number().over(w) - 1).cast("long"), F.lag("o").over(w), F.lead("o").over(w))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_nulls_last(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 9) for i in range(200)], "id long, v int")
+    got = sorted(ordered_scan(df, [], ["v nulls last", "id"], prev=["v"], num_partitions=6).select("_idx", "v", "prev_v").collect())
+    values = sorted((r.v for r in df.collect()), key=lambda v: (v is None, v or 0))
+    assert [g.v for g in got] == values and [g.prev_v for g in got] == [None, *values[:-1]]

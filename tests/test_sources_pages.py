@@ -199,6 +199,36 @@ def test_extract_every_selector_form(spark):
     assert all(c[k] is None for k in OFFER if not k.startswith("is_"))
 
 
+def test_listing_of_elements():
+    from postlake.plans.pages import _Listing
+    html = ("<!doctype html><!-- <b>no</b> --><DIV Class='a b' data-x=1 hidden title=\"1 > 0 &amp; 2\">t&lt;1 <br/>a < b<img src=x.png/>"
+            "<script>if (a<b) '</div>'</script ><p>one<p>two</span></div> tail <b>open")
+    page = _Listing()
+    page.add("")
+    page.add(html)
+    got = page.column().to_pylist()
+    assert got[0] == {"elements": [], "texts": []}
+    elements = got[1]["elements"]
+    assert [e["tag"] for e in elements] == ["div", "br", "img", "script", "p", "p", "b"]
+    assert dict(elements[0]["attrs"]) == {"class": "a b", "data-x": "1", "hidden": "", "title": "1 > 0 & 2"}
+    assert [e["up"] for e in elements] == [-1, 0, 0, 0, 0, 4, -1] and [e["path"] for e in elements][5:] == [[0, 4], []]
+    assert [e["stop"] for e in elements] == [6, 2, 3, 4, 6, 6, 7] and [e["nth"] for e in elements] == [1, 1, 1, 1, 1, 1, 1]
+    assert [e["left"] for e in elements] == [-1, -1, 1, 2, 3, -1, 0]
+    assert got[1]["texts"] == ["t<1", "a < b", "one", "two", "tail", "open"]
+    assert [(e["first"], e["last"]) for e in elements] == [(0, 4), (1, 1), (2, 2), (2, 2), (2, 4), (3, 4), (5, 6)]
+
+
+def test_pages_without_end(spark):
+    """Very long and deep pages, and markup that never closes, are listed in a pass."""
+    import time
+
+    from postlake.plans.pages import _Listing
+    start = time.time()
+    for html in ("<p>" * 3000, "<" * 200_000, '<a b="' * 30_000, "<!--" * 50_000, "<p a='x" + " y" * 200_000, "x" * 2_000_000, "</p>" * 100_000):
+        _Listing().add(html)
+    assert time.time() - start < 30
+
+
 def test_first_in_document_order_and_later_parents(spark):
     html = '<div class=c><p class=b>B</p><p class=a>A</p><h3 class=t>x</h3><h3 class=t><a href="/y">Y</a></h3></div>'
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
@@ -239,6 +269,14 @@ def test_crawl_audit_rules(spark):
     assert out[("t", 2)]["first_stop"] and not out[("t", 3)]["first_stop"]
 
 
+def test_crawl_audit_compares_pages_of_equal_hashes(spark, monkeypatch):
+    from postlake.plans import pages as P
+    monkeypatch.setattr(P.F, "xxhash64", lambda *c: P.F.lit(7).cast("long"))
+    rows = [("s", p, i) for p, ids in enumerate(["ab", "ab", "ba", "bb", "bb", "cb"]) for i in ids]
+    out = {r["page"]: r["identical_run"] for r in crawl_audit(spark.createDataFrame(rows, "src string, page int, id string"), "src", "page", "id").collect()}
+    assert out == {0: 0, 1: 1, 2: 2, 3: 0, 4: 1, 5: 0}
+
+
 def test_crawl_audit_identical_pages(spark):
     rows = []
     for page in (1, 2, 3, 4):
@@ -395,7 +433,7 @@ def test_dedup_stream_over_batches(spark, tmp_dir):
         for name, delay in (("all", None), ("late", "1 hour")):
             (dedup_stream(stream, "k", "ts", delay).select("id", "k").writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck-{name}")
              .trigger(availableNow=True).start(f"{tmp_dir}/{name}").awaitTermination())
-        mark_stream(stream, "k", ["ts", "id"], f"{tmp_dir}/marked", f"{tmp_dir}/seen", f"{tmp_dir}/ck-mark", available_now=True).awaitTermination()
+        mark_stream(stream, "k", ["ts", "id"], f"{tmp_dir}/marked", f"{tmp_dir}/ck-mark", available_now=True).awaitTermination()
     assert sorted(str(r["k"]) for r in spark.read.parquet(f"{tmp_dir}/all").collect()) == ["None", "a", "b", "c", "d"]
     assert "d" not in {r["k"] for r in spark.read.parquet(f"{tmp_dir}/late").collect()}
     marked = {r["id"]: r["is_new"] for r in spark.read.parquet(f"{tmp_dir}/marked").collect()}
@@ -405,7 +443,7 @@ def test_dedup_stream_over_batches(spark, tmp_dir):
     for name in (f"{commits[-1]}", f".{commits[-1]}.crc"):
         os.remove(f"{tmp_dir}/ck-mark/commits/{name}")
     stream = spark.readStream.schema(schema).parquet(src)
-    mark_stream(stream, "k", ["ts", "id"], f"{tmp_dir}/marked", f"{tmp_dir}/seen", f"{tmp_dir}/ck-mark", available_now=True).awaitTermination()
+    mark_stream(stream, "k", ["ts", "id"], f"{tmp_dir}/marked", f"{tmp_dir}/ck-mark", available_now=True).awaitTermination()
     again = spark.read.parquet(f"{tmp_dir}/marked").collect()
     assert {r["id"]: r["is_new"] for r in again} == marked and len(again) == 8
 
@@ -418,3 +456,57 @@ def test_medallion_checks_can_fail(spark, tmp_dir):
     checks = {r["check_name"]: r["failures"] for r in out["checks"].collect()}
     assert [checks[f"not_null_stg_jobs_{c}"] for c in ("job_id", "source", "crawled_at")] == [1, 1, 1]
     assert checks["not_null_dim_job_job_id"] == 1 and out["fact_job_posting"].count() == 1
+
+
+def test_marks_of_equal_records_and_two_checkpoints(spark, tmp_dir):
+    """Of equal records one is new; a second checkpoint adds its rows and loses none; batches read their own keys' state."""
+    from postlake.streaming.dedup import mark_stream
+    from postlake.streaming.runs import read_counts
+    schema = "k string, v int"
+    batches = [[("a", 1), ("a", 1), ("b", 2), (None, 3)], [("a", 1), ("c", 1), ("c", 1), ("c", 0), (None, 3)]]
+    for n, batch in enumerate(batches):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/src")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/src")
+        mark_stream(stream, "k", ["v"], f"{tmp_dir}/out", f"{tmp_dir}/ck1", True, f"{tmp_dir}/counts").awaitTermination()
+    first = [(r["k"], r["v"], r["is_new"]) for r in spark.read.parquet(f"{tmp_dir}/out").collect()]
+    want = [("a", 1, True), ("a", 1, False), ("a", 1, False), ("b", 2, True), (None, 3, True), (None, 3, False), ("c", 0, True), ("c", 1, False), ("c", 1, False)]
+    assert sorted(first, key=str) == sorted(want, key=str)
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/src")
+    mark_stream(stream, "k", ["v"], f"{tmp_dir}/out", f"{tmp_dir}/ck2", True, f"{tmp_dir}/counts").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert len(rows) == 18 and len({r["query"] for r in rows}) == 2 and sum(r["is_new"] for r in rows) == 8
+    counts = {(r["query"], r["name"]): r["n"] for r in read_counts(spark, f"{tmp_dir}/counts").groupBy("query", "name").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    for q in {r["query"] for r in rows}:
+        assert [counts[q, n] for n in ("records", "new", "repeated")] == [9, 4, 5]
+
+
+def test_run_order_follows_what_relations_read():
+    from postlake.plans.medallion import Relation, run_order
+    assert run_order(["checks"]) == ["stg_jobs", "int_jobs_dedup", "dim_job", "dim_company", "checks"]
+    assert run_order(["fact_job_posting"]) == ["stg_jobs", "fact_job_posting"]
+    assert run_order(["marts", "staging"]) == ["stg_jobs", "int_jobs_dedup", "dim_company", "dim_job", "fact_job_posting"]
+    own = {"a": Relation("x", ("b",), None), "b": Relation("x", ("a",), None), "c": Relation("y", ("d",), None)}
+    with pytest.raises(ValueError, match="read each other"):
+        run_order(["a"], own)
+    with pytest.raises(ValueError, match="not declared"):
+        run_order(["y"], own)
+
+
+def test_merge_latest_reads_touched_buckets_only(spark, tmp_dir):
+    import glob
+
+    from postlake.operators.reshape import deduplicate, merge_latest, read_latest
+    rows = [(f"k{i % 40}" if i % 13 else None, i * 7 % 101, f"v{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    order = [F.col("t").desc(), F.col("v")]
+    root = tmp_dir + "/latest"
+    assert merge_latest(spark, root, df.limit(0), "k", order, buckets=8) == 0
+    assert merge_latest(spark, root, df.where("t < 60"), "k", order, buckets=8) == 8
+    before = {p: os.path.getmtime(p) for p in glob.glob(root + "/*/*.parquet")}
+    assert merge_latest(spark, root, df.where("t >= 60 and k in ('k1', 'k2')"), "k", order, buckets=8) in (1, 2)
+    after = {p: os.path.getmtime(p) for p in glob.glob(root + "/*/*.parquet")}
+    assert 0 < len(set(before.items()) - set(after.items())) <= 2  # the other buckets' files are the same
+    for _ in range(2):  # a batch merged again changes nothing
+        merge_latest(spark, root, df.where("t >= 60"), "k", order, buckets=8)
+        want = deduplicate(df, ["k"], order).collect()
+        assert sorted(map(str, read_latest(spark, root).collect())) == sorted(map(str, want)) and len(want) == 41
