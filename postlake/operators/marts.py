@@ -10,7 +10,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 
 from postlake.functions.keys import company_key, company_name
 from postlake.session import checkpoint
@@ -36,14 +37,25 @@ def fact_job_posting(stg: DataFrame) -> DataFrame:
     return stg.where(F.col("job_id").isNotNull()).select(*FACT_COLUMNS)
 
 
-def table_counts(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]] | Sequence[str]) -> DataFrame:
+def table_counts(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]] | Sequence[str], separately: bool = False) -> DataFrame:
     """``(table_name, row_count, healthy)`` per relation; 0 rows when it cannot be read.
 
     ``tables`` is a list of catalog names or a mapping of name → loader. Each
-    count is a partial + final aggregate; the per-table rows are unioned.
+    count is a partial + final aggregate; the per-table rows are unioned, and a
+    relation that cannot be found or analysed counts as 0. ``separately`` counts
+    each relation at once in a job of its own, so that one whose files turn out
+    to be unreadable counts as 0 too and the others are not lost with it.
     """
     if not isinstance(tables, dict):
         tables = {t: (lambda t=t: spark.table(t)) for t in tables}
+    if separately:
+        rows = []
+        for name, load in tables.items():
+            try:
+                rows.append((name, load().count()))
+            except (PySparkException, Py4JError, OSError):
+                rows.append((name, 0))
+        return spark.createDataFrame(rows, "table_name string, row_count long").withColumn("healthy", F.col("row_count") > 0)
     parts = []
     for name, load in tables.items():
         try:

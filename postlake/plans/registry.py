@@ -688,6 +688,20 @@ def q_overview(spark, d):
                                   for n in names})
 
 
+@query("f4_overview_of_unreadable", """
+select 'orders' as table_name, count(*) as row_count, count(*) > 0 as healthy from orders
+union all select 'broken', 0, false union all select 'absent', 0, false
+""")
+def q_overview_unreadable(spark, d):
+    """A relation whose files cannot be read, which shows only while it is counted, counts as 0 beside the others."""
+    broken = _shared_dir(spark, "broken")
+    table(spark, d, "region").select(F.col("r_name").alias("value")).write.text(broken)
+    schema = table(spark, d, "region").schema
+    loaders = {"orders": lambda: table(spark, d, "orders"), "broken": lambda: spark.read.schema(schema).parquet(broken).where("r_regionkey >= 0"),
+               "absent": lambda: table(spark, d, "orders_archive")}
+    return M.table_counts(spark, loaders, separately=True)
+
+
 @query("f5_job_totals", """
 select count(*) as total_postings, count(distinct 'J' || o_custkey) as distinct_ids from orders
 """)
@@ -1586,11 +1600,13 @@ def _medallion(spark, d) -> dict[str, DataFrame]:
 
 
 @query("i4_medallion_fact_rows", f"""
-select job_id, company, crawled_at from ({RAW_POSTINGS_SQL}) where job_id is not null
+select job_id, company, null::double as salary_min, null::double as salary_max, null::boolean as deal_salary,
+  null::integer as experience_min, null::integer as experience_max, null::boolean as experience_not_mentioned, crawled_at
+from ({RAW_POSTINGS_SQL}) where job_id is not null
 """)
 def q_medallion_fact(spark, d):
     """The fact table of the same run: rows without an id are left out, other nulls stay."""
-    return _medallion(spark, d)["fact_job_posting"].select("job_id", "company", "crawled_at")
+    return _medallion(spark, d)["fact_job_posting"]
 
 
 @query("i4_selected_mart", f"""
@@ -1695,18 +1711,20 @@ def q_replay(spark, d):
 
 
 @query("h3_quarantine_bad_records", """
-select 'broken-' || o_orderkey as _raw from orders where o_orderstatus = 'P'
+select 'broken-' || o_orderkey as _raw, '{}' as _record from orders where o_orderstatus = 'P'
 """)
 def q_quarantine(spark, d):
     from postlake.sources.bronze import scan_bronze
     root, bad, ckpt = (_shared_dir(spark, n) for n in ("ingest-bronze", "ingest-quarantine", "ingest-ckpt"))
     _ingest(spark, _write_messages(spark, d), root, bad, ckpt)
-    return scan_bronze(spark, bad).select("_raw")
+    return scan_bronze(spark, bad).select("_raw", "_record")
 
 
-@query("a9_publish_stream", """
-select 'J' || o_custkey as key, o_orderpriority as title, cast(epoch(o_orderdate) as bigint) + o_orderkey as crawled_at
-from orders
+_PUBLISHED = ["title", "company", "source", "url", "salary", "experience", "posted_at", "deadline"]
+
+
+@query("a9_publish_stream", f"""
+select job_id as key, {", ".join(_PUBLISHED)}, crawled_at from ({POSTINGS_SQL})
 """)
 def q_publish_stream(spark, d):
     """Decoded messages published again by a streaming query as keyed records, read back."""
@@ -1715,7 +1733,7 @@ def q_publish_stream(spark, d):
     stream = read_stream(spark, "json", {"maxFilesPerTrigger": "2"}, path=src).drop("_raw", "_decoded")
     write_keyed_stream(stream, "job_id", "json", ckpt, path=out, available_now=True).awaitTermination()
     kv = spark.read.schema("key string, value string").json(out)
-    return kv.select("key", F.get_json_object("value", "$.title").alias("title"),
+    return kv.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in _PUBLISHED],
                      F.get_json_object("value", "$.crawled_at").cast("bigint").alias("crawled_at"))
 
 

@@ -21,6 +21,8 @@ from postlake.sources.contract import Contract, posting_contract
 # the topic from the earliest offset. A micro-batch has no limit of its own.
 REGISTRY_HEADER_BYTES = 5
 KAFKA_SOURCE_DEFAULTS = {"startingOffsets": "earliest"}
+# Fixed value: the consumer writes what it has after so long without a full batch.
+FLUSH_DELAY = "30s"
 
 
 CORRUPT = "_corrupt_record"
@@ -49,7 +51,8 @@ def decode_value(value: Column, contract: Contract, avro_schema: str | None = No
 
 def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None,
                 contract: Contract | None = None, path: str | None = None,
-                avro_schema: str | None = None) -> DataFrame:
+                avro_schema: str | None = None, flush_rows: int | None = None,
+                flush_delay: str = FLUSH_DELAY) -> DataFrame:
     """Streaming frame of decoded records plus ``_raw`` (the undecoded text) and ``_decoded``
     (false for a message that could not be decoded).
 
@@ -58,12 +61,21 @@ def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None
     given) and decode ``value``. ``json`` text files: each line is a
     message, decoded like a Kafka value. ``parquet``: files already typed by
     the contract schema.
+
+    ``flush_rows``: a micro-batch waits for so many new messages, but no longer than
+    ``flush_delay`` after the first of them, so that few large files are written (Kafka;
+    run the query with a short trigger interval). A file source has no such count and is
+    flushed by the trigger alone; asking for it there is an error.
     """
+    if flush_rows is not None and fmt != "kafka":
+        raise ValueError(f"a {fmt} source does not count what is waiting; use the trigger interval")
     contract = contract or posting_contract()
     opts = dict(options or {})
     if fmt == "kafka":
         for k, v in KAFKA_SOURCE_DEFAULTS.items():
             opts.setdefault(k, v)
+        if flush_rows is not None:
+            opts |= {"minOffsetsPerTrigger": str(flush_rows), "maxTriggerDelay": flush_delay}
         raw = spark.readStream.format("kafka").options(**opts).load()
         value = F.col("value")
     elif fmt == "json":

@@ -381,6 +381,10 @@ def test_kafka_stream_sets_no_limit_of_its_own(spark, given):
 
     read_stream(Session, "kafka", {"subscribe": "t"} | given)
     assert Session.readStream.opts == {"subscribe": "t", "startingOffsets": "earliest"} | given
+    read_stream(Session, "kafka", {"subscribe": "t"} | given, flush_rows=500)
+    assert Session.readStream.opts == {"subscribe": "t", "startingOffsets": "earliest"} | given | {"minOffsetsPerTrigger": "500", "maxTriggerDelay": "30s"}
+    with pytest.raises(ValueError):
+        read_stream(spark, "json", path="x", flush_rows=500)
 
 
 def test_decode_marks_malformed_json(spark):
