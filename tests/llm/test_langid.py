@@ -51,6 +51,43 @@ def test_long_texts_count_whole(monkeypatch):
     assert got[0] == want[0] and np.allclose(got[1], want[1]) and got[0][1] == got[0][2] == "und"
 
 
+def brute_classify(text, model):
+    """Language and score with plain loops: every window's filters at every place, softmax, mean by bytes."""
+    raw = (text or "").encode()
+    total = np.zeros(len(model["langs"]))
+    for lo in range(0, len(raw), g.WINDOW):
+        own = raw[lo:lo + g.WINDOW]
+        row = own + b" " * (g.WINDOW - len(own))
+        pooled = [max(sum(float(t[b][f]) for t, b in zip(tables, row[i:])) for i in range(g.WINDOW - len(tables) + 1))
+                  for tables in model["tables"] for f in range(g.FILTERS)]
+        z = np.maximum(pooled, 0) @ model["out"].astype(float) + model["bias"]
+        p = np.exp(z - z.max())
+        total += len(own) * p / p.sum()
+    return total / max(1, len(raw))
+
+
+def test_query_predicts_as_brute_force(spark):
+    """The query's predictions, from the model fitted on the same rows, by plain loops over whole texts of a sample's rows."""
+    docs = spark.read.parquet(SF + "/documents.parquet")
+    model = g.fit(docs, held_out=g.F.pmod(g.crc_of("doc_id"), g.F.lit(5)) == 0)
+    got = {r.doc_id: r for r in queries.op9_language(spark, SF).collect()}
+    rows = sorted(docs.collect(), key=lambda r: (len(r.text or ""), r.doc_id))
+    for r in rows[:30] + [x for x in rows if 300 < len(x.text or "") < 700][:25]:
+        mean = brute_classify(r.text, model)
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        assert abs(got[r.doc_id].score - mean.max()) < 1e-3
+        if np.sort(mean)[-1] - np.sort(mean)[-2] > 1e-3:
+            assert got[r.doc_id].lang_pred == model["langs"][mean.argmax()]
+
+
+def test_columns_named_like_results(spark):
+    docs = documents(spark, [(i, "aha oho " * 9 if i % 2 else "ßüß öde " * 9, "xy"[i % 2]) for i in range(40)], {"score": "s", "lang_pred": 1, "held_out": 2, "found": 3})
+    out = g.predict_language(docs)
+    assert out.columns == ["doc_id", "held_out", "lang_pred", "score"] and {r.lang_pred for r in out.collect()} == {"x", "y"}
+
+
 def test_held_out_accuracy(spark):
     got = queries.op9_language(spark, SF).toPandas()
     docs = spark.read.parquet(SF + "/documents.parquet").select("doc_id", "lang").toPandas()

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -68,6 +69,80 @@ def test_features_are_of_the_document():
     assert np.isfinite(x).all()
 
 
+KINDS = [lambda c: c < 128 and chr(c) in " \t\n\v\f\r", lambda c: 97 <= c <= 122, lambda c: 65 <= c <= 90, lambda c: 48 <= c <= 57,
+         lambda c: c < 128 and chr(c) in "!\"'(),-.:;?", lambda c: c >= 128]
+
+
+def kind_of(byte):
+    return next((k for k, test in enumerate(KINDS, 1) if test(byte)), 0)
+
+
+def brute_line(line):
+    """The sixteen numbers of a line, byte by byte and word by word."""
+    raw, words = line.encode(), [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
+    n, size = len(raw), max(1, len(raw))
+    count = [sum(kind_of(b) == k for b in raw) for k in range(7)]
+    letters, some = max(1, count[2] + count[3] + count[6]), max(1, len(words))
+    doubled = sum(a == b and kind_of(b) in (0, 5) for a, b in zip(raw, raw[1:]))
+    repeats = sum(a == b for a, b in zip(words, words[1:]))
+    return [np.log1p(n) / 8, np.log1p(len(words)) / 6, min(n / some / 12, 2), count[0] / size, count[3] / letters, count[4] / size, count[5] / size,
+            count[1] / size, count[6] / size, doubled / size, repeats / some, count[0] / some, repeats > 0.3 * len(words),
+            n > 0 and kind_of(raw[-1]) == 5, n > 0 and kind_of(raw[0]) == 3, n == 0]
+
+
+def brute_score(text, model):
+    """A document's score with plain loops: features, forward-backward in logarithms, weighted mean, curve."""
+    lines = (text or "").split("\n")
+    own = [brute_line(x) for x in lines]
+    zero = [0.0] * 16
+    x = [[1.0, *o, *(own[i - 1] if i else zero), *(own[i + 1] if i + 1 < len(own) else zero)] for i, o in enumerate(own)]
+    unary = [[0.0, float(np.dot(f, model["weights"]))] for f in x]
+    link, add = model["links"], np.logaddexp
+    forward = [list(unary[0])]
+    for u in unary[1:]:
+        forward.append([u[b] + add(forward[-1][0] + link[0, b], forward[-1][1] + link[1, b]) for b in (0, 1)])
+    backward = [[0.0, 0.0]]
+    for u in reversed(unary[1:]):
+        backward.insert(0, [add(link[a, 0] + u[0] + backward[0][0], link[a, 1] + u[1] + backward[0][1]) for a in (0, 1)])
+    total = add(*forward[-1])
+    good = [np.exp(f[1] + b[1] - total) for f, b in zip(forward, backward)]
+    weight = [len(line.encode()) + 1 for line in lines]
+    q = float(np.clip(np.dot(good, weight) / sum(weight), 1e-6, 1 - 1e-6))
+    a, b = model["curve"]
+    return 1 / (1 + np.exp(-(a + b * np.log(q / (1 - q)))))
+
+
+def test_query_scores_as_brute_force(spark):
+    """Every score of the query, from the model fitted on the same rows, by plain loops over whole texts."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = q.F.pmod(q.crc_of("doc_id"), q.F.lit(4)) == 2
+    model = q.fit(docs, labels, held_out=held)
+    got = {r.doc_id: r.score for r in queries.op6_quality(spark, SF).collect()}
+    rows = docs.collect()
+    assert len(rows) == len(got)
+    for r in rows:
+        assert abs(got[r.doc_id] - brute_score(r.text, model)) < 1e-3, r.doc_id
+    for text in ("", None, "\n\n", "A b.\nA b.\n### ###", "É é\tÀ \v x", "x" * 500):
+        assert abs(q.score_texts(pa.array([text], pa.string()), model)[0] - brute_score(text, model)) < 1e-3
+
+
+def test_driver_gets_a_bounded_number_of_lines(spark):
+    assert q.lines_each([10] * 4000, 250_000) == q.SAMPLE_LINES and q.lines_each([10 ** 6] * 4000, 250_000) <= 64
+    for counts in ([600] * 700, [10 ** 5] * 3 + [5] * 3000):
+        most = q.lines_each(counts, 100_000)
+        assert sum(min(n, most) for n in counts) <= 100_000 and most % q.RUN == 0
+    rows = [(i, "\n".join(f"line {k} of {i}" for k in range(900))) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    train = q.train
+    q.train = lambda x, *a, **k: seen.append(len(x)) or train(x, *a, **k)
+    try:
+        q.fit(documents(spark, rows), labels, total=4000)
+    finally:
+        q.train = train
+    assert 0 < seen[0] <= 4000
+
+
 def test_held_out_accuracy(spark):
     got = queries.op6_quality(spark, SF).toPandas()
     docs = spark.read.parquet(SF + "/documents.parquet").count()

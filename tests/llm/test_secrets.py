@@ -1,6 +1,11 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter
+
+import numpy as np
+import pytest
 
 from helpers import documents, prose
 from postlake.llm import queries, secrets
@@ -82,3 +87,124 @@ def test_automaton_likelihoods():
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(SF + "/documents.parquet").collect()]
     check(rows, queries.op3_secrets(spark, SF).collect())
+
+
+class Naive:
+    """State merging over sets of prefixes: nothing is folded, every count is summed over a state's prefixes anew."""
+
+    def __init__(self, strings, longest=secrets.LONGEST):
+        self.limit = math.sqrt(0.5 * math.log(2 / secrets.ALPHA))
+        self.count, self.end = Counter(), Counter()
+        for s in strings:
+            word = tuple(secrets._CLASS[ord(c)] for c in s[:longest])
+            for i in range(len(word)):
+                self.count[word[:i], word[i]] += 1
+                self.count[word[:i + 1], None] += 0
+            self.end[word] += len(s) <= longest
+        self.members = {(): {()}}  # a state is named by its first prefix
+        self.next = {}
+        red = [()]
+        while True:
+            edge = next(((r, c) for r in red for c in range(secrets.SYMBOLS) if (r, c) not in self.next and self.children(self.members[r], c)), None)
+            if edge is None:
+                break
+            r, c = edge
+            child = self.children(self.members[r], c)
+            for old in red:
+                if self.alike(self.members[old], child):
+                    self.next[r, c] = old
+                    self.join(old, child)
+                    break
+            else:
+                name = min(child, key=lambda p: (len(p), p))
+                self.members[name] = set(child)
+                red.append(name)
+                self.next[r, c] = name
+        self.red = red
+
+    def children(self, prefixes, c):
+        return frozenset(p + (c,) for p in prefixes if self.count[p, c])
+
+    def uses(self, prefixes):
+        return sum(self.count[p, c] for p in prefixes for c in range(secrets.SYMBOLS)) + sum(self.end[p] for p in prefixes)
+
+    def differ(self, f1, n1, f2, n2):
+        return n1 > 0 and n2 > 0 and abs(f1 / n1 - f2 / n2) >= self.limit * (n1 ** -0.5 + n2 ** -0.5)
+
+    def step(self, prefixes, c):
+        """The prefixes behind a symbol: children, and all that a merged state stands for."""
+        for name, own in self.members.items():
+            if prefixes is own and (name, c) in self.next:
+                return self.members[self.next[name, c]]
+        return self.children(prefixes, c)
+
+    def alike(self, a, b):
+        n, m = self.uses(a), self.uses(b)
+        if self.differ(sum(self.end[p] for p in a), n, sum(self.end[p] for p in b), m):
+            return False
+        for c in range(secrets.SYMBOLS):
+            if self.differ(sum(self.count[p, c] for p in a), n, sum(self.count[p, c] for p in b), m):
+                return False
+            x, y = self.step(a, c), self.children(b, c)
+            if x and y and not self.alike(x, y):
+                return False
+        return True
+
+    def join(self, name, more):
+        self.members[name] |= more
+        for c in range(secrets.SYMBOLS):
+            if (name, c) in self.next and (child := self.children(more, c)):
+                self.join(self.next[name, c], child)
+
+    def log_likelihood(self, text):
+        state, total = (), 0.0
+        lost = math.log(1 / (secrets.SYMBOLS + 1))
+        for ch in text:
+            c = int(secrets._CLASS[ord(ch)])
+            if state is None:
+                total += lost - math.log(secrets._SIZES[c])
+                continue
+            own = self.members[state]
+            all_ = self.uses(own) + 0.1 * (secrets.SYMBOLS + 1)
+            total += math.log((sum(self.count[p, c] for p in own) + 0.1) / all_ / secrets._SIZES[c])
+            state = self.next.get((state, c))
+        if state is None:
+            return total + lost
+        own = self.members[state]
+        return total + math.log((sum(self.end[p] for p in own) + 0.1) / (self.uses(own) + 0.1 * (secrets.SYMBOLS + 1)))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_merging_against_brute_force(seed):
+    rng = random.Random(seed)
+    pools = ["ab0", "abAB0", "xyz019_", "a.b-"][seed % 4]
+    strings = ["".join(rng.choice(pools) for _ in range(rng.choice([3, 5, 8, 12]))) for _ in range([12, 40, 90][seed % 3])]
+    strings += ["sk_" + "".join(rng.choice("0123") for _ in range(6)) for _ in range(30)]
+    got, want = secrets.infer(strings, longest=10), Naive(strings, longest=10)
+    probe = strings[:40] + ["", "zz", "ab", "sk_0000000", "AKIA"]
+    raw = np.frombuffer("".join(probe).encode(), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(p) for p in probe])])
+    assert len(got.stop) - 1 == len(want.red)
+    assert np.allclose(got.log_likelihood(raw, off), [want.log_likelihood(p) for p in probe])
+
+
+def test_cut_strings_do_not_teach_an_end():
+    strings = ["ab" * 200, "ab" * 300]
+    a = secrets.infer(strings, longest=20)
+    raw = np.frombuffer(("ab" * 10 + "ab" * 12).encode(), np.uint8)
+    short, long = a.log_likelihood(raw, np.array([0, 20, 44]))
+    assert np.exp(a.stop[:-1]).max() < 0.6  # no state ends more often than not
+    assert long - short > -24 * 3
+
+
+def test_tokens_around_base_spans_are_scored(spark):
+    """A credential of which only a part matches a base pattern is a span as a whole; one inside a base span is not listed again."""
+    rng = random.Random(3)
+    digits = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f'{prose(rng, 30)} token = "sk_live_{digits(32)}" {prose(rng, 4).replace(" ", "")}') for i in range(200)]
+    rows += [(900, f"x sk_live_{digits(32)} y"), (901, f"key {digits(40)} end")]
+    out = {r.doc_id: r for r in secrets.find_secrets(documents(spark, rows)).collect()}
+    check(rows, list(out.values()))
+    assert secrets.candidate_spans(rows[200][1], [(10, 42)]) == [(2, 42, False)]
+    assert out[900].spans.split(",") == ["grammar:2:42", "hex:10:42"]
+    assert out[901].n_grammar == 0 and out[901].n_hex == 1 and all(out[i].n_grammar == 0 for i in range(200))
