@@ -4,7 +4,7 @@ Texts are compared as UTF-8 bytes, A-Z lower-cased, runs of ASCII white space as
 windows of ``window`` bytes, STRIDE bytes apart (a shorter item is one window), each with a budget of e edits, RATE of its
 bytes, rounded up. If a window lies in a document within e edits, the two share at least L + 1 - q (e + 1) q-grams, in one band of
 diagonals. So the shared q-grams of each item are counted in overlapping diagonal bands, bands that reach the bound of one
-of the item's windows are kept, and the item's windows are aligned there within the band.
+of the item's windows are kept, and the windows that reach their own bound there are aligned within the band.
 
 What is always found: every window within its budget (5 edits in 60 bytes), and so every verbatim passage of at least 60
 normalised bytes of an item, wherever it begins: the nearest window lacks at most STRIDE / 2 = 5 of its bytes, which its
@@ -106,13 +106,17 @@ class Index:
         self.step = max(16, self.edits + 1)  # bands of two steps, one step apart: any path of `edits` edits is inside one
         self.least = np.array([min(bound(b - a, rate) for a, b in w) for w in self.windows] or [1])
         self.longest = max(lengths, default=0)
+        # all windows, item by item, and how many q-grams each must share
+        self.first_window = np.concatenate([[0], np.cumsum([len(w) for w in self.windows])]).astype(np.int64)
+        self.begin, self.end = (np.array([x[k] for w in self.windows for x in w], np.int64) for k in (0, 1))
+        self.needs = np.array([bound(b - a, rate) for w in self.windows for a, b in w], np.int64)
 
     @staticmethod
     def _slot(g: np.ndarray) -> np.ndarray:
         return (g * _MULTIPLIER) >> np.uint64(64 - _SLOT_BITS)
 
     def bands(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, first diagonal) of the bands of ``data`` with enough shared q-grams."""
+        """(window, first diagonal) where a window shares enough q-grams with a band of diagonals of ``data``."""
         g = grams(data)
         at = np.nonzero(self.slots[self._slot(g)])[0]
         n = np.searchsorted(self.gram, g[at])
@@ -124,7 +128,8 @@ class Index:
         entry = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.first[n] - (ends - times), times)
         cell = (np.repeat(at, times) - self.place[entry] + self.longest) // self.step
         width = (len(data) + self.longest) // self.step + 2
-        key, count = np.unique(self.item[entry] * width + cell, return_counts=True)
+        shared = self.item[entry] * width + cell
+        key, count = np.unique(shared, return_counts=True)
         # band k has the cells k and k + 1: look at each cell as the first and as the second of one
         nxt = np.zeros(len(key), np.int64)
         nxt[:-1][key[1:] == key[:-1] + 1] = count[1:][key[1:] == key[:-1] + 1]
@@ -134,14 +139,25 @@ class Index:
         second = key[(before == 0) & (count >= self.least[key // width])] - 1
         found = np.unique(np.concatenate([first, second]))
         item, cell = np.divmod(found, width)
-        return item, cell * self.step - self.longest
-
-    def align(self, data: np.ndarray, item: np.ndarray, diagonal: np.ndarray):
+        # in these bands, of each window the q-grams that lie inside it
+        windows = self.first_window[item + 1] - self.first_window[item]
+        stop = np.cumsum(windows)
+        window = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(self.first_window[item] - (stop - windows), windows)
+        span, band = self.longest + 1, np.repeat(found, windows)
+        places = np.sort(shared * span + self.place[entry])
+        upto = lambda cells, place: np.searchsorted(places, cells * span + place)
+        a, b = self.begin[window], self.end[window] - Q + 1
+        inside = sum(upto(c, b) - upto(c, a) for c in (band, band + 1))
+        good = inside >= self.needs[window]
+        return window[good], np.repeat(cell * self.step - self.longest, windows)[good]
+
+    def align(self, data: np.ndarray, window: np.ndarray, diagonal: np.ndarray):
         """(item, window's start and end, end in data, edits) of the windows within their budget in the bands."""
+        item = np.searchsorted(self.first_window, window, "right") - 1
         jobs: dict[int, list] = {}
-        for i, d in zip(item.tolist(), diagonal.tolist()):
-            for a, b in self.windows[i]:
-                jobs.setdefault(b - a, []).append((i, a, b, d))
+        for i, w, d in zip(item.tolist(), window.tolist(), diagonal.tolist()):
+            a, b = int(self.begin[w]), int(self.end[w])
+            jobs.setdefault(b - a, []).append((i, a, b, d))
         for length, todo in jobs.items():
             for lo in range(0, len(todo), 512):
                 yield from self._align(data, todo[lo:lo + 512], length)
@@ -201,8 +217,8 @@ def find_in_texts(index: Index, texts: pa.Array, size: int = DOCUMENT_BLOCK):
     _, off = text_bytes(texts)
     overlap = 4 * (max(b - a for w in index.windows for a, b in w) + 2 * index.step)
     for first, data, at, starts in _pieces(texts, size, overlap):
-        item, diagonal = index.bands(data)
-        for i, a, b, end, edits in index.align(data, item, diagonal):
+        window, diagonal = index.bands(data)
+        for i, a, b, end, edits in index.align(data, window, diagonal):
             end = min(max(end, 1), len(data))
             k = int(np.searchsorted(starts, end - 1, "right")) - 1
             begin = max(int(starts[k]), end - (b - a))

@@ -117,3 +117,36 @@ def test_query(spark):
     got = {(r.doc_id, r.item_id) for r in queries.op5_decontamination(spark, SF).collect()}
     assert got >= {(k, i) for k, t in docs for i, p in items if norm(p) in norm(t)}
     assert got <= brute([x for x in docs if x[0] in {k for k, _ in got}], items)
+
+
+@pytest.mark.parametrize("length", [60, 66, 79])
+def test_passages_of_sixty_bytes_are_found_anywhere(length):
+    """The guarantee: a verbatim passage of 60 bytes or more of a longer item, wherever it begins."""
+    rng = random.Random(length)
+    item = prose(rng, 200)[:240]
+    index = d.Index([(1, item)])
+    texts = [f"{prose(rng, 20)} {item[at:at + length]} {prose(rng, 20)}" for at in range(0, 240 - length + 1)]
+    found = {k for k, _ in d.find_in_texts(index, pa.array(texts, pa.string()))}
+    assert found == set(range(len(texts)))
+
+
+@pytest.mark.parametrize("run", [1, 3500, 6000, 40_000])
+def test_white_space_at_a_cut_hides_nothing(run):
+    """A passage whose words are parted by a long run of white space at a cut of a long text is found, and placed."""
+    rng = random.Random(run)
+    item = prose(rng, 30)[:84]
+    half = item.index(" ", 40)
+    before = ((prose(rng, 1000) + " ") * 120)[:d.DOCUMENT_BLOCK - half - 1]
+    text = before + " " + item[:half] + " " * run + item[half + 1:] + " " + prose(rng, 100)
+    assert len(before) + run > d.DOCUMENT_BLOCK - 100 or run == 1
+    for t in (text, "é" + text, text.replace("  ", "\n\t") if run > 1 else text):
+        found = d.find_in_texts(d.Index([(9, item)]), pa.array(["x", t], pa.string()))
+        assert list(found) == [(1, 0)]
+        start, end, edits, _ = found[1, 0]
+        raw = t.encode()[start:end].decode("utf-8", "ignore")
+        assert edits == 0 and norm(raw).strip(b" ") == norm(item)
+
+
+def test_budget_is_rounded_up():
+    assert d.budget(60) == 5 and d.budget(50) == 4 and d.budget(20) <= 2
+    assert d.item_windows(85) == [(0, 60), (10, 70), (20, 80), (25, 85)]
