@@ -70,6 +70,38 @@ def table_counts(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]
     return out.withColumn("healthy", F.col("row_count") > 0)
 
 
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application that answers counts over Parquet files from their footers."""
+    footers = spark.newSession()
+    v1 = footers.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    footers.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in v1 if x.strip().lower() != "parquet"))
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return footers
+
+
+def file_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``table_counts`` of Parquet tables by path, from footers alone: the scan has the count pushed into it.
+
+    A path that does not exist, or has no Parquet schema, counts as 0. The
+    result belongs to a session of its own, in which aggregates are pushed
+    into Parquet scans.
+    """
+    footers = _footer_session(spark)
+    return table_counts(footers, {name: (lambda path=path: footers.read.parquet(path)) for name, path in paths.items()})
+
+
+def file_non_null_counts(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """``column_name, non_null, row_count`` of a Parquet table's top-level columns that are not nested, from footers alone.
+
+    Needs null counts in the footers, which Spark and Arrow write for every row group with rows; without them (an
+    empty file of Arrow's has none) the job fails and says so, and no count is guessed.
+    """
+    got = _footer_session(spark).read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"),
+                                                        *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("non_null"), "row_count") for i, c in enumerate(columns)]
+    return got.select(F.inline(F.array(*pairs)))
+
+
 def describe(df: DataFrame) -> DataFrame:
     """``position, column_name, column_type, nullable`` of every column (schema metadata only)."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]

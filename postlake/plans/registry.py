@@ -688,6 +688,26 @@ def q_overview(spark, d):
                                   for n in names})
 
 
+@query("f4_overview_from_footers", """
+select 'orders' as table_name, count(*) as row_count, count(*) > 0 as healthy from orders
+union all select 'lineitem', count(*), count(*) > 0 from lineitem
+union all select 'documents', count(*), count(*) > 0 from documents
+union all select 'orders_archive', 0, false
+""")
+def q_overview_from_footers(spark, d):
+    return M.file_counts(spark, {n: f"{d.rstrip('/')}/{n}.parquet" for n in ("orders", "lineitem", "documents", "orders_archive")})
+
+
+@query("g12_non_null_counts_from_footers", """
+select 'doc_id' as column_name, count(doc_id) as non_null, count(*) as row_count from documents
+union all select 'text', count(text), count(*) from documents
+union all select 'lang', count(lang), count(*) from documents
+union all select 'source', count(source), count(*) from documents
+""")
+def q_non_null_from_footers(spark, d):
+    return M.file_non_null_counts(spark, f"{d.rstrip('/')}/documents.parquet", ["doc_id", "text", "lang", "source"])
+
+
 @query("f4_overview_of_unreadable", """
 select 'orders' as table_name, count(*) as row_count, count(*) > 0 as healthy from orders
 union all select 'broken', 0, false union all select 'absent', 0, false
@@ -933,7 +953,7 @@ def q_apply_contract(spark, d):
                                           "experience_min", "crawled_at")
 
 
-@query("a1_scan_bronze_mixed_files", """
+MIXED_BRONZE_SQL = """
 select case when o_orderkey % 5 = 0 then null else 'J' || o_orderkey end as job_id, o_orderpriority as title,
   cast(null as varchar) as source, cast(o_totalprice as double) as salary_min,
   case when o_orderstatus = 'O' then null else cast(o_custkey as double) end as salary_max,
@@ -942,11 +962,12 @@ select case when o_orderkey % 5 = 0 then null else 'J' || o_orderkey end as job_
   case o_orderstatus when 'F' then '05' when 'O' then '05' else '17' end as batch_hour,
   'run_' || lower(o_orderstatus) as run_id
 from orders
-""")
-def q_scan_bronze(spark, d):
-    """Three batches of one table written with different physical types, read back by contract, nulls kept."""
-    from postlake.sources.bronze import scan_bronze, write_bronze
-    from postlake.sources.contract import posting_contract
+"""
+
+
+def _mixed_bronze(spark, d):
+    """A root of three batches of ``orders`` written with different physical types."""
+    from postlake.sources.bronze import write_bronze
     o = table(spark, d, "orders")
     root = _shared_dir(spark, "bronze")
     base = [F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("J"), F.col("o_orderkey").cast("string"))).alias("job_id"),
@@ -961,8 +982,44 @@ def q_scan_bronze(spark, d):
     write_bronze(o.where("o_orderstatus = 'P'").select(
         *base, F.col("o_totalprice").alias("salary_min"), F.col("o_custkey").cast("double").alias("salary_max"),
         F.concat(F.lit("extra "), F.col("o_custkey").cast("string")).alias("category")), root, "run_p", late)
-    stg = scan_bronze(spark, root, posting_contract(), with_batch_columns=True)
-    return stg.select("job_id", "title", "source", "salary_min", "salary_max", "tags", "category", "batch_hour", "run_id")
+    return root
+
+
+MIXED_BRONZE_COLUMNS = ["job_id", "title", "source", "salary_min", "salary_max", "tags", "category", "batch_hour", "run_id"]
+
+
+@query("a1_scan_bronze_mixed_files", MIXED_BRONZE_SQL)
+def q_scan_bronze(spark, d):
+    """Batches of different physical types, read back by contract, nulls kept."""
+    from postlake.sources.bronze import scan_bronze
+    from postlake.sources.contract import posting_contract
+    stg = scan_bronze(spark, _mixed_bronze(spark, d), posting_contract(), with_batch_columns=True)
+    return stg.select(*MIXED_BRONZE_COLUMNS)
+
+
+@query("a1_scan_by_manifest", MIXED_BRONZE_SQL)
+def q_scan_by_manifest(spark, d):
+    """The same root through its manifest, which one batch and then all of the root extend; no path goes to the driver."""
+    from postlake.sources.bronze import scan_bronze
+    from postlake.sources.contract import posting_contract
+    from postlake.sources.manifest import update_manifest
+    root = _mixed_bronze(spark, d)
+    update_manifest(spark, root, "batch_date=2024-05-06/batch_hour=05/run_id=run_f", part="run_f")
+    update_manifest(spark, root)
+    stg = scan_bronze(spark, root, posting_contract(), with_batch_columns=True, manifest=True, max_paths=0)
+    return stg.select(*MIXED_BRONZE_COLUMNS)
+
+
+@query("a7_counts_from_manifest", """
+select 'run_' || lower(o_orderstatus) as run_id, count(*) as row_count from orders group by o_orderstatus
+""")
+def q_counts_from_manifest(spark, d):
+    """Rows of each batch from the footers that its manifest recorded, without opening a file again."""
+    from postlake.sources.manifest import read_manifest, update_manifest
+    root = _mixed_bronze(spark, d)
+    update_manifest(spark, root)
+    return (read_manifest(spark, root).groupBy(F.regexp_extract("path", "/run_id=([^/]*)/", 1).alias("run_id"))
+            .agg(F.sum("row_count").alias("row_count")))
 
 
 @query("a9_keyed_records", """

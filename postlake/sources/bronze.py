@@ -13,69 +13,53 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.session import checkpoint, ensure_library
+from postlake.session import checkpoint
 from postlake.sources.contract import Contract, contract_types
+from postlake.sources.manifest import list_files, read_listed, read_manifest
 
 # Column of a micro-batch that holds its logged time.
 BATCH_TIME = "_batch_time"
 BATCH_PARTITIONS = ["batch_date", "batch_hour", "batch_minute", "batch_second"]
 
 
-_BUCKET_SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs"}
-
-
-def _footer_signatures(batches):
-    """``mapInPandas`` body: path → footer schema signature (one footer per file).
-
-    One filesystem client is kept per scheme and host and reused for every
-    file of the task.
-    """
-    from urllib.parse import unquote, urlsplit
-
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    clients = {}
-
-    def open_footer(path: str):
-        u = urlsplit(path)
-        scheme = _BUCKET_SCHEMES.get(u.scheme, u.scheme)
-        if scheme in ("", "file", "hdfs", "viewfs", "s3", "gs"):
-            key = (scheme, u.netloc)
-            if key not in clients:
-                uri = f"{scheme}://{u.netloc}/" if scheme not in ("", "file") else "file:///"
-                clients[key] = pafs.FileSystem.from_uri(uri)[0]
-            inner = unquote(u.netloc + u.path) if scheme in ("s3", "gs") else unquote(u.path)
-            return clients[key].open_input_file(inner)
-        fs, inner = pafs.FileSystem.from_uri(path)  # other stores: resolve per file
-        return fs.open_input_file(inner)
-
-    for pdf in batches:
-        sigs = []
-        for p in pdf["path"]:
-            with open_footer(p) as fh:
-                schema = pq.read_schema(fh)
-            sigs.append("|".join(f"{f.name}:{f.type}" for f in schema
-                                 if not f.name.startswith("__index_level")))
-        yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
+# Folders and files up to which a scan of mixed signatures hands their paths to Spark's reader; beyond, executors read them.
+MAX_PATHS = 10_000
 
 
 def list_signatures(spark: SparkSession, root: str) -> DataFrame:
     """``(path, signature)`` for every Parquet file under ``root`` (listing and footers on executors)."""
-    ensure_library(spark)
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet")
-             .load(root).select("path"))
-    return files.mapInPandas(_footer_signatures, "path string, signature string")
+    return list_files(spark, root).select("path", "signature")
+
+
+def _paths_by_signature(sigs: DataFrame, max_paths: int) -> dict[str, list[str]] | None:
+    """Signature → folders that hold only its files, and its files in other folders; None if these are over ``max_paths``."""
+    folder = sigs.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    per = folder.groupBy("folder").agg(F.min("signature").alias("signature"),
+                                       (F.min("signature") != F.max("signature")).alias("mixed")).limit(max_paths + 1).collect()
+    if len(per) > max_paths:
+        return None
+    names = sorted(r["folder"] + "/" for r in per)
+    nested = {n for n, after in zip(names, names[1:]) if after.startswith(n)}
+    single = {r["folder"] for r in per if r["mixed"] or r["folder"] + "/" in nested}
+    by_sig: dict[str, list[str]] = {}
+    for r in per:
+        if r["folder"] not in single:
+            by_sig.setdefault(r["signature"], []).append(r["folder"])
+    if single:
+        wanted = sigs.sparkSession.createDataFrame([(x,) for x in sorted(single)], "folder string")
+        files = folder.join(wanted, "folder", "left_semi").limit(max_paths + 1).collect()
+        if len(files) > max_paths:
+            return None
+        for r in files:
+            by_sig.setdefault(r["signature"], []).append(r["path"])
+    return by_sig
 
 
 def scan_bronze(spark: SparkSession, root: str, contract: Contract | None = None,
-                with_batch_columns: bool = False) -> DataFrame:
+                with_batch_columns: bool = False, manifest: bool = False, max_paths: int = MAX_PATHS) -> DataFrame:
     """Read every Parquet file under ``root``, matching columns by name.
 
     Files are grouped by footer signature; with one signature the folder is
@@ -85,42 +69,43 @@ def scan_bronze(spark: SparkSession, root: str, contract: Contract | None = None
     stay null, absent fields are null and columns outside the contract are
     kept. Without one, Spark widens numeric types. Footers are read once. In
     the mixed case the driver gets a folder for all files of one signature in
-    it, and single files only from folders that mix signatures.
+    it, and single files only from folders that mix signatures. If that makes
+    over ``max_paths`` paths, none of them goes to the driver: the executors
+    read the listed files themselves (whole columns, no pushdown).
+
+    ``manifest``: the files and signatures come from the manifest of ``root``,
+    without listing it or reading footers; it must be up to date
+    (``update_manifest``).
 
     ``with_batch_columns`` adds the ``batch_*`` / ``run_id`` values of the path
     as strings, written as in the path (``05`` stays ``05``); they replace data
     columns of those names. Without it such data columns are kept.
     """
-    sigs = checkpoint(list_signatures(spark, root))
-    kinds = [r["signature"] for r in sigs.select("signature").distinct().collect()]
-    if not kinds:
+    sigs = checkpoint(read_manifest(spark, root) if manifest else list_files(spark, root))
+    samples = sigs.groupBy("signature").agg(F.min("path").alias("path")).orderBy("signature").collect()
+    if not samples:
         raise FileNotFoundError(f"no Parquet files under {root}")
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
-    if len(kinds) == 1:
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    path, extra = F.col("_metadata.file_path"), []
+    if len(samples) == 1:
         # one physical schema: read the folder itself, no file list on the driver
-        frames = [reader.option("recursiveFileLookup", "true").parquet(root)]
+        frames = [reader.parquet(root)]
+    elif (by_sig := _paths_by_signature(sigs, max_paths)) is not None:
+        frames = [reader.parquet(*sorted(by_sig[k])) for k in sorted(by_sig)]
     else:
-        folder = sigs.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
-        per = folder.groupBy("folder").agg(F.min("signature").alias("signature"),
-                                           (F.min("signature") != F.max("signature")).alias("mixed")).orderBy("folder").collect()
-        names = sorted(r["folder"] + "/" for r in per)
-        nested = {n for n, after in zip(names, names[1:]) if after.startswith(n)}
-        single = [r["folder"] for r in per if r["mixed"] or r["folder"] + "/" in nested]
-        by_sig: dict[str, list[str]] = {}
-        for r in per:
-            if r["folder"] not in set(single):
-                by_sig.setdefault(r["signature"], []).append(r["folder"])
-        if single:
-            wanted = spark.createDataFrame([(x,) for x in single], "folder string")
-            for r in folder.join(wanted, "folder", "left_semi").collect():
-                by_sig.setdefault(r["signature"], []).append(r["path"])
-        frames = [reader.option("recursiveFileLookup", "true").parquet(*sorted(by_sig[k])) for k in sorted(by_sig)]
+        schemas = [reader.parquet(r["path"]).schema for r in samples]
+        name = "_path"
+        while any(name in s.names for s in schemas):
+            name += "_"
+        path, extra = F.col(name), [name]
+        frames = [read_listed(sigs.where(F.col("signature") == r["signature"]), s, name) for r, s in zip(samples, schemas)]
     if with_batch_columns:
         seen = sigs.agg(*[F.max(F.col("path").contains(f"/{c}=")).alias(c) for c in (*BATCH_PARTITIONS, "run_id")]).first()
         of_path = [c for c in (*BATCH_PARTITIONS, "run_id") if seen[c]]
         frames = [df.select(*[F.col(f"`{c}`") for c in df.columns if c not in of_path],
-                            *[F.nullif(F.regexp_extract("_metadata.file_path", f"/{c}=([^/]*)/", 1), F.lit("")).alias(c)
+                            *[F.nullif(F.regexp_extract(path, f"/{c}=([^/]*)/", 1), F.lit("")).alias(c)
                               for c in of_path]) for df in frames]
+    frames = [df.drop(*extra) for df in frames]
     parts = [contract_types(df, contract) if contract is not None else df for df in frames]
     out = parts[0]
     for p in parts[1:]:
@@ -128,6 +113,12 @@ def scan_bronze(spark: SparkSession, root: str, contract: Contract | None = None
     return out
 
 
+def path_values(ts: Column, partition_cols: Sequence[str]) -> list[Column]:
+    """Partition values of a timestamp column (UTC)."""
+    forms = {"batch_date": "yyyy-MM-dd", "batch_hour": "HH", "batch_minute": "mm", "batch_second": "ss"}
+    return [F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), forms[c]).alias(c) for c in partition_cols]
+
+
 def batch_columns(ts: dt.datetime) -> dict[str, str]:
     """Partition values of a batch timestamp (UTC)."""
     return {"batch_date": ts.strftime("%Y-%m-%d"), "batch_hour": ts.strftime("%H"),
@@ -147,8 +138,7 @@ def write_bronze(df: DataFrame, root: str, run_id: str, batch_ts: dt.datetime |
     but make many small directories at scale.
     """
     if isinstance(batch_ts, Column):
-        forms = {"batch_date": "yyyy-MM-dd", "batch_hour": "HH", "batch_minute": "mm", "batch_second": "ss"}
-        cols = [F.date_format(F.to_utc_timestamp(batch_ts, F.current_timezone()), forms[c]).alias(c) for c in partition_cols]
+        cols = path_values(batch_ts, partition_cols)
     else:
         vals = batch_columns(batch_ts or dt.datetime.now(dt.timezone.utc))
         cols = [F.lit(vals[c]).alias(c) for c in partition_cols]

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlake.sources.bronze import BATCH_TIME, write_bronze
+from postlake.sources.bronze import BATCH_TIME, path_values, write_bronze
 from postlake.sources.contract import Contract, apply_contract, posting_contract
+from postlake.sources.manifest import update_manifest
 from postlake.streaming.runs import query_id, write_counts
 
 # Fixed value: idle interval after which the consumer service writes what it has.
@@ -49,7 +50,7 @@ def split_bad(df: DataFrame, contract: Contract | None = None) -> tuple[DataFram
 
 def ingest_batch(batch: DataFrame, batch_id: int, root: str, quarantine: str | None,
                  run_prefix: str, contract: Contract | None,
-                 partition_cols: Sequence[str], counts: str | None = None) -> None:
+                 partition_cols: Sequence[str], counts: str | None = None, manifest: bool = False) -> None:
     """Write one micro-batch (the ``foreachBatch`` body).
 
     The batch is decoded once and kept for its two writes (good and bad);
@@ -66,6 +67,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, root: str, quarantine: str | N
         write_bronze(good.observe(seen["good"], one), root, run_id, F.col(BATCH_TIME), partition_cols)
         if quarantine:
             write_bronze(bad.observe(seen["bad"], one), quarantine, run_id, F.col(BATCH_TIME), partition_cols)
+        if manifest and (time := batch.select(*path_values(F.col(BATCH_TIME), partition_cols)).first()):
+            folder = "/".join(f"{c}={v}" for c, v in time.asDict().items())
+            update_manifest(batch.sparkSession, root, f"{folder}/run_id={run_id}", part=run_id)
         if counts:
             written = ("good", "bad") if quarantine else ("good",)
             write_counts(batch.sparkSession, counts, query, batch_id, {name: seen[name].get["n"] for name in written})
@@ -78,10 +82,11 @@ def ingest_stream(stream: DataFrame, root: str, checkpoint_location: str,
                   run_prefix: str = "ingest", available_now: bool = False,
                   processing_time: str = IDLE_FLUSH,
                   partition_cols: Sequence[str] = ("batch_date", "batch_hour"),
-                  counts: str | None = None) -> StreamingQuery:
+                  counts: str | None = None, manifest: bool = False) -> StreamingQuery:
     """Start the ingest query (H1). ``available_now`` drains and stops (H4).
 
     ``counts``: folder to which each batch writes how many good and bad records it held.
+    ``manifest``: each batch adds its files to the manifest of ``root``.
 
     A micro-batch takes all that has arrived; a limit is the source's option
     ``maxOffsetsPerTrigger`` (Kafka) or ``maxFilesPerTrigger`` (files).
@@ -90,7 +95,7 @@ def ingest_stream(stream: DataFrame, root: str, checkpoint_location: str,
     writer = (stream.withColumn(BATCH_TIME, F.current_timestamp()).writeStream
               .option("checkpointLocation", checkpoint_location)
               .foreachBatch(lambda b, i: ingest_batch(b, i, root, quarantine, run_prefix,
-                                                      contract, partition_cols, counts)))
+                                                      contract, partition_cols, counts, manifest)))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
     return writer.start()
