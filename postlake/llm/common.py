@@ -14,25 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, ensure_library
+from ..session import BATCH_BYTES, BATCH_ROWS, ensure_checkpoint_dir, ensure_library, short_batches
 
 #: A key is hot when it holds over 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 10_000
 
 
-#: Arrow batches of whole texts: rows and bytes that a Python worker and the JVM hold at a time for each task.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
-
-
 def prepare(spark: SparkSession) -> None:
     """Make the shared folder and the library's code available to the session, and its Arrow batches small."""
     ensure_checkpoint_dir(spark)
     ensure_library(spark)
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = int(spark.conf.get(key).rstrip("b"))
-        if now <= 0 or now > most:
-            spark.conf.set(key, str(most))
+    short_batches(spark)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -18,8 +18,11 @@ inner element, in document order, that any alternative matches.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from array import array
+from collections.abc import Callable, Mapping, Sequence
+from functools import lru_cache
 from html import unescape
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from postlake.functions.keys import posting_id
 from postlake.functions.parsing import with_experience, with_salary
 from postlake.functions.urls import absolute_url, company_from_url
 from postlake.operators.sequence import ordered_scan, splitters
-from postlake.session import ensure_library, spread, stored
+from postlake.session import ensure_library, short_batches, spread, stored
 from postlake.sources.contract import apply_contract
 
 # Elements without an end tag, and those whose text is not shown.
@@ -41,112 +44,156 @@ _HIDDEN = {"script", "style"}
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+)>""", re.S)
 _PAIR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
-#: A page: its elements in document order and its visible texts. ``at``: an element's place; ``css``: its class attribute; ``up``: place of the parent (-1: none); ``path``: those of all
-#: ancestors; ``nth``: number among the siblings of its tag; ``left``: the sibling before it (-1: none); ``stop``: place behind its last
-#: inner element; its texts are those from ``first`` up to ``last``.
-_ELEMENT = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("tag", T.StringType()), T.StructField("css", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-                         T.StructField("up", T.IntegerType()), T.StructField("path", T.ArrayType(T.IntegerType())),
-                         *[T.StructField(n, T.IntegerType()) for n in ("nth", "left", "stop", "first", "last")]])
-PAGE = T.StructType([T.StructField("elements", T.ArrayType(_ELEMENT)), T.StructField("texts", T.ArrayType(T.StringType()))])
+#: What a page lists of its elements, in document order. ``at``: an element's place; ``css``: its class attribute; ``up``: place of the parent (-1: none);
+#: ``path``: those of all ancestors; ``nth``: number among the siblings of its tag; ``left``: the sibling before it (-1: none); ``stop``: place behind
+#: its last inner element; its texts are those from ``first`` up to ``last``.
+_FIELDS = {"at": T.IntegerType(), "tag": T.StringType(), "css": T.StringType(), "attrs": T.MapType(T.StringType(), T.StringType()), "up": T.IntegerType(),
+           "path": T.ArrayType(T.IntegerType()), **{n: T.IntegerType() for n in ("nth", "left", "stop", "first", "last")}}
+#: Listed together: pages of so many characters, or one longer page. Their Python objects are gone before the next pages are listed.
+SLICE_CHARS = 1 << 20
+# Parsed start tags that are kept for the next of the same text, and the longest kept.
+_KEPT_TAGS, _KEPT_CHARS = 4096, 256
+
+
+def _attributes(rest: str, names: frozenset[str] | None) -> tuple[list[str], list[str], str | None, bool]:
+    """(names, values, class, whether it closes itself) of a start tag's text behind its name; only attributes in ``names`` (None: all) are listed."""
+    ends, own = 0, {}
+    for a in _PAIR.finditer(rest):
+        name, double, single, bare = a.groups()
+        value = double or single or bare or ""
+        own[name.lower()] = unescape(value) if "&" in value else value
+        ends = a.end()
+    css = own.get("class")
+    if names is not None:
+        own = {k: v for k, v in own.items() if k in names}
+    return [*own], [*own.values()], css, "/" in rest[ends:]
+
+
+_kept_attributes = lru_cache(_KEPT_TAGS)(_attributes)
 
 
 class _Listing:
-    """The elements of a batch of pages, column by column."""
+    """The elements of some pages, column by column: the ``fields`` (default: all) and attributes (None: all) asked for."""
 
-    def __init__(self):
-        self.tag, self.css, self.up, self.nth, self.left, self.stop, self.first, self.last = ([] for _ in range(8))
-        self.path, self.path_ends, self.name, self.value, self.attr_ends = [], [0], [], [], [0]
-        self.texts, self.page_ends, self.text_ends = [], [0], [0]
+    def __init__(self, fields: Sequence[str] = tuple(_FIELDS), names: frozenset[str] | None = None):
+        self.fields, self.names = [f for f in _FIELDS if f in fields], names
+        self.tag, self.css, self.name, self.value, self.texts = ([] for _ in range(5))
+        self.up, self.nth, self.left, self.stop, self.first, self.last, self.path = (array("i") for _ in range(7))
+        self.path_ends, self.attr_ends, self.page_ends, self.text_ends = (array("i", [0]) for _ in range(4))
 
     def add(self, html: str) -> None:
         """List one page. An end tag closes the elements opened since its start tag and is ignored without one; elements
         left open end with the page. Character references are decoded, in texts and attributes."""
-        tags, base, texts, at, size = self.tag, len(self.tag), len(self.texts), 0, len(html)
+        tags, texts, stop, last, names = self.tag, self.texts, self.stop, self.last, self.names
+        base, before, at, size = len(tags), len(texts), 0, len(html)
+        add_tag, add_up, add_stop, add_first, add_last, add_css, add_attrs = (x.append for x in (tags, self.up, stop, self.first, last, self.css, self.attr_ends))
+        wants_path, wants_nth, wants_left = ("path" in self.fields, "nth" in self.fields, "left" in self.fields)
         opened: list[int] = []
         child: dict[int, int] = {}
         kinds: dict[tuple[int, str], int] = {}
-
-        def text(piece: str) -> None:
-            piece = (unescape(piece) if "&" in piece else piece).strip()
-            if piece:
-                self.texts.append(piece)
-
-        def close() -> str:
-            i = base + opened.pop()
-            self.stop[i], self.last[i] = len(tags) - base, len(self.texts) - texts
-            return tags[i]
-
-        while at < size and (m := _MARKUP.search(html, at)):
-            begin, after = m.span()
-            if begin > at:
-                text(html[at:begin])
-            at = after
-            ends, tag, rest = m.groups()
-            if not tag:
-                continue
-            tag = tag.lower()
-            if ends:
-                if opened and (tags[base + opened[-1]] == tag or any(tags[base + i] == tag for i in opened)):
-                    while close() != tag:
-                        pass
-                continue
-            i, up, seen = len(tags) - base, opened[-1] if opened else -1, len(self.texts) - texts
-            kinds[up, tag] = nth = kinds.get((up, tag), 0) + 1
-            tags.append(tag)
-            self.up.append(up)
-            self.nth.append(nth)
-            self.left.append(child.get(up, -1))
-            child[up] = i
-            self.stop.append(i + 1)
-            self.first.append(seen)
-            self.last.append(seen)
-            self.path += opened
-            self.path_ends.append(len(self.path))
-            closed, own = False, {}
-            if rest:
-                ends = 0
-                for a in _PAIR.finditer(rest):
-                    name, double, single, bare = a.groups()
-                    value = double or single or bare or ""
-                    own[name.lower()] = unescape(value) if "&" in value else value
-                    ends = a.end()
-                self.name += own
-                self.value += own.values()
-                closed = "/" in rest[ends:]
-            self.css.append(own.get("class"))
-            self.attr_ends.append(len(self.name))
-            if tag in _VOID or closed:
-                continue
-            opened.append(i)
-            if tag in _HIDDEN:  # neither markup nor text up to the end tag
-                end = re.compile(rf"</{tag}\b", re.I).search(html, at)
-                at = end.start() if end else size
+        more = True
+        while more and at < size:
+            more = False
+            for m in _MARKUP.finditer(html, at):
+                begin, after = m.span()
+                if begin > at:
+                    piece = html[at:begin]
+                    piece = (unescape(piece) if "&" in piece else piece).strip()
+                    if piece:
+                        texts.append(piece)
+                at = after
+                ends, tag, rest = m.groups()
+                if not tag:
+                    continue
+                tag = intern(tag.lower())
+                if ends:
+                    if opened and (tags[base + opened[-1]] == tag or any(tags[base + i] == tag for i in opened)):
+                        here, seen = len(tags) - base, len(texts) - before
+                        while True:
+                            i = base + opened.pop()
+                            stop[i], last[i] = here, seen
+                            if tags[i] == tag:
+                                break
+                    continue
+                i, up, seen = len(tags) - base, opened[-1] if opened else -1, len(texts) - before
+                add_tag(tag)
+                add_up(up)
+                add_stop(i + 1)
+                add_first(seen)
+                add_last(seen)
+                if wants_nth:
+                    kinds[up, tag] = nth = kinds.get((up, tag), 0) + 1
+                    self.nth.append(nth)
+                if wants_left:
+                    self.left.append(child.get(up, -1))
+                    child[up] = i
+                if wants_path:
+                    if opened:
+                        self.path.extend(opened)
+                    self.path_ends.append(len(self.path))
+                css, closed = None, False
+                if rest:
+                    own, values, css, closed = (_kept_attributes if len(rest) <= _KEPT_CHARS else _attributes)(rest, names)
+                    if own:
+                        self.name += own
+                        self.value += values
+                add_css(css)
+                add_attrs(len(self.name))
+                if closed or tag in _VOID:
+                    continue
+                opened.append(i)
+                if tag in _HIDDEN:  # neither markup nor text up to the end tag
+                    end = re.compile(rf"</{tag}\b", re.I).search(html, at)
+                    at, more = end.start() if end else size, True
+                    break
         if at < size:
-            text(html[at:])
-        while opened:
-            close()
+            piece = (unescape(html[at:]) if "&" in html else html[at:]).strip()
+            if piece:
+                texts.append(piece)
+        here, seen = len(tags) - base, len(texts) - before
+        for i in opened:
+            stop[base + i], last[base + i] = here, seen
         self.page_ends.append(len(tags))
-        self.text_ends.append(len(self.texts))
+        self.text_ends.append(len(texts))
 
     def column(self) -> pa.StructArray:
         ints = lambda x: pa.array(np.array(x, np.int32))
-        attrs = pa.MapArray.from_arrays(ints(self.attr_ends), pa.array(self.name, pa.string()), pa.array(self.value, pa.string()))
-        path = pa.ListArray.from_arrays(ints(self.path_ends), ints(self.path))
-        sizes = np.diff(self.page_ends)
-        at = np.arange(len(self.tag)) - np.repeat(np.array(self.page_ends[:-1], np.int64), sizes)
-        elements = pa.StructArray.from_arrays([ints(at), pa.array(self.tag, pa.string()), pa.array(self.css, pa.string()), attrs, ints(self.up), path, ints(self.nth), ints(self.left),
-                                               ints(self.stop), ints(self.first), ints(self.last)], names=_ELEMENT.names)
+        strings = lambda x: pa.array(x, pa.string())
+
+        def field(name: str) -> pa.Array:
+            if name == "at":
+                return ints(np.arange(len(self.tag)) - np.repeat(np.array(self.page_ends[:-1], np.int64), np.diff(self.page_ends)))
+            if name == "attrs":
+                return pa.MapArray.from_arrays(ints(self.attr_ends), strings(self.name), strings(self.value))
+            if name == "path":
+                return pa.ListArray.from_arrays(ints(self.path_ends), ints(self.path))
+            return strings(getattr(self, name)) if name in ("tag", "css") else ints(getattr(self, name))
+
+        elements = pa.StructArray.from_arrays([field(n) for n in self.fields], names=self.fields)
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ints(self.page_ends), elements),
-                                           pa.ListArray.from_arrays(ints(self.text_ends), pa.array(self.texts, pa.string()))], names=["elements", "texts"])
+                                           pa.ListArray.from_arrays(ints(self.text_ends), strings(self.texts))], names=["elements", "texts"])
+
+
+def list_elements(html: Column, fields: Sequence[str] = tuple(_FIELDS), names: Sequence[str] | None = None) -> Column:
+    """The elements, with ``fields`` and the attributes in ``names`` (None: all), and the texts of a page (null: none)."""
+    fields, names = [f for f in _FIELDS if f in fields], None if names is None else frozenset(names)
+    element = T.StructType([T.StructField(f, _FIELDS[f]) for f in fields])
+    page_type = T.StructType([T.StructField("elements", T.ArrayType(element)), T.StructField("texts", T.ArrayType(T.StringType()))])
 
+    @F.arrow_udf(page_type)
+    def listed(html: pa.Array) -> pa.Array:
+        parts, out, chars = [], _Listing(fields, names), 0
+        for page in html:
+            text = page.as_py() or ""
+            if chars and chars + len(text) > SLICE_CHARS:
+                parts.append(out.column())
+                out, chars = _Listing(fields, names), 0
+            out.add(text)
+            chars += len(text)
+        parts.append(out.column())
+        return pa.concat_arrays(parts)
 
-@F.arrow_udf(PAGE)
-def list_elements(html: pa.Array) -> pa.Array:
-    """Column function: the elements and texts of a page (null: none)."""
-    out = _Listing()
-    for page in html:
-        out.add(page.as_py() or "")
-    return out.column()
+    return listed(html)
 
 
 _QUALIFIER = r"\.(?:\\.|[\w-])+|\#(?:\\.|[\w-])+|\[[^\]]*\]"
@@ -180,8 +227,8 @@ def _split_top(text: str, sep: str) -> list[str]:
     return [x.strip() for x in out if x.strip()]
 
 
-def _compound(text: str) -> Callable[[Column], Column]:
-    """Test of one compound selector on an element's columns."""
+def _compound(text: str) -> tuple[Callable[[Column], Column], set[str], set[str]]:
+    """Test of one compound selector on an element's columns, and the fields and attributes that it reads."""
     m = _COMPOUND.fullmatch(text)
     if not m or not text:
         raise ValueError(f"unsupported selector {text!r}")
@@ -207,7 +254,9 @@ def _compound(text: str) -> Callable[[Column], Column]:
             out = out & (have.isNotNull() if test is None else F.coalesce(_TESTS[test](have, want), F.lit(False)))
         return out
 
-    return holds
+    names = {name for name, _, _ in tests} - {"class"}
+    fields = {f for f, used in (("tag", tag != "*"), ("nth", nth), ("css", any(name == "class" for name, _, _ in tests)), ("attrs", names)) if used}
+    return holds, fields, names
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -227,18 +276,30 @@ def _chain(steps: list[tuple[str, Callable]], e: Column, elements: Column) -> Co
     return test(e) & (place >= 0) & F.coalesce(at(place), F.lit(False))
 
 
-def _places(selector: str, elements: Column) -> Column:
-    """Places of the elements that any of the selector's alternatives matches, in document order."""
-    chains = []
+_READ_BY = {" ": "path", ">": "up", "+": "left"}  # the field by which a step finds the elements of the step before
+
+
+def _chains(selector: str) -> tuple[list[list[tuple[str, Callable]]], set[str], set[str]]:
+    """A selector's alternatives as chains of steps, and the fields and attributes that they read."""
+    chains, fields, names = [], set(), set()
     for alternative in _split_top(selector, ","):
         steps, relation = [], " "
         for part in _split_top(re.sub(r"\s*([>+])\s*(?![^\[]*\])", r" \1 ", alternative), " "):
             if part in (">", "+"):
                 relation = part
             else:
-                steps.append((relation, _compound(part)))
+                test, own_fields, own_names = _compound(part)
+                fields |= own_fields | ({_READ_BY[relation]} if steps else set())
+                names |= own_names
+                steps.append((relation, test))
                 relation = " "
         chains.append(steps)
+    return chains, fields, names
+
+
+def _places(selector: str, elements: Column) -> Column:
+    """Places of the elements that any of the selector's alternatives matches, in document order."""
+    chains = _chains(selector)[0]
 
     def holds(e: Column) -> Column:
         out = _chain(chains[0], e, elements)
@@ -249,10 +310,24 @@ def _places(selector: str, elements: Column) -> Column:
     return F.transform(F.filter(elements, holds), lambda e: e["at"])
 
 
+def _rules(fields: Mapping[str, Mapping]) -> list[tuple[str | None, str]]:
+    return [(r.get("selector") or None, r.get("attribute", "text").lower()) for r in fields.values()]
+
+
+def _reads(container: str, fields: Mapping[str, Mapping]) -> tuple[set[str], set[str]]:
+    """Fields and attributes of a page's elements that the rules read."""
+    rules, read, names = _rules(fields), {"at", "stop", "first", "last"}, set()
+    for selector in dict.fromkeys([container, *(s for s, _ in rules if s)]):
+        _, own_fields, own_names = _chains(selector)
+        read, names = read | own_fields, names | own_names
+    names |= {a for _, a in rules if a not in ("text", "exists")}
+    return read | ({"attrs"} if names else set()), names
+
+
 def _items(page: Column, container: str, fields: Mapping[str, Mapping]) -> Column:
     """For each container of a page, an array of its fields' values as text (null: absent)."""
     elements, texts = page["elements"], page["texts"]
-    rules = [(r.get("selector") or None, r.get("attribute", "text").lower()) for r in fields.values()]
+    rules = _rules(fields)
     inner = {s: f"s{n}" for n, s in enumerate(dict.fromkeys(s for s, _ in rules if s))}
     places = F.struct(_places(container, elements).alias("own"), *[_places(s, elements).alias(n) for s, n in inner.items()])
 
@@ -307,8 +382,9 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     if clash:
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
     rules = _items(F.col("_page"), container, fields)
+    short_batches(pages.sparkSession)
     listed = spread(pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_html")))
-    listed = listed.select(*[F.col(k) for k in keep], list_elements("_html").alias("_page"))
+    listed = listed.select(*[F.col(k) for k in keep], list_elements(F.col("_html"), *_reads(container, fields)).alias("_page"))
     exploded = listed.select(*[F.col(k) for k in keep], F.posexplode(rules).alias("item_pos", "_item"))
     cols = []
     for n, (name, rule) in enumerate(fields.items()):

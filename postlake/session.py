@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings the library's jobs assume. UTC keeps batch paths and timestamp casts
 # independent of the machine's zone; AQE re-plans joins and coalesces shuffle
@@ -114,6 +115,19 @@ def stored(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Arrow batches of whole texts: rows and bytes that a Python worker and the JVM hold at a time for each task.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Lower the session's limits of an Arrow batch to BATCH_ROWS and BATCH_BYTES."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def spread(df):
     """``df`` over at least as many tasks as there are cores, for work on its rows that is far dearer than moving them.
 

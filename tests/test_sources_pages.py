@@ -514,3 +514,22 @@ def test_merge_latest_reads_touched_buckets_only(spark, tmp_dir):
         merge_latest(spark, root, df.where("t >= 60"), "k", order, buckets=8)
         want = deduplicate(df, ["k"], order).collect()
         assert sorted(map(str, read_latest(spark, root).collect())) == sorted(map(str, want)) and len(want) == 41
+
+
+def test_listing_holds_slices_and_what_rules_read(spark, monkeypatch):
+    """Pages are listed in slices of bounded text with the fields that the rules read; a batch has few rows and bytes."""
+    from postlake.plans import pages as P
+    from postlake.session import BATCH_BYTES, BATCH_ROWS
+    read, names = P._reads("li", {"title": {"selector": "a"}, "url": {"selector": "ul > a.x[rel]", "attribute": "href"}})
+    assert read == {"at", "stop", "first", "last", "tag", "css", "attrs", "up"} and names == {"rel", "href"}
+    assert "path" in P._reads("ul li", {})[0] and "left" in P._reads("a + b", {})[0] and "nth" in P._reads("a:nth-of-type(2)", {})[0]
+    html = [f"<ul><li class=k><a href=/{i} rel=r data-z=1>{i}</a>" for i in range(500)] + [None, ""]
+    pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string").coalesce(1)
+    monkeypatch.setattr(P, "SLICE_CHARS", 200)
+    listed = pages.select("page_id", P.list_elements(F.col("html"), ("at", "attrs"), ("href",)).alias("p")).collect()
+    assert len(listed) == 502
+    assert all(([e.asDict() for e in r.p.elements] == [{"at": 0, "attrs": {}}, {"at": 1, "attrs": {}}, {"at": 2, "attrs": {"href": f"/{r.page_id}"}}]
+                and r.p.texts == [str(r.page_id)]) if r.page_id < 500 else r.p.elements == [] for r in listed)
+    extract_items(pages, "li", {"title": {"selector": "a"}}, keep=("page_id",))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= BATCH_BYTES
