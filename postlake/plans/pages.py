@@ -383,7 +383,7 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
     rules = _items(F.col("_page"), container, fields)
     short_batches(pages.sparkSession)
-    listed = spread(pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_html")))
+    listed = spread(pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_html")), "_html")
     listed = listed.select(*[F.col(k) for k in keep], list_elements(F.col("_html"), *_reads(container, fields)).alias("_page"))
     exploded = listed.select(*[F.col(k) for k in keep], F.posexplode(rules).alias("item_pos", "_item"))
     cols = []

@@ -128,13 +128,15 @@ def short_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def spread(df):
-    """``df`` over at least as many tasks as there are cores, for work on its rows that is far dearer than moving them.
+#: Text that one task of :func:`spread` is dealt, on average.
+TASK_BYTES = 8 << 20
 
-    Only an input that is read in fewer splits (a small table in one file) is dealt anew; after a shuffle Spark has
-    chosen the number already.
+
+def spread(df, text: str):
+    """``df`` dealt over tasks of TASK_BYTES of the column ``text``, at least one a core, for work on its rows that is far dearer than moving them.
+
+    The bytes are counted first: neither the files' size (a small table can make long texts, a file can be one
+    unsplittable row group) nor the partitions of a shuffle before tell how much text a task gets.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))

@@ -516,6 +516,16 @@ def test_merge_latest_reads_touched_buckets_only(spark, tmp_dir):
         assert sorted(map(str, read_latest(spark, root).collect())) == sorted(map(str, want)) and len(want) == 41
 
 
+def test_listing_is_dealt_by_bytes_of_text(spark):
+    """Long texts made from a small table are listed in tasks of bounded bytes, also behind a shuffle."""
+    from postlake.session import TASK_BYTES, spread
+    rows = 3 * spark.sparkContext.defaultParallelism
+    texts = spark.range(rows).repartition(2).select("id", F.repeat(F.lit("x"), TASK_BYTES // 2).alias("t"))
+    dealt = spread(texts, "t")
+    assert dealt.rdd.getNumPartitions() == rows // 2 and dealt.count() == rows
+    assert spread(texts.limit(0), "t").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_listing_holds_slices_and_what_rules_read(spark, monkeypatch):
     """Pages are listed in slices of bounded text with the fields that the rules read; a batch has few rows and bytes."""
     from postlake.plans import pages as P
