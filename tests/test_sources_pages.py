@@ -526,6 +526,16 @@ def test_listing_is_dealt_by_bytes_of_text(spark):
     assert spread(texts.limit(0), "t").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
+def test_postings_are_built_in_tasks_of_bounded_text(spark):
+    from postlake.session import TASK_BYTES
+    cores = spark.sparkContext.defaultParallelism
+    page = F.concat(F.lit("<div class=c><a href='/j/1'>A</a></div><!--"), F.repeat(F.lit("x"), TASK_BYTES), F.lit("-->"))
+    pages = spark.range(2 * cores).coalesce(1).select(F.col("id").alias("page_id"), page.alias("html"))
+    items = extract_items(pages, ".c", {"title": {"selector": "a"}, "url": {"selector": "a", "attribute": "href"}}, keep=("page_id",), base_url="https://a.example")
+    built = build_postings(items, "s", F.col("page_id"))
+    assert built.rdd.getNumPartitions() > 2 * cores and built.where("url = 'https://a.example/j/1' and title = 'A'").count() == 2 * cores
+
+
 def test_listing_holds_slices_and_what_rules_read(spark, monkeypatch):
     """Pages are listed in slices of bounded text with the fields that the rules read; a batch has few rows and bytes."""
     from postlake.plans import pages as P
