@@ -13,15 +13,16 @@ inside them:
    array. A row's range is a plain expression of them, a binary search, so
    every consumer and every repeated task sees the same ranges. A hot key is
    spread over many ranges, and so are rows that tie.
-3. Windows over (key, range) compute every value inside a range.
+3. Windows over (key, range) compute every value inside a range; the result
+   is stored, so that rows are sorted once.
 4. Only the keys that the splitters name can lie in several ranges (a key
-   between two splitters lies in one). For those, the sums, first and last
-   rows of each range are aggregated, carried over the key's ranges by a small
-   window (all in all at most two rows for each range), and joined back by
-   key and range, as which the rows are partitioned and sorted already.
+   between two splitters lies in one). For those, the first and last stored
+   rows of each range, which hold its sums, are carried over the key's ranges
+   by a small window (all in all at most two rows for each range), and joined
+   back by key and range.
 
 The caller projects ``df`` to the columns it needs before the scan: they are
-written once and shuffled once.
+written twice and shuffled once.
 """
 
 from __future__ import annotations
@@ -137,6 +138,14 @@ def splitters(rows: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
     return Cuts(rows.sparkSession.createDataFrame(found, cuts.schema), n, found)
 
 
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partitions: int | None, cuts: Cuts | None) -> tuple[DataFrame, Cuts]:
+    """``df`` with the scan's columns (key, place, range), and its splitters."""
+    if cuts is None:
+        df = numbered(df)
+        cuts = splitters(df, keys, order, num_partitions or range_count(df))
+    return _placed(df, keys, order).withColumn(_RP, cuts.range_of()), cuts
+
+
 def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partitions: int | None = None,
            cuts: Cuts | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, cuts): ``df`` with the scan's columns (key, place, range), and its splitters.
@@ -144,10 +153,8 @@ def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partiti
     Without ``cuts`` the rows are numbered and stored. With cuts, which were made from a table of the same keys and
     places, ``df`` is a stored table whose order tells rows apart.
     """
-    if cuts is None:
-        df = numbered(df)
-        cuts = splitters(df, keys, order, num_partitions or range_count(df))
-    return _placed(df, keys, order).withColumn(_RP, cuts.range_of()), cuts.table
+    rows, cuts = _cut(df, keys, order, num_partitions, cuts)
+    return rows, cuts.table
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -168,24 +175,36 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``cuts``: as for :func:`ranged`, for several scans of tables with the same keys and places.
     """
     keys, prev, next_, running_max, runs, sums = (list(x) for x in (keys, prev, next, running_max, runs, sums))
-    rows, cuts = ranged(df, keys, order, num_partitions, cuts)
-    inside = Window.partitionBy(_KEY, _RP).orderBy(_AT)
+    rows, cuts = _cut(df, keys, order, num_partitions, cuts)
+    # rows that tie come in any order, so a range is sorted by the plain columns alone: no key, place or number is shuffled
+    by = [F.col(t.removesuffix(" nulls last")).asc_nulls_last() if t.endswith(" nulls last") else F.col(t).asc_nulls_first() for t in order]
+    flat = rows.select(*[F.col(f"`{c}`") for c in df.columns], _RP)
+    inside = Window.partitionBy(*keys, _RP).orderBy(*by)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turn = F.row_number().over(inside)
     value = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0))
     stop = lambda c: F.when(~F.coalesce(F.col(c), F.lit(False)), F.col("_scan_turn"))
+    packed = lambda names: F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)] or [F.lit(1)])
+
+    local = flat.select("*", F.row_number().over(inside).alias("_scan_turn"), F.lead(packed(next_)).over(inside).alias("_scan_next"),
+                        *[F.lag(packed(prev)).over(inside).alias("_scan_prev")] * bool(prev),
+                        *[F.max(c).over(upto).alias("max_" + c) for c in running_max],
+                        *[F.sum(value(c)).over(upto).alias("sum_" + c) for c in sums])
+    local = local.select("*", *[F.max(stop(c)).over(upto).alias("_stop_" + c) for c in runs])
+    local = local.withColumns({"_scan_end": F.col("_scan_next").isNull(), **{"prev_" + c: F.col("_scan_prev")[f"c{i}"] for i, c in enumerate(prev)},
+                               **{"next_" + c: F.col("_scan_next")[f"c{i}"] for i, c in enumerate(next_)}})
+    local = stored(local.drop("_scan_next", "_scan_prev"), "scan-ranges")
+    local = local.withColumn(_KEY, F.struct(*[F.col(k) for k in keys] or [F.lit(0).alias("all")]))
 
     # what a range hands on: only keys that a splitter names can go on in the next range
-    torn = rows if not keys else rows.join(cuts.select(_KEY).distinct(), _KEY, "left_semi")
-    if runs:
-        torn = torn.withColumn("_scan_turn", turn)
+    ends = local.where((F.col("_scan_turn") == 1) | F.col("_scan_end"))
+    torn = ends if not keys else ends.join(cuts.table.select(_KEY).distinct(), _KEY, "left_semi")
     handed = torn.groupBy(_KEY, _RP).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.max_by(F.struct(c), _AT).alias("_last_" + c) for c in prev],
-        *[F.min_by(F.struct(c), _AT).alias("_first_" + c) for c in next_],
-        *[F.max(c).alias("_max_" + c) for c in running_max],
-        *[F.sum(value(c)).alias("_sum_" + c) for c in sums],
-        *[F.max(stop(c)).alias("_stop_" + c) for c in runs])
+        F.max("_scan_turn").alias("_n"),
+        *[F.max_by(F.struct(c), "_scan_turn").alias("_last_" + c) for c in prev],
+        *[F.min_by(F.struct(c), "_scan_turn").alias("_first_" + c) for c in next_],
+        *[F.max("max_" + c).alias("_max_" + c) for c in running_max],
+        *[F.max_by("sum_" + c, "_scan_turn").alias("_sum_" + c) for c in sums],
+        *[F.max("_stop_" + c).alias("_stop_" + c) for c in runs])
     over = Window.partitionBy(_KEY).orderBy(_RP)
     before = over.rowsBetween(Window.unboundedPreceding, -1)
     ends = F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -201,17 +220,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[(zero(F.sum("_n").over(before)) - zero(F.max(F.col("_ends") - F.col("_n") + F.col("_stop_" + c)).over(before))).alias("_carry_run_" + c)
           for c in runs])
 
-    local = rows.withColumn("_scan_turn", turn).withColumn("_scan_end", F.lead(F.lit(1)).over(inside).isNull())
-    for c in prev:
-        local = local.withColumn("prev_" + c, F.lag(c).over(inside))
-    for c in next_:
-        local = local.withColumn("next_" + c, F.lead(c).over(inside))
-    for c in running_max:
-        local = local.withColumn("max_" + c, F.max(c).over(upto))
-    for c in sums:
-        local = local.withColumn("sum_" + c, F.sum(value(c)).over(upto))
-    for c in runs:
-        local = local.withColumn("_stop_" + c, F.max(stop(c)).over(upto))
+    if cuts.n <= LOCAL_CUTS:
+        carry = F.broadcast(carry)
     both = local.join(carry, (F.col(_KEY) == F.col("_carry_key")) & (F.col(_RP) == F.col("_carry_rp")), "left")
     begins = F.col("_scan_turn") == 1
     out = [F.col(f"`{c}`") for c in df.columns]

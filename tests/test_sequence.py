@@ -140,3 +140,16 @@ def test_nulls_last(spark):
     got = sorted(ordered_scan(df, [], ["v nulls last", "id"], prev=["v"], num_partitions=6).select("_idx", "v", "prev_v").collect())
     values = sorted((r.v for r in df.collect()), key=lambda v: (v is None, v or 0))
     assert [g.v for g in got] == values and [g.prev_v for g in got] == [None, *values[:-1]]
+
+
+def test_ranges_are_sorted_once(spark):
+    """What ranges hand on is read from their stored ends: the table itself is neither sorted nor shuffled again."""
+    df = spark.range(5000).select((F.col("id") % 50).alias("v"), "id")
+    out = ordered_scan(df, [], ["v", "id"], prev=["v"], next=["id"], running_max=["id"], sums=["v"], num_partitions=6)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    rows = sorted(df.collect())
+    got = sorted((r._idx, r.v, r.id, r.prev_v, r.next_id, r.max_id, r.sum_v) for r in out.collect())
+    want = [(i, v, n, rows[i - 1][0] if i else None, rows[i + 1][1] if i + 1 < len(rows) else None, max(r[1] for r in rows[:i + 1]), sum(r[0] for r in rows[:i + 1]))
+            for i, (v, n) in enumerate(rows)]
+    assert got == want
