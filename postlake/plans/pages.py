@@ -22,6 +22,7 @@ from array import array
 from collections.abc import Callable, Mapping, Sequence
 from functools import lru_cache
 from html import unescape
+from itertools import accumulate
 from sys import intern
 
 import numpy as np
@@ -41,7 +42,12 @@ from postlake.sources.contract import apply_contract
 # Elements without an end tag, and those whose text is not shown.
 _VOID = {"img", "input", "br", "hr", "meta", "link", "source", "area", "base", "col", "embed", "wbr"}
 _HIDDEN = {"script", "style"}
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+)>""", re.S)
+# A comment, a declaration, or a tag: its slash, name, and what follows the name. The first groups are set for a script or style, whose inside up to the end tag is passed over.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?:(?=[sS][cC][rR][iI][pP][tT][\s/>])()|(?=[sS][tT][yY][lL][eE][\s/>])())?+(/?)([a-zA-Z][^\s/>]*)"""
+                     r"""([^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+)>"""
+                     r"""(?(1)[^<]*+(?:<(?!/(?i:script)\b)[^<]*+)*+)(?(2)[^<]*+(?:<(?!/(?i:style)\b)[^<]*+)*+)""", re.S)
+_STYLED = re.compile(r"<(?:[sS][cC][rR][iI][pP][tT]|[sS][tT][yY][lL][eE])(?!\s*>)")
+_PARTS = 1 + _MARKUP.groups  # of a split page: a text, then the groups of the markup behind it
 _PAIR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
 #: What a page lists of its elements, in document order. ``at``: an element's place; ``css``: its class attribute; ``up``: place of the parent (-1: none);
@@ -72,102 +78,146 @@ def _attributes(rest: str, names: frozenset[str] | None) -> tuple[list[str], lis
 _kept_attributes = lru_cache(_KEPT_TAGS)(_attributes)
 
 
+def _hides(tag: str | None, ends: str | None, rest: str | None) -> bool:
+    """Whether the text behind a tag is not shown: that of a script or style which does not close itself."""
+    return bool(tag) and not ends and tag.lower() in _HIDDEN and not _attributes(rest, None)[3]
+
+
+def _parts(html: str) -> list[str | None]:
+    """The page's texts and the groups of _MARKUP between them."""
+    parts = _MARKUP.split(html)
+    if not _STYLED.search(html):
+        return parts
+    starts = [i for i, tag in enumerate(parts[4::_PARTS]) if tag and tag[0] in "sS" and tag.lower() in _HIDDEN]
+    if all(_hides(tag, ends, rest) == (script is not None or style is not None)
+           for script, style, ends, tag, rest in (parts[i * _PARTS + 1:(i + 1) * _PARTS] for i in starts)):
+        return parts
+    parts, at = [], 0  # such an element closes itself, or a quote follows its name: look behind each tag
+    while m := _MARKUP.search(html, at):
+        parts += [html[at:m.start()], *m.groups()]
+        at = m.end(5) + 1 if m[4] else m.end()
+        if _hides(m[4], m[3], m[5]):
+            end = re.compile(rf"</{m[4]}\b", re.I).search(html, at)
+            at = end.start() if end else len(html)
+    return [*parts, html[at:]]
+
+
+class _Names(dict):
+    """Tag names in lower case."""
+
+    def __missing__(self, tag: str) -> str:
+        self[tag] = low = intern(tag.lower())
+        return low
+
+
+class _Starts(dict):
+    """Numbers of the different texts behind a start tag's name, each parsed once: attributes in ``names`` (None: all), class, whether the tag closes itself."""
+
+    def __init__(self, names: frozenset[str] | None):
+        self.names, self.ends, self.name, self.value, self.css, self.closed = names, array("i", [0]), [], [], [], []
+
+    def __missing__(self, rest: str) -> int:
+        own, values, css, closed = (_kept_attributes if len(rest) <= _KEPT_CHARS else _attributes)(rest, self.names)
+        self.name += own
+        self.value += values
+        self.ends.append(len(self.name))
+        self.css.append(css)
+        self.closed.append(closed)
+        self[rest] = number = len(self.css) - 1
+        return number
+
+
 class _Listing:
     """The elements of some pages, column by column: the ``fields`` (default: all) and attributes (None: all) asked for."""
 
     def __init__(self, fields: Sequence[str] = tuple(_FIELDS), names: frozenset[str] | None = None):
-        self.fields, self.names = [f for f in _FIELDS if f in fields], names
-        self.tag, self.css, self.name, self.value, self.texts = ([] for _ in range(5))
-        self.up, self.nth, self.left, self.stop, self.first, self.last, self.path = (array("i") for _ in range(7))
-        self.path_ends, self.attr_ends, self.page_ends, self.text_ends = (array("i", [0]) for _ in range(4))
+        self.fields, self.lower, self.starts = [f for f in _FIELDS if f in fields], _Names(), _Starts(names)
+        self.tag, self.texts, self.path, self.depth = [], [], array("i"), array("i")
+        self.up, self.stop, self.first, self.last, self.start = (array("i") for _ in range(5))
+        self.page_ends, self.text_ends = array("i", [0]), array("i", [0])
 
     def add(self, html: str) -> None:
         """List one page. An end tag closes the elements opened since its start tag and is ignored without one; elements
         left open end with the page. Character references are decoded, in texts and attributes."""
-        tags, texts, stop, last, names = self.tag, self.texts, self.stop, self.last, self.names
-        base, before, at, size = len(tags), len(texts), 0, len(html)
-        add_tag, add_up, add_stop, add_first, add_last, add_css, add_attrs = (x.append for x in (tags, self.up, stop, self.first, last, self.css, self.attr_ends))
-        wants_path, wants_nth, wants_left = ("path" in self.fields, "nth" in self.fields, "left" in self.fields)
-        opened: list[int] = []
-        child: dict[int, int] = {}
-        kinds: dict[tuple[int, str], int] = {}
-        more = True
-        while more and at < size:
-            more = False
-            for m in _MARKUP.finditer(html, at):
-                begin, after = m.span()
-                if begin > at:
-                    piece = html[at:begin]
-                    piece = (unescape(piece) if "&" in piece else piece).strip()
-                    if piece:
-                        texts.append(piece)
-                at = after
-                ends, tag, rest = m.groups()
-                if not tag:
-                    continue
-                tag = intern(tag.lower())
-                if ends:
-                    if opened and (tags[base + opened[-1]] == tag or any(tags[base + i] == tag for i in opened)):
-                        here, seen = len(tags) - base, len(texts) - before
-                        while True:
-                            i = base + opened.pop()
-                            stop[i], last[i] = here, seen
-                            if tags[i] == tag:
-                                break
-                    continue
-                i, up, seen = len(tags) - base, opened[-1] if opened else -1, len(texts) - before
-                add_tag(tag)
-                add_up(up)
-                add_stop(i + 1)
-                add_first(seen)
-                add_last(seen)
-                if wants_nth:
-                    kinds[up, tag] = nth = kinds.get((up, tag), 0) + 1
-                    self.nth.append(nth)
-                if wants_left:
-                    self.left.append(child.get(up, -1))
-                    child[up] = i
-                if wants_path:
-                    if opened:
-                        self.path.extend(opened)
-                    self.path_ends.append(len(self.path))
-                css, closed = None, False
-                if rest:
-                    own, values, css, closed = (_kept_attributes if len(rest) <= _KEPT_CHARS else _attributes)(rest, names)
-                    if own:
-                        self.name += own
-                        self.value += values
-                add_css(css)
-                add_attrs(len(self.name))
-                if closed or tag in _VOID:
-                    continue
-                opened.append(i)
-                if tag in _HIDDEN:  # neither markup nor text up to the end tag
-                    end = re.compile(rf"</{tag}\b", re.I).search(html, at)
-                    at, more = end.start() if end else size, True
-                    break
-        if at < size:
-            piece = (unescape(html[at:]) if "&" in html else html[at:]).strip()
-            if piece:
-                texts.append(piece)
-        here, seen = len(tags) - base, len(texts) - before
+        tags, ups, stop, first, last, numbers, depth, opened = ([] for _ in range(8))
+        lower, starts, closed, add_path = self.lower, self.starts, self.starts.closed, self.path.fromlist if "path" in self.fields else None
+        parts = _parts(html)
+        texts = [(unescape(t) if "&" in t else t).strip() if t else t for t in parts[::_PARTS]]
+        up, here = -1, 0
+        for seen, ends, tag, rest in zip(accumulate(map(bool, texts)), parts[3::_PARTS], parts[4::_PARTS], parts[5::_PARTS]):
+            if not tag:
+                continue
+            tag = lower[tag]
+            if ends:
+                if opened and (tags[up] == tag or any(tags[i] == tag for i in opened)):
+                    while True:
+                        i = opened.pop()
+                        stop[i], last[i] = here, seen
+                        if tags[i] == tag:
+                            break
+                    up = opened[-1] if opened else -1
+                continue
+            number = starts[rest]
+            tags.append(tag)
+            ups.append(up)
+            first.append(seen)
+            last.append(seen)
+            numbers.append(number)
+            if add_path:
+                add_path(opened)
+                depth.append(len(opened))
+            if not closed[number] and tag not in _VOID:
+                opened.append(here)
+                up = here
+            here += 1
+            stop.append(here)
+        texts = [t for t in texts if t]
         for i in opened:
-            stop[base + i], last[base + i] = here, seen
-        self.page_ends.append(len(tags))
-        self.text_ends.append(len(texts))
+            stop[i], last[i] = here, len(texts)
+        self.tag += tags
+        self.texts += texts
+        for mine, listed in ((self.up, ups), (self.stop, stop), (self.first, first), (self.last, last), (self.start, numbers), (self.depth, depth)):
+            mine.fromlist(listed)
+        self.page_ends.append(len(self.tag))
+        self.text_ends.append(len(self.texts))
 
     def column(self) -> pa.StructArray:
         ints = lambda x: pa.array(np.array(x, np.int32))
         strings = lambda x: pa.array(x, pa.string())
+        sizes = np.diff(self.page_ends)
+        at = np.arange(len(self.tag)) - np.repeat(np.array(self.page_ends[:-1], np.int64), sizes)
+        up, starts = np.array(self.up, np.int64), ints(self.start)
+        parent = np.where(up < 0, len(at) + np.repeat(np.arange(len(sizes)), sizes), np.arange(len(at)) - at + up)
+        tags = strings(self.tag)
+
+        def alike(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Elements by key, in document order, and which of them begin a key."""
+            order = np.argsort(key, kind="stable")
+            return order, np.diff(key[order], prepend=-1) != 0
 
         def field(name: str) -> pa.Array:
             if name == "at":
-                return ints(np.arange(len(self.tag)) - np.repeat(np.array(self.page_ends[:-1], np.int64), np.diff(self.page_ends)))
+                return ints(at)
+            if name == "tag":
+                return tags
+            if name == "css":
+                return strings(self.starts.css).take(starts)
             if name == "attrs":
-                return pa.MapArray.from_arrays(ints(self.attr_ends), strings(self.name), strings(self.value))
+                return pa.MapArray.from_arrays(ints(self.starts.ends), strings(self.starts.name), strings(self.starts.value)).take(starts)
             if name == "path":
-                return pa.ListArray.from_arrays(ints(self.path_ends), ints(self.path))
-            return strings(getattr(self, name)) if name in ("tag", "css") else ints(getattr(self, name))
+                return pa.ListArray.from_arrays(ints(np.cumsum([0, *self.depth])), ints(self.path))
+            if name == "nth":
+                kinds = tags.dictionary_encode()
+                order, begins = alike(parent * max(1, len(kinds.dictionary)) + kinds.indices.to_numpy(zero_copy_only=False))
+                nth, places = np.empty_like(at), np.arange(len(at))
+                nth[order] = 1 + places - np.maximum.accumulate(np.where(begins, places, 0))
+                return ints(nth)
+            if name == "left":
+                order, begins = alike(parent)
+                left = np.empty_like(at)
+                left[order] = np.where(begins, -1, np.roll(at[order], 1))
+                return ints(left)
+            return ints(getattr(self, name))
 
         elements = pa.StructArray.from_arrays([field(n) for n in self.fields], names=self.fields)
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ints(self.page_ends), elements),
@@ -183,8 +233,8 @@ def list_elements(html: Column, fields: Sequence[str] = tuple(_FIELDS), names: S
     @F.arrow_udf(page_type)
     def listed(html: pa.Array) -> pa.Array:
         parts, out, chars = [], _Listing(fields, names), 0
-        for page in html:
-            text = page.as_py() or ""
+        for text in html.to_pylist():
+            text = text or ""
             if chars and chars + len(text) > SLICE_CHARS:
                 parts.append(out.column())
                 out, chars = _Listing(fields, names), 0

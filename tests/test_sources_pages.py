@@ -553,3 +553,36 @@ def test_listing_holds_slices_and_what_rules_read(spark, monkeypatch):
     extract_items(pages, "li", {"title": {"selector": "a"}}, keep=("page_id",))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= BATCH_BYTES
+
+
+def test_listing_parses_each_start_tag_once(monkeypatch):
+    """Start tags of one text are parsed once for the pages listed together, however long they are and however often they come."""
+    from postlake.plans import pages as P
+    calls, parse = [], P._attributes
+    monkeypatch.setattr(P, "_attributes", lambda rest, names: calls.append(rest) or parse(rest, names))
+    tag = f" class='k' href=/a data-x='{'y' * 2 * P._KEPT_CHARS}'"
+    listing = P._Listing(("at", "css", "attrs"), frozenset(["href"]))
+    for _ in range(3):
+        listing.add(f"<a{tag}>one</a>" * 20)
+    got = listing.column().to_pylist()
+    assert calls == [tag] and len(got) == 3
+    assert all(page == {"elements": [{"at": i, "css": "k", "attrs": [("href", "/a")]} for i in range(20)], "texts": ["one"] * 20} for page in got)
+
+
+def test_listing_of_scripts_and_siblings():
+    """Text is hidden behind a script or style that does not close itself, up to its end tag; siblings are numbered within their own page."""
+    from postlake.plans.pages import _Listing
+
+    def listed(*pages):
+        listing = _Listing()
+        for html in pages:
+            listing.add(html)
+        return [([(e["tag"], e["up"], e["nth"], e["left"], e["stop"]) for e in page["elements"]], page["texts"]) for page in listing.column().to_pylist()]
+
+    assert listed("<SCRIPT src='/a.js'><b>no</b></Script >yes", "<script src='/a.js'/><b>yes</b>", "<style>a<b", "<title='<script>'>x") == [
+        ([("script", -1, 1, -1, 1)], ["yes"]), ([("script", -1, 1, -1, 1), ("b", -1, 1, 0, 2)], ["yes"]),
+        ([("style", -1, 1, -1, 1)], []), ([("title='<script", -1, 1, -1, 1)], ["'>x"])]
+    assert listed('<script"><b>">no</b></script>yes', "<p<script>yes</p>") == [([("script\"", -1, 1, -1, 2), ("b", 0, 1, -1, 2)], ['">no', "yes"]), ([("p<script", -1, 1, -1, 1)], ["yes"])]
+    assert listed("<p>a<i>b</i><p>c", "", "<p></p><i></i><p></p>") == [
+        ([("p", -1, 1, -1, 3), ("i", 0, 1, -1, 2), ("p", 0, 1, 1, 3)], ["a", "b", "c"]), ([], []),
+        ([("p", -1, 1, -1, 1), ("i", -1, 1, 0, 2), ("p", -1, 2, 1, 3)], [])]
