@@ -36,6 +36,11 @@ def company_name(company) -> Column:
     return F.coalesce(as_col(company), F.lit(COMPANY_NAME_FALLBACK))
 
 
+def without_id(job_id, url) -> Column:
+    """Whether :func:`posting_id` takes its fallback: neither a URL nor an id."""
+    return (F.coalesce(as_col(url), F.lit("")) == "") & (F.coalesce(as_col(job_id), F.lit("")) == "")
+
+
 def posting_id(job_id, url, fallback=None) -> Column:
     """Stable posting id.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions._util import as_col
@@ -31,6 +31,16 @@ def absolute_url(col, base_url) -> Column:
     return F.when(c.startswith("/"), F.concat(base, c)).otherwise(c)
 
 
+def _company_parts(comp: Column, u: Column) -> Column:
+    """Parts of a posting URL's slug where the company is to be filled from it, else null."""
+    tail = F.rtrim(F.element_at(F.split(u, COMPANY_SLUG_MARKER), -1), F.lit("/"))
+    return F.when((comp.isNull() | (comp == "")) & u.isNotNull() & (u != "") & u.contains(COMPANY_SLUG_MARKER), F.split(tail, "-"))
+
+
+def _company_of_parts(comp: Column, parts: Column) -> Column:
+    return F.when(F.size(parts) > 1, F.initcap(F.array_join(F.slice(parts, 1, F.size(parts) - 1), " "))).otherwise(comp)
+
+
 def company_from_url(company, url) -> Column:
     """Fill an empty company from a posting URL's slug.
 
@@ -38,14 +48,16 @@ def company_from_url(company, url) -> Column:
     take the text after the last marker, strip trailing ``/``, split on ``-``,
     drop the last part (the job number), join with spaces and title-case. With
     one part only, or no marker, the company is left as it was.
+    For whole tables :func:`with_company` is faster (staged columns).
     """
-    comp, u = as_col(company), as_col(url)
-    tail = F.rtrim(F.element_at(F.split(u, COMPANY_SLUG_MARKER), -1), F.lit("/"))
-    parts = F.split(tail, "-")
-    name = F.initcap(F.array_join(F.slice(parts, 1, F.size(parts) - 1), " "))
-    fill = ((comp.isNull() | (comp == "")) & u.isNotNull() & (u != "")
-            & u.contains(COMPANY_SLUG_MARKER) & (F.size(parts) > 1))
-    return F.when(fill, name).otherwise(comp)
+    comp = as_col(company)
+    return _company_of_parts(comp, _company_parts(comp, as_col(url)))
+
+
+def with_company(df: DataFrame, company: str, url: str) -> DataFrame:
+    """Fill ``company`` from ``url`` (rules of :func:`company_from_url`); the slug's parts are a column, so a URL is cut once and generated code stays small."""
+    staged = df.withColumn("_slug", _company_parts(F.col(company), F.col(url)))
+    return staged.withColumn(company, _company_of_parts(F.col(company), F.col("_slug"))).drop("_slug")
 
 
 def url_host(col) -> Column:

@@ -22,8 +22,6 @@ from array import array
 from collections.abc import Callable, Mapping, Sequence
 from functools import lru_cache
 from html import unescape
-from itertools import accumulate
-from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.functions.keys import posting_id
+from postlake.functions.keys import posting_id, without_id
 from postlake.functions.parsing import with_experience, with_salary
-from postlake.functions.urls import absolute_url, company_from_url
+from postlake.functions.urls import absolute_url, with_company
 from postlake.operators.sequence import ordered_scan, splitters
 from postlake.session import ensure_library, short_batches, spread, stored
 from postlake.sources.contract import apply_contract
@@ -43,11 +41,15 @@ from postlake.sources.contract import apply_contract
 _VOID = {"img", "input", "br", "hr", "meta", "link", "source", "area", "base", "col", "embed", "wbr"}
 _HIDDEN = {"script", "style"}
 # A comment, a declaration, or a tag: its slash, name, and what follows the name. The first groups are set for a script or style, whose inside up to the end tag is passed over.
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?:(?=[sS][cC][rR][iI][pP][tT][\s/>])()|(?=[sS][tT][yY][lL][eE][\s/>])())?+(/?)([a-zA-Z][^\s/>]*)"""
-                     r"""([^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+)>"""
-                     r"""(?(1)[^<]*+(?:<(?!/(?i:script)\b)[^<]*+)*+)(?(2)[^<]*+(?:<(?!/(?i:style)\b)[^<]*+)*+)""", re.S)
+_REST = r"""[^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+"""
+_INSIDE = r"[^<]*+(?:<(?!/(?i:%s)\b)[^<]*+)*+"
+_MARKUP = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?:(?=[sS][cC][rR][iI][pP][tT][\s/>])()|(?=[sS][tT][yY][lL][eE][\s/>])())?+(/?)([a-zA-Z][^\s/>]*)({_REST})>"""
+                     rf"""(?(1){_INSIDE % "script"})(?(2){_INSIDE % "style"})""", re.S)
+# The same markup as one group, by which a page is split.
+_SPLIT = re.compile(rf"""(<(?:(?:/[a-zA-Z]|[a-rt-zA-RT-Z])[^\s/>]*{_REST}>|!--.*?(?:-->|\Z)|[!?][^>]*>|[sS](?:[cC][rR][iI][pP][tT](?=[\s/>]){_REST}>{_INSIDE % "script"}"""
+                    rf"""|[tT][yY][lL][eE](?=[\s/>]){_REST}>{_INSIDE % "style"}|[^\s/>]*{_REST}>)))""", re.S)
 _STYLED = re.compile(r"<(?:[sS][cC][rR][iI][pP][tT]|[sS][tT][yY][lL][eE])(?!\s*>)")
-_PARTS = 1 + _MARKUP.groups  # of a split page: a text, then the groups of the markup behind it
+_SPACE = re.compile(r"[\t\n\f\r ]")  # between the words of a class
 _PAIR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
 #: What a page lists of its elements, in document order. ``at``: an element's place; ``css``: its class attribute; ``up``: place of the parent (-1: none);
@@ -59,20 +61,23 @@ _FIELDS = {"at": T.IntegerType(), "tag": T.StringType(), "css": T.StringType(),
 SLICE_CHARS = 1 << 20
 # Parsed start tags that are kept for the next of the same text, and the longest kept.
 _KEPT_TAGS, _KEPT_CHARS = 4096, 256
+_ALONE = 1 << 30
+# Rounds in which neighbouring start and end tags are paired at once; what is left then is paired one by one.
+_ROUNDS = 24
 
 
 def _attributes(rest: str, names: frozenset[str] | None) -> tuple[list[str], list[str], str | None, bool]:
     """(names, values, class, whether it closes itself) of a start tag's text behind its name; only attributes in ``names`` (None: all) are listed."""
-    ends, own = 0, {}
-    for a in _PAIR.finditer(rest):
-        name, double, single, bare = a.groups()
-        value = double or single or bare or ""
+    own, closed = {}, False
+    for name, double, single, bare in _PAIR.findall(rest):
+        value = double or single or bare
         own[name.lower()] = unescape(value) if "&" in value else value
-        ends = a.end()
+    if rest.rstrip()[-1:] in ("/", "="):  # behind the last pair there is nothing but white space, slashes and equals signs
+        closed = "/" in rest[max((a.end() for a in _PAIR.finditer(rest)), default=0):]
     css = own.get("class")
     if names is not None:
         own = {k: v for k, v in own.items() if k in names}
-    return [*own], [*own.values()], css, "/" in rest[ends:]
+    return [*own], [*own.values()], css, closed
 
 
 _kept_attributes = lru_cache(_KEPT_TAGS)(_attributes)
@@ -83,161 +88,204 @@ def _hides(tag: str | None, ends: str | None, rest: str | None) -> bool:
     return bool(tag) and not ends and tag.lower() in _HIDDEN and not _attributes(rest, None)[3]
 
 
-def _parts(html: str) -> list[str | None]:
-    """The page's texts and the groups of _MARKUP between them."""
-    parts = _MARKUP.split(html)
+def _parts(html: str) -> tuple[list[str], list[str]]:
+    """The page's texts, and the markups between them."""
+    parts = _SPLIT.split(html)
+    texts, markups = parts[::2], parts[1::2]
     if not _STYLED.search(html):
-        return parts
-    starts = [i for i, tag in enumerate(parts[4::_PARTS]) if tag and tag[0] in "sS" and tag.lower() in _HIDDEN]
-    if all(_hides(tag, ends, rest) == (script is not None or style is not None)
-           for script, style, ends, tag, rest in (parts[i * _PARTS + 1:(i + 1) * _PARTS] for i in starts)):
-        return parts
-    parts, at = [], 0  # such an element closes itself, or a quote follows its name: look behind each tag
+        return texts, markups
+    starts = [m for m in map(_MARKUP.match, (x for x in markups if x[1] in "sS")) if m[4].lower() in _HIDDEN]
+    if all(_hides(m[4], m[3], m[5]) == (m[1] is not None or m[2] is not None) for m in starts):
+        return texts, markups
+    texts, markups, at = [], [], 0  # such an element closes itself, or a quote follows its name: look behind each tag
     while m := _MARKUP.search(html, at):
-        parts += [html[at:m.start()], *m.groups()]
+        texts.append(html[at:m.start()])
         at = m.end(5) + 1 if m[4] else m.end()
+        markups.append(html[m.start():at])
         if _hides(m[4], m[3], m[5]):
             end = re.compile(rf"</{m[4]}\b", re.I).search(html, at)
             at = end.start() if end else len(html)
-    return [*parts, html[at:]]
+    return [*texts, html[at:]], markups
 
 
-class _Names(dict):
-    """Tag names in lower case."""
+class _Markups(dict):
+    """Numbers of the different markups, each parsed once; 0 is the end of a page. ``does``: the number of the tag that it opens, less than 0 for one that
+    it ends, _ALONE for an element without inside, -_ALONE for no tag. A start tag has a class and attributes, those in ``names`` (None: all), and
+    stands under those of ``keys`` (tags, and classes behind a point) that are its own."""
 
-    def __missing__(self, tag: str) -> str:
-        self[tag] = low = intern(tag.lower())
-        return low
+    def __init__(self, names: frozenset[str] | None, keys: Sequence[str]):
+        self.names, self.keys, self.tags = names, {k: n for n, k in enumerate(keys)}, {}
+        self.does, self.kind, self.tag, self.css, self.name, self.value, self.ends = array("i", [0]), array("i", [0]), [None], [None], [], [], array("i", [0, 0])
+        self.under, self.under_ends, self.classes = array("i"), array("i", [0, 0]), {None: ()}
 
-
-class _Starts(dict):
-    """Numbers of the different texts behind a start tag's name, each parsed once: attributes in ``names`` (None: all), class, whether the tag closes itself."""
-
-    def __init__(self, names: frozenset[str] | None):
-        self.names, self.ends, self.name, self.value, self.css, self.closed = names, array("i", [0]), [], [], [], []
-
-    def __missing__(self, rest: str) -> int:
-        own, values, css, closed = (_kept_attributes if len(rest) <= _KEPT_CHARS else _attributes)(rest, self.names)
-        self.name += own
-        self.value += values
-        self.ends.append(len(self.name))
+    def __missing__(self, markup: str) -> int:
+        _, _, ends, tag, rest = _MARKUP.match(markup).groups()
+        css, kind, does = None, 0, -_ALONE
+        if tag:
+            tag = tag.lower()
+            kind = self.tags.setdefault(tag, len(self.tags) + 1)
+            if ends:
+                does = -kind
+            else:
+                own, values, css, closed = (_kept_attributes if len(rest) <= _KEPT_CHARS else _attributes)(rest, self.names)
+                self.name += own
+                self.value += values
+                does = _ALONE if closed or tag in _VOID else kind
+                if tag in self.keys:
+                    self.under.append(self.keys[tag])
+                if css not in self.classes:
+                    self.classes[css] = [self.keys[w] for w in {f".{w}" for w in _SPACE.split(css)} if w in self.keys]
+                self.under.extend(self.classes[css])
+        self[markup] = number = len(self.tag)
+        self.does.append(does)
+        self.kind.append(kind)
+        self.tag.append(tag)
         self.css.append(css)
-        self.closed.append(closed)
-        self[rest] = number = len(self.css) - 1
+        self.ends.append(len(self.name))
+        self.under_ends.append(len(self.under))
         return number
 
 
 class _Listing:
-    """The elements of some pages, column by column: the ``fields`` (default: all) and attributes (None: all) asked for."""
+    """The elements of some pages, column by column: the ``fields`` (default: all) and attributes (None: all) asked for, and the places of those of each tag or class in ``keys``."""
 
-    def __init__(self, fields: Sequence[str] = tuple(_FIELDS), names: frozenset[str] | None = None):
-        self.fields, self.lower, self.starts = [f for f in _FIELDS if f in fields], _Names(), _Starts(names)
-        self.tag, self.texts, self.path, self.depth = [], [], array("i"), array("i")
-        self.up, self.stop, self.first, self.last, self.start = (array("i") for _ in range(5))
-        self.page_ends, self.text_ends = array("i", [0]), array("i", [0])
+    def __init__(self, fields: Sequence[str] = tuple(_FIELDS), names: frozenset[str] | None = None, keys: Sequence[str] = ()):
+        self.fields, self.markups = [f for f in _FIELDS if f in fields], _Markups(names, keys)
+        # the markups of all pages, each page's followed by its end; whether a text that is not empty comes before them, and those texts
+        self.numbers, self.shown, self.texts, self.ends = array("i"), bytearray(), [], array("i")
 
     def add(self, html: str) -> None:
-        """List one page. An end tag closes the elements opened since its start tag and is ignored without one; elements
-        left open end with the page. Character references are decoded, in texts and attributes."""
-        tags, ups, stop, first, last, numbers, depth, opened = ([] for _ in range(8))
-        lower, starts, closed, add_path = self.lower, self.starts, self.starts.closed, self.path.fromlist if "path" in self.fields else None
-        parts = _parts(html)
-        texts = [(unescape(t) if "&" in t else t).strip() if t else t for t in parts[::_PARTS]]
-        up, here = -1, 0
-        for seen, ends, tag, rest in zip(accumulate(map(bool, texts)), parts[3::_PARTS], parts[4::_PARTS], parts[5::_PARTS]):
-            if not tag:
-                continue
-            tag = lower[tag]
-            if ends:
-                if opened and (tags[up] == tag or any(tags[i] == tag for i in opened)):
-                    while True:
-                        i = opened.pop()
-                        stop[i], last[i] = here, seen
-                        if tags[i] == tag:
-                            break
-                    up = opened[-1] if opened else -1
-                continue
-            number = starts[rest]
-            tags.append(tag)
-            ups.append(up)
-            first.append(seen)
-            last.append(seen)
-            numbers.append(number)
-            if add_path:
-                add_path(opened)
-                depth.append(len(opened))
-            if not closed[number] and tag not in _VOID:
-                opened.append(here)
-                up = here
-            here += 1
-            stop.append(here)
-        texts = [t for t in texts if t]
-        for i in opened:
-            stop[i], last[i] = here, len(texts)
-        self.tag += tags
-        self.texts += texts
-        for mine, listed in ((self.up, ups), (self.stop, stop), (self.first, first), (self.last, last), (self.start, numbers), (self.depth, depth)):
-            mine.fromlist(listed)
-        self.page_ends.append(len(self.tag))
-        self.text_ends.append(len(self.texts))
+        """List one page. Character references are decoded, in texts and attributes."""
+        texts, markups = _parts(html)
+        texts = [(unescape(t) if "&" in t else t).strip() if t else t for t in texts]
+        self.numbers.extend(map(self.markups.__getitem__, markups))
+        self.numbers.append(0)
+        self.shown += bytes(map(bool, texts))
+        self.texts += filter(None, texts)
+        self.ends.append(len(self.numbers))
+
+    def _nested(self, does: np.ndarray) -> np.ndarray:
+        """The markup by which each markup's element ends (itself: no inside). An end tag closes the elements opened since its start tag and is
+        ignored without one; elements left open end with the page."""
+        ended, left = np.arange(len(does)), np.flatnonzero(np.abs(does) < _ALONE)
+        for _ in range(_ROUNDS):  # a start tag, and its end tag with nothing left between: they change nothing for the others
+            tags = does[left]
+            pairs = np.flatnonzero((tags[:-1] > 0) & (tags[:-1] == -tags[1:]))
+            ended[left[pairs]] = left[pairs + 1]
+            keep = np.ones(len(left), bool)
+            keep[pairs] = keep[pairs + 1] = False
+            left = left[keep]
+            if not len(pairs):
+                break
+        opened, tags = [], [0]
+        for at, tag in zip(left.tolist(), does[left].tolist()):
+            if tag > 0:
+                opened.append(at)
+                tags.append(tag)
+            elif not tag:
+                ended[opened] = at
+                opened, tags = [], [0]
+            elif -tag in tags:
+                last = 0
+                while last != -tag:
+                    last = tags.pop()
+                    ended[opened.pop()] = at
+        return ended
 
     def column(self) -> pa.StructArray:
-        ints = lambda x: pa.array(np.array(x, np.int32))
+        ints = lambda x: pa.array(np.asarray(x, np.int32))
         strings = lambda x: pa.array(x, pa.string())
-        sizes = np.diff(self.page_ends)
-        at = np.arange(len(self.tag)) - np.repeat(np.array(self.page_ends[:-1], np.int64), sizes)
-        up, starts = np.array(self.up, np.int64), ints(self.start)
-        parent = np.where(up < 0, len(at) + np.repeat(np.arange(len(sizes)), sizes), np.arange(len(at)) - at + up)
-        tags = strings(self.tag)
+        numbers, own = np.array(self.numbers), self.markups
+        does = np.array(own.does)[numbers]
+        # counted up to each markup: elements and texts, from which those of the pages before are taken off
+        elements, texts = np.cumsum(does > 0), np.cumsum(np.frombuffer(bytes(self.shown), np.uint8), dtype=np.int64)
+        page_ends, text_ends = (np.append(0, x[np.array(self.ends, np.int64) - 1]) for x in (elements, texts))
+        page = np.repeat(np.arange(len(page_ends) - 1), np.diff(page_ends))
+        before, said = page_ends[page], text_ends[page]
+        starts = np.flatnonzero(does > 0)
+        numbers, at, ended = numbers[starts], np.arange(len(starts)), self._nested(does)[starts]
+        # an element has as many ancestors as begin before it and do not end before it; the last before it that has one less is its parent
+        depth = at - np.cumsum(np.bincount(elements[ended], minlength=len(at) + 1))[:len(at)]
+        levels = np.split(np.argsort(depth.astype(np.min_scalar_type(depth.max(initial=0))), kind="stable"), np.cumsum(np.bincount(depth))[:-1])
+        parent = np.full(len(at), -1)
+        for above, level in zip(levels, levels[1:]):
+            parent[level] = above[np.searchsorted(above, level) - 1]
+        family = np.where(parent < 0, len(at) + page, parent)
 
         def alike(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Elements by key, in document order, and which of them begin a key."""
             order = np.argsort(key, kind="stable")
             return order, np.diff(key[order], prepend=-1) != 0
 
+        def paths() -> pa.ListArray:
+            """The ancestors of each element, filled in from the nearest on."""
+            ends = np.cumsum(depth)
+            out, place, up, off = np.empty(depth.sum(), np.int32), ends - 1, parent, before
+            while len(up):
+                have = up >= 0
+                place, up, off = place[have], up[have], off[have]
+                out[place] = up - off
+                place, up = place - 1, parent[up]
+            return pa.ListArray.from_arrays(ints(np.append(0, ends)), pa.array(out))
+
         def field(name: str) -> pa.Array:
             if name == "at":
-                return ints(at)
+                return ints(at - before)
             if name == "tag":
-                return tags
+                return strings(own.tag).take(pa.array(numbers))
             if name == "css":
-                return strings(self.starts.css).take(starts)
+                return strings(own.css).take(pa.array(numbers))
             if name == "attrs":
-                return pa.MapArray.from_arrays(ints(self.starts.ends), strings(self.starts.name), strings(self.starts.value)).take(starts)
+                return pa.MapArray.from_arrays(ints(own.ends), strings(own.name), strings(own.value)).take(pa.array(numbers))
             if name == "path":
-                return pa.ListArray.from_arrays(ints(np.cumsum([0, *self.depth])), ints(self.path))
+                return paths()
+            if name == "up":
+                return ints(np.where(parent < 0, -1, parent - before))
             if name == "nth":
-                kinds = tags.dictionary_encode()
-                order, begins = alike(parent * max(1, len(kinds.dictionary)) + kinds.indices.to_numpy(zero_copy_only=False))
-                nth, places = np.empty_like(at), np.arange(len(at))
-                nth[order] = 1 + places - np.maximum.accumulate(np.where(begins, places, 0))
+                order, begins = alike(family * (len(own.tags) + 1) + np.array(own.kind)[numbers])
+                nth = np.empty_like(at)
+                nth[order] = 1 + at - np.maximum.accumulate(np.where(begins, at, 0))
                 return ints(nth)
             if name == "left":
-                order, begins = alike(parent)
+                order, begins = alike(family)
                 left = np.empty_like(at)
-                left[order] = np.where(begins, -1, np.roll(at[order], 1))
+                left[order] = np.where(begins, -1, np.roll((at - before)[order], 1))
                 return ints(left)
-            return ints(getattr(self, name))
-
-        elements = pa.StructArray.from_arrays([field(n) for n in self.fields], names=self.fields)
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ints(self.page_ends), elements),
-                                           pa.ListArray.from_arrays(ints(self.text_ends), strings(self.texts))], names=["elements", "texts"])
-
-
-def list_elements(html: Column, fields: Sequence[str] = tuple(_FIELDS), names: Sequence[str] | None = None) -> Column:
-    """The elements, with ``fields`` and the attributes in ``names`` (None: all), and the texts of a page (null: none)."""
+            if name == "stop":
+                return ints(elements[ended] - before)
+            return ints(texts[starts if name == "first" else ended] - said)
+
+        listed = pa.StructArray.from_arrays([field(n) for n in self.fields], names=self.fields)
+        out = {"elements": pa.ListArray.from_arrays(ints(page_ends), listed), "texts": pa.ListArray.from_arrays(ints(text_ends), strings(self.texts))}
+        if own.keys:
+            ends, wide = np.array(own.under_ends, np.int64), len(own.keys)
+            counts = np.diff(ends)[numbers]
+            which = np.repeat(at, counts)
+            under = np.array(own.under, np.int64)[np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts - ends[numbers], counts)]
+            key = page[which] * wide + under
+            sizes = np.bincount(key, minlength=wide * (len(page_ends) - 1))
+            places = pa.ListArray.from_arrays(ints(np.append(0, np.cumsum(sizes))), ints((at - before)[which[alike(key)[0]]]))
+            out["places"] = pa.ListArray.from_arrays(ints(wide * np.arange(len(page_ends))), places)
+        return pa.StructArray.from_arrays([*out.values()], names=[*out])
+
+
+def list_elements(html: Column, fields: Sequence[str] = tuple(_FIELDS), names: Sequence[str] | None = None, keys: Sequence[str] = ()) -> Column:
+    """The elements, with ``fields`` and the attributes in ``names`` (None: all), and the texts of a page (null: none); with ``keys``, tags or classes
+    behind a point, also ``places``: those of each key's elements, in the order of the keys."""
     fields, names = [f for f in _FIELDS if f in fields], None if names is None else frozenset(names)
     element = T.StructType([T.StructField(f, _FIELDS[f]) for f in fields])
     page_type = T.StructType([T.StructField("elements", T.ArrayType(element)), T.StructField("texts", T.ArrayType(T.StringType()))])
+    if keys:
+        page_type.add("places", T.ArrayType(T.ArrayType(T.IntegerType())))
 
     @F.arrow_udf(page_type)
     def listed(html: pa.Array) -> pa.Array:
-        parts, out, chars = [], _Listing(fields, names), 0
+        parts, out, chars = [], _Listing(fields, names, keys), 0
         for text in html.to_pylist():
             text = text or ""
             if chars and chars + len(text) > SLICE_CHARS:
                 parts.append(out.column())
-                out, chars = _Listing(fields, names), 0
+                out, chars = _Listing(fields, names, keys), 0
             out.add(text)
             chars += len(text)
         parts.append(out.column())
@@ -253,7 +301,15 @@ _TESTS: dict[str, Callable[[Column, str], Column]] = {
     "=": lambda have, want: have == want, "*=": lambda have, want: F.contains(have, F.lit(want)) if want else F.lit(False),
     "^=": lambda have, want: F.startswith(have, F.lit(want)) if want else F.lit(False),
     "$=": lambda have, want: F.endswith(have, F.lit(want)) if want else F.lit(False),
-    "~=": lambda have, want: F.contains(have, F.lit(want)) & F.array_contains(F.split(have, r"[\t\n\f\r ]+"), want)}
+    "~=": lambda have, want: F.contains(have, F.lit(want)) & _has_word(have, want)}
+
+
+def _has_word(have: Column, want: str) -> Column:
+    """Whether ``want`` is one of the words of a text, between white space."""
+    space = _SPACE.pattern
+    if not want or _SPACE.search(want) or r"\E" in want:
+        return F.array_contains(F.split(have, space + "+"), want)
+    return have.rlike(rf"(?:^|{space})\Q{want}\E(?:{space}|\z)")  # a pattern that is compiled once, which a split's is not
 
 
 def _split_top(text: str, sep: str) -> list[str]:
@@ -277,8 +333,8 @@ def _split_top(text: str, sep: str) -> list[str]:
     return [x.strip() for x in out if x.strip()]
 
 
-def _compound(text: str) -> tuple[Callable[[Column], Column], set[str], set[str]]:
-    """Test of one compound selector on an element's columns, and the fields and attributes that it reads."""
+def _compound(text: str) -> tuple[Callable[[Column], Column], set[str], set[str], str]:
+    """Test of one compound selector on an element's columns, the fields and attributes that it reads, and the class or tag that its elements stand under (``*``: all)."""
     m = _COMPOUND.fullmatch(text)
     if not m or not text:
         raise ValueError(f"unsupported selector {text!r}")
@@ -306,7 +362,7 @@ def _compound(text: str) -> tuple[Callable[[Column], Column], set[str], set[str]
 
     names = {name for name, _, _ in tests} - {"class"}
     fields = {f for f, used in (("tag", tag != "*"), ("nth", nth), ("css", any(name == "class" for name, _, _ in tests)), ("attrs", names)) if used}
-    return holds, fields, names
+    return holds, fields, names, next((f".{want}" for name, test, want in tests if name == "class" and test == "~=" and want and not _SPACE.search(want)), tag)
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -329,27 +385,29 @@ def _chain(steps: list[tuple[str, Callable]], e: Column, elements: Column) -> Co
 _READ_BY = {" ": "path", ">": "up", "+": "left"}  # the field by which a step finds the elements of the step before
 
 
-def _chains(selector: str) -> tuple[list[list[tuple[str, Callable]]], set[str], set[str]]:
-    """A selector's alternatives as chains of steps, and the fields and attributes that they read."""
-    chains, fields, names = [], set(), set()
+def _chains(selector: str) -> tuple[list[list[tuple[str, Callable]]], set[str], set[str], set[str]]:
+    """A selector's alternatives as chains of steps, the fields and attributes that they read, and what their last elements stand under."""
+    chains, fields, names, keys = [], set(), set(), set()
     for alternative in _split_top(selector, ","):
         steps, relation = [], " "
         for part in _split_top(re.sub(r"\s*([>+])\s*(?![^\[]*\])", r" \1 ", alternative), " "):
             if part in (">", "+"):
                 relation = part
             else:
-                test, own_fields, own_names = _compound(part)
+                test, own_fields, own_names, key = _compound(part)
                 fields |= own_fields | ({_READ_BY[relation]} if steps else set())
                 names |= own_names
                 steps.append((relation, test))
                 relation = " "
         chains.append(steps)
-    return chains, fields, names
+        keys.add(key)
+    return chains, fields, names, keys
 
 
-def _places(selector: str, elements: Column) -> Column:
-    """Places of the elements that any of the selector's alternatives matches, in document order."""
-    chains = _chains(selector)[0]
+def _matches(selector: str, page: Column, listed: Sequence[str]) -> Column:
+    """The elements that any of the selector's alternatives matches, in document order; the page has the places of the keys ``listed``."""
+    chains, _, _, keys = _chains(selector)
+    elements = page["elements"]
 
     def holds(e: Column) -> Column:
         out = _chain(chains[0], e, elements)
@@ -357,18 +415,27 @@ def _places(selector: str, elements: Column) -> Column:
             out = out | _chain(steps, e, elements)
         return out
 
-    return F.transform(F.filter(elements, holds), lambda e: e["at"])
+    if not keys <= set(listed):
+        return F.filter(elements, holds)
+    places = [F.get(page["places"], F.lit(listed.index(k))) for k in sorted(keys)]
+    places = places[0] if len(places) == 1 else F.array_sort(F.array_distinct(F.concat(*places)))
+    return F.filter(F.transform(places, lambda at: F.get(elements, at)), holds)
 
 
 def _rules(fields: Mapping[str, Mapping]) -> list[tuple[str | None, str]]:
     return [(r.get("selector") or None, r.get("attribute", "text").lower()) for r in fields.values()]
 
 
+def _keys(container: str, fields: Mapping[str, Mapping]) -> list[str]:
+    """Tags and classes that the last elements of the rules' selectors stand under."""
+    return sorted(set().union(*(_chains(s)[3] for s in {container, *(s for s, _ in _rules(fields) if s)})) - {"*"})
+
+
 def _reads(container: str, fields: Mapping[str, Mapping]) -> tuple[set[str], set[str]]:
     """Fields and attributes of a page's elements that the rules read."""
     rules, read, names = _rules(fields), {"at", "stop", "first", "last"}, set()
     for selector in dict.fromkeys([container, *(s for s, _ in rules if s)]):
-        _, own_fields, own_names = _chains(selector)
+        _, own_fields, own_names, _ = _chains(selector)
         read, names = read | own_fields, names | own_names
     names |= {a for _, a in rules if a not in ("text", "exists")}
     return read | ({"attrs"} if names else set()), names
@@ -376,24 +443,26 @@ def _reads(container: str, fields: Mapping[str, Mapping]) -> tuple[set[str], set
 
 def _items(page: Column, container: str, fields: Mapping[str, Mapping]) -> Column:
     """For each container of a page, an array of its fields' values as text (null: absent)."""
-    elements, texts = page["elements"], page["texts"]
     rules = _rules(fields)
     inner = {s: f"s{n}" for n, s in enumerate(dict.fromkeys(s for s, _ in rules if s))}
-    places = F.struct(_places(container, elements).alias("own"), *[_places(s, elements).alias(n) for s, n in inner.items()])
+    keys = _keys(container, fields)
+    matches = F.struct(_matches(container, page, keys).alias("own"), *[_matches(s, page, keys).alias(n) for s, n in inner.items()])
 
     def value(found: Column, attribute: str) -> Column:
         if attribute == "exists":
             return F.when(found.isNotNull(), F.lit("true"))
         if attribute == "text":
-            return F.nullif(F.array_join(F.slice(texts, found["first"] + 1, found["last"] - found["first"]), ""), F.lit(""))
+            return F.when(found["last"] > found["first"], F.array_join(F.slice(page["texts"], found["first"] + 1, found["last"] - found["first"]), ""))
         return F.try_element_at(found["attrs"], F.lit(attribute))
 
-    def item(at: Column, all_: Column) -> Column:
-        stop = F.get(elements, at)["stop"]
-        first = {s: F.get(F.filter(all_[n], lambda p: (p > at) & (p < stop)), F.lit(0)) for s, n in inner.items()}
-        return F.array(*[value(F.get(elements, at if s is None else first[s]), a) for s, a in rules] or [F.lit(None).cast("string")])
+    def first(own: Column, of: Column) -> Column:
+        return F.get(F.filter(of, lambda e: (e["at"] > own["at"]) & (e["at"] < own["stop"])), F.lit(0))
+
+    def item(own: Column, all_: Column) -> Column:
+        values = lambda found: F.array(*[value(own if s is None else found[inner[s]], a) for s, a in rules] or [F.lit(None).cast("string")])
+        return _bind(F.struct(*[first(own, all_[n]).alias(n) for n in inner.values()]), values) if inner else values(own)
 
-    return _bind(places, lambda all_: F.transform(all_["own"], lambda at: item(at, all_)))
+    return _bind(matches, lambda all_: F.transform(all_["own"], lambda own: item(own, all_)))
 
 
 def load_crawler_config(path: str) -> dict:
@@ -434,7 +503,7 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     rules = _items(F.col("_page"), container, fields)
     short_batches(pages.sparkSession)
     listed = spread(pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_html")), "_html")
-    listed = listed.select(*[F.col(k) for k in keep], list_elements(F.col("_html"), *_reads(container, fields)).alias("_page"))
+    listed = listed.select(*[F.col(k) for k in keep], list_elements(F.col("_html"), *_reads(container, fields), _keys(container, fields)).alias("_page"))
     exploded = listed.select(*[F.col(k) for k in keep], F.posexplode(rules).alias("item_pos", "_item"))
     cols = []
     for n, (name, rule) in enumerate(fields.items()):
@@ -450,12 +519,13 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
 
 def content_key(df: DataFrame) -> Column:
     """sha256 of all columns of ``df`` in name order, each value as its length and text (``-`` for null)."""
-    parts = []
+    values = []
     for f in sorted(df.schema.fields, key=lambda f: f.name):
         c = F.col(f"`{f.name}`")
-        c = c.cast("string") if f.dataType.typeName() not in ("array", "struct", "map") else F.to_json(c)
-        parts.append(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+        values.append(c.cast("string") if f.dataType.typeName() not in ("array", "struct", "map") else F.to_json(c))
+    # one expression for all columns: spelled out for each, the generated method is too long to be compiled to machine code
+    parts = F.transform(F.array(*values), lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")))
+    return F.sha2(F.array_join(parts, ""), 256)
 
 
 def build_postings(items: DataFrame, source, crawled_at, usd_rate: float = 25000.0,
@@ -476,8 +546,9 @@ def build_postings(items: DataFrame, source, crawled_at, usd_rate: float = 25000
         if c not in base.columns:
             base = base.withColumn(c, F.lit(None).cast("string"))
     fb = fallback_id if fallback_id is not None else content_key(base)
-    base = base.withColumn("job_id", F.col("job_id").cast("string")).withColumn("_fallback", fb)
-    base = base.withColumn("company", company_from_url("company", "url"))
+    base = base.withColumn("job_id", F.col("job_id").cast("string"))
+    base = base.withColumn("_fallback", F.when(without_id("job_id", "url"), fb))
+    base = with_company(base, "company", "url")
     base = base.withColumn("job_id", posting_id("job_id", "url", F.col("_fallback")))
     base = with_experience(with_salary(base, "salary", usd_rate), "experience")
     return apply_contract(base)

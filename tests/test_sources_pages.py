@@ -586,3 +586,74 @@ def test_listing_of_scripts_and_siblings():
     assert listed("<p>a<i>b</i><p>c", "", "<p></p><i></i><p></p>") == [
         ([("p", -1, 1, -1, 3), ("i", 0, 1, -1, 2), ("p", 0, 1, 1, 3)], ["a", "b", "c"]), ([], []),
         ([("p", -1, 1, -1, 1), ("i", -1, 1, 0, 2), ("p", -1, 2, 1, 3)], [])]
+
+
+def test_methods_of_posting_steps_are_compiled(spark, capsys):
+    """No generated method of the job is longer than the 8,000 bytes up to which a JVM compiles one."""
+    fields = ("title", "company", "url", "salary", "experience", *(f"f{n}" for n in range(40)))
+    pages = spark.range(2).select(F.col("id").alias("page_id"), F.format_string("<p class=c><a href='/j/%d'>A</a>", "id").alias("html"))
+    cards = extract_items(pages, ".c", {n: {"selector": "a", "attribute": "href" if n == "url" else "text"} for n in fields}, keep=("page_id",))
+    built = build_postings(cards, "s", F.col("page_id"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan has no code before it runs
+    try:
+        built.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(part.split(";")[0]) for part in capsys.readouterr().out.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000
+    assert {r["job_id"] for r in built.collect()} == {hashlib.sha256(f"/j/{n}".encode()).hexdigest() for n in range(2)}
+
+
+def test_selectors_look_up_elements_by_tag_or_class():
+    """A page lists the places of the elements under the tags and classes that the rules' selectors end at."""
+    from postlake.plans import pages as P
+    rules = {"a": {"selector": "h3.title a, .title"}, "b": {"selector": "ul > li:nth-of-type(2)"}, "c": {"selector": "div [data-x]"}, "d": {"selector": "a.x.y[href]"}, "e": {"selector": "b[class~='p q']"}, "f": {}}
+    keys = P._keys("DIV", rules)
+    assert keys == [".title", ".x", "a", "b", "div", "li"]
+    listing = P._Listing(("at",), None, keys)
+    for html in ("<div class='x\ttitle x'><A class=Title></a><li><a class='y title'></div><b><script class=x>.title</script>", "", "<a>"):
+        listing.add(html)
+    assert [p["places"] for p in listing.column().to_pylist()] == [[[0, 3], [0, 5], [1, 3], [4], [0], [2]], [[]] * 6, [[], [], [0], [], [], []]]
+    assert P._Listing(("at",), None, keys).column().to_pylist() == []
+
+
+def test_class_words_of_selectors(spark):
+    """A class is a whole word between white space, whatever characters it has; texts are null where they are empty."""
+    html = "<p class='a\tb-c\n'><i class='x\\E'>1</i><i class='ab'>2</i><i class=' a '>3</i><i class='b-c.'>4</i><i class=\"q'\"> </i></p>"
+    rules = {"a": {"selector": ".a"}, "bc": {"selector": "i.b-c\\."}, "e": {"selector": r"i.x\\E"}, "none": {"selector": "[class~='']"}, "two": {"selector": "[class~='a b']"},
+             "empty": {"selector": "[class^=q]"}, "self": {"attribute": "class"}, "dup": {"selector": "i.a, .a, i"}}
+    rows = extract_items(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string"), "p.a.b-c", rules, keep=("page_id",)).drop("page_id", "item_pos").collect()
+    assert [r.asDict() for r in rows] == [{"a": "3", "bc": "4", "e": "1", "none": "3", "two": None, "empty": None, "self": "a\tb-c\n", "dup": "1"}]
+
+
+def test_tags_are_paired_as_one_by_one():
+    """Deep, crossed and stray tags end their elements like a stack would, in each page for itself."""
+    from itertools import product
+
+    from postlake.plans import pages as P
+
+    def stack(tags):
+        ups, stops, opened, here = [], [], [], 0
+        for tag in tags:
+            if tag[0] != "/":
+                ups.append(opened[-1][0] if opened else -1)
+                stops.append(here + 1)
+                if tag != "br":
+                    opened.append((here, tag))
+                here += 1
+            elif any(tag[1:] == t for _, t in opened):
+                while True:
+                    at, last = opened.pop()
+                    stops[at] = here
+                    if last == tag[1:]:
+                        break
+        for at, _ in opened:
+            stops[at] = here
+        return [{"up": u, "stop": s} for u, s in zip(ups, stops)]
+
+    deep = ["a", "b"] * (2 * P._ROUNDS)
+    pages = [*product(["a", "b", "br", "/a", "/b"], repeat=5), [*deep, *(f"/{t}" for t in reversed(deep))], [*deep, "/a"], ()]
+    listing = P._Listing(("up", "stop"))
+    for tags in pages:
+        listing.add("".join(f"<{t}>" for t in tags))
+    assert [p["elements"] for p in listing.column().to_pylist()] == [stack(tags) for tags in pages]
