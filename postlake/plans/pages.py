@@ -55,8 +55,8 @@ _PAIR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 #: What a page lists of its elements, in document order. ``at``: an element's place; ``css``: its class attribute; ``up``: place of the parent (-1: none);
 #: ``path``: those of all ancestors; ``nth``: number among the siblings of its tag; ``left``: the sibling before it (-1: none); ``stop``: place behind
 #: its last inner element; its texts are those from ``first`` up to ``last``.
-_FIELDS = {"at": T.IntegerType(), "tag": T.StringType(), "css": T.StringType(), "attrs": T.MapType(T.StringType(), T.StringType()), "up": T.IntegerType(),
-           "path": T.ArrayType(T.IntegerType()), **{n: T.IntegerType() for n in ("nth", "left", "stop", "first", "last")}}
+_FIELDS = {"at": T.IntegerType(), "tag": T.StringType(), "css": T.StringType(), "attrs": T.MapType(T.StringType(), T.StringType(), False), "up": T.IntegerType(),
+           "path": T.ArrayType(T.IntegerType(), False), **{n: T.IntegerType() for n in ("nth", "left", "stop", "first", "last")}}
 #: Listed together: pages of so many characters, or one longer page. Their Python objects are gone before the next pages are listed.
 SLICE_CHARS = 1 << 20
 # Parsed start tags that are kept for the next of the same text, and the longest kept.
@@ -194,6 +194,8 @@ class _Listing:
 
     def column(self) -> pa.StructArray:
         ints = lambda x: pa.array(np.asarray(x, np.int32))
+        filled = lambda ends, values: pa.ListArray.from_arrays(ints(ends), values, type=pa.list_(pa.field("element", values.type, False)))
+        struct = lambda columns: pa.StructArray.from_arrays([*columns.values()], fields=[pa.field(n, c.type, n == "css") for n, c in columns.items()])
         strings = lambda x: pa.array(x, pa.string())
         numbers, own = np.array(self.numbers), self.markups
         does = np.array(own.does)[numbers]
@@ -226,7 +228,9 @@ class _Listing:
                 place, up, off = place[have], up[have], off[have]
                 out[place] = up - off
                 place, up = place - 1, parent[up]
-            return pa.ListArray.from_arrays(ints(np.append(0, ends)), pa.array(out))
+            return filled(np.append(0, ends), pa.array(out))
+
+        attributes = pa.map_(pa.string(), pa.field("value", pa.string(), False))
 
         def field(name: str) -> pa.Array:
             if name == "at":
@@ -236,7 +240,7 @@ class _Listing:
             if name == "css":
                 return strings(own.css).take(pa.array(numbers))
             if name == "attrs":
-                return pa.MapArray.from_arrays(ints(own.ends), strings(own.name), strings(own.value)).take(pa.array(numbers))
+                return pa.MapArray.from_arrays(ints(own.ends), strings(own.name), strings(own.value), type=attributes).take(pa.array(numbers))
             if name == "path":
                 return paths()
             if name == "up":
@@ -255,8 +259,7 @@ class _Listing:
                 return ints(elements[ended] - before)
             return ints(texts[starts if name == "first" else ended] - said)
 
-        listed = pa.StructArray.from_arrays([field(n) for n in self.fields], names=self.fields)
-        out = {"elements": pa.ListArray.from_arrays(ints(page_ends), listed), "texts": pa.ListArray.from_arrays(ints(text_ends), strings(self.texts))}
+        out = {"elements": filled(page_ends, struct({n: field(n) for n in self.fields})), "texts": filled(text_ends, strings(self.texts))}
         if own.keys:
             ends, wide = np.array(own.under_ends, np.int64), len(own.keys)
             counts = np.diff(ends)[numbers]
@@ -264,21 +267,22 @@ class _Listing:
             under = np.array(own.under, np.int64)[np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts - ends[numbers], counts)]
             key = page[which] * wide + under
             sizes = np.bincount(key, minlength=wide * (len(page_ends) - 1))
-            places = pa.ListArray.from_arrays(ints(np.append(0, np.cumsum(sizes))), ints((at - before)[which[alike(key)[0]]]))
-            out["places"] = pa.ListArray.from_arrays(ints(wide * np.arange(len(page_ends))), places)
-        return pa.StructArray.from_arrays([*out.values()], names=[*out])
+            out["places"] = filled(wide * np.arange(len(page_ends)), filled(np.append(0, np.cumsum(sizes)), ints((at - before)[which[alike(key)[0]]])))
+        return struct(out)
+
+
+def _page_type(fields: Sequence[str], keys: Sequence[str]) -> T.StructType:
+    """A page's type. Only a class can be null; of what cannot, Spark does not ask it."""
+    element = T.StructType([T.StructField(f, _FIELDS[f], f == "css") for f in fields])
+    page = T.StructType([T.StructField("elements", T.ArrayType(element, False), False), T.StructField("texts", T.ArrayType(T.StringType(), False), False)])
+    return page.add("places", T.ArrayType(T.ArrayType(T.IntegerType(), False), False), False) if keys else page
 
 
 def list_elements(html: Column, fields: Sequence[str] = tuple(_FIELDS), names: Sequence[str] | None = None, keys: Sequence[str] = ()) -> Column:
     """The elements, with ``fields`` and the attributes in ``names`` (None: all), and the texts of a page (null: none); with ``keys``, tags or classes
     behind a point, also ``places``: those of each key's elements, in the order of the keys."""
     fields, names = [f for f in _FIELDS if f in fields], None if names is None else frozenset(names)
-    element = T.StructType([T.StructField(f, _FIELDS[f]) for f in fields])
-    page_type = T.StructType([T.StructField("elements", T.ArrayType(element)), T.StructField("texts", T.ArrayType(T.StringType()))])
-    if keys:
-        page_type.add("places", T.ArrayType(T.ArrayType(T.IntegerType())))
-
-    @F.arrow_udf(page_type)
+    @F.arrow_udf(_page_type(fields, keys))
     def listed(html: pa.Array) -> pa.Array:
         parts, out, chars = [], _Listing(fields, names, keys), 0
         for text in html.to_pylist():
@@ -404,7 +408,7 @@ def _chains(selector: str) -> tuple[list[list[tuple[str, Callable]]], set[str],
     return chains, fields, names, keys
 
 
-def _matches(selector: str, page: Column, listed: Sequence[str]) -> Column:
+def _matches(selector: str, page: Mapping[str, Column], listed: Sequence[str]) -> Column:
     """The elements that any of the selector's alternatives matches, in document order; the page has the places of the keys ``listed``."""
     chains, _, _, keys = _chains(selector)
     elements = page["elements"]
@@ -441,7 +445,7 @@ def _reads(container: str, fields: Mapping[str, Mapping]) -> tuple[set[str], set
     return read | ({"attrs"} if names else set()), names
 
 
-def _items(page: Column, container: str, fields: Mapping[str, Mapping]) -> Column:
+def _items(page: Mapping[str, Column], container: str, fields: Mapping[str, Mapping]) -> Column:
     """For each container of a page, an array of its fields' values as text (null: absent)."""
     rules = _rules(fields)
     inner = {s: f"s{n}" for n, s in enumerate(dict.fromkeys(s for s, _ in rules if s))}
@@ -500,10 +504,12 @@ def extract_items(pages: DataFrame, container: str, fields: Mapping[str, Mapping
     clash = set(keep) & set(fields)
     if clash:
         raise ValueError(f"field names collide with kept page columns: {sorted(clash)}")
-    rules = _items(F.col("_page"), container, fields)
+    parts = ("elements", "texts", *(["places"] if _keys(container, fields) else []))
+    rules = _items({p: F.col(f"_{p}") for p in parts}, container, fields)
     short_batches(pages.sparkSession)
     listed = spread(pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_html")), "_html")
     listed = listed.select(*[F.col(k) for k in keep], list_elements(F.col("_html"), *_reads(container, fields), _keys(container, fields)).alias("_page"))
+    listed = listed.select(*[F.col(k) for k in keep], *[F.col("_page")[p].alias(f"_{p}") for p in parts])
     exploded = listed.select(*[F.col(k) for k in keep], F.posexplode(rules).alias("item_pos", "_item"))
     cols = []
     for n, (name, rule) in enumerate(fields.items()):
